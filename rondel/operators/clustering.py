@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -115,16 +116,24 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int, *, features: str = "scaled
 
 
 def kmeans_sweep(vectors: DataFrame, ks: Sequence[int], seeds: Sequence[int], *,
-                 features: str = "scaled_features", max_iter: int = 30) -> DataFrame:
-    """Silhouette of every ``(k, seed)`` fit as rows. The vectors are read into memory once."""
+                 features: str = "scaled_features", max_iter: int = 30, parallel: int = 4) -> DataFrame:
+    """Silhouette of every ``(k, seed)`` fit as rows.
+
+    The vectors are read into memory once. ``parallel`` fits submit their jobs at a time, which
+    fills the cores that the many short stages of a single fit leave idle.
+    """
     spark = vectors.sparkSession
     held = vectors.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()
     judge = ClusteringEvaluator(featuresCol=features, metricName="silhouette")
-    rows = []
-    for k in ks:
-        for seed in seeds:
-            model = fit_kmeans(held, k, seed, features=features, max_iter=max_iter)
-            rows.append((k, seed, float(judge.evaluate(model.transform(held)))))
+
+    def fit(setting: tuple[int, int]) -> tuple[int, int, float]:
+        k, seed = setting
+        model = fit_kmeans(held, k, seed, features=features, max_iter=max_iter)
+        return k, seed, float(judge.evaluate(model.transform(held)))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(fit), [(k, s) for k in ks for s in seeds]))
     held.unpersist()
     return spark.createDataFrame(rows, "k int, seed int, silhouette double")
 

@@ -45,7 +45,7 @@ def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
     already, so a text that fills a third of the table does not travel.
     """
     long_enough = spread(df).filter(F.length(text) >= min_length)
-    keyed = long_enough.withColumn("_key", content_key(text))
+    keyed = long_enough.withColumn("_key", F.unhex(content_key(text)))
     return keep_first(keyed, ["_key"], order_by).drop("_key")
 
 
@@ -59,7 +59,7 @@ def curation_quality(df: DataFrame, *, text: str = "text", min_length: int = 100
         .when(F.length(text) < min_length, "too_short")
         .otherwise("eligible")
     )
-    keyed = spread(df).select(verdict.alias("verdict"), content_key(text).alias("key"))
+    keyed = spread(df).select(verdict.alias("verdict"), F.unhex(content_key(text)).alias("key"))
     per_text = keyed.groupBy("verdict", F.when(F.col("verdict") == "eligible", F.col("key")).alias("key")).agg(
         F.count("*").alias("copies"))
     of = lambda v, c: F.coalesce(F.sum(F.when(F.col("verdict") == v, c)), F.lit(0))

@@ -14,19 +14,29 @@ from rondel.session import cut_lineage, shuffle_width
 _POSITION_BITS = 33
 
 
-def graph_vertices(df: DataFrame, first: str, second: str) -> DataFrame:
-    """``id, name``: every name of either column once, numbered 0, 1, 2, ... in name order.
+def graph_pairs(df: DataFrame, first: str, second: str) -> DataFrame:
+    """``low, high, weight``: rows per unordered pair of names, rows with a missing side left out.
+
+    Everything else in the graph follows from the pairs. They are counted in the map tasks
+    first, so a pair that fills a third of the table is one row per task from here on.
+    """
+    one, two = F.col(first).cast("string"), F.col(second).cast("string")
+    return (
+        df.filter(one.isNotNull() & two.isNotNull())
+        .groupBy(F.least(one, two).alias("low"), F.greatest(one, two).alias("high"))
+        .agg(F.count("*").alias("weight"))
+    )
+
+
+def graph_vertices(pairs: DataFrame) -> DataFrame:
+    """``id, name``: every name once, numbered 0, 1, 2, ... in name order.
 
     A global ``row_number`` would sort all names in one task. Here the names are range
     partitioned, numbered inside their partition, and shifted by the size of the partitions
     before it. The numbered rows are materialised first, so both readers see the same split.
     """
-    names = (
-        df.select(F.explode(F.array(F.col(first).cast("string"), F.col(second).cast("string"))).alias("name"))
-        .filter(F.col("name").isNotNull())
-        .distinct()
-    )
-    width = shuffle_width(df.sparkSession)
+    names = pairs.select(F.explode(F.array("low", "high")).alias("name")).distinct()
+    width = shuffle_width(pairs.sparkSession)
     placed = cut_lineage(
         names.repartitionByRange(width, "name").sortWithinPartitions("name")
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -42,22 +52,18 @@ def graph_vertices(df: DataFrame, first: str, second: str) -> DataFrame:
     return placed.join(F.broadcast(starts), "part").select((F.col("start") + F.col("position")).alias("id"), "name")
 
 
-def graph_edges(df: DataFrame, vertices: DataFrame, first: str, second: str) -> DataFrame:
-    """``src, dst, weight`` with ``src < dst``: one edge per unordered pair, weighted by row count.
+def graph_edges(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """``src, dst, weight`` with ``src < dst``; a pair of one name with itself is no edge.
 
-    Pairs are folded and counted on the names before the names are looked up: ids follow name
-    order, so the smaller name also has the smaller id, and a pair that fills a third of the
-    table reaches the joins as one row.
+    Ids follow name order, so the lower name of a pair also has the lower id.
     """
-    one, two = F.col(first).cast("string"), F.col(second).cast("string")
-    pairs = (
-        df.filter(one.isNotNull() & two.isNotNull() & (one != two))
-        .groupBy(F.least(one, two).alias("low"), F.greatest(one, two).alias("high"))
-        .agg(F.count("*").alias("weight"))
-    )
     low = vertices.select(F.col("id").alias("src"), F.col("name").alias("low"))
     high = vertices.select(F.col("id").alias("dst"), F.col("name").alias("high"))
-    return pairs.join(low, "low").join(high, "high").select("src", "dst", "weight")
+    return (
+        pairs.filter(F.col("low") != F.col("high"))
+        .join(low, "low").join(high, "high")
+        .select("src", "dst", "weight")
+    )
 
 
 def graph_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ from rondel.operators.quality import keep_first
 from rondel.session import spread
 from rondel.sources.files import write_csv
 
-DEFAULT_BLOCK_WIDTH = 1 << 16
+# Most documents one posting block may cover.
+BLOCK_WIDTH = 1 << 14
 
 
 def corpus_build(df: DataFrame, *, id_parts: Sequence[str | Column], text_parts: Sequence[str | Column],
@@ -66,14 +67,19 @@ def token_reduction(docs: DataFrame, *, rule: str, stop_words=None, min_length:
     return counted.withColumn("reduction_pct", F.try_divide(lost * 100, F.col("tokens_raw").cast("double")))
 
 
-def id_block(doc_id: str | Column, width: int = DEFAULT_BLOCK_WIDTH) -> Column:
+def id_block(doc_id: str | Column, width: int = BLOCK_WIDTH) -> Column:
     """Block of a numeric document id: at most ``width`` ids share a block, however ids are spread."""
     value = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.floor(value / F.lit(width)).cast("bigint")
 
 
+def blocks_for(documents: int, width: int = BLOCK_WIDTH) -> int:
+    """Number of hash blocks that keeps about ``width`` documents in each."""
+    return max(1, -(-documents // width))
+
+
 def hash_block(doc_id: str | Column, blocks: int) -> Column:
-    """Block of any document id, by hash; choose ``blocks`` as documents over wanted block size."""
+    """Block of any document id, by hash; take ``blocks`` from ``blocks_for`` so that it grows with the corpus."""
     value = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.pmod(F.xxhash64(value), F.lit(blocks)).cast("bigint")
 
@@ -93,14 +99,12 @@ def inverted_index(tokens: DataFrame, *, block: Column, distinct: bool) -> DataF
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """Store the index in ``(token, block)`` order, so that a lookup skips files and row groups.
+    """Store the index sorted by token inside each file, so that a lookup skips row groups.
 
-    The range covers the block as well, hence a hot token spreads over several files.
+    The files keep the hash partitioning on ``(token, block)`` the aggregation left: no further
+    shuffle, and the large blocks of a hot token are spread over all files.
     """
-    (
-        index.repartitionByRange("token", "block").sortWithinPartitions("token", "block")
-        .write.mode("overwrite").parquet(path)
-    )
+    index.sortWithinPartitions("token", "block").write.mode("overwrite").parquet(path)
 
 
 def term_stats(index: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rondel.functions.conditions import count_where, gap
 from rondel.operators import aggregates, clustering, curation, evidence, graph, quality, text_index
+from rondel.session import cut_lineage
 from rondel.sources import files, layout, streams
 from rondel.streaming import progress, sinks, windows
 
@@ -168,17 +169,20 @@ def corpus(clean: DataFrame) -> DataFrame:
     )
 
 
-def term_index(docs: DataFrame, rule: str = "alnum", blocks: int = 64) -> DataFrame:
-    """Posting blocks; distinct documents under ``alnum``, one entry per occurrence under ``nonword``."""
-    return text_index.inverted_index(
-        text_index.tokenize(docs, rule=rule), block=text_index.hash_block("doc_id", blocks), distinct=rule == "alnum")
+def term_index(docs: DataFrame, rule: str = "alnum", width: int = text_index.BLOCK_WIDTH) -> DataFrame:
+    """Posting blocks; distinct documents under ``alnum``, one entry per occurrence under ``nonword``.
+
+    Counts the documents to size the blocks: pass a stored corpus, where that reads file footers only.
+    """
+    block = text_index.hash_block("doc_id", text_index.blocks_for(docs.count(), width))
+    return text_index.inverted_index(text_index.tokenize(docs, rule=rule), block=block, distinct=rule == "alnum")
 
 
 def team_graph(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Teams as vertices, matches between two teams as weighted edges."""
-    sides = results.dropna(subset=["team_1", "team_2"]).select("team_1", "team_2")
-    vertices = graph.graph_vertices(sides, "team_1", "team_2")
-    return vertices, graph.graph_edges(sides, vertices, "team_1", "team_2")
+    pairs = cut_lineage(graph.graph_pairs(results, "team_1", "team_2"))
+    vertices = graph.graph_vertices(pairs)
+    return vertices, graph.graph_edges(pairs, vertices)
 
 
 def team_features(clean: DataFrame, min_support: int = MIN_MAPS_PLAYED) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rondel.operators import graph
 from rondel.plans.registry import query
 from rondel.plans.standins import CONTACTS_SQL, DELIVERIES_SQL, contacts, deliveries
+from rondel.session import cut_lineage
 
 _DAMPING = 0.85
 _ROUNDS = 3
@@ -41,15 +42,20 @@ def _pagerank_ctes(pairs: str, rounds: int, both: bool) -> str:
     return "WITH " + ",".join(parts)
 
 
+def _graph(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges; the counted pairs are stored once and read for both."""
+    pairs = cut_lineage(graph.graph_pairs(rows, "one", "two"))
+    vertices = graph.graph_vertices(pairs)
+    return vertices, graph.graph_edges(pairs, vertices)
+
+
 def _contact_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    pairs = contacts(spark, sf_dir)
-    vertices = graph.graph_vertices(pairs, "one", "two")
-    return vertices, graph.graph_edges(pairs, vertices, "one", "two")
+    return _graph(contacts(spark, sf_dir))
 
 
 @query("graph_vertices", f"WITH {_graph_ctes(DELIVERIES_SQL)} SELECT id, name FROM v")
 def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.graph_vertices(deliveries(spark, sf_dir), "one", "two")
+    return graph.graph_vertices(graph.graph_pairs(deliveries(spark, sf_dir), "one", "two"))
 
 
 @query("graph_edges", f"WITH {_graph_ctes(CONTACTS_SQL)} SELECT src, dst, weight FROM e")
@@ -87,9 +93,7 @@ def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
 """)
 def pagerank_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = deliveries(spark, sf_dir)
-    vertices = graph.graph_vertices(pairs, "one", "two")
-    edges = graph.graph_edges(pairs, vertices, "one", "two")
+    vertices, edges = _graph(deliveries(spark, sf_dir))
     run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=0.0, orientation="both")
     return _rounded(graph.with_names(run.ranks, vertices))
 

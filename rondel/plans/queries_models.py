@@ -8,7 +8,7 @@ from rondel.operators import clustering
 from rondel.plans import match_results as matches
 from rondel.plans.registry import query
 from rondel.plans.standins import PLAYS_SQL, plays
-from rondel.session import scratch_path
+from rondel.session import cut_lineage, scratch_path
 
 _Z = [f"{c}_z" for c in matches.FEATURES]
 # Centers in standardised feature space: weak, middling and strong entities.
@@ -40,7 +40,8 @@ def _z_sql() -> str:
 
 
 def _standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.standardize(matches.team_features(plays(spark, sf_dir)), matches.FEATURES)
+    features = cut_lineage(matches.team_features(plays(spark, sf_dir)))  # read more than once below
+    return clustering.standardize(features, matches.FEATURES)
 
 
 @query("standardize", f"""
@@ -108,9 +109,8 @@ def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "features")
-    matches.team_features(plays(spark, sf_dir)).write.parquet(path)
-    return clustering.scaled_vectors(spark.read.parquet(path), matches.FEATURES)
+    features = cut_lineage(matches.team_features(plays(spark, sf_dir)))
+    return clustering.scaled_vectors(features, matches.FEATURES)
 
 
 # The seeding of the model library has no SQL counterpart: rows only for the two queries below.

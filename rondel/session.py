@@ -77,12 +77,16 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Re-split an input that arrives in fewer partitions than there are cores.
+    """Re-split an input too small to give every core a file split of its own.
 
-    Large inputs already have more splits than cores and pass through untouched, so the
-    shuffle is only ever paid on small files. The check reads plan metadata, not data.
+    Files are cut into splits of at least ``openCostInBytes``; an input of that size per core or
+    more fills the cores by itself and passes through untouched, so the shuffle is only ever
+    paid on small inputs. The check uses the optimizer's size estimate and runs no job.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate >= cores * split:
         return df
-    return df.repartition(wanted, *keys) if keys else df.repartition(wanted)
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,7 +20,7 @@ PROGRESS_SCHEMA = """
 def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
     """One row per reported batch and label. Spark itself keeps only the most recent batches."""
     reports = [
-        (label, json.dumps(_plain(p)))
+        (label, p.json if hasattr(p, "json") else json.dumps(p))
         for label, query in queries.items()
         for p in query.recentProgress
     ]
@@ -30,21 +28,6 @@ def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> D
     return raw.select("label", F.from_json("report", PROGRESS_SCHEMA).alias("p")).select("label", "p.*")
 
 
-def _plain(report) -> dict:
-    """A progress report as a dict, whichever form this Spark version returns it in."""
-    if isinstance(report, dict):
-        return {k: _jsonable(v) for k, v in report.items()}
-    return json.loads(report.json)
-
-
-def _jsonable(value):
-    if isinstance(value, dict):
-        return {k: _jsonable(v) for k, v in value.items()}
-    if isinstance(value, str) or not isinstance(value, Iterable):
-        return value
-    return [_jsonable(v) for v in value]
-
-
 def progress_summary(progress: DataFrame) -> DataFrame:
     """Means over the batches that had input, per label, with state and late-drop totals."""
     has_state = F.size("stateOperators") > 0

@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rondel.session import cut_lineage
+
+# Largest number of batches whose horizons are broadcast; 16 bytes each.
+MAX_BROADCAST_BATCHES = 500_000
+
 
 def tumbling_agg(events: DataFrame, *, time: str, width: str, by: Sequence[str], measures: Sequence[Column],
                  delay: str | None = None) -> DataFrame:
@@ -32,12 +37,14 @@ def mark_late(events: DataFrame, *, time: str, batch: str, width: str, delay: st
     A row is late when its window had closed before its batch began, that is when the window
     ends at or before the newest event of all earlier batches minus ``delay``.
     """
-    per_batch = events.groupBy(batch).agg(F.max(time).alias("_newest"))
+    per_batch = cut_lineage(events.groupBy(batch).agg(F.max(time).alias("_newest")))
     # one row per batch: the running maximum is over batches, never over events
     earlier = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     horizons = per_batch.select(
         batch, (F.max("_newest").over(earlier) - F.expr(f"interval {delay}")).alias("_horizon"),
     )
+    if per_batch.count() <= MAX_BROADCAST_BATCHES:
+        horizons = F.broadcast(horizons)
     flagged = events.join(horizons, batch)
     late = F.coalesce(F.window(time, width)["end"] <= F.col("_horizon"), F.lit(False))
     return flagged.withColumn("is_late", late).drop("_horizon")
