@@ -42,11 +42,12 @@ def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
     """Texts of at least ``min_length`` characters, each different text once.
 
     Of equal texts the first under ``order_by`` stays. Copies are dropped in the map task
-    already, so a text that fills a third of the table does not travel.
+    already, so a text that fills a third of the table does not travel. Equal texts are equally
+    long, so the length test may come last: placed first it would be pushed below the projection
+    and render a composed text twice, to save the shuffle of what is short anyway.
     """
-    long_enough = spread(df).filter(F.length(text) >= min_length)
-    keyed = long_enough.withColumn("_key", F.unhex(content_key(text)))
-    return keep_first(keyed, ["_key"], order_by).drop("_key")
+    keyed = spread(df).withColumn("_key", F.unhex(content_key(text)))
+    return keep_first(keyed, ["_key"], order_by).drop("_key").filter(F.length(text) >= min_length)
 
 
 def curation_quality(df: DataFrame, *, text: str = "text", min_length: int = 100) -> DataFrame:

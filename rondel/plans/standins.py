@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rondel.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,12 +56,12 @@ RAW_COLUMNS = {c: _DIRTY.get(c, f"CAST({c} AS VARCHAR(20))") for c in _PLAY_COLU
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _PLAY_COLUMNS.items()])
+    typed = spread(table(spark, sf_dir, "lineitem")).selectExpr(*[f"{e} AS {n}" for n, e in _PLAY_COLUMNS.items()])
     return typed.selectExpr("*", *[f"{e} AS {n}" for n, e in _DERIVED.items()])
 
 
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in _PLAY_COLUMNS.items()])
+    typed = spread(table(spark, sf_dir, "lineitem")).selectExpr(*[f"{e} AS {n}" for n, e in _PLAY_COLUMNS.items()])
     return typed.selectExpr(*[f"CAST({e} AS STRING) AS {n}" for n, e in RAW_COLUMNS.items()])
 
 
