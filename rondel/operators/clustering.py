@@ -116,7 +116,7 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int, *, features: str = "scaled
 
 
 def kmeans_sweep(vectors: DataFrame, ks: Sequence[int], seeds: Sequence[int], *,
-                 features: str = "scaled_features", max_iter: int = 30, parallel: int = 4) -> DataFrame:
+                 features: str = "scaled_features", max_iter: int = 30, parallel: int = 8) -> DataFrame:
     """Silhouette of every ``(k, seed)`` fit as rows.
 
     The vectors are read into memory once. ``parallel`` fits submit their jobs at a time, which

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from rondel.session import cut_lineage, shuffle_width
 
+# Fewer edges than this are not worth a partition of their own.
+EDGES_PER_PARTITION = 100_000
+
 # Low 33 bits of monotonically_increasing_id are the position in the partition.
 _POSITION_BITS = 33
 
@@ -36,9 +39,8 @@ def graph_vertices(pairs: DataFrame) -> DataFrame:
     before it. The numbered rows are materialised first, so both readers see the same split.
     """
     names = pairs.select(F.explode(F.array("low", "high")).alias("name")).distinct()
-    width = shuffle_width(pairs.sparkSession)
     placed = cut_lineage(
-        names.repartitionByRange(width, "name").sortWithinPartitions("name")
+        names.repartitionByRange("name").sortWithinPartitions("name")
         .withColumn("_mid", F.monotonically_increasing_id())
     ).select(
         "name",
@@ -46,7 +48,7 @@ def graph_vertices(pairs: DataFrame) -> DataFrame:
         F.col("_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("position"),
     )
     sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
-    # one row per partition, so neither the window nor the broadcast grows with the data
+    # one row per shuffle partition, so neither the window nor the broadcast grows with the data
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
     return placed.join(F.broadcast(starts), "part").select((F.col("start") + F.col("position")).alias("id"), "name")
@@ -93,11 +95,10 @@ class Ranking:
 
 
 def _oriented(edges: DataFrame, orientation: str) -> DataFrame:
-    base = edges.select("src", "dst", "weight")
     if orientation == "canonical":
-        return base
+        return edges
     if orientation == "both":
-        return base.select(F.explode(F.array(
+        return edges.select(F.explode(F.array(
             F.struct("src", "dst", "weight"),
             F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"),
         )).alias("e")).select("e.*")
@@ -114,27 +115,35 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
     ``tol`` (of its old value, if ``relative``). Mass of vertices without out-edges is not
     redistributed.
 
-    Layout: edges are shuffled once, kept partitioned by source and reused in every round. A
+    Layout: edges are stored once, shuffled and sorted once, and stay so for all rounds. A
     source with more than ``hub_degree`` edges has them cut into several buckets, each joined
     with its own copy of the source's rank. Per round, ranks are shuffled to the edges and the
     map-side summed contributions are shuffled back together with the old ranks, which makes the
     outer join with the vertices a part of the same aggregate.
     """
     spark = vertices.sparkSession
-    width = shuffle_width(spark)
-    directed = _oriented(edges, orientation)
+    # read for the out-degrees and again for the layout; also what lost cache blocks are rebuilt from
+    stored = cut_lineage(edges.select("src", "dst", "weight"))
+    directed = _oriented(stored, orientation)
 
     out = directed.groupBy(F.col("src").alias("id")).agg(
         F.sum("weight").alias("out_weight"),
+        F.count("*").alias("edges"),
         F.ceil(F.count("*") / F.lit(hub_degree)).alias("buckets"),
     )
     linked = cut_lineage(vertices.select("id").join(out, "id", "left"))
-    seen = linked.agg(F.count("*").alias("n"), F.count_if(F.col("buckets") > 1).alias("hubs")).first()
+    seen = linked.agg(F.count("*").alias("n"), F.sum("edges").alias("edges"),
+                      F.count_if(F.col("buckets") > 1).alias("hubs")).first()
     n, hubs = seen["n"], seen["hubs"]
+    linked = linked.drop("edges")
 
-    placed = _bucketed(directed, linked, hubs)
-    links = placed.repartition(width, "src", "bucket").persist(StorageLevel.MEMORY_AND_DISK)
-    links.count()  # fills the cache, so that every round sees its partitioning
+    keys = ["src", "bucket"] if hubs else ["src"]
+    placed = _bucketed(directed, linked) if hubs else directed
+    links = (
+        placed.repartition(_width(spark, seen["edges"] or 0), *keys).sortWithinPartitions(*keys)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    links.count()  # fills the cache, so that every round sees its partitioning and order
 
     base = (1.0 - damping) / n if n else 0.0
     state = linked.withColumn("rank", F.lit(1.0 / n if n else 0.0))
@@ -143,7 +152,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
         started = time.monotonic()
         change = Observation()
         old = state
-        flow = _outflow(old).join(links, ["src", "bucket"]).select(
+        flow = _outflow(old, bool(hubs)).join(links, keys).select(
             F.col("dst").alias("id"), (F.col("share") * F.col("weight")).alias("inflow"))
         step = (
             old.select("id", "out_weight", "buckets", "rank", F.lit(0.0).alias("inflow"))
@@ -167,10 +176,14 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
     return result
 
 
-def _bucketed(directed: DataFrame, linked: DataFrame, hubs: int) -> DataFrame:
+def _width(spark: SparkSession, edges: int) -> int:
+    """Partitions of the edge layout: the session's number, fewer if they would be nearly empty."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(shuffle_width(spark), max(cores, -(-edges // EDGES_PER_PARTITION)))
+
+
+def _bucketed(directed: DataFrame, linked: DataFrame) -> DataFrame:
     """Edges with the bucket their source assigns them to; 0 for everything but hubs."""
-    if not hubs:
-        return directed.withColumn("bucket", F.lit(0).cast("bigint"))
     # at most edges / hub_degree rows; the optimizer broadcasts them while they are small and
     # splits the skewed join partitions otherwise
     heavy = linked.filter(F.col("buckets") > 1).select(F.col("id").alias("src"), "buckets")
@@ -178,13 +191,11 @@ def _bucketed(directed: DataFrame, linked: DataFrame, hubs: int) -> DataFrame:
     return directed.join(heavy, "src", "left").select("src", "dst", "weight", bucket.alias("bucket"))
 
 
-def _outflow(state: DataFrame) -> DataFrame:
+def _outflow(state: DataFrame, bucketed: bool) -> DataFrame:
     """Rank per unit of out-weight, once for each bucket of the vertex's edges."""
-    return state.filter(F.col("buckets") > 0).select(
-        F.col("id").alias("src"),
-        (F.col("rank") / F.col("out_weight")).alias("share"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("buckets") - 1)).alias("bucket"),
-    )
+    share = (F.col("rank") / F.col("out_weight")).alias("share")
+    copies = [F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("buckets") - 1)).alias("bucket")] if bucketed else []
+    return state.filter(F.col("buckets") > 0).select(F.col("id").alias("src"), share, *copies)
 
 
 def with_names(ranks: DataFrame, vertices: DataFrame) -> DataFrame:

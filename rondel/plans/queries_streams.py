@@ -8,7 +8,7 @@ from rondel.operators import aggregates
 from rondel.plans import match_results as matches
 from rondel.plans.registry import query
 from rondel.plans.standins import EVENTS_SQL, PLAYS_SQL, match_events, plays, table
-from rondel.session import scratch_path
+from rondel.session import scratch_path, shuffle_width
 from rondel.sources import files, streams
 from rondel.streaming import progress, sinks, windows
 
@@ -147,9 +147,15 @@ def _landed_events(spark: SparkSession, sf_dir: str, fmt: str) -> str:
     return path
 
 
+def _drain(spark: SparkSession, stream: DataFrame, paths: sinks.SinkPaths):
+    """A state store per core at most: the state is a few counters per open window."""
+    stores = min(shuffle_width(spark), spark.sparkContext.defaultParallelism)
+    return sinks.drain(stream, paths, state_partitions=stores)
+
+
 def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
     paths = sinks.SinkPaths.under(scratch_path(spark, "stream"))
-    sinks.drain(stream, paths)
+    _drain(spark, stream, paths)
     return sinks.read_sink(spark, paths)
 
 
@@ -209,7 +215,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part, mode in ((events.filter(early), "overwrite"), (events.filter(~early), "append")):
         _land_plays(part, landing, mode)
         stream = streams.json_stream(spark, landing, _PLAY_ROW)
-        sinks.drain(matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None), paths)
+        _drain(spark, matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None), paths)
     return _unzoned(sinks.read_sink(spark, paths), "window_start", "window_end")
 
 
@@ -222,6 +228,6 @@ def stream_progress_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reproducible part of the summary; rates and times differ between runs."""
     landing, paths = scratch_path(spark, "landing_plays"), sinks.SinkPaths.under(scratch_path(spark, "stream"))
     _land_plays(match_events(spark, sf_dir), landing)
-    run = sinks.drain(matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW)), paths)
+    run = _drain(spark, matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW)), paths)
     summary = progress.progress_summary(progress.progress_table(spark, {"baseline": run}))
     return summary.select("label", "batches_sampled", "input_rows", "avg_input_rows", "dropped_partial_groups")

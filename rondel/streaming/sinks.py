@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +37,26 @@ def check_pairing(spark: SparkSession, paths: SinkPaths) -> None:
         raise ValueError(f"{paths.data} holds the output of another checkpoint; use a new root")
 
 
-def start_append(stream: DataFrame, paths: SinkPaths, *, every: str | None = None) -> StreamingQuery:
-    """Start an append query: a processing-time trigger if ``every`` is given, else one drain."""
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None):
+    """The setting a starting query copies; the session's own value is put back at once."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if number is not None:
+        spark.conf.set(key, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def start_append(stream: DataFrame, paths: SinkPaths, *, every: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Start an append query: a processing-time trigger if ``every`` is given, else one drain.
+
+    ``state_partitions`` is the number of state stores, and of files per batch. A checkpoint keeps
+    the number of its first start for good; without it the session's shuffle setting is taken.
+    """
     check_pairing(stream.sparkSession, paths)
     writer = (
         stream.writeStream.format("parquet")
@@ -46,7 +65,8 @@ def start_append(stream: DataFrame, paths: SinkPaths, *, every: str | None = Non
         .option("checkpointLocation", paths.checkpoint)
     )
     trigger = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return trigger.start()
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        return trigger.start()
 
 
 def run_for(query: StreamingQuery, seconds: int) -> StreamingQuery:
@@ -56,9 +76,9 @@ def run_for(query: StreamingQuery, seconds: int) -> StreamingQuery:
     return query
 
 
-def drain(stream: DataFrame, paths: SinkPaths) -> StreamingQuery:
+def drain(stream: DataFrame, paths: SinkPaths, *, state_partitions: int | None = None) -> StreamingQuery:
     """Process everything that has landed, then stop. Safe to call again after new files land."""
-    query = start_append(stream, paths)
+    query = start_append(stream, paths, state_partitions=state_partitions)
     query.awaitTermination()
     return query
 

@@ -82,18 +82,30 @@ def test_relative_tolerance(spark):
     assert len(loose.rounds) < len(tight.rounds)
 
 
-def test_edge_cache_is_not_shuffled_again(spark):
-    """Only ranks and contributions move in a round."""
-    edges = spark.range(1000).select((F.col("id") % 50).alias("src"), "id", F.lit(0).alias("bucket"))
-    links = edges.repartition(4, "src", "bucket").persist()
-    links.count()
-    ranks = spark.range(50).select(F.col("id").alias("src"), F.lit(0).alias("bucket"), F.lit(1.0).alias("share"))
-    joined = ranks.hint("merge").join(links, ["src", "bucket"])
-    joined.count()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    above_cache = plan.split("InMemoryRelation")[0]
-    links.unpersist()
-    assert above_cache.count("Exchange hashpartitioning") <= 2  # the ranks, in final and initial plan
+@pytest.mark.parametrize("hub_degree", [1_000_000, 20])
+def test_edges_are_neither_shuffled_nor_sorted_again(spark, monkeypatch, hub_degree):
+    """In a round only the ranks and the contributions move."""
+    plans = []
+
+    def record(df, original=graph.cut_lineage):
+        stored = original(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored
+
+    monkeypatch.setattr(graph, "cut_lineage", record)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vertices = spark.range(60).select("id", F.col("id").cast("string").alias("name"))
+        edges = spark.range(3000).select(
+            (F.col("id") % 50).alias("src"), (F.col("id") * 7 % 60).alias("dst"), F.lit(1).alias("weight"))
+        graph.pagerank(vertices, edges, max_rounds=2, tol=0.0, hub_degree=hub_degree)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    round_plan = plans[-1].split("InMemoryRelation")[0]
+    assert "SortMergeJoin" in round_plan
+    assert round_plan.count("Exchange hashpartitioning") == 2
+    assert round_plan.count(" Sort [") == 1  # the ranks
 
 
 def test_top_breaks_ties_by_id_and_has_names(spark, tmp_path):
