@@ -13,6 +13,9 @@ from rondel.session import cut_lineage, shuffle_width
 # Fewer edges than this are not worth a partition of their own.
 EDGES_PER_PARTITION = 100_000
 
+# Most hubs whose bucket counts are broadcast; 16 bytes each.
+MAX_BROADCAST_HUBS = 500_000
+
 # Low 33 bits of monotonically_increasing_id are the position in the partition.
 _POSITION_BITS = 33
 
@@ -138,7 +141,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
     linked = linked.drop("edges")
 
     keys = ["src", "bucket"] if hubs else ["src"]
-    placed = _bucketed(directed, linked) if hubs else directed
+    placed = _bucketed(directed, linked, hubs) if hubs else directed
     links = (
         placed.repartition(_width(spark, seen["edges"] or 0), *keys).sortWithinPartitions(*keys)
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -182,11 +185,11 @@ def _width(spark: SparkSession, edges: int) -> int:
     return min(shuffle_width(spark), max(cores, -(-edges // EDGES_PER_PARTITION)))
 
 
-def _bucketed(directed: DataFrame, linked: DataFrame) -> DataFrame:
+def _bucketed(directed: DataFrame, linked: DataFrame, hubs: int) -> DataFrame:
     """Edges with the bucket their source assigns them to; 0 for everything but hubs."""
-    # at most edges / hub_degree rows; the optimizer broadcasts them while they are small and
-    # splits the skewed join partitions otherwise
     heavy = linked.filter(F.col("buckets") > 1).select(F.col("id").alias("src"), "buckets")
+    if hubs <= MAX_BROADCAST_HUBS:  # beyond that, adaptive execution splits the skewed partitions
+        heavy = F.broadcast(heavy)
     bucket = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("buckets")), F.lit(0))
     return directed.join(heavy, "src", "left").select("src", "dst", "weight", bucket.alias("bucket"))
 

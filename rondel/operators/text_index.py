@@ -46,7 +46,7 @@ def raw_tokens(docs: DataFrame, *, rule: str, doc_id: str = "doc_id", text: str
                extra: Sequence[Column] = ()) -> DataFrame:
     """One row per non-empty token occurrence."""
     return (
-        spread(docs, doc_id)
+        spread(docs)
         .select(F.col(doc_id).alias("doc_id"), *extra, F.explode(token_array(F.col(text), rule)).alias("token"))
         .filter(F.length("token") > 0)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rondel.operators import aggregates
+from rondel.operators import aggregates, evidence
 from rondel.plans import match_results as matches
 from rondel.plans.registry import query
 from rondel.plans.standins import EVENTS_SQL, PLAYS_SQL, match_events, plays, table
@@ -231,3 +231,26 @@ def stream_progress_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _drain(spark, matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW)), paths)
     summary = progress.progress_summary(progress.progress_table(spark, {"baseline": run}))
     return summary.select("label", "batches_sampled", "input_rows", "avg_input_rows", "dropped_partial_groups")
+
+
+@query("stream_tuning_compare", """
+    WITH n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM events)
+    SELECT 'Streaming' AS stage, 'window_agg' AS task, 'avg_input_rows' AS metric_name, n / 3 AS base, n AS other,
+           (n - n / 3) * 100 / (n / 3) AS change_pct FROM n
+""")
+def stream_tuning_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two file limits per batch over the same five landing files; times are left out as they vary."""
+    landing = scratch_path(spark, "landing_plays")
+    _land_plays(match_events(spark, sf_dir), landing)
+    runs = {}
+    for label, limit in (("baseline", 2), ("optimized", 5)):
+        stream = streams.json_stream(spark, landing, _PLAY_ROW, files_per_trigger=limit)
+        paths = sinks.SinkPaths.under(scratch_path(spark, "stream"))
+        runs[label] = _drain(spark, matches.windowed_plays(stream, "1 day", "31 days"), paths)
+    summary = progress.progress_summary(progress.progress_table(spark, runs))
+    rows = [
+        evidence.metric_rows(summary.filter(F.col("label") == phase), stage="Streaming", task="window_agg",
+                             metrics=["avg_input_rows"], phase=phase)
+        for phase in runs
+    ]
+    return evidence.metrics_compare(rows[0].unionByName(rows[1]), base="baseline", other="optimized")

@@ -181,6 +181,13 @@ def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_partitioned_orders(spark, sf_dir))
 
 
+@query("partitioned_write_category", "SELECT event_id, ts, user_id, value, event_type FROM events")
+def partitioned_write_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "events_by_type")
+    layout.write_partitioned(table(spark, sf_dir, "events").drop("props"), path, ["event_type"])
+    return spark.read.parquet(path)
+
+
 @query("partition_pruned_scan", """
     SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 3
 """)

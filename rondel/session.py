@@ -76,7 +76,7 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Re-split an input too small to give every core a file split of its own.
 
     Files are cut into splits of at least ``openCostInBytes``; an input of that size per core or
@@ -89,4 +89,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate >= cores * split:
         return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+    return df.repartition(cores)  # round-robin: no key can make one part larger
