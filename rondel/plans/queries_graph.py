@@ -88,6 +88,27 @@ def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(graph.with_names(run.ranks, vertices))
 
 
+def _converged_sql(rounds: int, tol: float) -> str:
+    """Every round up to the limit, of which the first quiet one is taken."""
+    deltas = " UNION ALL ".join(
+        f"SELECT {i} AS i, (SELECT max(abs(a.rank - b.rank)) FROM r{i} AS a JOIN r{i - 1} AS b USING (id)) AS delta"
+        for i in range(1, rounds + 1))
+    every = " UNION ALL ".join(f"SELECT {i} AS i, id, rank FROM r{i}" for i in range(1, rounds + 1))
+    return f"""
+    {_pagerank_ctes(CONTACTS_SQL, rounds, both=False)},
+    t AS MATERIALIZED ({deltas}),
+    stop AS (SELECT coalesce(min(i) FILTER (WHERE delta < {tol}), {rounds}) AS i FROM t)
+    SELECT id, name, round(rank, 9) AS rank FROM ({every}) AS every_round JOIN stop USING (i) JOIN v USING (id)"""
+
+
+@query("pagerank_converged", _converged_sql(20, 1e-4))
+def pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 20 rounds, ended by the largest change of a rank."""
+    vertices, edges = _contact_graph(spark, sf_dir)
+    run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=20, tol=1e-4)
+    return _rounded(graph.with_names(run.ranks, vertices))
+
+
 @query("pagerank_both", f"""
     {_pagerank_ctes(DELIVERIES_SQL, _ROUNDS, both=True)}
     SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
