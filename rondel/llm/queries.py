@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rondel.llm import decontaminate, packing, simhash, token_files
+from rondel.llm import decontaminate, line_dedup, packing, simhash, token_files
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -46,6 +46,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    done = line_dedup.with_removals(docs)
+    return done.select("doc.doc_id", "text", "doc.lang", "doc.source", "doc.n_chars", "n_removed")
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -93,3 +94,108 @@ def union_length(spans: Column) -> Column:
                         F.greatest(end, acc["end"]).alias("end"))
 
     return F.aggregate(F.array_sort(spans), zero, step)["hit"]
+
+
+# Bytes of text that are hashed at once; a longer text is taken alone.
+CHUNK_BYTES = 1 << 21
+_BASE = 0x9E3779B97F4A7C13  # odd, so that it has an inverse among 64-bit numbers
+SPACES = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+class WordHasher:
+    """64-bit hashes of all words of many texts at once: polynomials over their bytes, from running sums."""
+
+    def __init__(self):
+        self.signs = np.random.default_rng(42).integers(1, 2 ** 63, 256, dtype=np.uint64)
+        self._grow(CHUNK_BYTES)
+
+    def _grow(self, n: int) -> None:
+        with np.errstate(over="ignore"):
+            base, back = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
+            self.powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base))))
+            self.inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, back))))
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word of the UTF-8 bytes starts and ends, and its hash; words are cut at ASCII white space."""
+        if len(data) >= len(self.powers):
+            self._grow(len(data))
+        inside = np.concatenate(([False], ~SPACES[data], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        with np.errstate(over="ignore"):
+            sums = np.concatenate(([np.uint64(0)], np.cumsum(self.signs[data] * self.powers[:len(data)])))
+            return starts, ends, mixed((sums[ends] - sums[starts]) * self.inverse[starts])
+
+
+def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts in order as UTF-8, in chunks of bounded size, each with the number of its first text."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(texts):
+        data = text.encode("utf-8", "surrogatepass") if text else b""
+        if held and size + len(data) > CHUNK_BYTES:
+            yield first, held
+            held, size, first = [], 0, i
+        held.append(data)
+        size += len(data) + 1
+    if held:
+        yield first, held
+
+
+class BitFilter:
+    """A set of 64-bit hashes in a fixed number of bits: members always pass, few others do."""
+
+    BITS = 1 << 25
+
+    def __init__(self, keys: DataFrame):
+        """``keys`` has one long column; at most ``BITS / 64`` rows reach the driver, whatever its size."""
+        name = keys.columns[0]
+        at = F.explode(F.array(*[F.shiftrightunsigned(F.col(name), s).bitwiseAND(F.lit(self.BITS - 1))
+                                 for s in (0, 32)]))
+        found = (keys.select(at.alias("bit"))
+                 .groupBy(F.shiftright("bit", 6).alias("at"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas())
+        self.bits = np.zeros(self.BITS // 64, np.int64)
+        self.bits[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.view(np.uint64)
+        out = np.ones(len(keys), bool)
+        for s in (0, 32):
+            bit = ((keys >> np.uint64(s)) & np.uint64(self.BITS - 1)).astype(np.int64)
+            out &= (self.bits[bit >> 6] >> (bit & 63)) & 1 == 1
+        return out
+
+
+def with_place(docs: DataFrame) -> DataFrame:
+    """``doc`` (the row as a struct) and where it lies in its file, as ``file`` and ``row``.
+
+    A place does not change between jobs, however the files are split. Rows that do not come straight from files are
+    stored first.
+    """
+    whole = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc")
+
+    def placed(df: DataFrame) -> DataFrame:
+        place = df.metadataColumn("_metadata")
+        return df.select(whole, F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row"))
+
+    try:
+        return placed(docs)
+    except AnalysisException:
+        return placed(stored(docs, "documents"))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def with_text(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of ``doc`` in their order, with ``text`` taken from the column of that name beside it."""
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"doc.{quoted(c)}").alias(c) for c in columns])
