@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rondel.llm import decontaminate, line_dedup, packing, simhash, token_files
+from rondel.llm import decontaminate, line_dedup, packing, simhash, substring_dedup, token_files
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -40,6 +40,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc.doc_id", "n_words", "n_removed",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
