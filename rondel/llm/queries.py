@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rondel.llm import decontaminate, line_dedup, packing, simhash, substring_dedup, token_files
+from rondel.llm import (
+    chat, decontaminate, line_dedup, packing, simhash, substring_dedup, token_files, url_filter)
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -53,6 +54,29 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+CONTROL = (-7, "\\### Assistant: </turn> ok")
+
+
+@query("op5_chat", """
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+               UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(14 + 2 * length(role) - length(translate(role, '\\#<:', '')) + 2 * length(text)
+                    - length(translate(text, '\\#<', ''))) AS BIGINT) AS formatted_chars
+    FROM c GROUP BY conv_id""")
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    number, text = CONTROL
+    control = spark.range(2).select(
+        F.lit(number).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"), F.lit(text).alias("text"))
+    return chat.read_back(chat.format_conversations(rows.unionByName(control)))
+
+
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +91,64 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, folder, digest=True)
 
 
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def _shrunk_sql(level: str, counts: str) -> str:
+    """Posteriors of one level from ``counts (name, n, good, centre)``, as in the operator."""
+    return f"""
+    {level}_w AS (SELECT least(greatest(1 / least(greatest(coalesce(CASE WHEN sum(n * (n - 1)) > 0 THEN
+        (sum((good - n * centre) * (good - n * centre) / greatest(centre * (1 - centre), 1e-6)) - sum(n))
+        / sum(n * (n - 1)) END, 0.1), 1e-9), 1 - 1e-9) - 1, 0.5), 1000) AS w FROM {counts}),
+    {level} AS (SELECT c.*, w * centre + good AS a, w * (1 - centre) + n - good AS b,
+                (w * centre + good) / (w + n) AS mean FROM {counts} AS c, {level}_w)"""
+
+
+_SHARED_SQL = ", ".join(f"'{s}'" for s in url_filter.SHARED_SUFFIXES)
+
+
+def _domain_sql(n: int) -> str:
+    return f"array_to_string(list_slice(l, greatest(len(l) - {n}, 1), len(l)), '.')"
+
+
+@query("op8_url_filter", f"""
+    WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+                      regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    l AS (SELECT DISTINCT host, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS l FROM u),
+    m AS (SELECT host, CASE WHEN {_domain_sql(1)} IN ({_SHARED_SQL}) THEN {_domain_sql(1)} ELSE l[-1] END AS suffix,
+                 CASE WHEN {_domain_sql(1)} IN ({_SHARED_SQL}) THEN {_domain_sql(2)} ELSE {_domain_sql(1)} END AS domain FROM l),
+    h0 AS (SELECT host, domain, suffix, CAST(count(*) AS DOUBLE) AS n,
+                  sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1.0::DOUBLE ELSE 0 END) AS good
+           FROM u JOIN labels ON doc_id = page_id JOIN m USING (host) WHERE quality IS NOT NULL AND toxic IS NOT NULL
+           GROUP BY ALL),
+    top AS (SELECT coalesce(sum(good), 0) + 1 AS a, coalesce(sum(n), 0) - coalesce(sum(good), 0) + 1 AS b FROM h0),
+    s0 AS (SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(a / (a + b)) AS centre FROM h0, top GROUP BY suffix),
+    {_shrunk_sql("s", "s0")},
+    d0 AS (SELECT domain, sum(h0.n) AS n, sum(h0.good) AS good, any_value(s.mean) AS centre
+           FROM h0 JOIN s USING (suffix) GROUP BY domain),
+    {_shrunk_sql("d", "d0")},
+    h1 AS (SELECT host, h0.n, h0.good, d.mean AS centre FROM h0 JOIN d USING (domain)),
+    {_shrunk_sql("h", "h1")},
+    p AS (SELECT m.host, coalesce(h.a, d.a, s.a, top.a) AS a, coalesce(h.b, d.b, s.b, top.b) AS b
+          FROM m LEFT JOIN h USING (host) LEFT JOIN d USING (domain) LEFT JOIN s USING (suffix), top),
+    r AS (SELECT page_id, host, path, a, b, CASE
+            WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+          FROM u JOIN p USING (host))
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+        WHEN least(a / (a + b) + {url_filter.Z!r} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)), 1) < {url_filter.MIN_GOOD}
+        THEN 'block' ELSE 'allow' END AS verdict FROM r""")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    outcomes = labels.filter("quality IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").alias("page_id"), good.alias("good"))
+    found = url_filter.judge(table(spark, sf_dir, "pages"), outcomes, RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
