@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rondel.llm import (
-    chat, decontaminate, line_dedup, packing, simhash, substring_dedup, token_files, url_filter)
+    chat, decontaminate, line_dedup, neighbours, packing, simhash, substring_dedup, token_files, url_filter)
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -149,6 +149,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op9_neighbours")
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
