@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rondel.llm import (
-    chat, decontaminate, line_dedup, neighbours, packing, simhash, substring_dedup, token_files, url_filter)
+    chat, decontaminate, line_dedup, neighbours, packing, quality, simhash, substring_dedup, token_files, url_filter)
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -41,6 +41,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = quality.document_labels(table(spark, sf_dir, "labels"))
+    scored = quality.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", "good_probability", (F.col("good_probability") >= quality.MIN_GOOD).alias("accepted"))
+
+
 @query("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from rondel.llm.components import components
-from rondel.llm.shared import arrow_pass, batch_of, space_words, stored
+from rondel.llm.shared import arrow_pass, batch_of, quoted, space_words, stored, with_place
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -45,13 +45,14 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashed), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64())])
+def _fingerprints(words: int, carried: tuple[str, ...] = ()):
+    """Fingerprints of ``(doc_id, text, ...)``; further long columns are carried along."""
+    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64()), *[(c, pa.int64()) for c in carried]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield batch_of(schema, [batch.column(0), bits.view(np.int64)])
+            yield batch_of(schema, [batch.column(0), bits.view(np.int64), *batch.columns[2:]])
     return work
 
 
@@ -151,7 +152,6 @@ def _finish(most: int):
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs ``(u, v)`` of distinct fingerprints ``bits``, enough to connect all that differ in at most ``max_bits`` bits."""
-    spark = nodes.sparkSession
     edges = [round(64 * i / (max_bits + 1)) for i in range(max_bits + 2)]
     turns = []
     for i, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -216,10 +216,34 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     * An empty table gives no rows; other columns are ignored.
     """
     marked = stored(fingerprints(docs, words), "fingerprints")
+    return marked.join(_classes(marked, max_bits), "bits").select("doc_id", "bits", "component_id")
+
+
+def _classes(marked: DataFrame, max_bits: int) -> DataFrame:
+    """Per fingerprint its component: ``bits``, ``root`` (a fingerprint) and ``component_id``; stored."""
     nodes = stored(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
     roots = components(links(nodes.select("bits"), max_bits))
     grouped = nodes.join(roots, nodes["bits"] == roots["node"], "left").select(
         "bits", "least", F.coalesce("root", "bits").alias("root"))
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(grouped.join(named, "root").select("bits", "component_id"), "fingerprint-classes")
-    return marked.join(classes, "bits").select("doc_id", "bits", "component_id")
+    return stored(grouped.join(named, "root").select("bits", "root", "component_id"), "fingerprint-classes")
+
+
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay when one of each near-duplicate group does, with all their columns.
+
+    The row with the smallest ``doc_id`` stays (null last); of several rows with that id, the first by its place in the files.
+    Null and empty texts are one group.
+    """
+    placed = with_place(docs)
+    rows = placed.select("doc.doc_id", "doc.text", "file", "row")
+    marked = arrow_pass(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                    "file", "row"), _fingerprints(words, ("file", "row")),
+                        "doc_id long, bits long, file long, row long")
+    marked = stored(marked, "fingerprints")
+    classes = _classes(marked.select("doc_id", "bits"), max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file", "row"))
+    stay = (marked.join(classes.select("bits", "root"), "bits").groupBy("root").agg(first.alias("first"))
+            .select("first.file", "first.row"))
+    return placed.join(stay, ["file", "row"], "left_semi").select(
+        *[F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns])
