@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from rondel.llm.shared import arrow_pass, batch_of, plain_words, rolling, stored, union_length
+from rondel.llm.shared import arrow_pass, batch_of, dense, plain_words, rolling, stored, union_length
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
@@ -64,14 +64,12 @@ def _windows(size: int):
 
 
 def _filter_bits(shingles: DataFrame) -> np.ndarray:
-    """The fixed-size filter of all window shingles; at most ``FILTER_BITS / 64`` rows reach the driver."""
+    """The fixed-size filter of all window shingles; ``FILTER_BITS`` bits reach the driver."""
     bit = F.col("shingle").bitwiseAND(F.lit(FILTER_BITS - 1))
     words = (shingles.select(F.shiftright(bit, 6).alias("at"),
                              F.expr("shiftleft(1L, cast(shingle & 63 as int))").alias("bit"))
-             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas())
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return bits.view(np.uint64)
+             .groupBy("at").agg(F.bit_or("bit").alias("value")))
+    return dense(words, FILTER_BITS // 64, "<i8").view(np.uint64)
 
 
 def _segments(bits: np.ndarray, lengths: list[int], id_type: pa.DataType):

@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rondel.llm.shared import (
-    BitFilter, WordHasher, arrow_pass, batch_of, mixed, stored, text_chunks, with_place, with_text)
+    BitFilter, WordHasher, arrow_pass, batch_of, dense, mixed, small_batches, stored, text_chunks, with_place, with_text)
 
 SIMILARITY = 0.8
 # Word counts are kept in a table of fixed size; words that share a cell count together, which only coarsens the order.
 CELLS = 1 << 21
 # Earlier partners that one task proposes per line and word; lines with more go to a second round unless settled.
-PROPOSALS = 3
+PROPOSALS = 8
+# Runs of one word up to this many lines are compared together, longer ones block by block.
+SHORT_RUN = 256
 _EPS = 1e-9
 
 
@@ -71,11 +73,9 @@ def _count_words():
 def rarity(docs: DataFrame) -> np.ndarray:
     """A rank per cell, low for rare words, from the counts of all words of all texts."""
     counts = (arrow_pass(docs.select(F.col("text").cast("string")), _count_words(), "cell int, n long")
-              .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
-    ranks = np.zeros(CELLS, np.uint16)
-    ranks[counts["cell"].to_numpy(np.int64)] = np.minimum(
-        np.log2(counts["n"].to_numpy(np.float64)) * 1000, 65535).astype(np.uint16)
-    return ranks
+              .groupBy("cell").agg(F.sum("n").alias("n")))
+    rank = F.least(F.floor(F.log2(F.col("n").cast("double")) * 1000), F.lit(65535))
+    return dense(counts.select(F.col("cell").alias("at"), rank.alias("value")), CELLS, "<u2")
 
 
 def _prefix(n: np.ndarray, t: float) -> np.ndarray:
@@ -125,11 +125,31 @@ def _propose(t: float):
     """Inside runs of equal words, sorted from the earliest line: for each line its first few possible partners."""
     block = 512
 
+    def match(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
+        n, place, _, sketch = rows
+        nz, nx = n[z], n[x]
+        need = _need(nz, nx, t)
+        return ((np.minimum(nz, nx) >= t * np.maximum(nz, nx) - _EPS)
+                & (np.minimum(nz - place[z], nx - place[x]) >= need)
+                & ((nz + nx - np.bitwise_count(sketch[z] ^ sketch[x])) // 2 >= need))
+
+    def named(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray, more: np.ndarray) -> list[np.ndarray]:
+        name, sketch = (r.view(np.int64) for r in rows[2:])
+        return [name[z], sketch[z], name[x], sketch[x], more]
+
+    def short_runs(rows: list[np.ndarray], begin: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        """All earlier partners of every line of many short runs at once."""
+        line = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)  # place in the run: so many are earlier
+        z = np.repeat(np.repeat(begin, size) + line, line)
+        x = np.arange(len(z)) - np.repeat(np.cumsum(line) - line, line) + np.repeat(np.repeat(begin, size), line)
+        ok = match(rows, z, x)
+        z, x = z[ok], x[ok]
+        nth = np.arange(len(z)) - np.searchsorted(z, z)
+        take = nth <= PROPOSALS
+        return named(rows, z[take], x[take], nth[take] == PROPOSALS)
+
     def run(rows: list[np.ndarray]) -> list[np.ndarray] | None:
-        n, place, name, sketch = rows
-        size = len(n)
-        if size < 2:
-            return None
+        size = len(rows[0])
         out: list[tuple] = []
         for z0 in range(1, size, block):
             z = np.arange(z0, min(z0 + block, size))
@@ -142,24 +162,15 @@ def _propose(t: float):
                 x = np.arange(x0, min(x0 + block, zz[-1]))
                 if not len(x):
                     break
-                nz, nx = n[zz][:, None], n[x][None, :]
-                need = _need(nz, nx, t)
-                ok = ((np.minimum(nz, nx) >= t * np.maximum(nz, nx) - _EPS)
-                      & (np.minimum(nz - place[zz][:, None], nx - place[x][None, :]) >= need)
-                      & ((nz + nx - np.bitwise_count(sketch[zz][:, None] ^ sketch[x][None, :])) // 2 >= need)
-                      & (x[None, :] < zz[:, None]))
+                ok = match(rows, zz[:, None], x[None, :]) & (x[None, :] < zz[:, None])
                 a, b = np.nonzero(ok)
-                if len(a):
-                    nth = np.arange(len(a)) - np.searchsorted(a, a) + found[live][a]
-                    take = nth < PROPOSALS
-                    out.append((zz[a[take]], x[b[take]], np.zeros(take.sum(), bool)))
-                    over = nth == PROPOSALS
-                    out.append((zz[a[over]], x[b[over]], np.ones(over.sum(), bool)))
-                    found[live] += np.bincount(a, minlength=len(zz))
+                nth = np.arange(len(a)) - np.searchsorted(a, a) + found[live][a]
+                take = nth <= PROPOSALS
+                out.append((zz[a[take]], x[b[take]], nth[take] == PROPOSALS))
+                found[live] += np.bincount(a, minlength=len(zz))
         if not out:
             return None
-        z, x, more = (np.concatenate(c) for c in zip(*out))
-        return [name[z].view(np.int64), sketch[z].view(np.int64), name[x].view(np.int64), sketch[x].view(np.int64), more]
+        return named(rows, *(np.concatenate(c) for c in zip(*out)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -167,13 +178,14 @@ def _propose(t: float):
         def proposals(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key = rows[0]
             edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
-            found = []
-            for i in np.flatnonzero(np.diff(edges) > 1):
+            begin, size = edges[:-1], np.diff(edges)
+            short = (size > 1) & (size <= SHORT_RUN)
+            found = [short_runs(rows[1:], begin[short], size[short])]
+            for i in np.flatnonzero(size > SHORT_RUN):
                 got = run([r[edges[i]:edges[i + 1]] for r in rows[1:]])
                 if got is not None:
                     found.append(got)
-            if found:
-                yield batch_of(_PAIR, [np.concatenate(c) for c in zip(*found)])
+            yield batch_of(_PAIR, [np.concatenate(c) for c in zip(*found)])
 
         for batch in batches:
             rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64),
@@ -302,6 +314,8 @@ def with_removals(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
             .groupBy(F.col("first.file").alias("file"), F.col("first.row").alias("row"))
             .agg(F.collect_list("first.line").alias("kept")))
 
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("text string, n_removed long")
     def cut(texts: pd.Series, keeps: pd.Series) -> pd.DataFrame:
         out = []

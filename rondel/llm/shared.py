@@ -40,11 +40,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def arrow_pass(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with batches small enough for long texts."""
-    spark = df.sparkSession
+    small_batches(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
+def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(work, schema)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -149,21 +152,43 @@ def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
+_PAGE = 1 << 12
+
+
+def dense(cells: DataFrame, size: int, kind: str) -> np.ndarray:
+    """An array of ``size`` numbers (zero where no row is) from rows ``(at, value)`` with distinct places.
+
+    The driver gets pages of packed numbers, together as large as the array, whose size is fixed beforehand.
+    """
+    def page(part: pa.Table) -> pa.Table:
+        at, value = part.column("at").to_numpy(), part.column("value").to_numpy()
+        out = np.zeros(_PAGE, kind)
+        out[at % _PAGE] = value
+        return pa.table({"page": pa.array([int(at[0]) // _PAGE], pa.int64()),
+                         "data": pa.array([out.tobytes()], pa.binary())})
+
+    pages = (cells.select(F.col("at").cast("long").alias("at"), F.col("value").cast("long").alias("value"))
+             .withColumn("page", F.shiftright("at", _PAGE.bit_length() - 1))
+             .groupBy("page").applyInArrow(page, "page long, data binary"))
+    out = np.zeros(-(-size // _PAGE) * _PAGE, kind)
+    for number, data in pages.toLocalIterator():
+        out[number * _PAGE:(number + 1) * _PAGE] = np.frombuffer(data, kind)
+    return out[:size]
+
+
 class BitFilter:
     """A set of 64-bit hashes in a fixed number of bits: members always pass, few others do."""
 
     BITS = 1 << 25
 
     def __init__(self, keys: DataFrame):
-        """``keys`` has one long column; at most ``BITS / 64`` rows reach the driver, whatever its size."""
+        """``keys`` has one long column; ``BITS`` bits reach the driver, whatever its size."""
         name = keys.columns[0]
         at = F.explode(F.array(*[F.shiftrightunsigned(F.col(name), s).bitwiseAND(F.lit(self.BITS - 1))
                                  for s in (0, 32)]))
-        found = (keys.select(at.alias("bit"))
-                 .groupBy(F.shiftright("bit", 6).alias("at"))
-                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas())
-        self.bits = np.zeros(self.BITS // 64, np.int64)
-        self.bits[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        cells = (keys.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("value")))
+        self.bits = dense(cells, self.BITS // 64, "<i8")
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
         keys = keys.view(np.uint64)

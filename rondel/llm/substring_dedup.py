@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rondel.llm.fm_index import FmIndex
 from rondel.llm.shared import (
-    BitFilter, WordHasher, arrow_pass, batch_of, mixed, quoted, rolling, stored, text_chunks)
+    BitFilter, WordHasher, arrow_pass, batch_of, mixed, quoted, rolling, small_batches, stored, text_chunks)
 
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 12
@@ -240,6 +240,8 @@ def without_repeats(docs: DataFrame, size: int = WINDOW_WORDS, k: int = ANCHOR_W
     key = F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
     joined = rows.withColumn("_key", key).join(windows.withColumnRenamed("key", "_key"), "_key", "left")
 
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("text string, n_words long, n_removed long")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         out = []
