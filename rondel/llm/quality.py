@@ -7,13 +7,16 @@ to the other view. At the end both margins are weighed together on the held-out
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rondel.llm.shared import quoted, stored
+from rondel.llm.shared import plain_words, quoted, small_batches, stored
 
 MAX_LABELLED = 20_000  # rows that fitting takes of the labelled documents, about; chosen by a hash of the id
 MAX_POOL = 20_000      # and of the unlabelled ones that views may label for each other
@@ -28,14 +31,26 @@ META_FEATURES = 1 << 10
 _HASH_RANGE = 1 << 30
 
 
-def _share(signs: str) -> Column:
-    """Share of a text's signs that are among ``signs`` (zero for an empty text)."""
-    text = F.col("_t")
-    return (F.length(text) - F.length(F.translate(text, signs, ""))) / F.greatest(F.length(text), F.lit(1))
+# Kinds of bytes whose share of a text tells its form.
+_KINDS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#$%&*+<=>@\\^_`{}~", "|", "!?", ".,;:", "\n")
+_SCALES = (2, 5, 20, 50, 20, 10, 20)
+_KIND_OF = np.zeros(256, np.uint8)
+for _i, _signs in enumerate(_KINDS):
+    _KIND_OF[list(_signs.encode())] = _i + 1
 
 
-def _capped(value: Column) -> Column:
-    return F.least(value, F.lit(1.0))
+def form_of(text: str | None) -> tuple[list[float], list[str]]:
+    """Measures of a text's form, each between 0 and about 1, and its distinct words."""
+    text = text or ""
+    words = plain_words(text)
+    distinct = list(set(words))
+    n, data = len(words), np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    shares = np.bincount(_KIND_OF[data], minlength=len(_KINDS) + 1)[1:] / max(len(text), 1)
+    form = np.minimum(shares * _SCALES, 1.0).tolist()
+    # Of running text the logarithms of distinct and all words keep one ratio; repetition lowers it.
+    form += [len(distinct) / max(n, 1), math.log(len(distinct)) / math.log(n) if n > 1 else 1.0,
+             min(len(text) / (20 * max(n, 1)), 1.0), float(n < 10), math.log1p(n) / 10]
+    return form, distinct
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -43,32 +58,17 @@ def prepared(docs: DataFrame) -> DataFrame:
     def column(name: str) -> Column:
         return F.col(quoted(name)) if name in docs.columns else F.lit(None)
 
-    text = F.coalesce(column("text").cast("string"), F.lit(""))
-    words = F.filter(F.split(F.lower("_t"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1), lambda w: w != "")
-    n = F.size("_w").cast("double")
-    marks = "#$%&*+<=>@\\^_`{}~"
-    form = {
-        "_distinct": F.size("_u") / F.greatest(n, F.lit(1.0)),
-        # Of running text the logarithms of distinct and all words keep one ratio; repetition lowers it.
-        "_rich": F.when(n > 1, F.log(F.size("_u").cast("double")) / F.log(n)).otherwise(1.0),
-        "_upper": _capped(2 * _share("ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
-        "_digits": _capped(5 * _share("0123456789")),
-        "_marks": _capped(20 * _share(marks)),
-        "_bars": _capped(50 * _share("|")),
-        "_shouts": _capped(20 * _share("!?")),
-        "_stops": _capped(10 * _share(".,;:")),
-        "_lines": _capped(20 * _share("\n")),
-        "_word": _capped(F.length("_t") / (20 * F.greatest(n, F.lit(1.0)))),
-        "_short": (n < 10).cast("double"),
-        "_long": F.log1p(n) / 10,
-    }
+    @F.pandas_udf("form array<double>, words array<string>")
+    def measured(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([form_of(t) for t in texts], columns=["form", "words"])
+
     about = F.array(F.concat(F.lit("source="), F.coalesce(column("source").cast("string"), F.lit(""))),
                     F.concat(F.lit("lang="), F.coalesce(column("lang").cast("string"), F.lit(""))))
     size = F.log1p(F.greatest(F.coalesce(column("n_chars").cast("double"), F.lit(0.0)), F.lit(0.0))) / 10
-    rows = (docs.withColumn("_t", text).withColumn("_w", words).withColumn("_u", F.array_distinct("_w"))
-            .withColumn("_about", about).withColumn("_size", size))
-    rows = VectorAssembler(inputCols=list(form), outputCol="_form").transform(rows.withColumns(form))
-    return rows.drop("_t", "_w", *form)
+    small_batches(docs.sparkSession)
+    rows = docs.withColumn("_m", measured(column("text").cast("string")))
+    return (rows.withColumn("_u", F.col("_m.words")).withColumn("_form", array_to_vector(F.col("_m.form")))
+            .withColumn("_about", about).withColumn("_size", size).drop("_m"))
 
 
 def word_list(rows: DataFrame) -> CountVectorizerModel:
