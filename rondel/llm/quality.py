@@ -12,7 +12,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,9 +24,9 @@ ROUNDS = 2
 SURE = 0.97            # calibrated probability from which a view hands a label on
 MIN_GOOD = 0.5
 MAX_WORDS = 4096       # words the text view knows, each in at least MIN_ROWS labelled rows
-MIN_ROWS = 5.0
+MIN_ROWS = 5
 PENALTY = 0.001
-FIT_TASKS = 6          # the bounded sample needs no more
+FIT_TASKS = 3          # the bounded sample needs no more
 META_FEATURES = 1 << 10
 _HASH_RANGE = 1 << 30
 
@@ -73,12 +73,15 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 def word_list(rows: DataFrame) -> CountVectorizerModel:
     """The words the text view looks at: those in enough of the (prepared, labelled) rows, the commonest first."""
-    return CountVectorizer(minDF=MIN_ROWS, vocabSize=MAX_WORDS, binary=True, inputCol="_u", outputCol="_bag").fit(rows)
+    counts = rows.select(F.explode("_u").alias("word")).groupBy("word").count().filter(F.col("count") >= MIN_ROWS)
+    words = [r[0] for r in counts.orderBy(F.desc("count"), "word").limit(MAX_WORDS).collect()]
+    return CountVectorizerModel.from_vocabulary(words or [""], inputCol="_u", outputCol="_bag", binary=True)
 
 
 def with_views(rows: DataFrame, words: CountVectorizerModel) -> DataFrame:
     """Prepared rows with ``text_view`` and ``meta_view``, sparse vectors."""
     rows = HashingTF(numFeatures=META_FEATURES, binary=True, inputCol="_about", outputCol="_tags").transform(words.transform(rows))
+    rows = VectorSizeHint(inputCol="_form", size=len(_KINDS) + 5, handleInvalid="optimistic").transform(rows)
     rows = VectorAssembler(inputCols=["_bag", "_form"], outputCol="text_view").transform(rows)
     rows = VectorAssembler(inputCols=["_tags", "_size"], outputCol="meta_view").transform(rows)
     return rows.drop("_u", "_about", "_size", "_bag", "_tags", "_form")
@@ -87,7 +90,7 @@ def with_views(rows: DataFrame, words: CountVectorizerModel) -> DataFrame:
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
     # The absolute penalty drops words that tell nothing.
     return LogisticRegression(featuresCol=view, labelCol="good", weightCol="weight", regParam=PENALTY, elasticNetParam=1.0,
-                              maxIter=40, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
+                              maxIter=15, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
                               predictionCol=f"{view}_y").fit(rows)
 
 
@@ -154,12 +157,12 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5))
     raw = stored(prepared(docs.filter(take)).join(known.filter(take), "doc_id").withColumn("weight", F.lit(1.0))
                  .withColumn("held", fold == 0), "labelled-rows")
+    counts = {(r[0], r[1]): r[2] for r in raw.groupBy("held", "good").count().collect()}
+    if any(counts.get((h, g), 0) == 0 for h in (True, False) for g in (0.0, 1.0)):
+        return None
     words = word_list(raw)
     own = with_views(raw, words).select("doc_id", "text_view", "meta_view", "good", "weight", "held")
     own = stored(own.coalesce(FIT_TASKS), "labelled-views")
-    counts = {(r[0], r[1]): r[2] for r in own.groupBy("held", "good").count().collect()}
-    if any(counts.get((h, g), 0) == 0 for h in (True, False) for g in (0.0, 1.0)):
-        return None
     pool = docs.filter(_sample(max_pool, n_docs)).filter(F.col("doc_id").isNotNull())
     pool = prepared(pool.join(known.select("doc_id"), "doc_id", "left_anti"))
     pool = stored(with_views(pool, words).select("doc_id", "text_view", "meta_view"), "unlabelled-views")
