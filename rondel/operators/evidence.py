@@ -53,14 +53,20 @@ def metrics_compare(metrics: DataFrame, *, base: str, other: str) -> DataFrame:
     return sides.withColumn("change_pct", F.try_divide((F.col("other") - F.col("base")) * 100, F.col("base")))
 
 
-def slo_check(spark: SparkSession, metrics: DataFrame, limits: Mapping[str, tuple[str, float]]) -> DataFrame:
+def slo_check(spark: SparkSession, metrics: DataFrame, limits: Mapping[str, tuple[str, float]],
+              run_id: str | None = None, phase: str | None = None) -> DataFrame:
     """PASS or FAIL per limited metric, limits inclusive; MISSING if the metric was not reported.
 
+    The log is append-only: ``run_id`` and ``phase`` choose the rows that are judged.
+
     ``limits`` maps a metric name to ``("max" | "min", threshold)``.
     """
     table = spark.createDataFrame(
         [(name, kind, float(limit)) for name, (kind, limit) in limits.items()],
         "metric_name string, kind string, threshold double")
+    for column, wanted in (("run_id", run_id), ("phase", phase)):
+        if wanted is not None:
+            metrics = metrics.filter(F.col(column) == wanted)
     value, limit = F.col("metric_value"), F.col("threshold")
     held = F.when(F.col("kind") == "max", value <= limit).otherwise(value >= limit)
     status = F.when(value.isNull(), "MISSING").when(held, "PASS").otherwise("FAIL")

@@ -70,7 +70,8 @@ def token_reduction(docs: DataFrame, *, rule: str, stop_words=None, min_length:
 def id_block(doc_id: str | Column, width: int = BLOCK_WIDTH) -> Column:
     """Block of a numeric document id: at most ``width`` ids share a block, however ids are spread."""
     value = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.floor(value / F.lit(width)).cast("bigint")
+    value, width = value.cast("bigint"), F.lit(width).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, width), width)  # exact beyond 2^53
 
 
 def blocks_for(documents: int, width: int = BLOCK_WIDTH) -> int:

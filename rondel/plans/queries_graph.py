@@ -10,7 +10,7 @@ from rondel.plans.standins import CONTACTS_SQL, DELIVERIES_SQL, contacts, delive
 from rondel.session import cut_lineage
 
 _DAMPING = 0.85
-_ROUNDS = 3
+_ROUNDS = 20
 
 
 def _graph_ctes(pairs: str) -> str:
@@ -122,21 +122,25 @@ def pagerank_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pagerank_top", f"""
     {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)}
     SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
-    ORDER BY round(rank, 9) DESC, id LIMIT 50
+    ORDER BY round(rank * (SELECT count(*) FROM v), 6) DESC, id LIMIT 50
 """)
 def pagerank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     vertices, edges = _contact_graph(spark, sf_dir)
     run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=0.0)
-    return graph.pagerank_top(_rounded(run.ranks), vertices, 50)
+    # A rank is about 1/N, so ranks are told apart as multiples of that, at any size of the graph.
+    leading = F.desc(F.round(F.col("rank") * vertices.count(), 6))
+    return _rounded(graph.pagerank_top(run.ranks, vertices, 50, order=leading))
 
 
 def _trace_sql() -> str:
     deltas = " UNION ALL ".join(
-        f"SELECT {i} AS iteration, (SELECT round(max(abs(a.rank - b.rank)), 9) FROM r{i} AS a "
-        f"JOIN r{i - 1} AS b USING (id)) AS max_delta" for i in range(1, _ROUNDS + 1))
+        f"SELECT {i} AS iteration, (SELECT max(abs(a.rank - b.rank)) FROM r{i} AS a "
+        f"JOIN r{i - 1} AS b USING (id)) AS delta" for i in range(1, _ROUNDS + 1))
     return f"""
-    {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)}
-    SELECT CAST(iteration AS INT) AS iteration, max_delta, max_delta < 1e-9 AS converged FROM ({deltas}) AS t"""
+    {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)},
+    t AS MATERIALIZED ({deltas})
+    SELECT CAST(iteration AS INT) AS iteration, round(delta, 9) AS max_delta, delta < 1e-9 AS converged FROM t
+    WHERE iteration <= coalesce((SELECT min(iteration) FROM t WHERE delta < 1e-9), {_ROUNDS})"""
 
 
 @query("iteration_trace", _trace_sql())

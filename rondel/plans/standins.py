@@ -75,7 +75,7 @@ _EVENT_COLUMNS = {
     "map_winner": "CASE WHEN value < 20 THEN 1 WHEN value < 40 THEN 2 END",
     "rank_1": "CAST(user_id AS INT)",
 }
-_K = r"""CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT)"""
+_K = r"""TRY_CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT)"""
 _EVENT_COLUMNS["rank_2"] = _K
 
 EVENTS_SQL = f"(SELECT event_id, {_listed(_EVENT_COLUMNS)} FROM events) AS ev"

@@ -29,9 +29,10 @@ def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> D
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:
-    """Means over the batches that had input, per label, with state and late-drop totals."""
+    """Means over the batches that had input, per label, with state and late-drop totals over all state operators."""
     has_state = F.size("stateOperators") > 0
-    state = lambda field: F.when(has_state, F.col("stateOperators").getItem(0).getField(field))
+    add = lambda field: lambda total, operator: total + F.coalesce(operator.getField(field), F.lit(0).cast("long"))
+    state = lambda field: F.when(has_state, F.aggregate("stateOperators", F.lit(0).cast("long"), add(field)))
     busy = F.col("numInputRows") > 0
     when_busy = lambda c: F.avg(F.when(busy, c))
     return progress.groupBy("label").agg(
