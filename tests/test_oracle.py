@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import connect, differences, type_differences
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from rondel.plans.catalog import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,7 @@ def test_rows_only(spark, sf_dir, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) >= set(QUERIES)
 
 
 def test_entry(spark):
