@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,13 +41,12 @@ def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
                 order_by: Sequence[str | Column] = ("doc_id",)) -> DataFrame:
     """Texts of at least ``min_length`` characters, each different text once.
 
-    Of equal texts the first under ``order_by`` stays. Copies are dropped in the map task
-    already, so a text that fills a third of the table does not travel. Equal texts are equally
-    long, so the length test may come last: placed first it would be pushed below the projection
-    and render a composed text twice, to save the shuffle of what is short anyway.
+    Of equal texts the first under ``order_by`` stays. Short texts go before anything is hashed or
+    sorted, and copies are dropped in the map task already, so a text that fills a third of the table
+    does not travel.
     """
-    keyed = spread(df).withColumn("_key", F.unhex(content_key(text)))
-    return keep_first(keyed, ["_key"], order_by).drop("_key").filter(F.length(text) >= min_length)
+    keyed = df.filter(F.length(text) >= min_length).withColumn("_key", F.unhex(content_key(text)))
+    return keep_first(keyed, ["_key"], order_by).drop("_key")
 
 
 def curation_quality(df: DataFrame, *, text: str = "text", min_length: int = 100) -> DataFrame:
@@ -76,9 +75,9 @@ def curation_quality(df: DataFrame, *, text: str = "text", min_length: int = 100
 
 
 def dataset_card(df: DataFrame, *, name: str, source: str, version: str, intended_use: str,
-                 filters: Sequence[str], descriptions: Mapping[str, str], text: str = "text") -> DataFrame:
-    """One-row profile: size, text lengths, and the fixed description as JSON text."""
-    fields = F.to_json(F.create_map(*[F.lit(x) for kv in descriptions.items() for x in kv]))
+                 filters: Sequence[str], text: str = "text") -> DataFrame:
+    """One-row profile: size, text lengths, and the columns with their types as JSON text."""
+    fields = F.to_json(F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())]))
     return df.agg(
         F.count("*").alias("size_rows"),
         F.sum(F.length(text)).alias("size_chars"),

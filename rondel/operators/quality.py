@@ -61,6 +61,26 @@ def broken_rules(rules: Mapping[str, Column]) -> Column:
     ]))
 
 
+def silver_balance(raw: DataFrame, schema: T.StructType, *, required: Sequence[str], natural_key: Sequence[str],
+                   measures: Sequence[str] = (), patterns: Mapping[str, str] | None = None) -> DataFrame:
+    """Where the rows of ``raw`` end up in ``silver_clean``: kept, incomplete, or a further copy of a key.
+
+    One pass; per key only a count is shuffled, combined per map task first.
+    """
+    complete = F.lit(True)
+    for name in (*required, *measures):
+        complete = complete & F.col(name).isNotNull()
+    typed = raw.select(*parse_all(schema, patterns)).withColumn("_complete", complete)
+    keys = [F.when(F.col("_complete"), F.col(k)).alias(f"_key{i}") for i, k in enumerate(natural_key)]
+    copies = typed.groupBy("_complete", *keys).agg(F.count("*").alias("_n"))
+    return copies.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("bronze_rows"),
+        F.count_if("_complete").alias("silver_rows"),
+        F.coalesce(F.sum(F.when(~F.col("_complete"), F.col("_n"))), F.lit(0)).alias("incomplete_rows"),
+        F.coalesce(F.sum(F.when(F.col("_complete"), F.col("_n") - 1)), F.lit(0)).alias("duplicate_rows"),
+    )
+
+
 def rejects(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """The rows that break a rule, unchanged, with the rules they break."""
     return df.withColumn("reasons", broken_rules(rules)).filter(F.size("reasons") > 0)

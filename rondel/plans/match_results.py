@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rondel.functions.conditions import count_where, gap
 from rondel.operators import aggregates, clustering, curation, evidence, graph, quality, text_index
@@ -89,7 +89,17 @@ def silver(raw: DataFrame) -> DataFrame:
 
 
 def silver_contract(raw: DataFrame) -> DataFrame:
-    return quality.contract_report(raw, quality.parse_rules(RESULT_SCHEMA, DATE_PATTERNS, REQUIRED))
+    return quality.contract_report(raw, silver_rules())
+
+
+def silver_rules() -> dict[str, Column]:
+    """The contract of a raw row: whatever removes a row from ``silver`` breaks one of these rules."""
+    return quality.parse_rules(RESULT_SCHEMA, DATE_PATTERNS, (*REQUIRED, *MEASURES))
+
+
+def silver_balance(raw: DataFrame) -> DataFrame:
+    return quality.silver_balance(raw, RESULT_SCHEMA, required=REQUIRED, natural_key=NATURAL_KEY, measures=MEASURES,
+                                  patterns=DATE_PATTERNS)
 
 
 def team_stats(clean: DataFrame) -> DataFrame:
@@ -217,16 +227,11 @@ def curated(texts: DataFrame) -> DataFrame:
 
 
 def text_card(texts: DataFrame) -> DataFrame:
+    """Profile of the curated sentences; its columns and types come from the table itself."""
     return curation.dataset_card(
-        texts, name="Match descriptions", source=TEXT_SOURCE, version=TEXT_VERSION,
-        intended_use="fine-tuning or retrieval over match history",
-        filters=[f"min_text_length={MIN_TEXT_LENGTH}", "content hash dedup", "null text dropped"],
-        descriptions={
-            "doc_id": "match_id and map", "text": "match description", "content_hash": "xxhash64 of text",
-            "date": "match date", "_map": "map name", "winner_team": "team that won the map",
-            "event_id": "tournament",
-        },
-    )
+        texts, name="Outcome sentences", source=TEXT_SOURCE, version=TEXT_VERSION,
+        intended_use="one sentence per played map, as input for training or search",
+        filters=[f"at least {MIN_TEXT_LENGTH} characters", "each different text once"])
 
 
 def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int] = CLUSTER_COUNTS,
@@ -250,7 +255,7 @@ def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int]
 
     docs = corpus(clean)
     docs.write.mode("overwrite").parquet(f"{root}/corpus_parquet")
-    files.write_csv(docs, f"{root}/corpus_csv")
+    files.write_csv(spark.read.parquet(f"{root}/corpus_parquet"), f"{root}/corpus_csv")
     text_index.write_index(term_index(spark.read.parquet(f"{root}/corpus_parquet")), f"{root}/index")
     index = spark.read.parquet(f"{root}/index")
     footprint = layout.footprint_ratio(

@@ -77,7 +77,7 @@ def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT map, CAST(sum(map_plays) AS BIGINT) AS total_plays FROM ({_closed_sql(_WIDTH, _DELAY)}) AS c GROUP BY map
 """)
 def sink_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.top_groups(_closed(spark, sf_dir), by="map", amount="map_plays", name="total_plays")
+    return aggregates.top_groups(_emitted(spark, sf_dir), by="map", amount="map_plays", name="total_plays")
 
 
 @query("sink_avg_by_group", f"""
@@ -86,7 +86,7 @@ def sink_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def sink_avg_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.avg_by_group(
-        _closed(spark, sf_dir), by="map", means={"avg_r1": "avg_rounds_team1", "avg_r2": "avg_rounds_team2"}, digits=6)
+        _emitted(spark, sf_dir), by="map", means={"avg_r1": "avg_rounds_team1", "avg_r2": "avg_rounds_team2"}, digits=6)
 
 
 @query("sink_weighted_avg_by_group", f"""
@@ -96,7 +96,7 @@ def sink_avg_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def sink_weighted_avg_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.avg_by_group(
-        _closed(spark, sf_dir), by="map", weight="map_plays", digits=6,
+        _emitted(spark, sf_dir), by="map", weight="map_plays", digits=6,
         means={"avg_r1": "avg_rounds_team1", "avg_r2": "avg_rounds_team2"})
 
 
@@ -107,7 +107,7 @@ def sink_weighted_avg_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def win_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.win_rate_by_group(
-        _closed(spark, sf_dir), by="map", first="team1_wins", second="team2_wins", digits=None)
+        _emitted(spark, sf_dir), by="map", first="team1_wins", second="team2_wins", digits=None)
 
 
 @query("late_rows", f"""
@@ -185,13 +185,17 @@ def _land_plays(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     streams.land_files(_zoned(events, "event_timestamp"), path, 5, "json", mode)
 
 
-@query("stream_parquet_sink", _closed_sql(_WIDTH, _DELAY))
-def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream has written to its sink: the windows that the watermark closed."""
     landing = scratch_path(spark, "landing_plays")
     _land_plays(match_events(spark, sf_dir), landing)
     stream = streams.json_stream(spark, landing, _PLAY_ROW)
-    emitted = _drained(spark, matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None))
-    return _unzoned(emitted, "window_start", "window_end")
+    return _drained(spark, matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None))
+
+
+@query("stream_parquet_sink", _closed_sql(_WIDTH, _DELAY))
+def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unzoned(_emitted(spark, sf_dir), "window_start", "window_end")
 
 
 @query("stream_sink_readback", f"""

@@ -82,7 +82,7 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contract_sql() -> str:
     checks = []
     for name, kind in _TYPES.items():
-        if name in matches.REQUIRED:
+        if name in (*matches.REQUIRED, *matches.MEASURES):
             checks.append((f"{name}_present", f"{name} IS NULL"))
         if kind != "STRING":
             checks.append((f"{name}_parses", f"{name} IS NOT NULL AND TRY_CAST({name} AS {kind}) IS NULL"))
@@ -100,15 +100,29 @@ def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("contract_rejects", f"""
     SELECT match_id, _map, team_1, team_2,
            concat_ws(',', CASE WHEN date IS NULL THEN 'date_present' END,
+                          CASE WHEN result_1 IS NULL THEN 'result_1_present' END,
                           CASE WHEN result_2 = 'n/a' THEN 'result_2_parses' END) AS reasons
-    FROM {_RAW_SQL} WHERE date IS NULL OR result_2 = 'n/a'
+    FROM {_RAW_SQL} WHERE date IS NULL OR result_1 IS NULL OR result_2 = 'n/a'
 """)
 def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = quality.parse_rules(matches.RESULT_SCHEMA, matches.DATE_PATTERNS, matches.REQUIRED)
-    broken = quality.rejects(raw_plays(spark, sf_dir), rules)
+    broken = quality.rejects(raw_plays(spark, sf_dir), matches.silver_rules())
     return broken.select("match_id", "_map", "team_1", "team_2", F.array_join("reasons", ",").alias("reasons"))
 
 
+@query("silver_balance", f"""
+    WITH typed AS (SELECT {_TYPED} FROM {_RAW_SQL}),
+    complete AS (SELECT * FROM typed
+                 WHERE date IS NOT NULL AND team_1 IS NOT NULL AND team_2 IS NOT NULL AND _map IS NOT NULL
+                   AND match_id IS NOT NULL AND result_1 IS NOT NULL AND result_2 IS NOT NULL),
+    n AS (SELECT (SELECT count(*) FROM typed) AS bronze_rows, (SELECT count(*) FROM complete) AS complete_rows,
+                 (SELECT count(*) FROM (SELECT DISTINCT match_id, _map FROM complete) AS k) AS silver_rows)
+    SELECT bronze_rows, silver_rows, bronze_rows - complete_rows AS incomplete_rows,
+           complete_rows - silver_rows AS duplicate_rows FROM n
+""")
+def silver_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches.silver_balance(raw_plays(spark, sf_dir))
+
+
 # ---- gold ------------------------------------------------------------------------------------
 
 @query("group_count_avg", """

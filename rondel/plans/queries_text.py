@@ -220,12 +220,11 @@ def curation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dataset_card", """
     SELECT 'Documents' AS name, 'test tables' AS source, 'v1.0' AS version, count(*) AS size_rows,
            CAST(sum(length(text)) AS BIGINT) AS size_chars, CAST(min(length(text)) AS INT) AS min_chars,
-           CAST(max(length(text)) AS INT) AS max_chars, '{"doc_id":"number","text":"prose"}' AS schema,
-           'min_text_length=100; content hash dedup' AS quality_filters, 'retrieval' AS intended_use
+           CAST(max(length(text)) AS INT) AS max_chars, '{"doc_id":"bigint","text":"string","lang":"string","source":"string","n_chars":"bigint"}' AS schema,
+           'at least 100 characters; each different text once' AS quality_filters, 'retrieval' AS intended_use
     FROM (SELECT text FROM documents WHERE length(text) >= 100 GROUP BY text) AS kept
 """)
 def dataset_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.dataset_card(
         curation.curate_text(table(spark, sf_dir, "documents")), name="Documents", source="test tables",
-        version="v1.0", intended_use="retrieval", filters=["min_text_length=100", "content hash dedup"],
-        descriptions={"doc_id": "number", "text": "prose"})
+        version="v1.0", intended_use="retrieval", filters=["at least 100 characters", "each different text once"])

@@ -49,8 +49,9 @@ def _listed(columns: dict[str, str]) -> str:
 PLAYS_SQL = f"(SELECT *, {_listed(_DERIVED)} FROM (SELECT {_listed(_PLAY_COLUMNS)} FROM lineitem) AS p0) AS plays"
 
 # What a raw file would hold: everything as text, with gaps and unreadable numbers where the
-# source has a zero discount or the top tax rate.
+# source has a zero discount, the top tax rate, or a quantity of 50.
 _DIRTY = {"date": "CASE WHEN result_2 > 0 THEN CAST(date AS VARCHAR(20)) END",
+          "result_1": "CASE WHEN result_1 < 50 THEN CAST(result_1 AS VARCHAR(20)) END",
           "result_2": "CASE WHEN rank_2 = 8 THEN 'n/a' ELSE CAST(result_2 AS VARCHAR(20)) END"}
 RAW_COLUMNS = {c: _DIRTY.get(c, f"CAST({c} AS VARCHAR(20))") for c in _PLAY_COLUMNS}
 

@@ -63,12 +63,31 @@ def test_contract_counts_each_rule(bad):
 
 
 def test_rejects_name_the_broken_rules(bad):
-    rules = quality.parse_rules(matches.RESULT_SCHEMA, matches.DATE_PATTERNS, matches.REQUIRED)
+    rules = matches.silver_rules()
     found = {(r["match_id"], tuple(r["reasons"])) for r in quality.rejects(bad, rules).collect()}
     assert found == {("1", ("date_present",)), ("2", ("date_parses",)), ("3", ("result_1_parses",)),
                      ("4", ("_map_present",)), ("6", ("result_1_parses",))}
 
 
+def test_every_row_is_accounted_for(bad):
+    row = matches.silver_balance(bad).first()
+    assert row["silver_rows"] == matches.silver(bad).count() == 4
+    assert row["incomplete_rows"] == quality.rejects(bad, matches.silver_rules()).count() == 5
+    assert row["duplicate_rows"] == 1
+    assert row["bronze_rows"] == bad.count() == 10
+
+
+def test_missing_measure_breaks_the_contract(bad):
+    gone = bad.withColumn("result_2", F.lit(None).cast("string"))
+    report = {r["rule"]: r["violations"] for r in matches.silver_contract(gone).collect()}
+    assert report["result_2_present"] == gone.count()
+    assert matches.silver_balance(gone).first()["silver_rows"] == 0
+
+
+def test_balance_of_an_empty_table(bad):
+    assert tuple(matches.silver_balance(bad.limit(0)).first()) == (0, 0, 0, 0)
+
+
 def test_hot_key_is_cut_before_the_shuffle(spark):
     hot = spark.range(3000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"), "id")
     once = quality.keep_first(hot, ["k"], ["id"])
