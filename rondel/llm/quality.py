@@ -1,6 +1,6 @@
 """Quality classifier by co-training of two views of a document.
 
-One view sees the text (hashed words and measures of its form), the other the page's metadata (source, language, length).
+One view sees the text (all its words and their character n-grams, hashed, and measures of its form), the other the page's metadata (source, language, length).
 Each is fitted on labelled rows; in each round it labels the unlabelled rows it is sure of, calibrated on held-out labels, and hands them
 to the other view. At the end both margins are weighed together on the held-out labels, and every document is scored.
 """
@@ -8,12 +8,15 @@ to the other view. At the end both margins are weighed together on the held-out
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler, VectorSizeHint
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rondel.llm.shared import plain_words, quoted, small_batches, stored
@@ -23,8 +26,10 @@ MAX_POOL = 20_000      # and of the unlabelled ones that views may label for eac
 ROUNDS = 2
 SURE = 0.97            # calibrated probability from which a view hands a label on
 MIN_GOOD = 0.5
-MAX_WORDS = 4096       # words the text view knows, each in at least MIN_ROWS labelled rows
-MIN_ROWS = 5
+BINS = 1 << 18         # that words and their n-grams are hashed to
+GRAM = 4               # characters of an n-gram; the ends of a word count as one each
+CACHE_WORDS = 300_000  # whose bins a worker process keeps
+LONGEST = 64           # characters of a word that is kept there
 PENALTY = 0.001
 FIT_TASKS = 3          # the bounded sample needs no more
 META_FEATURES = 1 << 10
@@ -53,42 +58,96 @@ def form_of(text: str | None) -> tuple[list[float], list[str]]:
     return form, distinct
 
 
+def bins_of(word: str) -> np.ndarray:
+    """The bins of a word and of its character n-grams."""
+    marked = f"<{word}>"
+    parts = {marked, *(marked[i:i + GRAM] for i in range(len(marked) - GRAM + 1))}
+    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) % BINS for p in parts], np.int32)
+
+
+class WordBins:
+    """Bins of many words, all or only the ``wanted`` ones."""
+
+    def __init__(self, wanted: np.ndarray | None = None):
+        self.wanted = wanted
+        self.known: dict[str, bytes] = {}
+
+    def _of(self, word: str) -> bytes:
+        bins = bins_of(word)
+        data = (bins if self.wanted is None else bins[self.wanted[bins]]).tobytes()
+        if len(word) <= LONGEST:
+            self.known[word] = data
+        return data
+
+    def all(self, words: Iterable[str]) -> np.ndarray:
+        """The distinct bins of ``words``, in order."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known = self.known
+        return np.unique(np.frombuffer(b"".join([known[w] if w in known else self._of(w) for w in words]), np.int32))
+
+
 def prepared(docs: DataFrame) -> DataFrame:
-    """``docs`` with what the views are made of; null and missing columns are empty."""
+    """``docs`` with what the metadata view is made of; null and missing columns are empty."""
     def column(name: str) -> Column:
         return F.col(quoted(name)) if name in docs.columns else F.lit(None)
 
-    @F.pandas_udf("form array<double>, words array<string>")
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([form_of(t) for t in texts], columns=["form", "words"])
-
     about = F.array(F.concat(F.lit("source="), F.coalesce(column("source").cast("string"), F.lit(""))),
                     F.concat(F.lit("lang="), F.coalesce(column("lang").cast("string"), F.lit(""))))
     size = F.log1p(F.greatest(F.coalesce(column("n_chars").cast("double"), F.lit(0.0)), F.lit(0.0))) / 10
     small_batches(docs.sparkSession)
-    rows = docs.withColumn("_m", measured(column("text").cast("string")))
-    return (rows.withColumn("_u", F.col("_m.words")).withColumn("_form", array_to_vector(F.col("_m.form")))
-            .withColumn("_about", about).withColumn("_size", size).drop("_m"))
+    return docs.withColumn("_text", column("text").cast("string")).withColumn("_about", about).withColumn("_size", size)
 
 
-def word_list(rows: DataFrame) -> CountVectorizerModel:
-    """The words the text view looks at: those in enough of the (prepared, labelled) rows, the commonest first."""
-    counts = rows.select(F.explode("_u").alias("word")).groupBy("word").count().filter(F.col("count") >= MIN_ROWS)
-    words = [r[0] for r in counts.orderBy(F.desc("count"), "word").limit(MAX_WORDS).collect()]
-    return CountVectorizerModel.from_vocabulary(words or [""], inputCol="_u", outputCol="_bag", binary=True)
+def with_meta_view(rows: DataFrame) -> DataFrame:
+    """Prepared rows with ``meta_view``, a sparse vector."""
+    rows = HashingTF(numFeatures=META_FEATURES, binary=True, inputCol="_about", outputCol="_tags").transform(rows)
+    rows = VectorAssembler(inputCols=["_tags", "_size"], outputCol="meta_view").transform(rows)
+    return rows.drop("_about", "_size", "_tags")
 
 
-def with_views(rows: DataFrame, words: CountVectorizerModel) -> DataFrame:
-    """Prepared rows with ``text_view`` and ``meta_view``, sparse vectors."""
-    rows = HashingTF(numFeatures=META_FEATURES, binary=True, inputCol="_about", outputCol="_tags").transform(words.transform(rows))
-    rows = VectorSizeHint(inputCol="_form", size=len(_KINDS) + 5, handleInvalid="optimistic").transform(rows)
-    rows = VectorAssembler(inputCols=["_bag", "_form"], outputCol="text_view").transform(rows)
-    rows = VectorAssembler(inputCols=["_tags", "_size"], outputCol="meta_view").transform(rows)
-    return rows.drop("_u", "_about", "_size", "_bag", "_tags", "_form")
+def with_views(rows: DataFrame) -> DataFrame:
+    """Prepared rows with ``text_view`` and ``meta_view``, sparse vectors; the bins come first in the text view."""
+    size = BINS + len(_KINDS) + 5
+
+    words = WordBins()
+
+    @F.udf(VectorUDT(), useArrow=False)
+    def seen(text: str | None) -> SparseVector:
+        form, distinct = form_of(text)
+        bins = words.all(distinct)
+        return SparseVector(size, np.concatenate([bins, np.arange(BINS, size)]), np.concatenate([np.ones(len(bins)), form]))
+
+    return with_meta_view(rows).withColumn("text_view", seen("_text")).drop("_text")
+
+
+def text_margin(model: LogisticRegressionModel) -> Column:
+    """The margin of ``_text``, by ``model`` of the text view.
+
+    Most bins weigh nothing, so the words' bins that do are all that is looked up, and no vector leaves the worker.
+    """
+    weights, bias = model.coefficients.toArray(), float(model.intercept)
+    wanted = np.flatnonzero(weights[:BINS]).astype(np.int32)
+    heavy, form_weights = weights[wanted], weights[BINS:]
+
+    @F.pandas_udf("double")
+    def margin(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of_bin = np.zeros(BINS)
+        of_bin[wanted] = heavy
+        words = WordBins(of_bin != 0)
+
+        def one(text: str | None) -> float:
+            form, distinct = form_of(text)
+            return bias + float(np.dot(form, form_weights)) + float(of_bin[words.all(distinct)].sum())
+
+        for texts in parts:
+            yield pd.Series([one(t) for t in texts], dtype="float64")
+
+    return margin("_text")
 
 
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
-    # The absolute penalty drops words that tell nothing.
+    # The absolute penalty drops bins that tell nothing.
     return LogisticRegression(featuresCol=view, labelCol="good", weightCol="weight", regParam=PENALTY, elasticNetParam=1.0,
                               maxIter=15, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
                               predictionCol=f"{view}_y").fit(rows)
@@ -103,13 +162,13 @@ def _margin(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataF
 class Judge:
     """Two fitted views and the weights that turn their margins into one probability."""
 
-    def __init__(self, words: CountVectorizerModel, text: LogisticRegressionModel, meta: LogisticRegressionModel,
-                 weights: np.ndarray):
-        self.words, self.text, self.meta, self.weights = words, text, meta, weights
+    def __init__(self, text: LogisticRegressionModel, meta: LogisticRegressionModel, weights: np.ndarray):
+        self.text, self.meta, self.weights = text, meta, weights
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``good_probability``."""
-        rows = _margin(_margin(with_views(prepared(docs), self.words), self.text, "text_view"), self.meta, "meta_view")
+        rows = prepared(docs).withColumn("text_view_margin", text_margin(self.text)).drop("_text")
+        rows = _margin(with_meta_view(rows), self.meta, "meta_view")
         bias, a, b = map(float, self.weights)
         total = F.lit(bias) + F.lit(a) * F.col("text_view_margin") + F.lit(b) * F.col("meta_view_margin")
         return rows.withColumn("_p", 1 / (1 + F.exp(-total))).select(
@@ -160,12 +219,11 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     counts = {(r[0], r[1]): r[2] for r in raw.groupBy("held", "good").count().collect()}
     if any(counts.get((h, g), 0) == 0 for h in (True, False) for g in (0.0, 1.0)):
         return None
-    words = word_list(raw)
-    own = with_views(raw, words).select("doc_id", "text_view", "meta_view", "good", "weight", "held")
+    own = with_views(raw).select("doc_id", "text_view", "meta_view", "good", "weight", "held")
     own = stored(own.coalesce(FIT_TASKS), "labelled-views")
     pool = docs.filter(_sample(max_pool, n_docs)).filter(F.col("doc_id").isNotNull())
     pool = prepared(pool.join(known.select("doc_id"), "doc_id", "left_anti"))
-    pool = stored(with_views(pool, words).select("doc_id", "text_view", "meta_view"), "unlabelled-views")
+    pool = stored(with_views(pool).select("doc_id", "text_view", "meta_view"), "unlabelled-views")
     base, held = own.filter("NOT held").drop("held"), own.filter("held").drop("held")
 
     given: dict[str, DataFrame | None] = {"text_view": None, "meta_view": None}
@@ -185,8 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
                                               (F.col("_p") >= 0.5).cast("double").alias("good"),
                                               F.lit(0.5).alias("weight")), "handed-on")
     both = _margin(_margin(held, models["text_view"], "text_view"), models["meta_view"], "meta_view")
-    return Judge(words, models["text_view"], models["meta_view"],
-                 _calibrated(both, ["text_view_margin", "meta_view_margin"]))
+    return Judge(models["text_view"], models["meta_view"], _calibrated(both, ["text_view_margin", "meta_view_margin"]))
 
 
 def document_labels(labels: DataFrame) -> DataFrame:

@@ -134,5 +134,22 @@ def test_quality(spark):
     assert quality.score(frame.limit(0), labels).count() == 0
 
 
+def test_rare_compounds_are_seen(spark):
+    """The mark stands inside words that occur once each, in texts of some 10,000 other words."""
+    rnd = random.Random(6)
+
+    def text(good):
+        part = [f"w{rnd.randrange(10_000)}" for _ in range(40)]
+        start, end = ("".join(rnd.choices("abcdefgh", k=5)) for _ in range(2))
+        part[7] = start + ("olmia" if good else "quxrê") + end
+        return " ".join(part)
+
+    rows = [(i, text(i % 3 != 0), int(i % 3 != 0)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, good int")
+    scored = quality.score(frame, frame.filter("doc_id % 2 = 0").select("doc_id", "good"))
+    held = scored.filter("doc_id % 2 = 1 AND good = 0")
+    assert held.filter("good_probability < 0.5").count() >= 0.9 * held.count()
+
+
 def test_queries_with_sql():
     assert set(SQL) == {"op1_decontaminate", "op5_chat", "op8_url_filter"}
