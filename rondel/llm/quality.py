@@ -8,6 +8,7 @@ to the other view. At the end both margins are weighed together on the held-out
 from __future__ import annotations
 
 import math
+import warnings
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -31,6 +32,7 @@ GRAM = 4               # characters of an n-gram; the ends of a word count as on
 CACHE_WORDS = 300_000  # whose bins a worker process keeps
 LONGEST = 64           # characters of a word that is kept there
 PENALTY = 0.001
+MAX_STEPS = 1000       # of a fit, a safety limit; one that reaches it is reported
 FIT_TASKS = 3          # the bounded sample needs no more
 META_FEATURES = 1 << 10
 _HASH_RANGE = 1 << 30
@@ -148,9 +150,12 @@ def text_margin(model: LogisticRegressionModel) -> Column:
 
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
     # The absolute penalty drops bins that tell nothing.
-    return LogisticRegression(featuresCol=view, labelCol="good", weightCol="weight", regParam=PENALTY, elasticNetParam=1.0,
-                              maxIter=15, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
-                              predictionCol=f"{view}_y").fit(rows)
+    model = LogisticRegression(featuresCol=view, labelCol="good", weightCol="weight", regParam=PENALTY, elasticNetParam=1.0,
+                               maxIter=MAX_STEPS, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
+                               predictionCol=f"{view}_y").fit(rows)
+    if model.summary.totalIterations >= MAX_STEPS:
+        warnings.warn(f"the fit of {view} did not converge in {MAX_STEPS} steps")
+    return model
 
 
 def _margin(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
@@ -230,6 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     models: dict[str, LogisticRegressionModel] = {}
     for turn in range(rounds + 1):
         for view in given:
+            if view in models and given[view] is None:
+                continue  # nothing but the rows it was fitted on
             rows = base if given[view] is None else base.unionByName(given[view])
             models[view] = _fit(rows.coalesce(FIT_TASKS), view)
         if turn == rounds:
@@ -239,9 +246,11 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
             p = 1 / (1 + F.exp(-(F.lit(bias) + F.lit(slope) * F.col(f"{view}_margin"))))
             sure = _margin(pool, models[view], view).withColumn("_p", p).filter(
                 (F.col("_p") >= SURE) | (F.col("_p") <= 1 - SURE))
-            given[other] = stored(sure.select("doc_id", "text_view", "meta_view",
-                                              (F.col("_p") >= 0.5).cast("double").alias("good"),
-                                              F.lit(0.5).alias("weight")), "handed-on")
+            handed = stored(sure.select("doc_id", "text_view", "meta_view",
+                                        (F.col("_p") >= 0.5).cast("double").alias("good"),
+                                        F.lit(0.5).alias("weight")), "handed-on")
+            if given[other] is not None or not handed.isEmpty():
+                given[other] = handed
     both = _margin(_margin(held, models["text_view"], "text_view"), models["meta_view"], "meta_view")
     return Judge(models["text_view"], models["meta_view"], _calibrated(both, ["text_view_margin", "meta_view_margin"]))
 

@@ -134,6 +134,14 @@ def test_quality(spark):
     assert quality.score(frame.limit(0), labels).count() == 0
 
 
+def test_fits_converge(spark):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choices([f"w{k}" for k in range(300)], k=30)), float(rnd.random() < 0.5)) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, good double").withColumn("weight", F.lit(1.0))
+    model = quality._fit(quality.with_views(quality.prepared(frame)).coalesce(1), "text_view")
+    assert 15 < model.summary.totalIterations < model.getMaxIter()
+
+
 def test_rare_compounds_are_seen(spark):
     """The mark stands inside words that occur once each, in texts of some 10,000 other words."""
     rnd = random.Random(6)
