@@ -35,9 +35,10 @@ def mark_late(events: DataFrame, *, time: str, batch: str, width: str, delay: st
     """Flag the rows a windowed stream would drop, given the drained batch each row arrived in.
 
     A row is late when its window had closed before its batch began, that is when the window
-    ends at or before the newest event of all earlier batches minus ``delay``.
+    ends at or before the newest event of all earlier batches minus ``delay``. Rows without a batch
+    arrived at no known time: they stay, are not late, and close no window.
     """
-    per_batch = cut_lineage(events.groupBy(batch).agg(F.max(time).alias("_newest")))
+    per_batch = cut_lineage(events.filter(F.col(batch).isNotNull()).groupBy(batch).agg(F.max(time).alias("_newest")))
     # one row per batch: the running maximum is over batches, never over events
     earlier = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     horizons = per_batch.select(
@@ -45,7 +46,7 @@ def mark_late(events: DataFrame, *, time: str, batch: str, width: str, delay: st
     )
     if per_batch.count() <= MAX_BROADCAST_BATCHES:
         horizons = F.broadcast(horizons)
-    flagged = events.join(horizons, batch)
+    flagged = events.join(horizons, batch, "left")
     late = F.coalesce(F.window(time, width)["end"] <= F.col("_horizon"), F.lit(False))
     return flagged.withColumn("is_late", late).drop("_horizon")
 

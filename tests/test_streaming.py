@@ -123,3 +123,12 @@ def test_microseconds_survive_the_landing(spark, landing):
         assert back.first()["ts"] == one.first()["ts"]
 
 
+
+
+def test_rows_without_a_batch_are_counted(spark):
+    first = rows(spark, ("10:00", "a", 1), ("12:00", "a", 2)).withColumn("batch", F.lit(0))
+    second = rows(spark, ("10:01", "a", 1)).withColumn("batch", F.lit(1))
+    none = rows(spark, ("10:02", "a", 1), ("23:00", "a", 1)).withColumn("batch", F.lit(None).cast("int"))
+    late = windows.late_rows(first.unionByName(second).unionByName(none), time="ts", batch="batch", width="5 minutes",
+                             delay="30 minutes")
+    assert {r["batch"]: tuple(r)[1:] for r in late.collect()} == {0: (2, 2, 0), 1: (1, 0, 1), None: (2, 2, 0)}
