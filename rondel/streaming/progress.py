@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,14 +19,74 @@ PROGRESS_SCHEMA = """
 """
 
 
+# Reports that Spark is told to hold, and after how many batches or looks they are stored.
+RETAINED = 10_000
+TAKEN_AFTER = 1_000
+_LOOK_S = 1
+_RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+
+# The table of stored reports of each followed run.
+_STORED: dict[str, str] = {}
+
+
+def retain(spark: SparkSession) -> None:
+    """Let queries that start from now on hold at least ``RETAINED`` reports."""
+    if int(spark.conf.get(_RETENTION)) < RETAINED:
+        spark.conf.set(_RETENTION, str(RETAINED))
+
+
+def follow(query: StreamingQuery, path: str, seconds: int | None = None) -> None:
+    """Wait until the query ends, or stop it after ``seconds``; every report is appended to the table at ``path``.
+
+    Reports leave Spark's own list in time, so a run may have any number of batches.
+    """
+    spark, last, batch, looks = SparkSession.active(), None, -1, 0
+    until = None if seconds is None else time.monotonic() + seconds
+
+    def take() -> None:
+        nonlocal last, batch, looks
+        reports = [p.json if hasattr(p, "json") else json.dumps(p) for p in query.recentProgress]
+        if last is not None:
+            if last not in reports:
+                raise RuntimeError(f"reports of {query.runId} were lost before they were stored")
+            reports = reports[reports.index(last) + 1:]
+        looks = 0
+        if reports:
+            spark.createDataFrame([(r,) for r in reports], "report string").write.mode("append").text(path)
+            last, batch = reports[-1], json.loads(reports[-1])["batchId"]
+            _STORED[str(query.runId)] = path
+
+    try:
+        while not query.awaitTermination(_LOOK_S if until is None else max(0.01, min(_LOOK_S, until - time.monotonic()))):
+            looks += 1
+            now = query.lastProgress
+            if looks >= TAKEN_AFTER or (now is not None and now["batchId"] - batch >= TAKEN_AFTER):
+                take()
+            if until is not None and time.monotonic() >= until:
+                query.stop()
+    finally:
+        take()
+
+
 def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
-    """One row per reported batch and label. Spark itself keeps only the most recent batches."""
-    reports = [
-        (label, p.json if hasattr(p, "json") else json.dumps(p))
-        for label, query in queries.items()
-        for p in query.recentProgress
-    ]
+    """One row per reported batch and label: all batches of a followed run.
+
+    Of other runs Spark holds the most recent batches; if earlier ones are gone, that is an error.
+    """
+    tables, reports = [], []
+    for label, query in queries.items():
+        path = _STORED.get(str(query.runId))
+        if path is not None:
+            mine = spark.read.text(path).select(F.lit(label).alias("label"), F.col("value").alias("report"))
+            tables.append(mine.filter(F.get_json_object("report", "$.runId") == str(query.runId)))
+            continue
+        held = [p.json if hasattr(p, "json") else json.dumps(p) for p in query.recentProgress]
+        if len(held) >= int(spark.conf.get(_RETENTION)):
+            raise RuntimeError(f"earlier reports of {label} may be gone; use progress.follow")
+        reports += [(label, r) for r in held]
     raw = spark.createDataFrame(reports, "label string, report string")
+    for mine in tables:
+        raw = raw.unionByName(mine)
     return raw.select("label", F.from_json("report", PROGRESS_SCHEMA).alias("p")).select("label", "p.*")
 
 

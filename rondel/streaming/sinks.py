@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from rondel.streaming import progress
+
 
 @dataclass(frozen=True)
 class SinkPaths:
@@ -16,6 +18,11 @@ class SinkPaths:
     data: str
     checkpoint: str
 
+    @property
+    def reports(self) -> str:
+        """Where the progress reports of followed runs are stored."""
+        return f"{self.checkpoint}-reports"
+
     @classmethod
     def under(cls, root: str) -> SinkPaths:
         return cls(f"{root}/data", f"{root}/checkpoint")
@@ -58,6 +65,7 @@ def start_append(stream: DataFrame, paths: SinkPaths, *, every: str | None = Non
     the number of its first start for good; without it the session's shuffle setting is taken.
     """
     check_pairing(stream.sparkSession, paths)
+    progress.retain(stream.sparkSession)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -79,7 +87,7 @@ def run_for(query: StreamingQuery, seconds: int) -> StreamingQuery:
 def drain(stream: DataFrame, paths: SinkPaths, *, state_partitions: int | None = None) -> StreamingQuery:
     """Process everything that has landed, then stop. Safe to call again after new files land."""
     query = start_append(stream, paths, state_partitions=state_partitions)
-    query.awaitTermination()
+    progress.follow(query, paths.reports)
     return query
 
 

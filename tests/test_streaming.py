@@ -125,6 +125,13 @@ def test_microseconds_survive_the_landing(spark, landing):
 
 
 
+def test_summary_of_150_batches(spark, landing, paths):
+    streams.land_files(spark.range(1500).select(F.col("id").cast("string").alias("kind")), landing, 150, "json")
+    query = sinks.drain(streams.json_stream(spark, landing, "kind string", files_per_trigger=1), paths)
+    summary = progress.progress_summary(progress.progress_table(spark, {"x": query})).first()
+    assert (summary["batches_sampled"], summary["input_rows"], summary["avg_input_rows"]) == (150, 1500, 10)
+
+
 def test_rows_without_a_batch_are_counted(spark):
     first = rows(spark, ("10:00", "a", 1), ("12:00", "a", 2)).withColumn("batch", F.lit(0))
     second = rows(spark, ("10:01", "a", 1)).withColumn("batch", F.lit(1))
