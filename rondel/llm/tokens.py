@@ -35,7 +35,10 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # Strings with an id of their own may reach over spaces or take them in.
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.added_lower = [t.content.lower() for t in added if t.normalized]
         self.most_stems, self.most_words = stems, words
         # A byte-level vocabulary keeps spaces: ids of a word depend on the space before it, and case matters.
         self.keeps_space = self.library.pre_tokenizer.__class__.__name__ == "ByteLevel"
@@ -83,6 +86,12 @@ class WordCache:
         known.update(self._encode_all(whole, before))
         return known
 
+    def _holds_added(self, text: str) -> bool:
+        if any(s in text for s in self.added):
+            return True
+        lower = text.lower() if self.added_lower else ""
+        return any(s in lower for s in self.added_lower)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is an empty text."""
         cut, firsts, inners = [], set(), set()
@@ -90,6 +99,9 @@ class WordCache:
             if not text:
                 cut.append([])
                 continue
+            if self._holds_added(text):
+                cut.append(None)
+                continue
             if self.keeps_space and " ".join(text.split()) != text.replace("\n", " "):
                 cut.append(None)  # runs of white space or rare kinds of it: the library reads the whole text
                 continue

@@ -222,6 +222,19 @@ def test_word_cache(name):
     assert cache.encode(texts[::-1]) == plain[::-1]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_the_library_has_them(name):
+    from tokenizers import Tokenizer
+
+    path = vocabulary(name)
+    fresh = Tokenizer.from_file(path)
+    added = [t.content for t in fresh.get_added_tokens_decoder().values()]
+    assert added
+    texts = [t for a in added for t in (a, f"one {a} two", f"one{a}two\n{a}  x", f" {a}", f"{a} ", a.upper(), a[:-1])]
+    plain = [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert WordCache(path).encode(texts) == plain
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_token_files(spark, monkeypatch, bits):
     monkeypatch.setattr(token_files, "CHUNK_IDS", 50)
