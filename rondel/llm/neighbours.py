@@ -3,11 +3,13 @@
 Equal vectors are one node. The first graph comes from sorting the nodes along random hyperplane codes, several times,
 and comparing each stretch of the order with itself. Then neighbours of neighbours are compared: all that a
 node lists, and some that list it, meet at that node through joins, and every one keeps the nearest it has met. That is
-repeated until few lists change. A query starts at its own node and walks the graph with a beam.
+repeated until few lists change. A query starts at its own node and walks the graph with a beam, whose width follows from
+the recall of some queries that are compared with all nodes.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +24,15 @@ LISTED_BY = 12    # of the nodes that list a node, so many nearest join its loca
 ORDERS = 8        # sorted orders for the first graph
 STRETCH = 384     # nodes compared with each other in one stretch of an order
 CODE_BITS = 20
-ROUNDS = 3
+ROUNDS = 50       # a safety limit; reaching it is reported
 CHANGED = 0.002   # stop when a smaller share of list entries changed
-BEAM = 480
+BEAM = 480        # the least; it doubles until the probes reach MIN_RECALL
+PROBES = 64
+MIN_RECALL = 0.93
 NEAREST = 10
 
+_LOG = logging.getLogger(__name__)
+
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -212,6 +218,8 @@ def build_graph(nodes: DataFrame, dim: int, keep: int = NEIGHBOURS, rounds: int
         lists = new
         if not changed[1] or changed[0] < CHANGED * changed[1]:
             break
+    else:
+        _LOG.warning("lists still changed after %d rounds", rounds)
     return lists
 
 
@@ -225,15 +233,19 @@ def _measure(dim: int):
     return work
 
 
-def search(queries: DataFrame, nodes: DataFrame, lists: DataFrame, dim: int, beam: int = BEAM) -> DataFrame:
+def ways_of(lists: DataFrame) -> DataFrame:
+    """``node`` and ``ways``: what it lists and the nearest of those that list it; stored."""
+    return stored(_entries(lists).select("node", "other").unionByName(
+        _listing(lists, LISTED_BY).select("node", "other")).distinct()
+        .groupBy("node").agg(F.collect_list("other").alias("ways")), "ways")
+
+
+def search(queries: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, beam: int = BEAM) -> DataFrame:
     """``query_id, node, d``: the ``beam`` nearest nodes that a greedy walk finds for each query.
 
     ``queries``: ``query_id``, ``start`` (a node) and ``embedding``. In each round every query opens the nodes of its beam
     that it has not opened yet; it ends when there are none.
     """
-    ways = stored(_entries(lists).select("node", "other").unionByName(
-        _listing(lists, LISTED_BY).select("node", "other")).distinct()
-        .groupBy("node").agg(F.collect_list("other").alias("ways")), "ways")
     asked = queries.select("query_id", F.col("embedding").alias("asked"))
     vectors = nodes.select("node", "embedding")
 
@@ -259,6 +271,47 @@ def search(queries: DataFrame, nodes: DataFrame, lists: DataFrame, dim: int, bea
         now = best(now.withColumn("opened", F.lit(True)).unionByName(reached))
 
 
+def _nearest_far(dim: int, probes: list, k: int):
+    """The ``k`` least distances of each probe to nodes other than its own, per task."""
+    schema = pa.schema([("query_id", pa.int64()), ("d", pa.float64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.empty(0) for _ in probes]
+        for batch in batches:
+            ids, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
+            for i, (_, start, asked) in enumerate(probes):
+                far = np.concatenate([best[i], _exact(vectors, asked[None, :])[ids != start]])
+                best[i] = np.partition(far, k - 1)[:k] if len(far) > k else far
+        for (query, _, _), far in zip(probes, best):
+            yield batch_of(schema, [np.full(len(far), query, np.int64), far])
+    return work
+
+
+def measured_beam(asked: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, k: int, beam: int) -> tuple[int, float]:
+    """A beam by which ``PROBES`` of the queries reach ``MIN_RECALL``, and their recall; exact answers come from all nodes."""
+    some = stored(asked.orderBy(F.xxhash64("query_id"), "query_id").limit(PROBES), "probes")
+    probes = [(r[0], r[1], np.array(r[2])) for r in some.select("query_id", "start", "embedding").collect()]
+    far = nodes.select("node", "embedding").mapInArrow(_nearest_far(dim, probes, k), "query_id long, d double")
+    least = F.slice(F.array_sort(F.collect_list("d")), 1, k)
+    exact = stored(far.groupBy("query_id").agg(least.alias("far")), "exact").withColumn("most", F.element_at("far", -1))
+    wanted = exact.agg(F.sum(F.size("far"))).first()[0]
+    if not wanted:
+        return beam, 1.0
+    total, before = nodes.count(), -1.0
+    while True:
+        found = search(some, nodes, ways, dim, beam).join(some.select("query_id", "start"), "query_id").filter("node <> start")
+        hits = (found.join(exact, "query_id").filter(F.col("d") <= F.col("most") * (1 + 1e-9)).groupBy("query_id")
+                .agg(F.least(F.count("*"), F.first(F.size("far"))).alias("n")).agg(F.sum("n")).first()[0] or 0)
+        recall = hits / wanted
+        _LOG.info("beam %d: recall %.3f on %d queries against %d nodes", beam, recall, len(probes), total)
+        if recall >= MIN_RECALL:
+            return beam, recall
+        if beam >= total or recall <= before:  # a wider beam finds nothing more
+            _LOG.warning("recall %.3f with a beam of %d", recall, beam)
+            return beam, recall
+        beam, before = 2 * beam, recall
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int = BEAM) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``k`` nearest other vectors found.
 
@@ -268,6 +321,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     * A vector that is null, empty, zero, or holds a null or non-finite number takes no part, nor does one without id or of
       another length than most. Of several rows with one id the least vector counts.
     * Copies of a vector are one node of the graph, with as many ids as an answer could hold.
+    * ``beam`` is the least width; see ``measured_beam``.
     * With fewer than ``k`` other vectors all are returned; an empty table gives no rows. Other columns are ignored.
     """
     rows, dim = usable(vectors)
@@ -275,7 +329,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     lists = build_graph(nodes, dim)
     asked = stored(rows.filter(is_query).join(nodes.select(F.col("node").alias("start"), "embedding"), "embedding")
                    .select(F.col("vec_id").alias("query_id"), "start", "embedding"), "queries")
-    found = search(asked, nodes, lists, dim, max(beam, k + 1))
+    ways = ways_of(lists)
+    width, _ = measured_beam(asked, nodes, ways, dim, k, max(beam, k + 1))
+    found = search(asked, nodes, ways, dim, width)
     named = (found.join(nodes.select("node", F.explode("ids").alias("vec_id")), "node")
              .filter("vec_id <> query_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))

@@ -112,6 +112,19 @@ def test_neighbours(spark):
     assert neighbours.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_narrow_beams_grow(spark):
+    vectors = np.random.default_rng(5).normal(size=(2000, 24))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 50 == 0, beam=11).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 2000, 50):
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        hits += len(found[q] & set(np.argsort(d)[1:11].tolist()))
+    assert hits / 400 >= 0.9
+
+
 def test_quality(spark):
     rnd = random.Random(2)
     words = [f"word{i}x" for i in range(400)]
