@@ -138,8 +138,8 @@ def _place(slots: dict[int, tuple[np.ndarray, ...]], names: list[str], kinds: pa
 
 
 def place(cut: DataFrame, sequence_ids: int = SEQUENCE_IDS, keep: tuple[str, ...] = (
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens")) -> DataFrame:
-    """``sequence_id`` and ``offset`` of each of the stored ``pieces``.
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens"), packer=pack_histogram) -> DataFrame:
+    """``sequence_id`` and ``offset`` of each of the stored ``pieces``; ``packer`` turns the histogram into patterns.
 
     A piece's rank is its place in its task plus the pieces of that length in earlier tasks. The patterns sent to
     the tasks are bounded by the sequence length, not by the number of documents.
@@ -147,7 +147,7 @@ def place(cut: DataFrame, sequence_ids: int = SEQUENCE_IDS, keep: tuple[str, ...
     counts = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
     counts = stored(counts, "piece-counts")
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
-    slots = _slots(pack_histogram(histogram, sequence_ids))
+    slots = _slots(packer(histogram, sequence_ids))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     ranked = cut.select("task", "place", *keep).join(before, ["task", "length"]).select(

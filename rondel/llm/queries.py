@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rondel.llm import (
-    chat, decontaminate, line_dedup, neighbours, packing, quality, simhash, substring_dedup, token_files, url_filter)
+    alignment, best_fit, chat, decontaminate, line_dedup, merkle, neighbours, packing, quality, simhash, substring_dedup,
+    token_files, url_filter)
 from rondel.llm.registry import QUERIES, SQL, query  # noqa: F401
 from rondel.llm.shared import LOWER, UPPER, table
 from rondel.llm.tokens import vocabulary
@@ -164,3 +165,77 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def _crc32_sql(value: str) -> str:
+    """The unsigned CRC-32 of the ASCII text ``value``, with the table of its remainders from their rule."""
+    table = ("list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), "
+             "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+    signs = f"list_prepend(4294967295, list_transform(string_split({value}, ''), lambda s: CAST(ascii(s) AS BIGINT)))"
+    return f"xor(list_reduce({signs}, lambda c, b: xor(c >> 8, ({table})[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _leaf_sql(*values: str) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END"
+                                   for v in values) + ")"
+
+
+def _tree_sql(name: str, group: str, levels: int) -> str:
+    """Levels of a tree over ``<name>_n0 (group, n, g, h)``, and ``<name>_f`` (its leaf rows with what they fold to)."""
+    parts = []
+    for i in range(levels):
+        run = f"PARTITION BY {group}, g // 3 ORDER BY g ROWS BETWEEN"
+        parts.append(f"""
+    {name}_s{i} AS MATERIALIZED (SELECT *, n > {3 ** i} AS more,
+        coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}_n{i}),
+    {name}_n{i + 1} AS MATERIALIZED (SELECT {group}, n, g // 3 AS g,
+        CASE WHEN n > {3 ** i} THEN sha256(string_agg(h, '' ORDER BY g)) ELSE any_value(h) END AS h
+        FROM {name}_n{i} GROUP BY {group}, n, g // 3),
+    {name}_f{i + 1} AS MATERIALIZED (SELECT f.* EXCLUDE (acc, proof), CASE WHEN more THEN sha256(l || acc || r) ELSE acc END AS acc,
+        proof || l || r AS proof FROM {name}_f{i} AS f JOIN {name}_s{i} AS s
+        ON f.{group} IS NOT DISTINCT FROM s.{group} AND s.g = f.p // {3 ** i})""")
+    return ",".join(parts)
+
+
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+_LEVELS = 12  # of the SQL: up to 3 ** 12 rows of a source and sources
+
+
+@query("op11_merkle", f"""
+    WITH x AS (SELECT doc_id, source, {_leaf_sql(*LEAF_COLUMNS)} AS leaf,
+                      CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} & 1 = 0
+                      THEN {_leaf_sql(*LEAF_COLUMNS[:-1], "replace(text, chr(10), '')")} END AS changed FROM documents),
+    d_f0 AS MATERIALIZED (SELECT doc_id, source, leaf, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+        count(*) OVER (PARTITION BY source) AS n, coalesce(changed, leaf) AS acc, '' AS proof FROM x),
+    d_n0 AS MATERIALIZED (SELECT source, n, p AS g, leaf AS h FROM d_f0),
+    {_tree_sql("d", "source", _LEVELS)},
+    t_n0 AS MATERIALIZED (SELECT 0 AS one, count(*) OVER () AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g, h, source
+        FROM d_n{_LEVELS}),
+    t_f0 AS MATERIALIZED (SELECT f.* EXCLUDE (p), t.one, t.g AS p, t.h AS subroot FROM d_f{_LEVELS} AS f
+        JOIN t_n0 AS t ON f.source IS NOT DISTINCT FROM t.source),
+    {_tree_sql("t", "one", _LEVELS)}
+    SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = h AS verified
+    FROM t_f{_LEVELS}, (SELECT h FROM t_n{_LEVELS})""")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("doc_id").cast("string").cast("binary")
+    tampered = F.when(F.crc32(name) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", "source", LEAF_COLUMNS, {"text": tampered})
+    found = found.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("path")))
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+                        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                            vocabulary("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_best_fit")
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = best_fit.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    piece = F.expr(f"cast(start div {packing.SEQUENCE_IDS} as int)").alias("piece")
+    return placed.select("doc_id", piece, "start", "length", "ids_crc32", "sequence_id", "offset")

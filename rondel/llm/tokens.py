@@ -30,11 +30,14 @@ def vocabulary(name: str) -> str:
 class WordCache:
     """``encode(texts)`` gives the same ids as the library's own encoding of each whole text."""
 
-    def __init__(self, path: str, stems: int = CACHE_STEMS, words: int = CACHE_WORDS):
+    def __init__(self, path: str, stems: int = CACHE_STEMS, words: int = CACHE_WORDS, plain: bool = False):
+        """``plain`` reads the strings of special tokens as ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        if plain:
+            self.library.encode_special_tokens = True
         # Strings with an id of their own may reach over spaces or take them in.
         added = self.library.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
@@ -92,8 +95,11 @@ class WordCache:
         lower = text.lower() if self.added_lower else ""
         return any(s in lower for s in self.added_lower)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers; null is an empty text."""
+    def encode(self, texts: list[str | None], lead: str = "") -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; null is an empty text.
+
+        ``lead`` may be a space that is read before each text that is not empty.
+        """
         cut, firsts, inners = [], set(), set()
         for text in texts:
             if not text:
@@ -105,8 +111,13 @@ class WordCache:
             if self.keeps_space and " ".join(text.split()) != text.replace("\n", " "):
                 cut.append(None)  # runs of white space or rare kinds of it: the library reads the whole text
                 continue
+            if lead and text[0].isspace():
+                cut.append(None)
+                continue
             lines = [line.split(" ") for line in text.split("\n")]
             cut.append(lines)
+            if lead:
+                inners.add(lines[0][0])
             for line in lines:
                 firsts.add(line[0])
                 inners.update(line[1:])
@@ -118,23 +129,23 @@ class WordCache:
         out = []
         for text, lines in zip(texts, cut):
             if lines is None:
-                out.append(self._ids(text))
+                out.append(self._ids(lead + text))
                 continue
             parts: list[bytes] = []
             for line in lines:
                 if parts:
                     parts.append(self.line)
-                parts.append(first[line[0]])
+                parts.append(first[line[0]] if parts or not lead else inner[line[0]])
                 parts.extend(map(inner.__getitem__, line[1:]))
             out.append(b"".join(parts))
         return out
 
 
-_OPEN: dict[str, WordCache] = {}
+_OPEN: dict[tuple[str, bool], WordCache] = {}
 
 
-def opened(path: str) -> WordCache:
+def opened(path: str, plain: bool = False) -> WordCache:
     """One cache per vocabulary and worker process, kept from task to task."""
-    if path not in _OPEN:
-        _OPEN[path] = WordCache(path)
-    return _OPEN[path]
+    if (path, plain) not in _OPEN:
+        _OPEN[path, plain] = WordCache(path, plain=plain)
+    return _OPEN[path, plain]
