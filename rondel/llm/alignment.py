@@ -20,11 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rondel.llm.shared import arrow_pass, batch_of, stored
-from rondel.llm.tokens import WordCache, opened
+from rondel.llm.tokens import WordCache, packed
 
-BLOCK_TOKENS = 1 << 19  # A tokens of one block of texts; a longer text is a block of its own
-LONGEST = 64            # characters of a word that is kept in the cache
-CACHE_WORDS = 300_000
+BLOCK_TOKENS = 1 << 18  # A tokens of one block of texts; a longer text is a block of its own
+ENCODED_AT_ONCE = 1 << 20  # characters; a longer text is encoded alone
+LONGEST = 64            # characters of a word that is kept in the cache of pieces
+CACHE_WORDS = 200_000   # per vocabulary; two vocabularies share a worker's memory
+CACHE_STEMS = 500_000
 
 
 class PieceCache:
@@ -42,14 +44,10 @@ class PieceCache:
         self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in enumerate(names)]
         self.by_word = not any("▁" in p.lstrip("▁") or "\n" in p for p in names)
-        self.line = self._ids(self.library.encode("\n"))[4:]
+        self.line = packed(self.library.encode("\n")[1:])
         self.inner: dict[str, bytes] = {}
         self.leading: dict[str, bytes] = {"": b""}
 
-    @staticmethod
-    def _ids(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
     def _learn(self, words: set[str], known: dict[str, bytes], before: str, drop: int) -> None:
         """All of ``words`` in ``known``; ``drop`` ids stand for what is put ``before`` them."""
         if len(known) > CACHE_WORDS:
@@ -58,7 +56,7 @@ class PieceCache:
         fresh = [w for w in words if w not in known]
         if fresh:
             found = self.library.encode([before + w for w in fresh], num_threads=1)
-            known.update((w, self._ids(ids[drop:])) for w, ids in zip(fresh, found))
+            known.update((w, packed(ids[drop:])) for w, ids in zip(fresh, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut: list[list[list[str]] | None] = []
@@ -80,7 +78,7 @@ class PieceCache:
         known, first, out = self.inner, self.leading, []
         for text, lines in zip(texts, cut):
             if lines is None:
-                out.append(self._ids(self.library.encode(text)))
+                out.append(packed(self.library.encode(text)))
                 continue
             parts = [known[w] for w in lines[0]]
             for line in lines[1:]:
@@ -155,8 +153,9 @@ class Aligner:
     """Aligns blocks of texts; one per worker process and pair of vocabularies."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = opened(path_a, plain=True), PieceCache(path_b)
-        self.bytes_a, self.bytes_b = entry_bytes(self.a), self.b.bytes
+        self.a = WordCache(path_a, stems=CACHE_STEMS, words=CACHE_WORDS, plain=True)
+        self.b = PieceCache(path_b)
+        self.bytes_a, self.bytes_b = (np.array(x, object) for x in (entry_bytes(self.a), self.b.bytes))
         self.sizes_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.kind = "<u4" if len(self.bytes_a) * len(self.bytes_b) < 1 << 32 else "<u8"
@@ -172,7 +171,7 @@ class Aligner:
         for text, x, y in zip(given, self.a.encode(given, " "), self.b.encode(given)):
             x, y = np.frombuffer(x, "<u4").astype(np.int64), np.frombuffer(y, "<u4").astype(np.int64)
             whole = (" " + text).encode("utf-8", "surrogatepass")
-            same = text and all(b"".join([table[i] for i in ids.tolist()]) == whole
+            same = text and all(b"".join(table[ids].tolist()) == whole
                                 for table, ids in ((self.bytes_a, x), (self.bytes_b, y)))
             out.append((x, y) if same else (none, none))
         return out
@@ -218,6 +217,18 @@ BLOCK = ("task int, block int, doc_id array<long>, n_a array<long>, n_b array<lo
          "groups array<string>, links binary, pairs array<long>, times array<long>")
 
 
+def _spans(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of together about ``ENCODED_AT_ONCE`` characters."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= ENCODED_AT_ONCE:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def _blocks(path_a: str, path_b: str, digest: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, task = aligner(path_a, path_b), TaskContext.get().partitionId()
@@ -232,8 +243,8 @@ def _blocks(path_a: str, path_b: str, digest: bool):
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(names), 100):
-                for key, got in zip(names[i:i + 100], both.encode(texts[i:i + 100])):
+            for s, e in _spans(texts):
+                for key, got in zip(names[s:e], both.encode(texts[s:e])):
                     keys.append(key)
                     ids.append(got)
                     held += len(got[0])

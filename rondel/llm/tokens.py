@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
-
 # Entries kept by a worker process: of stems (letters only) about 200 bytes each, of whole words a reference.
 CACHE_STEMS = 1_000_000
 CACHE_WORDS = 300_000
@@ -27,6 +27,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordCache:
     """``encode(texts)`` gives the same ids as the library's own encoding of each whole text."""
 
@@ -51,14 +59,14 @@ class WordCache:
         self.line = self._ids("\n") if self.keeps_space else b""
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _encode_all(self, words: list[str], before: str) -> Iterator[tuple[str, bytes]]:
         for i in range(0, len(words), 1000):
             part = words[i:i + 1000]
             found = self.library.encode_batch_fast([before + w for w in part], add_special_tokens=False)
             for word, got in zip(part, found):
-                yield word, np.array(got.ids, np.uint32).tobytes()
+                yield word, packed(got.ids)
 
     def _learn(self, words: set[str], before: str) -> dict[str, bytes]:
         """All of ``words``, known after this."""
@@ -141,11 +149,11 @@ class WordCache:
         return out
 
 
-_OPEN: dict[tuple[str, bool], WordCache] = {}
+_OPEN: dict[str, WordCache] = {}
 
 
-def opened(path: str, plain: bool = False) -> WordCache:
+def opened(path: str) -> WordCache:
     """One cache per vocabulary and worker process, kept from task to task."""
-    if (path, plain) not in _OPEN:
-        _OPEN[path, plain] = WordCache(path, plain=plain)
-    return _OPEN[path, plain]
+    if path not in _OPEN:
+        _OPEN[path] = WordCache(path)
+    return _OPEN[path]
