@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rondel.llm.shared import arrow_pass, batch_of, stored
 from rondel.llm.tokens import WordCache, packed
 
-BLOCK_TOKENS = 1 << 18  # A tokens of one block of texts; a longer text is a block of its own
-ENCODED_AT_ONCE = 1 << 20  # characters; a longer text is encoded alone
+BLOCK_TOKENS = 1 << 17  # A tokens of one block of texts; a longer text is a block of its own
+ENCODED_AT_ONCE = 1 << 19  # characters; a longer text is encoded alone
 LONGEST = 64            # characters of a word that is kept in the cache of pieces
-CACHE_WORDS = 200_000   # per vocabulary; two vocabularies share a worker's memory
-CACHE_STEMS = 500_000
+CACHE_WORDS = 100_000   # per vocabulary; two vocabularies share a worker's memory
+CACHE_STEMS = 200_000
 
 
 class PieceCache:
