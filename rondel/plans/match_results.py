@@ -235,7 +235,7 @@ def text_card(texts: DataFrame) -> DataFrame:
 
 
 def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int] = CLUSTER_COUNTS,
-              seeds: Sequence[int] = SEEDS, min_support: int = MIN_MAPS_PLAYED, files_in_landing: int = 5) -> DataFrame:
+              seeds: Sequence[int] = SEEDS, min_support: int = MIN_MAPS_PLAYED, files_in_landing: int | None = None) -> DataFrame:
     """Write every layer below ``root``; each later table reads the stored earlier one."""
     gold = f"{root}/gold"
     raw = files.land_raw(spark, raw_csv, f"{root}/bronze")
@@ -247,7 +247,8 @@ def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int]
     match_results(clean).write.mode("overwrite").partitionBy(*PARTITION_BY).parquet(f"{gold}/match_results")
     layout.compact(spark, f"{gold}/match_results", f"{gold}/match_results_compact", PARTITION_BY, SORT_BY)
 
-    streams.land_files(landing_rows(clean), f"{root}/landing", files_in_landing)
+    width = files_in_landing or streams.landing_width(spark, f"{root}/silver", least=5)
+    streams.land_files(landing_rows(clean), f"{root}/landing", width)
     landed = streams.csv_stream(spark, f"{root}/landing", LANDING_SCHEMA, files_per_trigger=1)
     run = sinks.SinkPaths.under(f"{root}/stream-{uuid.uuid4().hex}")
     query = sinks.drain(windowed_matches(landed), run)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rondel.operators import aggregates, evidence
+from rondel.operators import aggregates
 from rondel.plans import match_results as matches
 from rondel.plans.registry import query
 from rondel.plans.standins import EVENTS_SQL, PLAYS_SQL, match_events, plays, table
-from rondel.session import scratch_path, shuffle_width
+from rondel.session import scratch_path
 from rondel.sources import files, streams
-from rondel.streaming import progress, sinks, windows
+from rondel.streaming import progress, sinks, state, windows
 
 _WIDTH, _DELAY = "2 minutes", "30 seconds"
 
@@ -110,22 +110,6 @@ def win_rate_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         _emitted(spark, sf_dir), by="map", first="team1_wins", second="team2_wins", digits=None)
 
 
-@query("late_rows", f"""
-    WITH arrived AS (SELECT *, CAST(floor(rank_2 / 25) AS BIGINT) AS batch FROM {EVENTS_SQL}),
-    newest AS (SELECT batch, max(event_timestamp) AS newest FROM arrived GROUP BY batch),
-    horizon AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-                              - INTERVAL '10 days' AS horizon FROM newest),
-    marked AS (SELECT a.batch, coalesce({_bucket("5 minutes")} + INTERVAL '5 minutes' <= horizon, FALSE) AS late
-               FROM arrived AS a JOIN horizon AS h ON a.batch = h.batch)
-    SELECT batch, count(*) AS input_rows, count(*) FILTER (WHERE NOT late) AS on_time_rows,
-           count(*) FILTER (WHERE late) AS late_rows
-    FROM marked GROUP BY batch
-""")
-def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrived = match_events(spark, sf_dir).withColumn("batch", F.floor(F.col("rank_2") / 25))
-    return windows.late_rows(arrived, time="event_timestamp", batch="batch", width="5 minutes", delay="10 days")
-
-
 # ---- file streams ----------------------------------------------------------------------------
 
 _EVENT_ROW = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -143,13 +127,20 @@ def _unzoned(df: DataFrame, *times: str) -> DataFrame:
 
 def _landed_events(spark: SparkSession, sf_dir: str, fmt: str) -> str:
     path = scratch_path(spark, f"landing_{fmt}")
-    streams.land_files(_zoned(table(spark, sf_dir, "events"), "ts"), path, 5, fmt)
+    streams.land_files(_zoned(table(spark, sf_dir, "events"), "ts"), path, _landing_width(spark, sf_dir), fmt)
     return path
 
 
-def _drain(spark: SparkSession, stream: DataFrame, paths: sinks.SinkPaths):
-    """A state store per core at most: the state is a few counters per open window."""
-    stores = min(shuffle_width(spark), spark.sparkContext.defaultParallelism)
+def _landing_width(spark: SparkSession, sf_dir: str) -> int:
+    """Five files or more, so that a rate limit shows; from a size on, as many as the bytes of the events ask for."""
+    return streams.landing_width(spark, f"{sf_dir}/events.parquet", least=5)
+
+
+# State is a few counters per open window and group, whatever the number of events.
+_STATE_STORES = 4
+
+
+def _drain(spark: SparkSession, stream: DataFrame, paths: sinks.SinkPaths, stores: int = _STATE_STORES):
     return sinks.drain(stream, paths, state_partitions=stores)
 
 
@@ -181,14 +172,14 @@ _PLAY_ROW = "event_id bigint, event_timestamp timestamp, map string, _map string
             "score_diff int, map_winner int, rank_1 int, rank_2 int"
 
 
-def _land_plays(events: DataFrame, path: str, mode: str = "overwrite") -> None:
-    streams.land_files(_zoned(events, "event_timestamp"), path, 5, "json", mode)
+def _land_plays(spark: SparkSession, sf_dir: str, events: DataFrame, path: str, mode: str = "overwrite") -> None:
+    streams.land_files(_zoned(events, "event_timestamp"), path, _landing_width(spark, sf_dir), "json", mode)
 
 
 def _emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stream has written to its sink: the windows that the watermark closed."""
     landing = scratch_path(spark, "landing_plays")
-    _land_plays(match_events(spark, sf_dir), landing)
+    _land_plays(spark, sf_dir, match_events(spark, sf_dir), landing)
     stream = streams.json_stream(spark, landing, _PLAY_ROW)
     return _drained(spark, matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None))
 
@@ -205,7 +196,7 @@ def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def stream_sink_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing_plays")
-    _land_plays(match_events(spark, sf_dir), landing)
+    _land_plays(spark, sf_dir, match_events(spark, sf_dir), landing)
     emitted = _drained(spark, matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW)))
     return _unzoned(emitted, "window_start", "window_end").orderBy("window_start", "_map")
 
@@ -217,44 +208,110 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = match_events(spark, sf_dir)
     early = F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")
     for part, mode in ((events.filter(early), "overwrite"), (events.filter(~early), "append")):
-        _land_plays(part, landing, mode)
+        _land_plays(spark, sf_dir, part, landing, mode)
         stream = streams.json_stream(spark, landing, _PLAY_ROW)
         _drain(spark, matches.windowed_plays(stream, _WIDTH, _DELAY, digits=None), paths)
     return _unzoned(sinks.read_sink(spark, paths), "window_start", "window_end")
 
 
-@query("stream_progress_summary", """
-    SELECT 'baseline' AS label, CAST(1 AS BIGINT) AS batches_sampled, count(*) AS input_rows,
-           CAST(count(*) AS DOUBLE) AS avg_input_rows, CAST(0 AS BIGINT) AS dropped_partial_groups
-    FROM events
+@query("stream_open_windows", f"""
+    SELECT * FROM (SELECT {_bucket("1 day")} AS window_start, {_bucket("1 day")} + INTERVAL '1 day' AS window_end, _map,
+                          count(*) AS match_count, avg(score_diff) AS avg_score_diff, avg(rank_1) AS avg_rank
+                   FROM {EVENTS_SQL} GROUP BY ALL) AS w
+    WHERE window_end > (SELECT max(ts) FROM events) - INTERVAL '10 days'
+""")
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a drained stream still holds, read back from its state stores."""
+    landing, paths = scratch_path(spark, "landing_plays"), sinks.SinkPaths.under(scratch_path(spark, "stream"))
+    _land_plays(spark, sf_dir, match_events(spark, sf_dir), landing)
+    _drain(spark, matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW), "1 day", "10 days"), paths)
+    held = state.open_windows(spark, paths, by=["_map"], measures={
+        "match_count": F.col("b0"), "avg_score_diff": F.col("b1") / F.col("b2"), "avg_rank": F.col("b3") / F.col("b4")})
+    return _unzoned(held, "window_start", "window_end")
+
+
+# Rows land in a few arrivals, by a number in their properties; those without one come first.
+_ARRIVAL_SQL = f"""
+    arrived AS (SELECT *, coalesce(CAST(floor(rank_2 / 25) AS BIGINT), -1) AS batch FROM {EVENTS_SQL}),
+    newest AS (SELECT batch, max(event_timestamp) AS newest FROM arrived GROUP BY batch),
+    horizon AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                              - INTERVAL '10 days' AS horizon FROM newest),
+    marked AS (SELECT batch, coalesce({_bucket("5 minutes")} + INTERVAL '5 minutes' <= horizon, FALSE) AS late
+               FROM arrived JOIN horizon USING (batch)),
+    late AS (SELECT batch, count(*) AS input_rows, count(*) FILTER (WHERE NOT late) AS on_time_rows,
+                    count(*) FILTER (WHERE late) AS late_rows FROM marked GROUP BY batch)"""
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[dict, sinks.SinkPaths]:
+    """One drain per arrival over one checkpoint, each starting from the watermark of the earlier ones."""
+    arrived = match_events(spark, sf_dir).withColumn("batch", F.coalesce(F.floor(F.col("rank_2") / 25), F.lit(-1)))
+    numbers = sorted(r[0] for r in arrived.select("batch").distinct().collect())  # one per landing, not per event
+    landing, paths = scratch_path(spark, "landing_arrivals"), sinks.SinkPaths.under(scratch_path(spark, "stream"))
+    runs = {}
+    for number in numbers:
+        part = arrived.filter(F.col("batch") == number).drop("batch")
+        _land_plays(spark, sf_dir, part, landing, "append")
+        stream = windows.once_on_time(streams.json_stream(spark, landing, _PLAY_ROW), key="event_id",
+                                      time="event_timestamp", width="5 minutes", delay="10 days")
+        runs[str(number)] = _drain(spark, stream, paths)
+    return runs, paths
+
+
+@query("late_rows", f"WITH {_ARRIVAL_SQL} SELECT batch, input_rows, on_time_rows, late_rows FROM late")
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted by the running stream: an observation of its input and its state operator's dropped rows."""
+    runs, _ = _arrivals(spark, sf_dir)
+    return windows.late_rows(progress.progress_table(spark, runs)).select(
+        F.col("label").cast("bigint").alias("batch"), "input_rows", "on_time_rows", "late_rows")
+
+
+@query("stream_progress_summary", f"""
+    WITH {_ARRIVAL_SQL}
+    SELECT 'arrivals' AS label, count(*) AS batches_sampled, CAST(sum(input_rows) AS BIGINT) AS input_rows,
+           avg(input_rows) AS avg_input_rows, CAST(sum(late_rows) AS BIGINT) AS dropped_partial_groups,
+           CAST({_STATE_STORES} AS BIGINT) AS state_partitions
+    FROM late
 """)
 def stream_progress_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reproducible part of the summary; rates and times differ between runs."""
-    landing, paths = scratch_path(spark, "landing_plays"), sinks.SinkPaths.under(scratch_path(spark, "stream"))
-    _land_plays(match_events(spark, sf_dir), landing)
-    run = _drain(spark, matches.windowed_matches(streams.json_stream(spark, landing, _PLAY_ROW)), paths)
-    summary = progress.progress_summary(progress.progress_table(spark, {"baseline": run}))
-    return summary.select("label", "batches_sampled", "input_rows", "avg_input_rows", "dropped_partial_groups")
+    _, paths = _arrivals(spark, sf_dir)
+    summary = progress.progress_summary(progress.stored_reports(spark, paths.reports, "arrivals"))
+    return summary.select("label", "batches_sampled", "input_rows", "avg_input_rows", "dropped_partial_groups",
+                          "state_partitions")
+
 
+# Files per batch, state stores and trigger of two runs over the same landing files.
+_TUNING = {"baseline": (2, 4, "2 seconds"), "optimized": (5, 2, "1 second")}
+_TUNING_SQL = ", ".join(f"('{label}', {stores})" for label, (_, stores, _) in _TUNING.items())
 
-@query("stream_tuning_compare", """
-    WITH n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM events)
-    SELECT 'Streaming' AS stage, 'window_agg' AS task, 'avg_input_rows' AS metric_name, n / 3 AS base, n AS other,
-           (n - n / 3) * 100 / (n / 3) AS change_pct FROM n
+
+@query("stream_tuning_compare", f"""
+    WITH c AS (SELECT count(*) AS windows, CAST(sum(map_plays) AS BIGINT) AS map_plays FROM ({_closed_sql("1 hour", "10 days")}) AS w)
+    SELECT label, CAST(stores AS BIGINT) AS state_partitions, (SELECT count(*) FROM events) AS input_rows, windows, map_plays,
+           CAST(0 AS BIGINT) AS rows_only_here
+    FROM (VALUES {_TUNING_SQL}) AS t(label, stores), c
 """)
 def stream_tuning_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two file limits per batch over the same five landing files; times are left out as they vary."""
+    """Two settings of one stream: what each wrote, and the rows that the other one did not. Times are left out as they vary."""
     landing = scratch_path(spark, "landing_plays")
-    _land_plays(match_events(spark, sf_dir), landing)
-    runs = {}
-    for label, limit in (("baseline", 2), ("optimized", 5)):
-        stream = streams.json_stream(spark, landing, _PLAY_ROW, files_per_trigger=limit)
+    # The delay is longer than a slice, so no setting makes a row late.
+    streams.land_in_order(_zoned(match_events(spark, sf_dir), "event_timestamp"), landing, "event_timestamp", 5,
+                          _landing_width(spark, sf_dir))
+    reports, written = {}, {}
+    for label, (limit, stores, every) in _TUNING.items():
         paths = sinks.SinkPaths.under(scratch_path(spark, "stream"))
-        runs[label] = _drain(spark, matches.windowed_plays(stream, "1 day", "31 days"), paths)
-    summary = progress.progress_summary(progress.progress_table(spark, runs))
-    rows = [
-        evidence.metric_rows(summary.filter(F.col("label") == phase), stage="Streaming", task="window_agg",
-                             metrics=["avg_input_rows"], phase=phase)
-        for phase in runs
-    ]
-    return evidence.metrics_compare(rows[0].unionByName(rows[1]), base="baseline", other="optimized")
+
+        def stream() -> DataFrame:
+            source = streams.json_stream(spark, landing, _PLAY_ROW, files_per_trigger=limit)
+            return matches.windowed_plays(source, "1 hour", "10 days", digits=None)
+
+        sinks.run_triggered(stream(), paths, every, state_partitions=stores)
+        _drain(spark, stream(), paths, stores)
+        reports[label] = progress.progress_summary(progress.stored_reports(spark, paths.reports, label))
+        written[label] = sinks.read_sink(spark, paths)
+    parts = []
+    for label, other in zip(written, reversed(written)):
+        totals = written[label].agg(F.count("*").alias("windows"), F.sum("map_plays").alias("map_plays"))
+        missing = written[label].exceptAll(written[other]).agg(F.count("*").alias("rows_only_here"))
+        parts.append(reports[label].select("label", "state_partitions", "input_rows").crossJoin(totals).crossJoin(missing))
+    return parts[0].unionByName(parts[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/rondel/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Settings that hold inside the block; the session's own values are put back after it."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on the shared folder and drop its history."""
     spark = df.sparkSession

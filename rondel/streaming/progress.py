@@ -8,6 +8,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rondel.session import settings
+
 # The progress fields that are kept, as Spark names them.
 PROGRESS_SCHEMA = """
     id string, runId string, batchId bigint, timestamp string, numInputRows bigint,
@@ -15,7 +17,8 @@ PROGRESS_SCHEMA = """
     durationMs map<string,bigint>, eventTime map<string,string>,
     stateOperators array<struct<operatorName: string, numRowsTotal: bigint, numRowsUpdated: bigint,
         numRowsDroppedByWatermark: bigint, numShufflePartitions: bigint, memoryUsedBytes: bigint,
-        commitTimeMs: bigint>>
+        commitTimeMs: bigint>>,
+    observedMetrics map<string,map<string,bigint>>
 """
 
 
@@ -29,12 +32,6 @@ _RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
 _STORED: dict[str, str] = {}
 
 
-def retain(spark: SparkSession) -> None:
-    """Let queries that start from now on hold at least ``RETAINED`` reports."""
-    if int(spark.conf.get(_RETENTION)) < RETAINED:
-        spark.conf.set(_RETENTION, str(RETAINED))
-
-
 def follow(query: StreamingQuery, path: str, seconds: int | None = None) -> None:
     """Wait until the query ends, or stop it after ``seconds``; every report is appended to the table at ``path``.
 
@@ -56,16 +53,18 @@ def follow(query: StreamingQuery, path: str, seconds: int | None = None) -> None
             last, batch = reports[-1], json.loads(reports[-1])["batchId"]
             _STORED[str(query.runId)] = path
 
-    try:
-        while not query.awaitTermination(_LOOK_S if until is None else max(0.01, min(_LOOK_S, until - time.monotonic()))):
-            looks += 1
-            now = query.lastProgress
-            if looks >= TAKEN_AFTER or (now is not None and now["batchId"] - batch >= TAKEN_AFTER):
-                take()
-            if until is not None and time.monotonic() >= until:
-                query.stop()
-    finally:
-        take()
+    wanted = {_RETENTION: str(max(RETAINED, int(spark.conf.get(_RETENTION))))}  # read while the query runs
+    with settings(spark, wanted):
+        try:
+            while not query.awaitTermination(_LOOK_S if until is None else max(0.01, min(_LOOK_S, until - time.monotonic()))):
+                looks += 1
+                now = query.lastProgress
+                if looks >= TAKEN_AFTER or (now is not None and now["batchId"] - batch >= TAKEN_AFTER):
+                    take()
+                if until is not None and time.monotonic() >= until:
+                    query.stop()
+        finally:
+            take()
 
 
 def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> DataFrame:
@@ -87,7 +86,16 @@ def progress_table(spark: SparkSession, queries: dict[str, StreamingQuery]) -> D
     raw = spark.createDataFrame(reports, "label string, report string")
     for mine in tables:
         raw = raw.unionByName(mine)
-    return raw.select("label", F.from_json("report", PROGRESS_SCHEMA).alias("p")).select("label", "p.*")
+    return _read(raw)
+
+
+def _read(reports: DataFrame) -> DataFrame:
+    return reports.select("label", F.from_json("report", PROGRESS_SCHEMA).alias("p")).select("label", "p.*")
+
+
+def stored_reports(spark: SparkSession, path: str, label: str) -> DataFrame:
+    """One row per batch of all followed runs of one checkpoint, from the table that they share."""
+    return _read(spark.read.text(path).select(F.lit(label).alias("label"), F.col("value").alias("report")))
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:
@@ -106,4 +114,5 @@ def progress_summary(progress: DataFrame) -> DataFrame:
         when_busy(F.col("durationMs")["addBatch"]).alias("avg_add_batch_ms"),
         F.max(state("numRowsTotal")).alias("max_state_rows"),
         F.sum(state("numRowsDroppedByWatermark")).alias("dropped_partial_groups"),
+        F.max(F.array_max(F.transform("stateOperators", lambda o: o["numShufflePartitions"]))).alias("state_partitions"),
     )

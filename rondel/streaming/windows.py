@@ -4,12 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from rondel.session import cut_lineage
-
-# Largest number of batches whose horizons are broadcast; 16 bytes each.
-MAX_BROADCAST_BATCHES = 500_000
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def tumbling_agg(events: DataFrame, *, time: str, width: str, by: Sequence[str], measures: Sequence[Column],
@@ -31,34 +26,29 @@ def closed_windows(windowed: DataFrame, events: DataFrame, *, time: str, delay:
     return windowed.filter(F.col("window_end") <= newest - F.expr(f"interval {delay}"))
 
 
-def mark_late(events: DataFrame, *, time: str, batch: str, width: str, delay: str) -> DataFrame:
-    """Flag the rows a windowed stream would drop, given the drained batch each row arrived in.
+ROWS = "rows"
+
+
+def once_on_time(events: DataFrame, *, key: str, time: str, width: str, delay: str) -> DataFrame:
+    """A stream's rows that arrive before the window of ``width`` they fall in is closed, each ``key`` once per window.
+
+    The engine drops late rows and counts them one by one, as nothing is combined before; all arriving rows are counted by an
+    observation of the running plan. State holds a key until its window closes.
+    """
+    seen = events.observe(ROWS, F.count("*").alias("input_rows"))
+    watched = seen.withWatermark(time, delay).withColumn("_window", F.window(time, width))
+    # A stream may have one event-time column, here the window: the time itself goes on as a plain value.
+    plain = watched.withColumn(time, F.col(time) + F.expr("interval 0 seconds"))
+    return plain.dropDuplicates([key, "_window"]).drop("_window")
+
+
+def late_rows(reports: DataFrame) -> DataFrame:
+    """Input, on-time and late rows per ``label`` and run, from the progress reports of ``once_on_time`` streams.
 
-    A row is late when its window had closed before its batch began, that is when the window
-    ends at or before the newest event of all earlier batches minus ``delay``. Rows without a batch
-    arrived at no known time: they stay, are not late, and close no window.
+    Nothing is derived again: input rows come from the observation, late rows from the state operator.
     """
-    per_batch = cut_lineage(events.filter(F.col(batch).isNotNull()).groupBy(batch).agg(F.max(time).alias("_newest")))
-    # one row per batch: the running maximum is over batches, never over events
-    earlier = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
-    horizons = per_batch.select(
-        batch, (F.max("_newest").over(earlier) - F.expr(f"interval {delay}")).alias("_horizon"),
-    )
-    if per_batch.count() <= MAX_BROADCAST_BATCHES:
-        horizons = F.broadcast(horizons)
-    flagged = events.join(horizons, batch, "left")
-    late = F.coalesce(F.window(time, width)["end"] <= F.col("_horizon"), F.lit(False))
-    return flagged.withColumn("is_late", late).drop("_horizon")
-
-
-def late_rows(events: DataFrame, *, time: str, batch: str, width: str, delay: str) -> DataFrame:
-    """Input, on-time and late row counts per batch. These are rows, not dropped partial groups."""
-    return (
-        mark_late(events, time=time, batch=batch, width=width, delay=delay)
-        .groupBy(batch)
-        .agg(
-            F.count("*").alias("input_rows"),
-            F.count_if(~F.col("is_late")).alias("on_time_rows"),
-            F.count_if("is_late").alias("late_rows"),
-        )
-    )
+    dropped = F.aggregate("stateOperators", F.lit(0).cast("long"),
+                          lambda total, one: total + F.coalesce(one["numRowsDroppedByWatermark"], F.lit(0).cast("long")))
+    arrived = F.coalesce(F.col("observedMetrics")[ROWS]["input_rows"], F.lit(0).cast("long"))
+    per_run = reports.groupBy("label", "runId").agg(F.sum(arrived).alias("input_rows"), F.sum(dropped).alias("late_rows"))
+    return per_run.withColumn("on_time_rows", F.col("input_rows") - F.col("late_rows"))

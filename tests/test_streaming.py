@@ -1,10 +1,11 @@
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from rondel.sources import streams
-from rondel.streaming import progress, sinks, windows
+from rondel.streaming import progress, sinks, state, windows
 
 SCHEMA = "ts timestamp, kind string, v int"
 
@@ -48,12 +49,70 @@ def test_late_rows_are_dropped_and_counted(spark, landing, paths):
     # 09:00 and 09:01 came after 10:10 - 30 min had passed their window
     assert emitted == {("10:00", "a"): 1, ("10:10", "a"): 2, ("10:20", "a"): 4, ("11:00", "b"): 8}
 
-    arrived = None
+
+def test_late_rows_are_counted_by_the_running_stream(spark, landing, paths):
+    runs = {}
     for number, batch in enumerate(BATCHES):
-        part = rows(spark, *batch).withColumn("batch", F.lit(number))
-        arrived = part if arrived is None else arrived.unionByName(part)
-    late = windows.late_rows(arrived, time="ts", batch="batch", width="5 minutes", delay="30 minutes")
-    assert sorted(tuple(r) for r in late.collect()) == [(0, 2, 2, 0), (1, 3, 2, 1), (2, 2, 1, 1)]
+        events = rows(spark, *batch, *batch[:1])  # one row twice
+        streams.land_files(events, landing, 2, "json", "append")
+        stream = windows.once_on_time(streams.json_stream(spark, landing, SCHEMA), key="v", time="ts", width="5 minutes",
+                                      delay="30 minutes")
+        runs[str(number)] = sinks.drain(stream, paths, state_partitions=2)
+    late = windows.late_rows(progress.progress_table(spark, runs)).collect()
+    # 09:00 and 09:01 came after 10:10 - 30 min had passed their window; 09:01 came twice
+    assert {r["label"]: (r["input_rows"], r["late_rows"]) for r in late} == {"0": (3, 0), "1": (4, 1), "2": (3, 2)}
+    assert sorted(r["v"] for r in sinks.read_sink(spark, paths).collect()) == [1, 2, 4, 8, 64]
+    whole = progress.progress_summary(progress.stored_reports(spark, paths.reports, "x")).first()
+    assert (whole["input_rows"], whole["dropped_partial_groups"], whole["state_partitions"]) == (10, 3, 2)
+
+
+@pytest.mark.parametrize("store", ["rocksdb", "memory"])
+def test_open_windows_are_read_back_from_the_state(spark, landing, paths, store):
+    for batch in BATCHES:
+        streams.land_files(rows(spark, *batch), landing, 1, "json", "append")
+        sinks.drain(counts(streams.json_stream(spark, landing, SCHEMA), "30 minutes"), paths, state_partitions=3, state_store=store)
+    held = state.open_windows(spark, paths, by=["kind"], measures={"n": F.col("b0"), "v": F.col("b1")})
+    assert sorted((r["window_start"].strftime("%H:%M"), r["kind"], r["n"], r["v"]) for r in held.collect()) == [
+        ("11:45", "b", 1, 64)]
+    assert [r["numPartitions"] for r in state.stores(spark, paths).collect()] == [3]
+    first = state.entries(spark, paths, batch=0).count()
+    assert first == 2  # 10:00 and 10:10, before anything was closed
+
+
+def test_starting_a_stream_leaves_the_session_as_it_was(spark, landing, paths):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass",
+             "spark.sql.streaming.numRecentProgressUpdates"]
+    before = [spark.conf.get(n) for n in names]
+    streams.land_files(rows(spark, *BATCHES[0]), landing, 1, "json")
+    drain(spark, landing, paths)
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_newest_file_first(spark, landing, paths):
+    import os
+    import time
+
+    for i, at in enumerate(("10:00", "11:00", "12:00")):
+        streams.land_files(rows(spark, (at, "a", i)), landing, 1, "json", "append")
+        new = [f for f in os.scandir(landing) if f.name.endswith(".json") and time.time() - f.stat().st_mtime < 60]
+        for f in new:
+            if open(f.path).read().find(f'"v":{i}') >= 0:
+                os.utime(f.path, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    stream = streams.json_stream(spark, landing, SCHEMA, files_per_trigger=1, newest_first=True)
+    query = sinks.drain(stream, paths)
+    reports = progress.progress_table(spark, {"x": query}).filter("numInputRows > 0")
+    assert reports.count() == 3
+    log = [json.loads(line) for line in open(f"{paths.data}/_spark_metadata/0").read().splitlines()[1:]]
+    first = spark.read.parquet(*[entry["path"] for entry in log])
+    assert [r["v"] for r in first.collect()] == [2]
+
+
+def test_landing_width_follows_the_bytes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100_000).write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert streams.landing_width(spark, path, least=5) == 5
+    assert streams.landing_width(spark, path, most_bytes=50_000) == -(-size * streams.TEXT_FACTOR // 50_000)
 
 
 def test_on_time_rows_in_batch_equal_the_stream(spark, landing, paths):
@@ -98,7 +157,7 @@ def test_csv_stream_with_rate_limit_and_continuous_trigger(spark, landing, paths
     stream = streams.csv_stream(spark, landing, SCHEMA, files_per_trigger=1)
     query = sinks.start_append(stream, paths, every="100 milliseconds")
     query.processAllAvailable()
-    sinks.run_for(query, 1)
+    sinks.run_for(query, 1, paths)
     assert sorted(sinks.read_sink(spark, paths).collect()) == sorted(events.collect())
     assert not query.isActive
     summary = progress.progress_summary(progress.progress_table(spark, {"x": query})).first()
@@ -130,12 +189,3 @@ def test_summary_of_150_batches(spark, landing, paths):
     query = sinks.drain(streams.json_stream(spark, landing, "kind string", files_per_trigger=1), paths)
     summary = progress.progress_summary(progress.progress_table(spark, {"x": query})).first()
     assert (summary["batches_sampled"], summary["input_rows"], summary["avg_input_rows"]) == (150, 1500, 10)
-
-
-def test_rows_without_a_batch_are_counted(spark):
-    first = rows(spark, ("10:00", "a", 1), ("12:00", "a", 2)).withColumn("batch", F.lit(0))
-    second = rows(spark, ("10:01", "a", 1)).withColumn("batch", F.lit(1))
-    none = rows(spark, ("10:02", "a", 1), ("23:00", "a", 1)).withColumn("batch", F.lit(None).cast("int"))
-    late = windows.late_rows(first.unionByName(second).unionByName(none), time="ts", batch="batch", width="5 minutes",
-                             delay="30 minutes")
-    assert {r["batch"]: tuple(r)[1:] for r in late.collect()} == {0: (2, 2, 0), 1: (1, 0, 1), None: (2, 2, 0)}
