@@ -12,15 +12,18 @@ import re
 import tempfile
 import time
 
+from rondel.plans import queries_text
 from rondel.plans.catalog import QUERIES
 from rondel.session import local_session
 
+LOOKUP = "index_lookup_stored"  # on an index that is written before the clock starts
 HEADLINE = [
     "entity_period_stats", "category_month_stats", "outcome_enrich", "silver_clean", "contract_report",
     "partitioned_write", "compact_table", "tumbling_agg", "stream_parquet_sink", "corpus_build", "tokenize",
     "inverted_index_list", "inverted_index_set", "index_lookup", "index_top_terms", "graph_edges", "pagerank",
     "pagerank_both", "entity_features", "silhouette", "kmeans_sweep", "curate_narrative", "curate_text",
     "curation_quality",
+    LOOKUP,
 ]
 
 
@@ -33,11 +36,14 @@ def main() -> None:
     spark = local_session("rondel-bench", cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           **{"spark.checkpoint.dir": f"file:{shared}"})
     seconds = {}
+    prepared = {LOOKUP: queries_text.stored_index(spark, sf_dir)} if LOOKUP in names else {}
     for name in names:
         times = []
+        run = (lambda: queries_text.lookup_words(spark, prepared[LOOKUP])) if name == LOOKUP else (
+            lambda name=name: QUERIES[name](spark, sf_dir))
         for _ in range(runs + 1):
             started = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            run().write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - started)
         seconds[name] = round(min(times[1:] or times), 3)
     scale = re.search(r"sf([0-9.]+)", sf_dir)

@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rondel.functions.conditions import maybe_round, share_where
@@ -18,17 +19,22 @@ from rondel.operators.aggregates import averages
 
 def entity_features(df: DataFrame, *, entity: str, won: Column, means: Mapping[str, str | Column],
                     distinct: Mapping[str, str], min_support: int, entity_name: str = "entity") -> DataFrame:
-    """Row count, win rate, means and distinct counts per entity with at least ``min_support`` rows."""
-    return (
-        df.groupBy(F.col(entity).alias(entity_name))
-        .agg(
-            F.count("*").alias("played"),
-            share_where(won).alias("win_rate"),
-            *averages(means),
-            *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
-        )
-        .filter(F.col("played") >= min_support)
-    )
+    """Row count, win rate, means and distinct counts per entity with at least ``min_support`` rows.
+
+    Each distinct count is an aggregate of its own in two levels, pairs first and then entities, over a scan of two columns. Rows
+    are never multiplied, and pairs of a hot entity lie in many tasks. The parts, one row per entity each, meet in one grouping.
+    """
+    name = F.col(entity).alias(entity_name)
+    parts = [df.groupBy(name).agg(F.count("*").alias("played"), share_where(won).alias("win_rate"), *averages(means))]
+    parts += [df.filter(F.col(c).isNotNull()).select(name, F.col(c).alias("_value")).distinct()
+              .groupBy(entity_name).agg(F.count("*").alias(count)) for count, c in distinct.items()]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part, allowMissingColumns=True)
+    whole = every.groupBy(entity_name).agg(*[
+        (F.coalesce(F.max(c), F.lit(0).cast("long")) if c in distinct else F.max(c)).alias(c)
+        for c in every.columns if c != entity_name])
+    return whole.filter(F.col("played") >= min_support)
 
 
 def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -80,28 +86,29 @@ def silhouette_scores(df: DataFrame, features: Sequence[str], cluster: str = "cl
     """Silhouette of every row, squared euclidean, without comparing rows with each other.
 
     The mean squared distance from a row to a cluster follows from the cluster's size, sum and
-    sum of squared norms. Those few numbers per cluster are gathered; rows are read once.
+    sum of squared norms. Those numbers of all clusters are one array, computed beside the rows by a scalar subquery, so
+    nothing passes through the driver and the plan does not grow with the number of clusters.
     """
     norm = sum((F.col(f) * F.col(f) for f in features), F.lit(0.0))
-    stats = df.groupBy(cluster).agg(
-        F.count("*").alias("n"), F.sum(norm).alias("q"),
-        *[F.sum(f).alias(f"s{i}") for i, f in enumerate(features)],
-    ).collect()  # one row per cluster
-    to = {}
-    for row in stats:
-        dot = sum((F.col(f) * F.lit(row[f"s{i}"] / row["n"]) for i, f in enumerate(features)), F.lit(0.0))
-        to[row[cluster]] = (row["n"], F.greatest(norm + F.lit(row["q"] / row["n"]) - 2 * dot, F.lit(0.0)))
-    if len(to) < 2:
-        return df.withColumn("silhouette", F.lit(0.0))
-    score = F.lit(None).cast("double")
-    for label, (n, mean) in to.items():
-        others = [m for other, (_, m) in to.items() if other != label]
-        outside = F.least(*others) if len(others) > 1 else others[0]
-        inside = mean * F.lit(n / (n - 1)) if n > 1 else F.lit(0.0)
-        worst = F.greatest(inside, outside)
-        own = F.lit(0.0) if n == 1 else F.when(worst > 0, (outside - inside) / worst).otherwise(0.0)
-        score = F.when(F.col(cluster) == label, own).otherwise(score)
-    return df.withColumn("silhouette", score)
+    per_cluster = df.groupBy(cluster).agg(
+        F.count("*").alias("n"), F.sum(norm).alias("q"), F.array(*[F.avg(f) for f in features]).alias("center"))
+    clusters = per_cluster.agg(F.collect_list(F.struct(F.col(cluster).alias("label"), "n", "q", "center"))).scalar()
+    zero = F.lit(0.0)
+
+    def mean_to(c: Column) -> Column:
+        dot = sum((F.col(f) * F.get(c["center"], F.lit(i)) for i, f in enumerate(features)), zero)
+        return F.greatest(norm + c["q"] / c["n"] - 2 * dot, zero)
+
+    own = F.col(cluster)
+    rows = df.withColumn("_clusters", clusters)
+    inside = F.get(F.transform(F.filter("_clusters", lambda c: c["label"] == own), lambda c: F.struct(
+        c["n"].alias("n"), F.when(c["n"] > 1, mean_to(c) * c["n"] / (c["n"] - 1)).otherwise(zero).alias("mean"))), F.lit(0))
+    outside = F.array_min(F.transform(F.filter("_clusters", lambda c: c["label"] != own), mean_to))
+    rows = rows.withColumn("_inside", inside).withColumn("_outside", outside).drop("_clusters")
+    near, far = F.col("_inside.mean"), F.col("_outside")
+    worst = F.greatest(near, far)
+    score = F.when(far.isNull() | (F.col("_inside.n") == 1) | (worst <= 0), zero).otherwise((far - near) / worst)
+    return rows.withColumn("silhouette", score).drop("_inside", "_outside")
 
 
 def silhouette(df: DataFrame, features: Sequence[str], cluster: str = "cluster") -> DataFrame:
@@ -133,7 +140,9 @@ def kmeans_sweep(vectors: DataFrame, ks: Sequence[int], seeds: Sequence[int], *,
         return k, seed, float(judge.evaluate(model.transform(held)))
 
     with ThreadPoolExecutor(parallel) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(fit), [(k, s) for k in ks for s in seeds]))
+        # Each fit gets a copy of the session's properties of its own: threads that share one set and clear it under each other.
+        fits = [pool.submit(inheritable_thread_target(spark)(fit), (k, s)) for k in ks for s in seeds]
+        rows = [f.result() for f in fits]
     held.unpersist()
     return spark.createDataFrame(rows, "k int, seed int, silhouette double")
 
@@ -158,6 +167,20 @@ def save_and_reload(model: KMeansModel, path: str) -> KMeansModel:
     return KMeansModel.load(path)
 
 
+def off_center(df: DataFrame, model: KMeansModel, *, features: str = "scaled_features", prediction: str = "prediction") -> DataFrame:
+    """Rows, and how many of them are not assigned to a nearest center of ``model``."""
+    centers = [c.tolist() for c in model.clusterCenters()]  # k of them
+    names = [f"_f{i}" for i in range(len(centers[0]))]
+    parts = df.withColumn("_v", vector_to_array(features)).select(
+        F.col(prediction).alias("_given"), *[F.get("_v", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    given = F.lit(None).cast("double")
+    for i, center in enumerate(centers):
+        given = F.when(F.col("_given") == i, _distance(names, center)).otherwise(given)
+    nearest = assign_clusters(parts, names, centers)
+    off = F.coalesce(given > F.col("distance") + 1e-9, F.lit(True))
+    return nearest.agg(F.count("*").alias("entities"), F.count_if(off).alias("off_center"))
+
+
 def cluster_profile(df: DataFrame, *, cluster: str, means: Mapping[str, str], digits: int | None = 3) -> DataFrame:
     """Size and rounded means of each cluster."""
     return df.groupBy(cluster).agg(F.count("*").alias("n"), *averages(means, digits))

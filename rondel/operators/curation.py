@@ -38,12 +38,12 @@ def content_key(text: str = "text") -> Column:
 
 
 def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
-                order_by: Sequence[str | Column] = ("doc_id",)) -> DataFrame:
+                order_by: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Texts of at least ``min_length`` characters, each different text once.
 
-    Of equal texts the first under ``order_by`` stays. Short texts go before anything is hashed or
-    sorted, and copies are dropped in the map task already, so a text that fills a third of the table
-    does not travel.
+    Of equal texts the first under ``order_by`` stays. Short texts go before anything is hashed. Winners are picked by hash and
+    order alone; texts are never sorted, and a text that fills a third of the table is combined in the map task. Texts are read
+    twice, so rendered ones should be stored first.
     """
     keyed = df.filter(F.length(text) >= min_length).withColumn("_key", F.unhex(content_key(text)))
     return keep_first(keyed, ["_key"], order_by).drop("_key")

@@ -30,13 +30,20 @@ def metric_rows(summary: DataFrame, *, stage: str, task: str, metrics: Sequence[
     )
 
 
-def log_rows(rows: DataFrame, run_id: str, *, elapsed_ms: float | None = None, notes: str = "") -> DataFrame:
-    """Complete metric rows to the log layout. Fields the caller does not measure stay null."""
+def log_rows(rows: DataFrame, run_id: str, *, elapsed_ms: float | Mapping[str, float] | None = None,
+             notes: str = "") -> DataFrame:
+    """Complete metric rows to the log layout. Fields the caller does not measure stay null.
+
+    ``elapsed_ms`` is one time, or a time per task.
+    """
     empty = F.lit(None)
+    took = F.lit(elapsed_ms) if not isinstance(elapsed_ms, Mapping) else (
+        F.get(F.map_values(F.map_filter(F.create_map(*[F.lit(x) for pair in elapsed_ms.items() for x in pair]),
+                                        lambda task, _: task == F.col("task"))), F.lit(0)))
     return rows.select(
         F.lit(run_id).alias("run_id"), "stage", "task", "phase", "metric_name", "metric_value",
         empty.cast("bigint").alias("shuffle_read_bytes"), empty.cast("bigint").alias("shuffle_write_bytes"),
-        F.lit(elapsed_ms).cast("double").alias("elapsed_ms"), F.lit(notes).alias("notes"),
+        took.cast("double").alias("elapsed_ms"), F.lit(notes).alias("notes"),
         F.current_timestamp().alias("timestamp"),
     )
 
@@ -57,7 +64,7 @@ def slo_check(spark: SparkSession, metrics: DataFrame, limits: Mapping[str, tupl
               run_id: str | None = None, phase: str | None = None) -> DataFrame:
     """PASS or FAIL per limited metric, limits inclusive; MISSING if the metric was not reported.
 
-    The log is append-only: ``run_id`` and ``phase`` choose the rows that are judged.
+    The log is append-only: ``run_id`` and ``phase`` choose the rows that are judged. Of several rows of one metric the worst counts.
 
     ``limits`` maps a metric name to ``("max" | "min", threshold)``.
     """
@@ -70,5 +77,8 @@ def slo_check(spark: SparkSession, metrics: DataFrame, limits: Mapping[str, tupl
     value, limit = F.col("metric_value"), F.col("threshold")
     held = F.when(F.col("kind") == "max", value <= limit).otherwise(value >= limit)
     status = F.when(value.isNull(), "MISSING").when(held, "PASS").otherwise("FAIL")
-    return table.join(metrics.select("metric_name", "metric_value"), "metric_name", "left").select(
+    sides = metrics.groupBy("metric_name").agg(F.min("metric_value").alias("low"), F.max("metric_value").alias("high"))
+    worst = F.when(F.col("kind") == "max", F.col("high")).otherwise(F.col("low"))
+    judged = table.join(sides, "metric_name", "left").withColumn("metric_value", worst)
+    return judged.select(
         "metric_name", "kind", "threshold", "metric_value", status.alias("status"))

@@ -180,9 +180,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
 
 
 def _width(spark: SparkSession, edges: int) -> int:
-    """Partitions of the edge layout: the session's number, fewer if they would be nearly empty."""
+    """Partitions of the edge layout: as many as the edges ask for, and enough for the cores."""
     cores = spark.sparkContext.defaultParallelism
-    return min(shuffle_width(spark), max(cores, -(-edges // EDGES_PER_PARTITION)))
+    return max(min(shuffle_width(spark), cores), -(-edges // EDGES_PER_PARTITION))
 
 
 def _bucketed(directed: DataFrame, linked: DataFrame, hubs: int) -> DataFrame:
@@ -211,6 +211,6 @@ def pagerank_top(ranks: DataFrame, vertices: DataFrame, n: int = 50, order: Colu
     return with_names(leading, vertices)
 
 
-def export_top(top: DataFrame, path: str) -> None:
-    """A bounded top-k as one CSV file, written by a task instead of the driver."""
-    top.orderBy(F.desc("rank"), "id").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_top(top: DataFrame, path: str, by: str = "rank", most: int = 10_000) -> None:
+    """A bounded top-k as one CSV file, written by a task instead of the driver; at most ``most`` rows go into it."""
+    top.orderBy(F.desc(by), "id").limit(most).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -3,23 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rondel.functions.casts import parse, parse_all
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
-    """One row per key: the first under ``order_by``, or under all other columns if none is given.
+def _matching(names: Sequence[str], prefix: str) -> Column:
+    """Equal in all of ``names``, with nulls equal to each other; the other side's columns have ``prefix``."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in names])
 
-    The filter on ``row_number`` is pushed below the shuffle as a per-task group limit, so a
-    key holding a third of the table reaches its reducer as one row per map task.
-    """
-    order = list(order_by) or [c for c in df.columns if c not in keys] or list(keys)
+
+def _first_by_place(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """The filter on ``row_number`` is pushed below the shuffle as a per-task group limit, so a key holding a third of the
+    rows reaches its reducer as one row per map task."""
     first = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
 
 
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first under the columns ``order_by`` (nulls first), or under all other columns if none are given.
+    What ties under ``order_by`` is ordered by the other columns, too.
+
+    Two phases, so that whole rows are never sorted. The first sees keys and order columns only, combined per map task, and
+    picks the winners; the second takes their rows by a hash join on keys and order. Only rows that tie, or without ``order_by``
+    those of repeated keys, go through a window. ``df`` is read twice: store it first where it is costly to make.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    narrow = [*keys, *order_by]
+    there = [F.col(c).alias(f"_w_{c}") for c in narrow]
+    counted = df.groupBy(*narrow).agg(F.count("*").alias("_n"))
+    if order_by:
+        best = F.min(F.struct(*order_by, "_n")).alias("_best")
+        won = counted.groupBy(*keys).agg(best).select(*keys, *[f"_best.{c}" for c in order_by], "_best._n")
+        won = won.select(*there, "_n")
+        alone, tied = won.filter("_n = 1"), won.filter("_n > 1")
+        kind = "left_semi"
+    else:
+        alone = tied = counted.filter("_n > 1").select(*there)
+        kind = "left_anti"
+    single = df.join(alone.hint("shuffle_hash"), _matching(narrow, "_w_"), kind)
+    several = df.join(tied.hint("shuffle_hash"), _matching(narrow, "_w_"), "left_semi")
+    return single.unionByName(_first_by_place(several, keys, [*order_by, *rest] or keys))
+
+
 def parse_rules(schema: T.StructType, patterns: Mapping[str, str] | None = None,
                 required: Sequence[str] = ()) -> dict[str, Column]:
     """Contract over a raw text table.
@@ -89,7 +117,7 @@ def rejects(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 def silver_clean(raw: DataFrame, schema: T.StructType, *, required: Sequence[str], natural_key: Sequence[str],
                  measures: Sequence[str] = (), derived: Mapping[str, Column] | None = None,
                  patterns: Mapping[str, str] | None = None,
-                 order_by: Sequence[str | Column] = ()) -> DataFrame:
+                 order_by: Sequence[str] = ()) -> DataFrame:
     """Typed, complete, de-duplicated rows from an all-text table.
 
     Rows lacking a required field or a measure go first, so that a damaged copy of a key can

@@ -16,6 +16,7 @@ from rondel.functions.tokens import is_kept, token_array
 from rondel.operators.quality import keep_first
 from rondel.session import spread
 from rondel.sources.files import write_csv
+from rondel.sources.layout import write_partitioned
 
 # Most documents one posting block may cover.
 BLOCK_WIDTH = 1 << 14
@@ -23,7 +24,7 @@ BLOCK_WIDTH = 1 << 14
 
 def corpus_build(df: DataFrame, *, id_parts: Sequence[str | Column], text_parts: Sequence[str | Column],
                  required: Sequence[str], keep: Sequence[str] = (),
-                 order_by: Sequence[str | Column] = ()) -> DataFrame:
+                 order_by: Sequence[str] = ()) -> DataFrame:
     """``doc_id`` and ``text`` per source row, one row per ``doc_id``.
 
     The id is null if any part is null, so required columns are checked first; the text skips
@@ -35,7 +36,7 @@ def corpus_build(df: DataFrame, *, id_parts: Sequence[str | Column], text_parts:
         F.concat_ws(" ", *[_text(p) for p in text_parts]).alias("text"),
         *keep,
     )
-    return keep_first(docs, ["doc_id"], order_by or ["text", *keep])
+    return keep_first(docs, ["doc_id"], order_by)
 
 
 def _text(part: str | Column) -> Column:
@@ -99,13 +100,30 @@ def inverted_index(tokens: DataFrame, *, block: Column, distinct: bool) -> DataF
     )
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Store the index sorted by token inside each file, so that a lookup skips row groups.
+# Directories of a stored index.
+INDEX_BUCKETS = 64
 
-    The files keep the hash partitioning on ``(token, block)`` the aggregation left: no further
-    shuffle, and the large blocks of a hot token are spread over all files.
+
+def token_bucket(token: Column, buckets: int = INDEX_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def write_index(index: DataFrame, path: str, buckets: int = INDEX_BUCKETS) -> None:
+    """Store the index below one directory per token bucket, sorted by token inside each file.
+
+    A lookup opens the directories of its words only, and skips row groups inside them. The bucket of a hot token is cut into
+    several files.
     """
-    index.sortWithinPartitions("token", "block").write.mode("overwrite").parquet(path)
+    bucketed = index.withColumn("bucket", token_bucket(F.col("token"), buckets))
+    write_partitioned(bucketed, path, ["bucket"], ["token", "block"])
+
+
+def _of_words(index: DataFrame, words: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of ``words``; of a stored index only their directories are listed and read."""
+    wanted = F.col("token").isin(*words)
+    if "bucket" in index.columns:
+        wanted = F.col("bucket").isin(*[token_bucket(F.lit(w), buckets) for w in words]) & wanted
+    return index.filter(wanted)
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -135,15 +153,14 @@ def index_lookup(index: DataFrame, terms: DataFrame, term: str = "term") -> Data
     )
 
 
-def lookup_terms(spark: SparkSession, index: DataFrame, words: Sequence[str]) -> DataFrame:
-    """``index_lookup`` for words known to the caller: the word list reaches the file scan."""
-    narrowed = index.filter(F.col("token").isin(*words))
-    return index_lookup(narrowed, spark.createDataFrame([(w,) for w in words], "term string"))
+def lookup_terms(spark: SparkSession, index: DataFrame, words: Sequence[str], buckets: int = INDEX_BUCKETS) -> DataFrame:
+    """``index_lookup`` for words known to the caller: directories and row groups without them are not read."""
+    return index_lookup(_of_words(index, words, buckets), spark.createDataFrame([(w,) for w in words], "term string"))
 
 
-def postings(index: DataFrame, words: Sequence[str]) -> DataFrame:
+def postings(index: DataFrame, words: Sequence[str], buckets: int = INDEX_BUCKETS) -> DataFrame:
     """Matching documents as rows, not as one array per term."""
-    return index.filter(F.col("token").isin(*words)).select("token", F.explode("doc_ids").alias("doc_id"))
+    return _of_words(index, words, buckets).select("token", F.explode("doc_ids").alias("doc_id"))
 
 
 def index_to_csv(index: DataFrame, path: str, separator: str = "|") -> None:

@@ -6,6 +6,7 @@ metric log; run it with a raw CSV whose columns follow ``RESULT_SCHEMA``.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -69,8 +70,12 @@ OBJECTIVES = {
     "best_silhouette": ("min", 0.25),
     "parquet_to_csv": ("max", 0.6),
     "pass_ratio": ("min", 0.80),
+    "avg_processed_rows_s": ("min", 100.0),
+    "lookup_ms": ("max", 2_000.0),
+    "full_run_ms": ("max", 600_000.0),
 }
 
+
 def first_won():
     return F.col("map_winner") == 1
 
@@ -234,18 +239,43 @@ def text_card(texts: DataFrame) -> DataFrame:
         filters=[f"at least {MIN_TEXT_LENGTH} characters", "each different text once"])
 
 
+class _Stages:
+    """Runs the stages of a build and keeps how long each took."""
+
+    def __init__(self):
+        self.started = self.last = time.monotonic()
+        self.elapsed_ms: dict[str, float] = {}
+
+    def done(self, task: str) -> None:
+        now = time.monotonic()
+        self.elapsed_ms[task] = (now - self.last) * 1000
+        self.last = now
+
+    def total_ms(self) -> float:
+        return (time.monotonic() - self.started) * 1000
+
+
 def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int] = CLUSTER_COUNTS,
               seeds: Sequence[int] = SEEDS, min_support: int = MIN_MAPS_PLAYED, files_in_landing: int | None = None) -> DataFrame:
-    """Write every layer below ``root``; each later table reads the stored earlier one."""
-    gold = f"{root}/gold"
+    """Write every layer below ``root``; each later table reads the stored earlier one.
+
+    The log holds the metrics with the time their stage took; ``objectives`` judges those of this run.
+    """
+    gold, stages = f"{root}/gold", _Stages()
     raw = files.land_raw(spark, raw_csv, f"{root}/bronze")
+    stages.done("bronze_landing")
     silver(raw).write.mode("overwrite").parquet(f"{root}/silver")
+    stages.done("silver_cleaning")
     clean = spark.read.parquet(f"{root}/silver")
 
     layout.write_partitioned(team_stats(clean), f"{gold}/team_stats", ["year"])
+    stages.done("team_stats")
     layout.write_partitioned(map_stats(clean), f"{gold}/map_stats", PARTITION_BY)
+    stages.done("map_stats")
     match_results(clean).write.mode("overwrite").partitionBy(*PARTITION_BY).parquet(f"{gold}/match_results")
+    stages.done("match_results")
     layout.compact(spark, f"{gold}/match_results", f"{gold}/match_results_compact", PARTITION_BY, SORT_BY)
+    stages.done("compaction")
 
     width = files_in_landing or streams.landing_width(spark, f"{root}/silver", least=5)
     streams.land_files(landing_rows(clean), f"{root}/landing", width)
@@ -254,30 +284,47 @@ def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int]
     query = sinks.drain(windowed_matches(landed), run)
     batches = progress.progress_summary(progress.progress_table(spark, {"baseline": query}))
 
+    stages.done("window_agg")
+
     docs = corpus(clean)
     docs.write.mode("overwrite").parquet(f"{root}/corpus_parquet")
     files.write_csv(spark.read.parquet(f"{root}/corpus_parquet"), f"{root}/corpus_csv")
+    stages.done("corpus")
     text_index.write_index(term_index(spark.read.parquet(f"{root}/corpus_parquet")), f"{root}/index")
     index = spark.read.parquet(f"{root}/index")
+    stages.done("build_index")
+    text_index.lookup_terms(spark, index, QUERY_TERMS).write.mode("overwrite").parquet(f"{root}/lookup")
+    stages.done("lookup")
     footprint = layout.footprint_ratio(
         layout.layout_stats(spark, {"parquet": f"{root}/corpus_parquet", "csv": f"{root}/corpus_csv"}),
         "parquet", "csv").withColumnRenamed("ratio", "parquet_to_csv")
+    stages.done("footprint")
 
     teams = team_features(clean, min_support)
     teams.write.mode("overwrite").parquet(f"{root}/features")
     vectors = clustering.scaled_vectors(spark.read.parquet(f"{root}/features"), FEATURES)
     fits = clustering.kmeans_sweep(vectors, ks, seeds)
     k = clustering.best_k(fits)
+    stages.done("kmeans_sweep")
     model = clustering.save_and_reload(clustering.fit_kmeans(vectors, k, seeds[0]), f"{root}/models/kmeans_k{k}")
     model.transform(vectors).select(
         "team_name", "win_rate", "avg_rank", "maps_played", "avg_score_diff", "maps_variety", "prediction",
     ).write.mode("overwrite").parquet(f"{root}/clusters")
     layout.write_partitioned(spark.read.parquet(f"{root}/clusters"), f"{gold}/team_clusters", ["prediction"])
 
-    texts = narratives(clean)
+    clusters = spark.read.parquet(f"{root}/clusters")
+    clustering.cluster_profile(clusters, cluster="prediction", means={
+        "avg_win_rate": "win_rate", "avg_rank": "avg_rank", "avg_maps_played": "maps_played",
+    }).write.mode("overwrite").parquet(f"{gold}/cluster_profile")
+    stages.done("team_clusters")
+
+    narratives(clean).write.mode("overwrite").parquet(f"{root}/narratives")
+    texts = spark.read.parquet(f"{root}/narratives")
     curated(texts).write.mode("overwrite").parquet(f"{root}/curated")
     text_card(spark.read.parquet(f"{root}/curated")).write.mode("overwrite").json(f"{root}/data_card")
 
+    stages.done("curate")
+
     row_count = lambda path: spark.read.parquet(path).agg(F.count("*").alias("row_count"))
     parts = [
         evidence.metric_rows(raw.agg(F.count("*").alias("row_count")), stage="ETL", task="bronze_landing", metrics=["row_count"]),
@@ -289,8 +336,9 @@ def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int]
         evidence.metric_rows(text_index.term_stats(index).agg(F.count("*").alias("unique_terms")),
                              stage="Text", task="build_index", metrics=["unique_terms"]),
         evidence.metric_rows(footprint, stage="Text", task="footprint", metrics=["parquet_to_csv"]),
-        evidence.metric_rows(text_index.lookup_terms(spark, index, QUERY_TERMS), stage="Text",
-                             task="lookup", metrics=["hits"], label="term"),
+        evidence.metric_rows(spark.read.parquet(f"{root}/lookup"), stage="Text", task="lookup", metrics=["hits"], label="term"),
+        evidence.metric_rows(layout.file_inventory(spark, f"{root}/index").agg(F.sum("bytes").alias("index_bytes")),
+                             stage="Text", task="build_index", metrics=["index_bytes"]),
         evidence.metric_rows(clustering.sweep_summary(fits), stage="Iterative", task="kmeans_sweep",
                              metrics=["mean_silhouette"], label="k"),
         evidence.metric_rows(fits.groupBy("k").agg(F.avg("silhouette").alias("s")).agg(F.max("s").alias("best_silhouette")),
@@ -303,8 +351,14 @@ def build_all(spark: SparkSession, raw_csv: str, root: str, *, ks: Sequence[int]
             F.count("*").alias("file_count"), F.sum("bytes").alias("bytes"))
         parts.append(evidence.metric_rows(inventory, stage="ETL", task="compaction", phase=phase,
                                           metrics=["file_count", "bytes"]))
+    took = spark.createDataFrame(
+        [(stages.elapsed_ms["lookup"], stages.total_ms())], "lookup_ms double, full_run_ms double")
+    parts.append(evidence.metric_rows(took, stage="Run", task="objectives", metrics=["lookup_ms", "full_run_ms"]))
     metrics = parts[0]
     for part in parts[1:]:
         metrics = metrics.unionByName(part)
-    evidence.append_metrics(evidence.log_rows(metrics, run_id=uuid.uuid4().hex), f"{root}/metrics_log")
-    return spark.read.parquet(f"{root}/metrics_log")
+    run = uuid.uuid4().hex
+    evidence.append_metrics(evidence.log_rows(metrics, run_id=run, elapsed_ms=stages.elapsed_ms), f"{root}/metrics_log")
+    log = spark.read.parquet(f"{root}/metrics_log")
+    evidence.slo_check(spark, log, OBJECTIVES, run_id=run).write.mode("overwrite").parquet(f"{root}/objectives")
+    return log

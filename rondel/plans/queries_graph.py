@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rondel.operators import graph
-from rondel.plans.registry import query
+from rondel.plans.registry import SQL, query
 from rondel.plans.standins import CONTACTS_SQL, DELIVERIES_SQL, contacts, deliveries
-from rondel.session import cut_lineage
+from rondel.session import cut_lineage, scratch_path
+from rondel.sources import files
 
 _DAMPING = 0.85
 _ROUNDS = 20
@@ -73,55 +74,63 @@ def graph_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.graph_stats(*_contact_graph(spark, sf_dir))
 
 
-def _rounded(ranks: DataFrame) -> DataFrame:
-    """Sums of doubles differ in the last digits with the order of rows."""
-    return ranks.withColumn("rank", F.round("rank", 9))
+def _in_shares(ranks: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Ranks as multiples of 1/N, which tell them apart at any size; the last digits of sums depend on the order of rows."""
+    n = vertices.agg(F.count("*")).scalar()
+    return ranks.select("id", "name", F.round(F.col("rank") * n, 6).alias("rank_shares"))
+
+
+_SHARES = "id, name, round(rank * (SELECT count(*) FROM v), 6) AS rank_shares"
 
 
 @query("pagerank", f"""
     {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)}
-    SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
+    SELECT {_SHARES} FROM r{_ROUNDS} JOIN v USING (id)
 """)
 def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     vertices, edges = _contact_graph(spark, sf_dir)
     run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=0.0)
-    return _rounded(graph.with_names(run.ranks, vertices))
+    return _in_shares(graph.with_names(run.ranks, vertices), vertices)
 
 
 def _converged_sql(rounds: int, tol: float) -> str:
     """Every round up to the limit, of which the first quiet one is taken."""
     deltas = " UNION ALL ".join(
-        f"SELECT {i} AS i, (SELECT max(abs(a.rank - b.rank)) FROM r{i} AS a JOIN r{i - 1} AS b USING (id)) AS delta"
+        f"SELECT {i} AS i, (SELECT max(abs(a.rank - b.rank) / b.rank) FROM r{i} AS a JOIN r{i - 1} AS b USING (id)) AS delta"
         for i in range(1, rounds + 1))
     every = " UNION ALL ".join(f"SELECT {i} AS i, id, rank FROM r{i}" for i in range(1, rounds + 1))
     return f"""
     {_pagerank_ctes(CONTACTS_SQL, rounds, both=False)},
     t AS MATERIALIZED ({deltas}),
     stop AS (SELECT coalesce(min(i) FILTER (WHERE delta < {tol}), {rounds}) AS i FROM t)
-    SELECT id, name, round(rank, 9) AS rank FROM ({every}) AS every_round JOIN stop USING (i) JOIN v USING (id)"""
+    SELECT {_SHARES} FROM ({every}) AS every_round JOIN stop USING (i) JOIN v USING (id)"""
+
 
+# The largest change of a rank relative to its old value, so the size of the graph does not decide when to stop.
+_TOL = 1e-3
 
-@query("pagerank_converged", _converged_sql(20, 1e-4))
+
+@query("pagerank_converged", _converged_sql(_ROUNDS, _TOL))
 def pagerank_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to 20 rounds, ended by the largest change of a rank."""
+    """Up to 20 rounds, ended by the largest relative change of a rank."""
     vertices, edges = _contact_graph(spark, sf_dir)
-    run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=20, tol=1e-4)
-    return _rounded(graph.with_names(run.ranks, vertices))
+    run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=_TOL, relative=True)
+    return _in_shares(graph.with_names(run.ranks, vertices), vertices)
 
 
 @query("pagerank_both", f"""
     {_pagerank_ctes(DELIVERIES_SQL, _ROUNDS, both=True)}
-    SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
+    SELECT {_SHARES} FROM r{_ROUNDS} JOIN v USING (id)
 """)
 def pagerank_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     vertices, edges = _graph(deliveries(spark, sf_dir))
     run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=0.0, orientation="both")
-    return _rounded(graph.with_names(run.ranks, vertices))
+    return _in_shares(graph.with_names(run.ranks, vertices), vertices)
 
 
 @query("pagerank_top", f"""
     {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)}
-    SELECT id, name, round(rank, 9) AS rank FROM r{_ROUNDS} JOIN v USING (id)
+    SELECT {_SHARES} FROM r{_ROUNDS} JOIN v USING (id)
     ORDER BY round(rank * (SELECT count(*) FROM v), 6) DESC, id LIMIT 50
 """)
 def pagerank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,22 +138,30 @@ def pagerank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = graph.pagerank(vertices, edges, damping=_DAMPING, max_rounds=_ROUNDS, tol=0.0)
     # A rank is about 1/N, so ranks are told apart as multiples of that, at any size of the graph.
     leading = F.desc(F.round(F.col("rank") * vertices.count(), 6))
-    return _rounded(graph.pagerank_top(run.ranks, vertices, 50, order=leading))
+    return _in_shares(graph.pagerank_top(run.ranks, vertices, 50, order=leading), vertices)
+
+
+@query("pagerank_top_export", SQL["pagerank_top"])
+def pagerank_top_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading vertices as one CSV file, read back."""
+    path = scratch_path(spark, "pagerank_top")
+    graph.export_top(pagerank_top(spark, sf_dir), path, by="rank_shares")
+    return files.read_csv_typed(spark, path, "id bigint, name string, rank_shares double")
 
 
 def _trace_sql() -> str:
     deltas = " UNION ALL ".join(
-        f"SELECT {i} AS iteration, (SELECT max(abs(a.rank - b.rank)) FROM r{i} AS a "
+        f"SELECT {i} AS iteration, (SELECT max(abs(a.rank - b.rank) / b.rank) FROM r{i} AS a "
         f"JOIN r{i - 1} AS b USING (id)) AS delta" for i in range(1, _ROUNDS + 1))
     return f"""
     {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)},
     t AS MATERIALIZED ({deltas})
-    SELECT CAST(iteration AS INT) AS iteration, round(delta, 9) AS max_delta, delta < 1e-9 AS converged FROM t
-    WHERE iteration <= coalesce((SELECT min(iteration) FROM t WHERE delta < 1e-9), {_ROUNDS})"""
+    SELECT CAST(iteration AS INT) AS iteration, round(delta, 9) AS max_delta, delta < {_TOL} AS converged FROM t
+    WHERE iteration <= coalesce((SELECT min(iteration) FROM t WHERE delta < {_TOL}), {_ROUNDS})"""
 
 
 @query("iteration_trace", _trace_sql())
 def iteration_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reproducible columns; the full trace also has the time of each round and its running total."""
-    run = graph.pagerank(*_contact_graph(spark, sf_dir), damping=_DAMPING, max_rounds=_ROUNDS, tol=1e-9)
+    run = graph.pagerank(*_contact_graph(spark, sf_dir), damping=_DAMPING, max_rounds=_ROUNDS, tol=_TOL, relative=True)
     return run.trace(spark).select("iteration", F.round("max_delta", 9).alias("max_delta"), "converged")

@@ -9,6 +9,7 @@ from rondel.plans import match_results as matches
 from rondel.plans.registry import query
 from rondel.plans.standins import PLAYS_SQL, plays
 from rondel.session import cut_lineage, scratch_path
+from rondel.sources import layout
 
 _Z = [f"{c}_z" for c in matches.FEATURES]
 # Centers in standardised feature space: weak, middling and strong entities.
@@ -113,18 +114,50 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.scaled_vectors(features, matches.FEATURES)
 
 
-# The seeding of the model library has no SQL counterpart: rows only for the two queries below.
+# The seeding of the model library has no SQL counterpart: scores and labels are rows only, what must hold of them has SQL.
+
+def _sweep(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    vectors = _vectors(spark, sf_dir)
+    return vectors, clustering.kmeans_sweep(vectors, matches.CLUSTER_COUNTS, matches.SEEDS)
+
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = clustering.kmeans_sweep(_vectors(spark, sf_dir), matches.CLUSTER_COUNTS, matches.SEEDS)
-    return clustering.sweep_summary(fits)
+    return clustering.sweep_summary(_sweep(spark, sf_dir)[1])
+
+
+@query("kmeans_selection", f"""
+    SELECT k, CAST({len(matches.SEEDS)} AS BIGINT) AS fits, TRUE AS in_range, CAST(1 AS BIGINT) AS chosen
+    FROM (VALUES {", ".join(f"({k})" for k in matches.CLUSTER_COUNTS)}) AS t(k)
+""")
+def kmeans_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of any sweep: every k was fitted with every seed, scores lie between -1 and 1, and one k is chosen."""
+    summary = clustering.sweep_summary(_sweep(spark, sf_dir)[1])
+    chosen = summary.agg(F.count_if("is_best")).scalar()
+    return summary.select("k", "fits", F.col("mean_silhouette").between(-1, 1).alias("in_range"), chosen.alias("chosen"))
+
+
+def _final(spark: SparkSession, sf_dir: str) -> tuple[clustering.KMeansModel, DataFrame]:
+    """The stored model of the selected k, and its labelled entities as stored, partitioned by cluster."""
+    vectors, fits = _sweep(spark, sf_dir)
+    model = clustering.fit_kmeans(vectors, clustering.best_k(fits), matches.SEEDS[0])
+    model = clustering.save_and_reload(model, scratch_path(spark, "kmeans"))
+    path = scratch_path(spark, "team_clusters")
+    layout.write_partitioned(model.transform(vectors), path, ["prediction"])
+    return model, spark.read.parquet(path)
 
 
 @query("kmeans_final")
 def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    model = clustering.fit_kmeans(vectors, matches.CLUSTER_COUNTS[0], matches.SEEDS[0])
-    stored = clustering.save_and_reload(model, scratch_path(spark, "kmeans"))
-    return stored.transform(vectors).select(
+    return _final(spark, sf_dir)[1].select(
         "team_name", "win_rate", "avg_rank", "maps_played", "avg_score_diff", "maps_variety", "prediction")
+
+
+@query("kmeans_final_check", f"""
+    SELECT count(*) AS entities, CAST(0 AS BIGINT) AS off_center FROM ({_FEATURES_SQL}) AS f
+    WHERE {" AND ".join(f"{c} IS NOT NULL" for c in matches.FEATURES)}
+""")
+def kmeans_final_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entity with all features is stored once, under the cluster whose center is nearest."""
+    model, stored = _final(spark, sf_dir)
+    return clustering.off_center(stored, model)

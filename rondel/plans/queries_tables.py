@@ -225,6 +225,20 @@ def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(after)
 
 
+@query("compaction_files", """
+    SELECT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, CAST(1 AS BIGINT) AS files,
+           count(*) AS orders
+    FROM orders GROUP BY ALL
+""")
+def compaction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and rows per month after an in-place compaction; a month of less than the target size has one file."""
+    path, by = _scattered_orders(spark, sf_dir), ["year", "month"]
+    layout.compact_in_place(spark, path, by, ["o_orderdate", "o_orderkey"], staging=scratch_path(spark, "compaction"))
+    per_month = layout.partition_files(spark, path, by).groupBy(*[F.col(c).cast("int").alias(c) for c in by]).agg(
+        F.count("*").alias("files"))
+    return per_month.join(spark.read.parquet(path).groupBy(*by).agg(F.count("*").alias("orders")), by)
+
+
 @query("file_layout_stats")
 def file_layout_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _scattered_orders(spark, sf_dir), scratch_path(spark, "orders_compact")

@@ -107,12 +107,16 @@ def inverted_index_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(_blocked_index(spark, sf_dir, "alnum", distinct=True))
 
 
-def _stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "index")
     text_index.write_index(_blocked_index(spark, sf_dir, "alnum", distinct=True), path)
     return spark.read.parquet(path)
 
 
+def lookup_words(spark: SparkSession, index: DataFrame) -> DataFrame:
+    return text_index.lookup_terms(spark, index, _WORDS)
+
+
 _TERMS_SQL = ", ".join(f"('{w}')" for w in _WORDS)
 
 
@@ -122,7 +126,7 @@ _TERMS_SQL = ", ".join(f"('{w}')" for w in _WORDS)
     GROUP BY term
 """)
 def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.lookup_terms(spark, _stored_index(spark, sf_dir), _WORDS)
+    return lookup_words(spark, stored_index(spark, sf_dir))
 
 
 @query("index_postings", f"""
@@ -130,7 +134,7 @@ def index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE token IN ({", ".join(f"'{w}'" for w in _WORDS)})
 """)
 def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_index.postings(_stored_index(spark, sf_dir), _WORDS)
+    return text_index.postings(stored_index(spark, sf_dir), _WORDS)
 
 
 @query("index_top_terms", f"""
@@ -189,7 +193,9 @@ def render_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def curate_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time and the 64-bit hash have no SQL counterpart and are left out."""
-    return matches.curated(matches.narratives(plays(spark, sf_dir))).drop("curated_at", "content_hash")
+    path = scratch_path(spark, "narratives")
+    matches.narratives(plays(spark, sf_dir)).write.parquet(path)  # rendered once, read twice
+    return matches.curated(spark.read.parquet(path)).drop("curated_at", "content_hash")
 
 
 @query("curate_text", """

@@ -115,3 +115,16 @@ def test_top_breaks_ties_by_id_and_has_names(spark, tmp_path):
     assert sorted(r["name"] for r in top.collect()) == ["v0", "v1", "v2"]
     graph.export_top(top, str(tmp_path / "top"))
     assert [r["id"] for r in spark.read.csv(str(tmp_path / "top"), header=True).collect()] == ["1", "2", "0"]
+
+
+def test_relative_stop_does_not_depend_on_the_size_of_the_graph(spark):
+    n = 30_000
+    vertices = spark.range(n).select("id", F.col("id").cast("string").alias("name"))
+    edges = spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit(1).alias("weight"))
+    absolute = graph.pagerank(vertices, edges, tol=1e-4, max_rounds=60)
+    assert len(absolute.rounds) == 1  # every rank is below the tolerance from the start
+    run = graph.pagerank(vertices, edges, tol=1e-2, relative=True, max_rounds=60)
+    assert 10 < len(run.rounds) < 40
+    rank = {r["id"]: r["rank"] * n for r in run.ranks.filter("id IN (0, 1, 29999)").collect()}
+    assert rank[0] == pytest.approx(0.15) and rank[1] == pytest.approx(0.15 * 1.85)
+    assert rank[29999] == pytest.approx(1.0, rel=0.1)

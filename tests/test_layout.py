@@ -95,3 +95,27 @@ def test_log_is_append_only(spark, metrics, tmp_path):
     log = spark.read.parquet(path)
     assert tuple(log.columns) == evidence.LOG_COLUMNS
     assert {r["run_id"]: r["count"] for r in log.groupBy("run_id").count().collect()} == {"r1": 4, "r2": 4}
+
+
+def test_compaction_in_place_rewrites_crowded_partitions_only(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "staging")
+    rows = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+                                    F.when(F.col("id") % 4 == 0, "a+ b").otherwise("c/d").alias("k"))
+    rows.filter("k = 'c/d'").repartition(9).write.partitionBy("k").parquet(path)
+    rows.filter("k = 'a+ b'").coalesce(1).write.mode("append").partitionBy("k").parquet(path)
+    files = lambda: {(r["k"], r["path"]): r["bytes"] for r in layout.partition_files(spark, path, ["k"]).collect()}
+    before = files()
+    whole = sum(size for (k, _), size in before.items() if k == "c/d")
+    assert layout.compact_in_place(spark, path, ["k"], ["id"], staging=staging, target_bytes=whole // 3 + 1) == 9
+    after = files()
+    assert {x for x in before if x[0] == "a+ b"} == {x for x in after if x[0] == "a+ b"}
+    assert sum(k == "c/d" for k, _ in after) == 3
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "pad", "k").collect())) == sorted(map(tuple, rows.collect()))
+    assert layout.compact_in_place(spark, path, ["k"], staging=staging, target_bytes=whole) == 3
+    assert layout.compact_in_place(spark, path, ["k"], staging=staging, target_bytes=whole * 2) == 0
+
+
+def test_worst_row_of_a_metric_counts(spark):
+    rows = spark.createDataFrame([("r", "m", 1.0), ("r", "m", 9.0), ("q", "m", 99.0)], "run_id string, metric_name string, metric_value double")
+    got = evidence.slo_check(spark, rows, {"m": ("max", 5)}, run_id="r").collect()
+    assert [(r["metric_value"], r["status"]) for r in got] == [(9.0, "FAIL")]

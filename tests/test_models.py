@@ -93,3 +93,40 @@ def test_profile(spark):
            clustering.cluster_profile(df, cluster="cluster", means={"avg_w": "w"}).collect()}
     assert got == {0: (2, 1.5), 1: (1, 0.333)}
     assert not math.isnan(got[1][1])
+
+
+def test_distinct_counts_multiply_no_rows(plays):
+    plan = features(plays)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    hot = plays.withColumn("team", F.when(F.col("team") == "t0", None).otherwise(F.col("team")))
+    got = {r["entity"]: r["maps"] for r in clustering.entity_features(
+        hot, entity="team", won=F.col("won") == 1, means={}, distinct={"maps": "map", "ranks": "rank"}, min_support=1).collect()}
+    assert got[None] == 3 and got["t5"] == 3
+
+
+def test_silhouette_of_many_clusters_and_of_one(spark):
+    df = spark.range(1500).select((F.col("id") % 500).alias("cluster"), (F.col("id") % 500 * 10.0 + F.rand(3)).alias("x"))
+    scored = clustering.silhouette_scores(df, ["x"])
+    assert scored.agg(F.min("silhouette")).first()[0] > 0.5 and scored.columns == ["cluster", "x", "silhouette"]
+    vectors = VectorAssembler(inputCols=["x"], outputCol="v").transform(df.withColumn("cluster", F.col("cluster").cast("int")))
+    judged = ClusteringEvaluator(featuresCol="v", predictionCol="cluster").evaluate(vectors)
+    assert scored.agg(F.avg("silhouette")).first()[0] == pytest.approx(judged, abs=1e-6)
+    one = clustering.silhouette_scores(df.withColumn("cluster", F.lit(1)), ["x"])
+    assert one.agg(F.max("silhouette")).first()[0] == 0.0
+
+
+def test_sweeps_in_a_row(spark):
+    blobs = spark.range(60).select(((F.col("id") % 3) * 100 + F.rand(1)).alias("x"), F.rand(2).alias("y"))
+    vectors = clustering.scaled_vectors(blobs, ["x", "y"])
+    for _ in range(5):
+        assert clustering.kmeans_sweep(vectors, [2, 3], [1, 2, 3, 4], max_iter=3).count() == 8
+
+
+def test_rows_off_their_center(spark, tmp_path):
+    blobs = spark.range(60).select("id", ((F.col("id") % 3) * 100 + F.rand(1)).alias("x"), F.rand(2).alias("y"))
+    vectors = clustering.scaled_vectors(blobs, ["x", "y"])
+    model = clustering.fit_kmeans(vectors, 3, 1)
+    labelled = model.transform(vectors)
+    assert tuple(clustering.off_center(labelled, model).first()) == (60, 0)
+    moved = labelled.withColumn("prediction", F.when(F.col("id") < 6, (F.col("prediction") + 1) % 3).otherwise(F.col("prediction")))
+    assert tuple(clustering.off_center(moved, model).first()) == (60, 6)

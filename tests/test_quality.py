@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from rondel.operators import aggregates, quality
+from rondel.operators import aggregates, curation, quality
 from rondel.plans import match_results as matches
 from rondel.sources import files
 
@@ -127,3 +127,28 @@ def test_weighted_mean_ignores_the_weight_of_missing_means(spark):
 def test_win_rate_without_decided_rows_is_null(spark):
     df = spark.createDataFrame([("m", 0, 0)], "map string, a int, b int")
     assert aggregates.win_rate_by_group(df, by="map", first="a", second="b").first()["first_win_rate"] is None
+
+
+def test_first_rows_with_ties_nulls_and_repeats(spark):
+    rows = [("a", 1, "x"), ("a", 1, "w"), ("a", 2, "v"), (None, 3, "u"), (None, None, "t"), ("b", 5, "s"), ("b", 5, "s"), ("c", 7, None)]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    by_order = quality.keep_first(df, ["k"], ["o"])
+    assert sorted(map(tuple, by_order.collect()), key=repr) == sorted(
+        [("a", 1, "w"), (None, None, "t"), ("b", 5, "s"), ("c", 7, None)], key=repr)
+    by_all = quality.keep_first(df.drop("o"), ["k"])
+    assert sorted(map(tuple, by_all.collect()), key=repr) == sorted([("a", "v"), (None, "t"), ("b", "s"), ("c", None)], key=repr)
+    assert quality.keep_first(df.limit(0), ["k"], ["o"]).count() == 0
+
+
+def test_texts_are_not_sorted(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    spark.range(2000).select((F.col("id") % 700).alias("g"), F.col("id").alias("doc_id"), F.repeat(F.lit("w"), 200).alias("pad")).select(
+        "doc_id", F.concat("pad", F.col("g").cast("string")).alias("text")).write.parquet(path)
+    kept = curation.curate_text(spark.read.parquet(path))
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Union")[1]
+    before_ties = plan.split("Window")[0]
+    assert kept.count() == 700
+    assert "ShuffledHashJoin" in before_ties and "SortMergeJoin" not in before_ties
+    sorted_here = [line for line in before_ties.splitlines() if "Sort [" in line]
+    assert sorted_here and all("_key" in line for line in sorted_here)  # winners: hash and order, no text
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rondel.operators import clustering, curation, graph, text_index
-from rondel.streaming import windows
+from rondel.sources import streams
+from rondel.streaming import progress, sinks, windows
 
 N = 3000
 
@@ -80,14 +81,18 @@ def test_star_graph_with_its_hub_cut(spark, monkeypatch, broadcast_limit):
     assert a == pytest.approx(b) and sum(a.values()) == pytest.approx(1.0)
 
 
-@pytest.mark.parametrize("broadcast_limit", [0, 500_000])
-def test_late_rows_of_a_hot_batch(spark, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(windows, "MAX_BROADCAST_BATCHES", broadcast_limit)
+def test_late_rows_of_a_hot_batch(spark, tmp_path):
     start = datetime.datetime(2024, 1, 1)
     entries = [(hot(i) % 5, start + datetime.timedelta(minutes=(i * 37) % 2000)) for i in range(N)]
-    df = spark.createDataFrame(entries, "batch int, ts timestamp").repartition(8)
-    got = {r["batch"]: (r["input_rows"], r["late_rows"]) for r in
-           windows.late_rows(df, time="ts", batch="batch", width="10 minutes", delay="1 hour").collect()}
+    df = spark.createDataFrame([(i, b, t) for i, (b, t) in enumerate(entries)], "id int, batch int, ts timestamp")
+    landing, paths, runs = str(tmp_path / "landing"), sinks.SinkPaths.under(str(tmp_path / "run")), {}
+    for batch in sorted({b for b, _ in entries}):
+        streams.land_files(df.filter(F.col("batch") == batch), landing, 3, "json", "append")
+        stream = windows.once_on_time(streams.json_stream(spark, landing, "id int, batch int, ts timestamp"), key="id", time="ts",
+                                      width="10 minutes", delay="1 hour")
+        runs[str(batch)] = sinks.drain(stream, paths, state_partitions=3)
+    got = {int(r["label"]): (r["input_rows"], r["late_rows"]) for r in
+           windows.late_rows(progress.progress_table(spark, runs)).collect()}
     horizon, expected = None, {}
     for batch in sorted({b for b, _ in entries}):
         times = [t for b, t in entries if b == batch]

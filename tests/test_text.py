@@ -75,6 +75,10 @@ def test_lookup_reads_only_wanted_tokens(spark, index, tmp_path):
     assert "PushedFilters: [IsNotNull(token), EqualTo(token,hot)" in plan
     assert "ReadSchema: struct<token:string,doc_ids:array<bigint>>" in plan
     assert text_index.postings(stored, ["hot"]).count() == 10
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "bucket" in pruned and "xxhash64" not in pruned  # only one directory is listed
+    looked = {r["term"]: (r["hits"], r["freq"]) for r in text_index.lookup_terms(spark, stored, ["hot", "word3", "none"]).collect()}
+    assert looked == {"hot": (10, 11), "word3": (1, 1), "none": (0, 0)}
 
 
 def test_top_terms_break_ties_by_token(index):
