@@ -14,13 +14,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rondel.llm.shared import plain_words, quoted, small_batches, stored
+from rondel.llm.shared import arrow_pass, batch_of, plain_words, quoted, small_batches, stored
 
 MAX_LABELLED = 20_000  # rows that fitting takes of the labelled documents, about; chosen by a hash of the id
 MAX_POOL = 20_000      # and of the unlabelled ones that views may label for each other
@@ -32,8 +30,12 @@ GRAM = 4               # characters of an n-gram; the ends of a word count as on
 CACHE_WORDS = 300_000  # whose bins a worker process keeps
 LONGEST = 64           # characters of a word that is kept there
 PENALTY = 0.001
-MAX_STEPS = 1000       # of a fit, a safety limit; one that reaches it is reported
-FIT_TASKS = 3          # the bounded sample needs no more
+MAX_STEPS = 2000       # of one descent, and
+MAX_ROUNDS = 60        # descents of a fit: safety limits; a fit that reaches them is reported
+REST = 1e-5            # change of a weight at which a descent has come to rest
+TOLERANCE = 0.01       # by which a slope may exceed the penalty
+JOIN_AT_ONCE = 400     # columns that join a descent
+HANDED_WEIGHT = 0.5    # of a label that another view handed on
 META_FEATURES = 1 << 10
 _HASH_RANGE = 1 << 30
 
@@ -89,115 +91,259 @@ class WordBins:
         return np.unique(np.frombuffer(b"".join([known[w] if w in known else self._of(w) for w in words]), np.int32))
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """``docs`` with what the metadata view is made of; null and missing columns are empty."""
+def _metadata(docs: DataFrame) -> list[Column]:
+    """What the views are made of: the text, the metadata's tags and the size; null and missing columns are empty."""
     def column(name: str) -> Column:
         return F.col(quoted(name)) if name in docs.columns else F.lit(None)
 
-    about = F.array(F.concat(F.lit("source="), F.coalesce(column("source").cast("string"), F.lit(""))),
-                    F.concat(F.lit("lang="), F.coalesce(column("lang").cast("string"), F.lit(""))))
+    tags = F.array(F.concat(F.lit("source="), F.coalesce(column("source").cast("string"), F.lit(""))),
+                   F.concat(F.lit("lang="), F.coalesce(column("lang").cast("string"), F.lit(""))))
     size = F.log1p(F.greatest(F.coalesce(column("n_chars").cast("double"), F.lit(0.0)), F.lit(0.0))) / 10
-    small_batches(docs.sparkSession)
-    return docs.withColumn("_text", column("text").cast("string")).withColumn("_about", about).withColumn("_size", size)
+    return [column("text").cast("string").alias("_text"), tags.alias("_tags"), size.alias("_size")]
 
 
-def with_meta_view(rows: DataFrame) -> DataFrame:
-    """Prepared rows with ``meta_view``, a sparse vector."""
-    rows = HashingTF(numFeatures=META_FEATURES, binary=True, inputCol="_about", outputCol="_tags").transform(rows)
-    rows = VectorAssembler(inputCols=["_tags", "_size"], outputCol="meta_view").transform(rows)
-    return rows.drop("_about", "_size", "_tags")
+def tag_bins(tags: Iterable[str]) -> list[int]:
+    return sorted({zlib.crc32(t.encode("utf-8", "surrogatepass")) % META_FEATURES for t in tags})
 
 
-def with_views(rows: DataFrame) -> DataFrame:
-    """Prepared rows with ``text_view`` and ``meta_view``, sparse vectors; the bins come first in the text view."""
-    size = BINS + len(_KINDS) + 5
+_VIEWS = pa.schema([("doc_id", pa.int64()), ("good", pa.float64()), ("held", pa.bool_()), ("bins", pa.list_(pa.int32())),
+                    ("form", pa.list_(pa.float64())), ("tags", pa.list_(pa.int32())), ("size", pa.float64())])
 
-    words = WordBins()
-
-    @F.udf(VectorUDT(), useArrow=False)
-    def seen(text: str | None) -> SparseVector:
-        form, distinct = form_of(text)
-        bins = words.all(distinct)
-        return SparseVector(size, np.concatenate([bins, np.arange(BINS, size)]), np.concatenate([np.ones(len(bins)), form]))
-
-    return with_meta_view(rows).withColumn("text_view", seen("_text")).drop("_text")
-
-
-def text_margin(model: LogisticRegressionModel) -> Column:
-    """The margin of ``_text``, by ``model`` of the text view.
 
-    Most bins weigh nothing, so the words' bins that do are all that is looked up, and no vector leaves the worker.
+def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = WordBins()
+    for batch in batches:
+        texts, tags = batch.column("_text").to_pylist(), batch.column("_tags").to_pylist()
+        for i in range(0, len(texts), 200):
+            seen = [form_of(t) for t in texts[i:i + 200]]
+            part = batch.slice(i, 200)
+            yield batch_of(_VIEWS, [part.column("doc_id"), part.column("good"), part.column("held"),
+                                    [words.all(distinct) for _, distinct in seen], [form for form, _ in seen],
+                                    [tag_bins(t) for t in tags[i:i + 200]], part.column("_size")])
+
+
+class View:
+    """Rows of a view: the bins that are set, row after row, and a few dense measures."""
+
+    def __init__(self, bins: np.ndarray, ends: np.ndarray, dense: np.ndarray, width: int):
+        self.bins, self.ends, self.dense, self.width = bins, ends, dense, width
+
+    def rows(self, which: np.ndarray) -> View:
+        starts = np.concatenate(([0], self.ends[:-1]))[which]
+        lengths = self.ends[which] - starts
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return View(self.bins[at], ends, self.dense[which], self.width)
+
+    def columns(self, keep: np.ndarray) -> View:
+        """Only the bins of ``keep``, numbered by their place in it."""
+        place = np.full(self.width, -1, np.int32)
+        place[keep] = np.arange(len(keep), dtype=np.int32)
+        moved = place[self.bins]
+        inside = moved >= 0
+        return View(moved[inside], np.concatenate(([0], np.cumsum(inside)))[self.ends], self.dense, len(keep))
+
+    def dot(self, weights: np.ndarray) -> np.ndarray:
+        """Products with weights of the bins, then of the dense measures."""
+        out = np.empty(len(self.ends))
+        for s in range(0, len(out), 2000):  # so that what is gathered at once stays small
+            ends = self.ends[s:s + 2000]
+            first = self.ends[s - 1] if s else 0
+            sums = np.concatenate(([0.0], np.cumsum(weights[self.bins[first:ends[-1]]])))
+            out[s:s + 2000] = np.diff(sums[np.concatenate(([0], ends - first))])
+        return out + self.dense @ weights[self.width:]
+
+    def turned(self, values: np.ndarray) -> np.ndarray:
+        """Products of all columns with a value per row."""
+        out = np.zeros(self.width)
+        for s in range(0, len(values), 2000):
+            ends = self.ends[s:s + 2000]
+            first = self.ends[s - 1] if s else 0
+            lengths = np.diff(np.concatenate(([first], ends)))
+            out += np.bincount(self.bins[first:ends[-1]], np.repeat(values[s:s + 2000], lengths), self.width)
+        return np.concatenate([out, self.dense.T @ values])
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
+
+
+def _descend(view: View, scale: np.ndarray, y: np.ndarray, share: np.ndarray, start: np.ndarray, bias: float,
+             steps: int) -> tuple[np.ndarray, float, bool]:
+    """Accelerated proximal descent of the weighted log loss with an absolute penalty on scaled weights; whether it came to rest."""
+    def loss(w: np.ndarray, b: float) -> tuple[float, np.ndarray]:
+        m = view.dot(w / scale) + b
+        return float(share @ (np.logaddexp(0, m) - y * m)), m
+
+    w, b, ahead, ahead_b, speed, rate = start.copy(), bias, start.copy(), bias, 1.0, 4.0
+    for _ in range(steps):
+        at, m = loss(ahead, ahead_b)
+        off = share * (_sigmoid(m) - y)
+        slope, slope_b = view.turned(off) / scale, float(off.sum())
+        while True:
+            moved = ahead - rate * slope
+            new = np.sign(moved) * np.maximum(np.abs(moved) - rate * PENALTY, 0)
+            new_b = ahead_b - rate * slope_b
+            by, by_b = new - ahead, new_b - ahead_b
+            if loss(new, new_b)[0] <= at + slope @ by + slope_b * by_b + (by @ by + by_b * by_b) / (2 * rate) + 1e-12:
+                break
+            rate /= 2
+        step, step_b = new - w, new_b - b
+        if step @ (ahead - new) + step_b * (ahead_b - new_b) > 0:
+            speed = 1.0  # it went too far: start anew from here
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        ahead, ahead_b = new + (speed - 1) / faster * step, new_b + (speed - 1) / faster * step_b
+        w, b, speed, rate = new, new_b, faster, rate * 1.1
+        if max(np.abs(step).max(initial=0), abs(step_b)) < REST * max(1.0, np.abs(w).max(initial=0)):
+            return w, b, True
+    return w, b, False
+
+
+def fit(view: View, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float, bool]:
+    """Weights and bias of a logistic regression with an absolute penalty, and whether it converged.
+
+    Columns are scaled by their deviation, as the penalty is. Only columns that the penalty does not hold at zero take part in a
+    descent; after it the slope of all columns tells which ones have to join. It ends when none has.
     """
-    weights, bias = model.coefficients.toArray(), float(model.intercept)
-    wanted = np.flatnonzero(weights[:BINS]).astype(np.int32)
-    heavy, form_weights = weights[wanted], weights[BINS:]
-
-    @F.pandas_udf("double")
-    def margin(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        of_bin = np.zeros(BINS)
-        of_bin[wanted] = heavy
-        words = WordBins(of_bin != 0)
-
-        def one(text: str | None) -> float:
-            form, distinct = form_of(text)
-            return bias + float(np.dot(form, form_weights)) + float(of_bin[words.all(distinct)].sum())
-
-        for texts in parts:
-            yield pd.Series([one(t) for t in texts], dtype="float64")
-
-    return margin("_text")
-
-
-def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
-    # The absolute penalty drops bins that tell nothing.
-    model = LogisticRegression(featuresCol=view, labelCol="good", weightCol="weight", regParam=PENALTY, elasticNetParam=1.0,
-                               maxIter=MAX_STEPS, rawPredictionCol=f"{view}_raw", probabilityCol=f"{view}_p",
-                               predictionCol=f"{view}_y").fit(rows)
-    if model.summary.totalIterations >= MAX_STEPS:
-        warnings.warn(f"the fit of {view} did not converge in {MAX_STEPS} steps")
-    return model
+    share = weight / weight.sum()
+    mean = view.turned(share)
+    square = np.concatenate([mean[:view.width], (view.dense ** 2).T @ share])
+    scale = np.sqrt(np.maximum(square - mean * mean, 0))
+    usable = scale > 1e-6
+    weights, bias = np.zeros(len(mean)), float(np.log((share @ y) / (share @ (1 - y))))
+    taken = np.zeros(len(mean), bool)
+    taken[view.width:] = True  # dense measures always take part
+    for _ in range(MAX_ROUNDS):
+        slope = view.turned(share * (_sigmoid(view.dot(weights) + bias) - y))
+        excess = np.where(usable & ~taken, np.abs(slope) / np.where(usable, scale, 1), 0)
+        joining = np.flatnonzero(excess > PENALTY * (1 + TOLERANCE))
+        if not len(joining) and taken[:view.width].any():
+            return weights, bias, rested
+        taken[joining[np.argsort(-excess[joining])[:JOIN_AT_ONCE]]] = True
+        keep = np.flatnonzero(taken[:view.width])
+        both = np.concatenate([keep, np.arange(view.width, len(mean))])
+        part_scale = np.where(usable[both], scale[both], np.inf)
+        found, bias, rested = _descend(view.columns(keep), part_scale, y, share,
+                                       np.where(usable[both], weights[both] * scale[both], 0), bias, MAX_STEPS)
+        weights = np.zeros(len(mean))
+        weights[both] = found / part_scale
+        if not len(joining):
+            return weights, bias, rested
+        taken[:view.width] &= weights[:view.width] != 0
+        taken[joining] |= weights[joining] != 0
+    return weights, bias, False
+
+
+def _calibrated(good: np.ndarray, *margins: np.ndarray) -> np.ndarray:
+    """Bias and weights of a logistic regression of the held-out labels on margins, by Newton steps."""
+    y, x = good, np.column_stack([np.ones(len(good)), *margins])
+    y = (y * (y.sum() + 1) + (1 - y)) / np.where(y > 0, y.sum() + 2, (1 - y).sum() + 2)  # smoothed targets
+    weights = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        slope = x.T @ (p - y) + 1e-3 * weights
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(weights))
+        step = np.linalg.solve(curve, slope)
+        weights = weights - np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return weights
 
 
-def _margin(rows: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
-    margin = vector_to_array(F.col(f"{view}_raw"))[1].alias(f"{view}_margin")
-    scored = model.transform(rows)
-    return scored.select(*[F.col(quoted(c)) for c in rows.columns], margin)
+_MODEL = pa.schema([("bins", pa.list_(pa.int32())), ("heavy", pa.list_(pa.float64())), ("form", pa.list_(pa.float64())),
+                    ("text_bias", pa.float64()), ("meta", pa.list_(pa.float64())), ("meta_bias", pa.float64()),
+                    ("combine", pa.list_(pa.float64())), ("converged", pa.bool_())])
+_MODEL_SQL = ("bins array<int>, heavy array<double>, form array<double>, text_bias double, meta array<double>, "
+              "meta_bias double, combine array<double>, converged boolean")
+
+
+def _cotrain(rounds: int):
+    """Co-training over the bounded sample, in one task; what comes out are the weights that are not zero."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if not rows:
+            return
+        table = pa.Table.from_batches(rows)
+        table = table.take(pc.sort_indices(table, [("doc_id", "ascending"), ("size", "ascending")]))
+
+        def listed(name: str) -> tuple[np.ndarray, np.ndarray]:
+            column = table.column(name).combine_chunks()
+            return column.flatten().to_numpy(), np.cumsum(pc.list_value_length(column).to_numpy().astype(np.int64))
+
+        good = table.column("good").to_numpy(zero_copy_only=False)
+        held = table.column("held").to_numpy(zero_copy_only=False).astype(bool)
+        form = listed("form")[0].reshape(len(good), -1)
+        size = table.column("size").to_numpy()[:, None]
+        views = {"text": View(*listed("bins"), form, BINS), "meta": View(*listed("tags"), size, META_FEATURES)}
+        del table, rows
+        known = ~np.isnan(good)
+        base, judges, pool = (np.flatnonzero(x) for x in (known & ~held, known & held, ~known))
+        if any(len(np.unique(good[x])) < 2 for x in (base, judges)):
+            return
+        given = {name: (np.empty(0, np.int64), np.empty(0)) for name in views}
+        fitted: dict[str, tuple[np.ndarray, float, bool]] = {}
+        margin = lambda name, which: views[name].rows(which).dot(fitted[name][0]) + fitted[name][1]
+        for turn in range(rounds + 1):
+            for name, view in views.items():
+                more, labels = given[name]
+                if name in fitted and not len(more):
+                    continue  # nothing but the rows it was fitted on
+                which = np.concatenate([base, more])
+                weight = np.concatenate([np.ones(len(base)), np.full(len(more), HANDED_WEIGHT)])
+                fitted[name] = fit(view.rows(which), np.concatenate([good[base], labels]), weight)
+            if turn == rounds:
+                break
+            for name, other in (("text", "meta"), ("meta", "text")):
+                bias, slope = _calibrated(good[judges], margin(name, judges))
+                p = _sigmoid(bias + slope * margin(name, pool))
+                sure = (p >= SURE) | (p <= 1 - SURE)
+                if sure.any() or len(given[other][0]):
+                    given[other] = pool[sure], (p[sure] >= 0.5).astype(float)
+        combine = _calibrated(good[judges], margin("text", judges), margin("meta", judges))
+        (text, text_bias, a), (meta, meta_bias, b) = fitted["text"], fitted["meta"]
+        wanted = np.flatnonzero(text[:BINS]).astype(np.int32)
+        yield batch_of(_MODEL, [[wanted], [text[wanted]], [text[BINS:]], [text_bias], [meta], [meta_bias], [combine], [a and b]])
+    return work
 
 
 class Judge:
     """Two fitted views and the weights that turn their margins into one probability."""
 
-    def __init__(self, text: LogisticRegressionModel, meta: LogisticRegressionModel, weights: np.ndarray):
-        self.text, self.meta, self.weights = text, meta, weights
+    def __init__(self, model: dict):
+        self.bins = np.array(model["bins"], np.int32)
+        self.heavy, self.form, self.meta, self.combine = (
+            np.array(model[k], np.float64) for k in ("heavy", "form", "meta", "combine"))
+        self.text_bias, self.meta_bias = model["text_bias"], model["meta_bias"]
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``good_probability``."""
-        rows = prepared(docs).withColumn("text_view_margin", text_margin(self.text)).drop("_text")
-        rows = _margin(with_meta_view(rows), self.meta, "meta_view")
-        bias, a, b = map(float, self.weights)
-        total = F.lit(bias) + F.lit(a) * F.col("text_view_margin") + F.lit(b) * F.col("meta_view_margin")
-        return rows.withColumn("_p", 1 / (1 + F.exp(-total))).select(
-            *[F.col(quoted(c)) for c in docs.columns], F.col("_p").alias("good_probability"))
+        """``docs`` with ``good_probability``.
 
+        Most bins weigh nothing, so the words' bins that do are all that is looked up.
+        """
+        wanted, heavy, form_weights, meta = self.bins, self.heavy, self.form, self.meta
+        bias = float(self.combine[0] + self.combine[1] * self.text_bias + self.combine[2] * self.meta_bias)
+        of_text, of_meta = float(self.combine[1]), float(self.combine[2])
 
-def _calibrated(held: DataFrame, margins: list[str]) -> np.ndarray:
-    """Bias and weights of a logistic regression of the label on margins, by Newton steps over the held-out rows.
+        @F.pandas_udf("double")
+        def probability(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            of_bin = np.zeros(BINS)
+            of_bin[wanted] = heavy
+            words = WordBins(of_bin != 0)
 
-    Those are a fifth of the bounded sample, so they are read on the driver.
-    """
-    rows = held.select("good", *margins).toPandas().to_numpy(np.float64)
-    y, x = rows[:, 0], np.column_stack([np.ones(len(rows)), rows[:, 1:]])
-    y = (y * (y.sum() + 1) + (1 - y)) / np.where(y > 0, y.sum() + 2, (1 - y).sum() + 2)  # smoothed targets
-    weights = np.zeros(x.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (p - y) + 1e-3 * weights
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(weights))
-        step = np.linalg.solve(curve, slope)
-        weights = weights - np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return weights
+            def text_margin(text: str | None) -> float:
+                form, distinct = form_of(text)
+                return float(np.dot(form, form_weights)) + float(of_bin[words.all(distinct)].sum())
+
+            for texts, tags, sizes in parts:
+                text = np.array([text_margin(t) for t in texts], np.float64)
+                about = np.array([meta[tag_bins(t)].sum() for t in tags], np.float64) + sizes.to_numpy(np.float64) * meta[-1]
+                yield pd.Series(_sigmoid(bias + of_text * text + of_meta * about), dtype="float64")
+
+        small_batches(docs.sparkSession)
+        whole = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc")
+        rows = docs.select(whole, *_metadata(docs)).select("doc", probability("_text", "_tags", "_size").alias("_p"))
+        kept = [c for c in docs.columns if c != "good_probability"]
+        return rows.select(*[F.col(f"doc.{quoted(c)}").alias(c) for c in kept], F.col("_p").alias("good_probability"))
 
 
 def _sample(most: int, of: int) -> Column:
@@ -218,41 +364,20 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled
     n_docs = docs.count()
     # Labels are cut to the sample on both sides before texts are moved.
     take = _sample(max_labelled, n_known)
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5))
-    raw = stored(prepared(docs.filter(take)).join(known.filter(take), "doc_id").withColumn("weight", F.lit(1.0))
-                 .withColumn("held", fold == 0), "labelled-rows")
-    counts = {(r[0], r[1]): r[2] for r in raw.groupBy("held", "good").count().collect()}
-    if any(counts.get((h, g), 0) == 0 for h in (True, False) for g in (0.0, 1.0)):
+    held = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 0
+    rows = docs.select("doc_id", *_metadata(docs)).filter(F.col("doc_id").isNotNull())
+    own = rows.filter(take).join(known.filter(take), "doc_id").withColumn("held", held)
+    pool = rows.filter(_sample(max_pool, n_docs)).join(known.select("doc_id"), "doc_id", "left_anti").select(
+        "*", F.lit(None).cast("double").alias("good"), F.lit(False).alias("held"))
+    sample = own.unionByName(pool).withColumn("doc_id", F.col("doc_id").cast("long"))
+    seen = stored(arrow_pass(sample, _views, "doc_id long, good double, held boolean, bins array<int>, form array<double>, "
+                                             "tags array<int>, size double"), "views")
+    found = seen.coalesce(1).mapInArrow(_cotrain(rounds), _MODEL_SQL).collect()  # the sample is bounded, and weights alone come back
+    if not found:
         return None
-    own = with_views(raw).select("doc_id", "text_view", "meta_view", "good", "weight", "held")
-    own = stored(own.coalesce(FIT_TASKS), "labelled-views")
-    pool = docs.filter(_sample(max_pool, n_docs)).filter(F.col("doc_id").isNotNull())
-    pool = prepared(pool.join(known.select("doc_id"), "doc_id", "left_anti"))
-    pool = stored(with_views(pool).select("doc_id", "text_view", "meta_view"), "unlabelled-views")
-    base, held = own.filter("NOT held").drop("held"), own.filter("held").drop("held")
-
-    given: dict[str, DataFrame | None] = {"text_view": None, "meta_view": None}
-    models: dict[str, LogisticRegressionModel] = {}
-    for turn in range(rounds + 1):
-        for view in given:
-            if view in models and given[view] is None:
-                continue  # nothing but the rows it was fitted on
-            rows = base if given[view] is None else base.unionByName(given[view])
-            models[view] = _fit(rows.coalesce(FIT_TASKS), view)
-        if turn == rounds:
-            break
-        for view, other in (("text_view", "meta_view"), ("meta_view", "text_view")):
-            bias, slope = _calibrated(_margin(held, models[view], view), [f"{view}_margin"])
-            p = 1 / (1 + F.exp(-(F.lit(bias) + F.lit(slope) * F.col(f"{view}_margin"))))
-            sure = _margin(pool, models[view], view).withColumn("_p", p).filter(
-                (F.col("_p") >= SURE) | (F.col("_p") <= 1 - SURE))
-            handed = stored(sure.select("doc_id", "text_view", "meta_view",
-                                        (F.col("_p") >= 0.5).cast("double").alias("good"),
-                                        F.lit(0.5).alias("weight")), "handed-on")
-            if given[other] is not None or not handed.isEmpty():
-                given[other] = handed
-    both = _margin(_margin(held, models["text_view"], "text_view"), models["meta_view"], "meta_view")
-    return Judge(models["text_view"], models["meta_view"], _calibrated(both, ["text_view_margin", "meta_view_margin"]))
+    if not found[0]["converged"]:
+        warnings.warn("a fit of the quality classifier did not converge")
+    return Judge(found[0].asDict())
 
 
 def document_labels(labels: DataFrame) -> DataFrame:

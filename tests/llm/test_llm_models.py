@@ -147,12 +147,60 @@ def test_quality(spark):
     assert quality.score(frame.limit(0), labels).count() == 0
 
 
-def test_fits_converge(spark):
-    rnd = random.Random(8)
-    rows = [(i, " ".join(rnd.choices([f"w{k}" for k in range(300)], k=30)), float(rnd.random() < 0.5)) for i in range(300)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, good double").withColumn("weight", F.lit(1.0))
-    model = quality._fit(quality.with_views(quality.prepared(frame)).coalesce(1), "text_view")
-    assert 15 < model.summary.totalIterations < model.getMaxIter()
+def test_fits_reach_the_optimum():
+    """No column may leave zero and no weight may move: the slope of the loss is the penalty where a weight is, and below it elsewhere."""
+    rnd = np.random.default_rng(8)
+    width, n = 3000, 400
+    sets = [np.unique(rnd.integers(0, width, 60)).astype(np.int32) for _ in range(n)]
+    y = (np.array([b[0] < 40 for b in sets]) ^ (rnd.random(n) < 0.1)).astype(float)
+    dense, weight = rnd.random((n, 2)), rnd.choice([0.5, 1.0], n)
+    view = quality.View(np.concatenate(sets), np.cumsum([len(b) for b in sets]), dense, width)
+    weights, bias, converged = quality.fit(view, y, weight)
+    assert converged and 5 < np.count_nonzero(weights) < n
+    x = np.zeros((n, width + 2))
+    for row, b in zip(x, sets):
+        row[b] = 1
+    x[:, width:] = dense
+    share = weight / weight.sum()
+    assert np.allclose(x @ weights, view.dot(weights)) and np.allclose(x.T @ share, view.turned(share))
+    scale = np.sqrt(np.maximum((x * x).T @ share - (x.T @ share) ** 2, 1e-12))
+    slope = x.T @ (share * (1 / (1 + np.exp(-(x @ weights + bias))) - y)) / scale
+    usable = scale > 1e-5
+    assert np.abs(slope[usable]).max() <= quality.PENALTY * 1.05
+    held = weights != 0
+    assert np.allclose(slope[held], -np.sign(weights[held]) * quality.PENALTY, atol=quality.PENALTY * 0.05)
+
+
+def test_columns_named_like_the_views(spark):
+    rows = [(i, f"word{i} text", "t", [1], 2.0, "d", i % 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _text string, _tags array<int>, _size double, doc string, good int")
+    scored = quality.score(frame, frame.select("doc_id", "good"))
+    assert scored.columns == [*frame.columns, "good_probability"] and scored.count() == 60
+    assert sorted(map(tuple, scored.drop("good_probability").collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_recall_per_language(spark):
+    """Each language marks its bad texts in its own way, the rarest one in a tenth of the rows."""
+    rnd = random.Random(11)
+    marks = {"en": "zupid", "fr": "réeux", "de": "achlich", "es": "ñosudo"}
+
+    def text(lang, good):
+        part = [f"{lang}{rnd.randrange(3000)}" for _ in range(50)]
+        if not good:
+            for at in (9, 30):
+                part[at] = "".join(rnd.choices("abcdefgh", k=4)) + marks[lang] + rnd.choice("stv")
+        return " ".join(part)
+
+    rows = []
+    for i in range(1600):
+        lang, good = rnd.choices(list(marks), [5, 2, 2, 1])[0], int(rnd.random() < 0.7)
+        rows.append((i, text(lang, good), lang, "s", 100, good))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, good int")
+    scored = quality.score(frame, frame.filter("doc_id % 2 = 0").select("doc_id", "good")).filter("doc_id % 2 = 1")
+    found = scored.groupBy("lang").agg(
+        F.expr("count_if(good = 0 AND good_probability < 0.5) / count_if(good = 0) AS bad"),
+        F.expr("count_if(good = 1 AND good_probability >= 0.5) / count_if(good = 1) AS clean")).collect()
+    assert len(found) == 4 and all(r["bad"] >= 0.9 and r["clean"] >= 0.95 for r in found), found
 
 
 def test_rare_compounds_are_seen(spark):
@@ -173,4 +221,4 @@ def test_rare_compounds_are_seen(spark):
 
 
 def test_queries_with_sql():
-    assert set(SQL) == {"op1_decontaminate", "op5_chat", "op8_url_filter"}
+    assert set(SQL) == {"op1_decontaminate", "op5_chat", "op8_url_filter", "op11_merkle"}
