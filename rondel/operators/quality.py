@@ -26,26 +26,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
     """One row per key: the first under the columns ``order_by`` (nulls first), or under all other columns if none are given.
     What ties under ``order_by`` is ordered by the other columns, too.
 
-    Two phases, so that whole rows are never sorted. The first sees keys and order columns only, combined per map task, and
-    picks the winners; the second takes their rows by a hash join on keys and order. Only rows that tie, or without ``order_by``
-    those of repeated keys, go through a window. ``df`` is read twice: store it first where it is costly to make.
+    Without an order a row's other columns are compared as one value, combined per map task: rows are brought together by their key,
+    never sorted by all columns. With one, there are two phases: the first sees keys and order columns only and picks the winners,
+    the second takes their rows by a hash join on keys and order; only rows that tie go through a window. ``df`` is then read
+    twice: store it first where it is costly to make.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
+    if not order_by:
+        if not rest:
+            return df.dropDuplicates(list(keys))
+        best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))
+        return best.select(*[F.col(c if c in keys else f"_best.{c}") for c in df.columns])
     narrow = [*keys, *order_by]
-    there = [F.col(c).alias(f"_w_{c}") for c in narrow]
     counted = df.groupBy(*narrow).agg(F.count("*").alias("_n"))
-    if order_by:
-        best = F.min(F.struct(*order_by, "_n")).alias("_best")
-        won = counted.groupBy(*keys).agg(best).select(*keys, *[f"_best.{c}" for c in order_by], "_best._n")
-        won = won.select(*there, "_n")
-        alone, tied = won.filter("_n = 1"), won.filter("_n > 1")
-        kind = "left_semi"
-    else:
-        alone = tied = counted.filter("_n > 1").select(*there)
-        kind = "left_anti"
-    single = df.join(alone.hint("shuffle_hash"), _matching(narrow, "_w_"), kind)
-    several = df.join(tied.hint("shuffle_hash"), _matching(narrow, "_w_"), "left_semi")
-    return single.unionByName(_first_by_place(several, keys, [*order_by, *rest] or keys))
+    won = counted.groupBy(*keys).agg(F.min(F.struct(*order_by, "_n")).alias("_best"))
+    won = won.select(*[F.col(c).alias(f"_w_{c}") for c in keys], *[F.col(f"_best.{c}").alias(f"_w_{c}") for c in order_by], "_best._n")
+    alone, tied = (df.join(won.filter(which).hint("shuffle_hash"), _matching(narrow, "_w_"), "left_semi")
+                   for which in ("_n = 1", "_n > 1"))
+    return alone.unionByName(_first_by_place(tied, keys, [*order_by, *rest]))
 
 
 def parse_rules(schema: T.StructType, patterns: Mapping[str, str] | None = None,
