@@ -1,9 +1,13 @@
 """Line de-duplication by an exact set-similarity join.
 
 A line is the set of its words. Words are ordered by how rare they are in the corpus; two lines that are similar
-enough share a word among the first few of that order, so only those words are joined. Meetings are cut by length,
-by the places of the shared word, and by 64-bit sketches of the sets that bound the overlap from above. What is left
-is verified on the words themselves. Of two similar lines the later one is removed.
+enough share a word among the first few of that order, so only those words are joined; words that occur once in the
+corpus join nothing and are left out. Meetings are cut by length, by the places of the shared word, and by 64-bit
+sketches of the sets that bound the overlap from above. What is left is verified on the whole sets, with every word as
+a 64-bit hash. Of two similar lines the later one is removed.
+
+The lines that share a word are a run. Long runs are taken apart by classes of set size, of which only neighbours can
+match, and further into blocks of which each pair is compared by itself, so that no task holds a run of any length.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ SIMILARITY = 0.8
 CELLS = 1 << 21
 # Earlier partners that one task proposes per line and word; lines with more go to a second round unless settled.
 PROPOSALS = 8
-# Runs of one word up to this many lines are compared together, longer ones block by block.
+# Runs of one word up to this many lines are compared together, longer ones by sizes and places.
 SHORT_RUN = 256
+# Lines of one word that one task compares; words with more are split by set size and into blocks.
+LONG_RUN = 1 << 17
 _EPS = 1e-9
 
 
@@ -39,9 +45,10 @@ class Lines:
         self.line = np.searchsorted(breaks, self.starts)
         self.first_line = np.concatenate(([0], np.cumsum([t.count(b"\n") + 1 for t in texts])))
 
-    def sets(self) -> tuple[np.ndarray, ...]:
-        """Distinct words by line: hashes sorted by (line, hash), line bounds, and per line number, id and sketch."""
-        order = np.lexsort((self.hashes, self.line))
+    def sets(self, ranks: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Distinct words by line: hashes sorted by (line, rank, hash), line bounds, and per line number, id and sketch."""
+        key = self.line if ranks is None else (self.line << 16) | ranks[_cell(self.hashes)]
+        order = np.lexsort((self.hashes, key))
         h, line = self.hashes[order], self.line[order]
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -54,6 +61,10 @@ class Lines:
         return h, line, bounds, line[at], name, sketch
 
 
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
+
 def _count_words():
     schema = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
 
@@ -62,7 +73,7 @@ def _count_words():
         for batch in batches:
             for _, texts in text_chunks(batch.column(0).to_pylist()):
                 h = hasher.words(np.frombuffer(b"\n".join(texts), np.uint8))[2]
-                seen += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                seen += np.bincount(_cell(h), minlength=CELLS)
         cells = np.flatnonzero(seen)
         for i in range(0, len(cells), 100_000):
             part = cells[i:i + 100_000]
@@ -71,7 +82,7 @@ def _count_words():
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
-    """A rank per cell, low for rare words, from the counts of all words of all texts."""
+    """A rank per cell, low for rare words, from the counts of all words of all texts; 0 if it holds one word once."""
     counts = (arrow_pass(docs.select(F.col("text").cast("string")), _count_words(), "cell int, n long")
               .groupBy("cell").agg(F.sum("n").alias("n")))
     rank = F.least(F.floor(F.log2(F.col("n").cast("double")) * 1000), F.lit(65535))
@@ -83,12 +94,15 @@ def _prefix(n: np.ndarray, t: float) -> np.ndarray:
 
 
 _LINE = pa.schema([("doc_id", pa.int64()), ("file", pa.int64()), ("row", pa.int64()), ("line", pa.int32()), ("name", pa.int64()),
-                   ("sketch", pa.int64()), ("n", pa.int32()), ("words", pa.list_(pa.int32()))])
-LINE = "doc_id long, file long, row long, line int, name long, sketch long, n int, words array<int>"
+                   ("sketch", pa.int64()), ("n", pa.int32()), ("skip", pa.int32()), ("often", pa.int32()),
+                   ("words", pa.list_(pa.int32()))])
+LINE = "doc_id long, file long, row long, line int, name long, sketch long, n int, skip int, often int, words array<int>"
 
 
 def _line_sets(ranks: np.ndarray, t: float):
-    """One row per line with words; ``words``: its rarest words, as 32-bit keys, as many as the prefix needs."""
+    """One row per line with words; ``words``: its rarest words, as 32-bit keys, as many as the prefix needs, without
+    the first ``skip``, which occur nowhere else. The last ``often`` of them occur often enough for a long run."""
+    frequent = int(np.log2(LONG_RUN) * 1000)
     fewest = int(np.floor(t / (1 - t) + _EPS)) if t < 1 else None  # shorter sets match equal sets only
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,20 +110,25 @@ def _line_sets(ranks: np.ndarray, t: float):
         for batch in batches:
             for first, texts in text_chunks(batch.column(1).to_pylist()):
                 lines = Lines(hasher, texts)
-                h, line, bounds, own, name, sketch = lines.sets()
+                h, line, bounds, own, name, sketch = lines.sets(ranks)
                 n = np.diff(bounds)
-                order = np.lexsort((h, ranks[(h & np.uint64(CELLS - 1)).astype(np.int64)], line))
-                key = (h[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                place = np.arange(len(h)) - np.repeat(bounds[:-1], n)
+                rank = ranks[_cell(h)]
+                alone = rank == 0
                 size = _prefix(n, t)
                 size[n < (fewest if fewest is not None else np.iinfo(np.int64).max)] = 0
+                place = np.arange(len(h)) - np.repeat(bounds[:-1], n)
                 taken = place < np.repeat(size, n)
-                offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[taken]))
+                skip = np.add.reduceat(taken & alone, bounds[:-1], dtype=np.int64) if len(n) else n
+                often = np.add.reduceat(taken & (rank >= frequent), bounds[:-1], dtype=np.int64) if len(n) else n
+                taken &= ~alone
+                offsets = np.concatenate(([0], np.cumsum(size - skip))).astype(np.int32)
+                key = (h[taken] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key))
                 doc = np.searchsorted(lines.first_line, own, side="right") - 1
                 at = pa.array(first + doc)
-                yield batch_of(_LINE, [*(batch.column(c).take(at) for c in (0, 2, 3)), (own - lines.first_line[doc]).astype(np.int32), name.view(np.int64),
-                                       sketch.view(np.int64), n.astype(np.int32), words])
+                yield batch_of(_LINE, [*(batch.column(c).take(at) for c in (0, 2, 3)),
+                                       (own - lines.first_line[doc]).astype(np.int32), name.view(np.int64), sketch.view(np.int64),
+                                       n.astype(np.int32), skip.astype(np.int32), often.astype(np.int32), words])
     return work
 
 
@@ -122,19 +141,26 @@ _PAIR = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("other", pa.in
 
 
 def _propose(t: float):
-    """Inside runs of equal words, sorted from the earliest line: for each line its first few possible partners."""
-    block = 512
+    """Inside runs of equal keys, sorted from the earliest line: for each line its first few possible partners."""
+    block, width = 512, 2048
 
-    def match(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
-        n, place, _, sketch = rows
-        nz, nx = n[z], n[x]
-        need = _need(nz, nx, t)
+    def fits(nz: np.ndarray, pz: np.ndarray, nx: np.ndarray, px: np.ndarray) -> np.ndarray:
+        """Whether sets of these sizes that first share the words at these places can be similar enough."""
         return ((np.minimum(nz, nx) >= t * np.maximum(nz, nx) - _EPS)
-                & (np.minimum(nz - place[z], nx - place[x]) >= need)
-                & ((nz + nx - np.bitwise_count(sketch[z] ^ sketch[x])) // 2 >= need))
+                & (np.minimum(nz - pz, nx - px) >= _need(nz, nx, t)))
+
+    def close(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Whether the sketches leave room for enough common words, and the pair belongs to this run."""
+        n, _, side, _, sketch = rows
+        a, b = side[z], side[x]
+        return (((n[z] + n[x] - np.bitwise_count(sketch[z] ^ sketch[x])) // 2 >= _need(n[z], n[x], t))
+                & ((a & b & LOWER) == 0) & (((a & WITHIN) > 0) | ((a ^ b) & SECOND > 0)))
+
+    def match(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return fits(rows[0][z], rows[1][z], rows[0][x], rows[1][x]) & close(rows, z, x)
 
     def named(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray, more: np.ndarray) -> list[np.ndarray]:
-        name, sketch = (r.view(np.int64) for r in rows[2:])
+        name, sketch = (r.view(np.int64) for r in rows[3:])
         return [name[z], sketch[z], name[x], sketch[x], more]
 
     def short_runs(rows: list[np.ndarray], begin: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
@@ -149,25 +175,33 @@ def _propose(t: float):
         return named(rows, z[take], x[take], nth[take] == PROPOSALS)
 
     def run(rows: list[np.ndarray]) -> list[np.ndarray] | None:
-        size = len(rows[0])
+        """The same for one long run; lines of one size and place meet only those whose size and place fit."""
+        kinds, kind, count = np.unique((rows[0] << 32) | rows[1], return_inverse=True, return_counts=True)
+        sizes, places = kinds >> 32, kinds & 0xFFFFFFFF
+        members = np.argsort(kind, kind="stable")
+        begin = np.cumsum(count) - count
         out: list[tuple] = []
-        for z0 in range(1, size, block):
-            z = np.arange(z0, min(z0 + block, size))
-            found = np.zeros(len(z), np.int64)
-            for x0 in range(0, z[-1], block):
-                live = found <= PROPOSALS
-                if not live.any():
-                    break
-                zz = z[live]
-                x = np.arange(x0, min(x0 + block, zz[-1]))
-                if not len(x):
-                    break
-                ok = match(rows, zz[:, None], x[None, :]) & (x[None, :] < zz[:, None])
-                a, b = np.nonzero(ok)
-                nth = np.arange(len(a)) - np.searchsorted(a, a) + found[live][a]
-                take = nth <= PROPOSALS
-                out.append((zz[a[take]], x[b[take]], nth[take] == PROPOSALS))
-                found[live] += np.bincount(a, minlength=len(zz))
+        for k in range(len(kinds)):
+            fit = np.flatnonzero(fits(sizes[k], places[k], sizes, places))
+            if not len(fit):
+                continue
+            mine = members[begin[k]:begin[k] + count[k]]
+            others = np.sort(np.concatenate([members[begin[j]:begin[j] + count[j]] for j in fit]))
+            for z0 in range(0, len(mine), block):
+                z = mine[z0:z0 + block]
+                found = np.zeros(len(z), np.int64)
+                earlier = int(np.searchsorted(others, z[-1]))
+                for x0 in range(0, earlier, width):
+                    live = np.flatnonzero(found <= PROPOSALS)
+                    if not len(live):
+                        break
+                    x = others[x0:min(x0 + width, earlier)]
+                    zz = z[live]
+                    a, b = np.nonzero(close(rows, zz[:, None], x[None, :]) & (x[None, :] < zz[:, None]))
+                    nth = np.arange(len(a)) - np.searchsorted(a, a) + found[live][a]
+                    take = nth <= PROPOSALS
+                    out.append((zz[a[take]], x[b[take]], nth[take] == PROPOSALS))
+                    found[live] += np.bincount(a, minlength=len(zz))
         if not out:
             return None
         return named(rows, *(np.concatenate(c) for c in zip(*out)))
@@ -176,24 +210,26 @@ def _propose(t: float):
         held: list[np.ndarray] | None = None
 
         def proposals(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key = rows[0]
-            edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
+            new = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+            edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(rows[0])]))
             begin, size = edges[:-1], np.diff(edges)
             short = (size > 1) & (size <= SHORT_RUN)
-            found = [short_runs(rows[1:], begin[short], size[short])]
+            found = [short_runs(rows[2:], begin[short], size[short])]
             for i in np.flatnonzero(size > SHORT_RUN):
-                got = run([r[edges[i]:edges[i + 1]] for r in rows[1:]])
+                got = run([r[edges[i]:edges[i + 1]] for r in rows[2:]])
                 if got is not None:
                     found.append(got)
             yield batch_of(_PAIR, [np.concatenate(c) for c in zip(*found)])
 
         for batch in batches:
-            rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64),
-                    batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().view(np.uint64),
-                    batch.column(4).to_numpy().view(np.uint64)]
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(i).to_numpy().astype(np.int64) for i in range(5)]
+            rows += [batch.column(i).to_numpy().view(np.uint64) for i in (5, 6)]
             if held is not None:
                 rows = [np.concatenate((a, b)) for a, b in zip(held, rows)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
+            cut = int(np.argmax(last))
             held = [r[cut:] for r in rows]
             if cut:
                 yield from proposals([r[:cut] for r in rows])
@@ -203,31 +239,27 @@ def _propose(t: float):
 
 
 def _fetch(wanted: BitFilter):
-    """The words of the lines whose set is asked for, once per task."""
-    schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("set", pa.list_(pa.string()))])
+    """The words, as 64-bit hashes, of the lines whose set is asked for, once per chunk of texts."""
+    schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, given = WordHasher(), set()
+        hasher = WordHasher()
         for batch in batches:
             for _, texts in text_chunks(batch.column(0).to_pylist()):
-                lines = Lines(hasher, texts)
-                _, _, _, own, name, sketch = lines.sets()
+                h, _, bounds, _, name, sketch = Lines(hasher, texts).sets()
                 ask = np.flatnonzero(wanted.passes(name))
-                out: tuple[list, list, list] = ([], [], [])
-                left = np.searchsorted(lines.line, own[ask])
-                right = np.searchsorted(lines.line, own[ask], side="right")
-                for i, a, b in zip(ask.tolist(), left.tolist(), right.tolist()):
-                    key = (int(name[i]), int(sketch[i]))
-                    if key in given:
-                        continue
-                    if len(given) < 500_000:
-                        given.add(key)
-                    words = {lines.raw[s:e] for s, e in zip(lines.starts[a:b].tolist(), lines.ends[a:b].tolist())}
-                    out[0].append(int(name[i:i + 1].view(np.int64)[0]))
-                    out[1].append(int(sketch[i:i + 1].view(np.int64)[0]))
-                    out[2].append([w.decode("utf-8", "replace") for w in words])
-                if out[0]:
-                    yield batch_of(schema, list(out))
+                key = np.lexsort((sketch[ask], name[ask]))
+                ask = ask[key]
+                new = np.ones(len(ask), bool)
+                new[1:] = (name[ask][1:] != name[ask][:-1]) | (sketch[ask][1:] != sketch[ask][:-1])
+                ask = ask[new]
+                if not len(ask):
+                    continue
+                size = bounds[ask + 1] - bounds[ask]
+                offsets = np.concatenate(([0], np.cumsum(size)))
+                at = np.arange(offsets[-1]) + np.repeat(bounds[ask] - offsets[:-1], size)
+                sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h[at].view(np.int64)))
+                yield batch_of(schema, [name[ask].view(np.int64), sketch[ask].view(np.int64), sets])
     return work
 
 
@@ -236,7 +268,7 @@ def _settle(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     pairs = stored(pairs.select("name", "sketch", "other", "other_sketch").distinct(), "line-pairs")
     asked = pairs.select("name").union(pairs.select(F.col("other"))).distinct()
     words = arrow_pass(docs.select(F.col("text").cast("string")), _fetch(BitFilter(asked)),
-                       "name long, sketch long, set array<string>")
+                       "name long, sketch long, set array<long>")
     words = stored(words.join(asked, "name", "left_semi").dropDuplicates(["name", "sketch"]), "line-words")
     left = pairs.join(words, ["name", "sketch"])
     right = words.toDF("other", "other_sketch", "other_set")
@@ -246,6 +278,35 @@ def _settle(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     return both.filter(similar).select("name", "sketch").distinct()
 
 
+# What an entry of a run is: of the second block of two, of a block compared with itself, of the smaller class of sizes.
+SECOND, WITHIN, LOWER = 1, 2, 4
+_ENTRY = ["word", "cell", "n", "place", "side", "name", "sketch"]
+
+
+def _split_runs(entries: DataFrame, long_words: DataFrame, t: float) -> DataFrame:
+    """The entries of words with long runs, dealt to cells of bounded size; every pair that can match meets in one.
+
+    Sets whose sizes fit are in the same or in neighbouring classes, so an entry goes to its class and, as the smaller
+    side, to the next one. A class with many entries is cut into blocks, and each pair of blocks is a cell.
+    """
+    group = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(t))) + F.lit(_EPS)).cast("int")
+    both = F.array(F.struct(group.alias("group"), F.lit(0).alias("lower")),
+                   F.struct((group + 1).alias("group"), F.lit(LOWER).alias("lower")))
+    dealt = (entries.join(long_words, "word", "left_semi").withColumn("to", F.explode(both))
+             .select("*", "to.group", "to.lower").drop("to", "cell", "side"))
+    # A class without sets of its own size has nothing to compare.
+    blocks = (dealt.groupBy("word", "group").agg(F.count("*").alias("rows"), F.min("lower").alias("least"))
+              .filter(F.col("least") == 0)
+              .select("word", "group", F.ceil(F.col("rows") / F.lit(LONG_RUN)).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("name", "sketch"), F.col("blocks")).cast("int")
+    cells = dealt.join(blocks, ["word", "group"]).withColumn("own", own)
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other").cast("long"), F.greatest("own", "other").cast("long")
+    side = F.when(F.col("own") == F.col("other"), WITHIN).when(F.col("own") > F.col("other"), SECOND).otherwise(0)
+    cell = F.col("group").cast("long") * (1 << 56) + low * (1 << 28) + high
+    return cells.withColumn("cell", cell).withColumn("side", side + F.col("lower")).select(*entries.columns)
+
+
 def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Distinct word sets with their first line, and those of them that an earlier similar set removes.
 
@@ -257,26 +318,43 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
     lines = arrow_pass(rows, _line_sets(ranks, t), LINE)
     sets = stored(lines.groupBy("name", "sketch").agg(
         F.min(F.struct("doc_id", "line", "file", "row")).alias("first"), F.first("n").alias("n"),
+        F.first("skip").alias("skip"), F.first("often").alias("often"),
         F.first("words").alias("words")), "line-sets")
-    entries = sets.select(
-        F.posexplode("words").alias("place", "word"), "n", "name", "sketch",
-        F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"))
+    entries = (sets.select(F.posexplode("words").alias("at", "word"), "*")
+               .select("word", F.lit(0).cast("long").alias("cell"), "n", (F.col("at") + F.col("skip")).alias("place"),
+                       F.lit(WITHIN).alias("side"), "name", "sketch", F.col("first.doc_id").alias("doc_id"),
+                       F.col("first.line").alias("line")))
     order = ["doc_id", "line", "name", "sketch"]
-    dealt = entries.repartition("word").sortWithinPartitions("word", *order)
-    proposed = stored(dealt.select("word", "n", "place", "name", "sketch")
-                      .mapInArrow(_propose(t), "name long, sketch long, other long, other_sketch long, more boolean"),
-                      "line-proposals")
+    frequent = sets.filter("often > 0").select(F.explode(F.slice("words", -F.col("often"), F.col("often"))).alias("word"))
+    long_words = stored(frequent.groupBy("word").count().filter(F.col("count") > LONG_RUN).select("word"), "line-long-runs")
+    found = []
+    runs = [(entries, ["word"])]
+    if not long_words.isEmpty():
+        runs = [(entries.join(long_words, "word", "left_anti"), ["word"]),
+                (_split_runs(entries, long_words, t), ["word", "cell"])]
+    for run, key in runs:
+        dealt = run.repartition(*key).sortWithinPartitions(*key, *order)
+        found.append(stored(dealt.select(*_ENTRY).mapInArrow(
+            _propose(t), "name long, sketch long, other long, other_sketch long, more boolean"), "line-proposals"))
+    proposed = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     gone = stored(_settle(proposed, docs, t), "lines-gone")
     # Lines that have more possible partners than were proposed and are not settled meet all of them.
     open_sets = stored(proposed.filter("more").select("name", "sketch").distinct()
                        .join(gone, ["name", "sketch"], "left_anti"), "lines-open")
     if not open_sets.isEmpty():
-        z = entries.join(open_sets, ["name", "sketch"], "left_semi")
+        # Stored, so that the optimizer knows its size: the entries of few lines are broadcast, those of many are not.
+        z = stored(entries.join(open_sets, ["name", "sketch"], "left_semi"), "line-open-entries")
         x = entries.toDF(*[f"x_{c}" for c in entries.columns])
         earlier = F.struct(*[F.col(f"x_{c}") for c in order]) < F.struct(*[F.col(c) for c in order])
-        pairs = z.join(x, F.col("word") == F.col("x_word")).filter(earlier & _may_match(t))
-        rest = _settle(pairs.select("name", "sketch", F.col("x_name").alias("other"),
-                                    F.col("x_sketch").alias("other_sketch")), docs, t)
+        pairs = stored(z.join(x, F.col("word") == F.col("x_word")).filter(earlier & _may_match(t))
+                       .select("name", "sketch", F.col("x_name").alias("other"), F.col("x_sketch").alias("other_sketch"),
+                               F.lit(True).alias("more"))
+                       .distinct(), "line-open-pairs")
+        # Only the documents in which those sets come first are read again.
+        asked = pairs.select("name", "sketch").union(pairs.select("other", "other_sketch")).distinct()
+        places = stored(sets.join(asked, ["name", "sketch"], "left_semi").select("first.file", "first.row").distinct(),
+                        "line-open-places")
+        rest = _settle(pairs, docs.join(places, ["file", "row"], "left_semi"), t)
         gone = stored(gone.unionByName(rest).distinct(), "lines-gone")
     return sets, gone
 

@@ -194,9 +194,11 @@ def brute_lines(docs, t=0.8):
             for k, (_, x) in enumerate(docs)]
 
 
-@pytest.mark.parametrize("proposals", [1, 3])
-def test_line_dedup(spark, monkeypatch, proposals):
+@pytest.mark.parametrize("proposals, short_run, long_run", [(1, 256, 1 << 17), (3, 4, 1 << 17), (2, 4, 25), (8, 256, 60)])
+def test_line_dedup(spark, monkeypatch, proposals, short_run, long_run):
     monkeypatch.setattr(line_dedup, "PROPOSALS", proposals)
+    monkeypatch.setattr(line_dedup, "SHORT_RUN", short_run)
+    monkeypatch.setattr(line_dedup, "LONG_RUN", long_run)
     rnd = random.Random(3)
     words = [f"w{i}" for i in range(60)]
     docs = []
