@@ -122,6 +122,11 @@ class WordCache:
             if lead and text[0].isspace():
                 cut.append(None)
                 continue
+            if not self.keeps_space:  # an end of line gives no id and only parts words
+                line = text.replace("\n", " ").split(" ")
+                cut.append([line])
+                inners.update(line)
+                continue
             lines = [line.split(" ") for line in text.split("\n")]
             cut.append(lines)
             if lead:
@@ -132,13 +137,17 @@ class WordCache:
         if self.keeps_space:
             first, inner = self._learn(firsts, ""), self._learn(inners, " ")
         else:
-            first = inner = self._learn((firsts | inners) - {""}, "")
-            first[""] = b""
+            inners.discard("")
+            first = inner = self._learn(inners, "")
+            inner[""] = b""
         out = []
         for text, lines in zip(texts, cut):
             if lines is None:
                 out.append(self._ids(lead + text))
                 continue
+            if not self.keeps_space:
+                out.append(b"".join(map(inner.__getitem__, lines[0])) if lines else b"")
+                continue
             parts: list[bytes] = []
             for line in lines:
                 if parts:
