@@ -4,7 +4,8 @@ Equal vectors are one node. The first graph comes from sorting the nodes along r
 and comparing each stretch of the order with itself. Then neighbours of neighbours are compared: all that a
 node lists, and some that list it, meet at that node through joins, and every one keeps the nearest it has met. That is
 repeated until few lists change. A query starts at its own node and walks the graph with a beam, whose width follows from
-the recall of some queries that are compared with all nodes.
+the recall of some queries that are compared with all nodes. If no beam brings them far enough, because the graph does not
+lead there, all queries are compared with all nodes, block by block.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from rondel.llm.shared import batch_of, stored
+from rondel.session import scratch_path
 
 NEIGHBOURS = 16   # length of each node's list
 LISTED_BY = 12    # of the nodes that list a node, so many nearest join its local comparison
@@ -30,6 +32,10 @@ BEAM = 480        # the least; it doubles until the probes reach MIN_RECALL
 PROBES = 64
 MIN_RECALL = 0.93
 NEAREST = 10
+# Nodes and queries that one task of the scan compares, and the queries whose distances it holds at once.
+SCAN_NODES = 1 << 14
+SCAN_QUERIES = 1 << 12
+SCAN_ROWS = 256
 
 _LOG = logging.getLogger(__name__)
 
@@ -54,7 +60,7 @@ def _closest(vectors: np.ndarray) -> np.ndarray:
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     """``vec_id`` and ``embedding`` of the vectors that take part, and their length."""
     kind = vectors.schema["embedding"].dataType
-    number = "double" if isinstance(kind, ArrayType) and isinstance(kind.elementType, DoubleType) else "float"
+    number = "float" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "double"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{number}>").alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(
@@ -147,8 +153,11 @@ def _listing(lists: DataFrame, most: int) -> DataFrame:
     return back.withColumn("place", place).filter(F.col("place") <= most).drop("place")
 
 
-def _local(dim: int):
-    """At each meeting place, sorted by it: pairs nearer than the farthest entry of the first one's list."""
+def _local(dim: int, keep: int):
+    """At each meeting place, sorted by it: pairs nearer than the farthest entry of the first one's list.
+
+    A node that very many list meets others in as many places, so a batch passes on its ``keep`` nearest only.
+    """
     def pairs(ids: np.ndarray, limit: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, ...]:
         d = _closest(vectors)
         np.fill_diagonal(d, np.inf)
@@ -171,9 +180,15 @@ def _local(dim: int):
                 a, b = np.concatenate(one), np.concatenate(two)
                 far = _exact(vectors[a], vectors[b])
                 ok = far < limit[a]
+                one, two, far = ids[a[ok]], ids[b[ok]], far[ok]
+                key = np.lexsort((two, far, one))
+                one, two, far = one[key], two[key], far[key]
                 # The same two nodes meet in many places; once per batch is enough.
-                key = np.unique(np.stack([ids[a[ok]], ids[b[ok]]], axis=1), axis=0, return_index=True)[1]
-                yield batch_of(_EDGE, [ids[a[ok]][key], ids[b[ok]][key], far[ok][key]])
+                new = np.ones(len(one), bool)
+                new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+                one, two, far = one[new], two[new], far[new]
+                near = np.arange(len(one)) - np.searchsorted(one, one) < keep
+                yield batch_of(_EDGE, [one[near], two[near], far[near]])
 
         for batch in batches:
             rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(),
@@ -209,7 +224,7 @@ def build_graph(nodes: DataFrame, dim: int, keep: int = NEIGHBOURS, rounds: int
             F.col("node").alias("other"), F.coalesce("far", F.lit(float("inf"))).alias("far"), "embedding")
         placed = (meets.join(known, "other").select("node", "other", "far", "embedding")
                   .repartition("node").sortWithinPartitions("node"))
-        better = placed.mapInArrow(_local(dim), EDGE)
+        better = placed.mapInArrow(_local(dim, keep), EDGE)
         new = stored(_lists(better.unionByName(_entries(lists).select("node", "other", "d")), keep), "neighbour-lists")
         before = lists.select("node", F.transform("near", lambda e: e["other"]).alias("old"))
         changed = (new.join(before, "node", "left").select(
@@ -258,19 +273,80 @@ def search(queries: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, beam
     def best(found: DataFrame) -> DataFrame:
         return stored(found.withColumn("place", place).filter(F.col("place") <= beam).drop("place"), "beam")
 
-    now = best(measured(queries.select("query_id", F.col("start").alias("node"))).withColumn("opened", F.lit(False)))
-    seen = now.select("query_id", "node")
+    spark, paths = nodes.sparkSession, []
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.schema("query_id long, node long, d double").parquet(*paths)
+
+    def reach(found: DataFrame) -> DataFrame:
+        """What a round reaches, stored; the rounds' tables are read as one, so that plans do not grow."""
+        paths.append(scratch_path(spark, "reached"))
+        measured(found).write.parquet(paths[-1])
+        return read(paths[-1:]).withColumn("opened", F.lit(False))
+
+    now = best(reach(queries.select("query_id", F.col("start").alias("node"))))
     while True:
         fresh = now.filter("NOT opened").select("query_id", "node")
         if fresh.isEmpty():
             return now.select("query_id", "node", "d")
-        reached = (fresh.join(ways, "node").select("query_id", F.explode("ways").alias("node")).distinct()
-                   .join(seen, ["query_id", "node"], "left_anti"))
-        reached = stored(measured(reached).withColumn("opened", F.lit(False)), "reached")
-        seen = seen.unionByName(reached.select("query_id", "node"))
+        reached = reach(fresh.join(ways, "node").select("query_id", F.explode("ways").alias("node")).distinct()
+                        .join(read(paths).select("query_id", "node"), ["query_id", "node"], "left_anti"))
         now = best(now.withColumn("opened", F.lit(True)).unionByName(reached))
 
 
+def _scan_block(dim: int, keep: int):
+    """The ``keep`` nearest nodes of a block for each query of a block."""
+    schema = pa.schema([("query_id", pa.int64()), ("node", pa.int64()), ("d", pa.float64())])
+
+    def vectors_of(rows: pa.Table, name: str) -> np.ndarray:
+        return _matrix(rows.column(name).combine_chunks(), dim)
+
+    def work(queries: pa.Table, nodes: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        if queries.num_rows and nodes.num_rows:
+            asked, ids = queries.column("query_id").to_numpy(), nodes.column("node").to_numpy()
+            a, b = vectors_of(queries, "asked"), vectors_of(nodes, "embedding")
+            wide = b.astype(np.float64)
+            square = np.einsum("ij,ij->i", wide, wide)
+            k = min(keep, len(ids))
+            for i in range(0, len(asked), SCAN_ROWS):
+                part = a[i:i + SCAN_ROWS].astype(np.float64)
+                own = np.einsum("ij,ij->i", part, part)
+                d = own[:, None] + square[None, :] - 2 * (part @ wide.T)
+                # These squares are rounded: all within the error of the last place are measured exactly.
+                last = np.partition(d, k - 1, axis=1)[:, k - 1] + 1e-9 * (own + square.max())
+                at, to = np.nonzero(d <= last[:, None])
+                far = _exact(a[i + at], b[to])
+                order = np.lexsort((ids[to], far, at))
+                at, to, far = at[order], to[order], far[order]
+                near = np.arange(len(at)) - np.searchsorted(at, at) < k
+                out.append(batch_of(schema, [asked[i + at[near]], ids[to[near]], far[near]]))
+        return pa.Table.from_batches(out, schema)
+    return work
+
+
+def scan(queries: DataFrame, nodes: DataFrame, dim: int, keep: int) -> DataFrame:
+    """``query_id, node, d``: the ``keep`` nearest nodes of each query, ties to the smaller, from all nodes.
+
+    Blocks of queries meet blocks of nodes, so a task holds one of each; a task passes on ``keep`` rows per query.
+    """
+    def blocks_of(rows: DataFrame, size: int) -> int:
+        return -(-rows.count() // size) or 1
+
+    n_nodes, n_queries = blocks_of(nodes, SCAN_NODES), blocks_of(queries, SCAN_QUERIES)
+
+    def dealt(rows: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
+        return rows.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
+
+    asked = dealt(queries.select("query_id", F.col("embedding").alias("asked")), "query_id", "part", n_queries, "block", n_nodes)
+    every = dealt(nodes.select("node", "embedding"), "node", "block", n_nodes, "part", n_queries)
+    found = (asked.groupBy("part", "block").cogroup(every.groupBy("part", "block"))
+             .applyInArrow(_scan_block(dim, keep), "query_id long, node long, d double"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "node"))
+    return found.withColumn("place", place).filter(F.col("place") <= keep).drop("place")
+
+
 def _nearest_far(dim: int, probes: list, k: int):
     """The ``k`` least distances of each probe to nodes other than its own, per task."""
     schema = pa.schema([("query_id", pa.int64()), ("d", pa.float64())])
@@ -288,7 +364,10 @@ def _nearest_far(dim: int, probes: list, k: int):
 
 
 def measured_beam(asked: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, k: int, beam: int) -> tuple[int, float]:
-    """A beam by which ``PROBES`` of the queries reach ``MIN_RECALL``, and their recall; exact answers come from all nodes."""
+    """A beam by which ``PROBES`` of the queries reach ``MIN_RECALL``, and their recall; exact answers come from all nodes.
+
+    The recall is lower only if a wider beam no longer raises it, or holds all nodes.
+    """
     some = stored(asked.orderBy(F.xxhash64("query_id"), "query_id").limit(PROBES), "probes")
     probes = [(r[0], r[1], np.array(r[2])) for r in some.select("query_id", "start", "embedding").collect()]
     far = nodes.select("node", "embedding").mapInArrow(_nearest_far(dim, probes, k), "query_id long, d double")
@@ -321,7 +400,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     * A vector that is null, empty, zero, or holds a null or non-finite number takes no part, nor does one without id or of
       another length than most. Of several rows with one id the least vector counts.
     * Copies of a vector are one node of the graph, with as many ids as an answer could hold.
-    * ``beam`` is the least width; see ``measured_beam``.
+    * ``beam`` is the least width; see ``measured_beam``. Where no beam reaches ``MIN_RECALL`` the answer is exact, by ``scan``.
     * With fewer than ``k`` other vectors all are returned; an empty table gives no rows. Other columns are ignored.
     """
     rows, dim = usable(vectors)
@@ -330,8 +409,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     asked = stored(rows.filter(is_query).join(nodes.select(F.col("node").alias("start"), "embedding"), "embedding")
                    .select(F.col("vec_id").alias("query_id"), "start", "embedding"), "queries")
     ways = ways_of(lists)
-    width, _ = measured_beam(asked, nodes, ways, dim, k, max(beam, k + 1))
-    found = search(asked, nodes, ways, dim, width)
+    width, recall = measured_beam(asked, nodes, ways, dim, k, max(beam, k + 1))
+    found = search(asked, nodes, ways, dim, width) if recall >= MIN_RECALL else scan(asked, nodes, dim, k + 1)
     named = (found.join(nodes.select("node", F.explode("ids").alias("vec_id")), "node")
              .filter("vec_id <> query_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))

@@ -76,6 +76,28 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0), outcomes, RULES).count() == 0
 
 
+def test_suffixes_of_any_length(spark):
+    hosts = ["a.b.co.uk", "x.y.city.kobe.jp", "city.kobe.jp", "kobe.jp", "z.kobe.jp", "example.com", "com", "", "u@a.io:80"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    shared = ("co.uk", "kobe.jp", "city.kobe.jp")
+    rows = frame.select("host", url_filter.suffix_of(F.col("host"), shared).alias("s"),
+                        url_filter.domain_of(F.col("host"), shared).alias("d")).collect()
+    assert {r.host: (r.s, r.d) for r in rows} == {
+        "a.b.co.uk": ("co.uk", "b.co.uk"), "x.y.city.kobe.jp": ("city.kobe.jp", "y.city.kobe.jp"),
+        "city.kobe.jp": ("city.kobe.jp", "city.kobe.jp"), "kobe.jp": ("kobe.jp", "kobe.jp"), "z.kobe.jp": ("kobe.jp", "z.kobe.jp"),
+        "example.com": ("com", "example.com"), "com": ("com", "com"), "": ("", ""), "u@a.io:80": ("io", "a.io")}
+
+
+def test_hot_keys_join_apart(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "HOT_SHARE", 5)
+    rows = spark.range(300).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, F.lit("hot")).when(
+        F.col("id") % 3 == 1, F.lit("gone")).when(F.col("id") % 7 > 0, F.concat(F.lit("k"), "id")).alias("key"))
+    members = spark.createDataFrame([("hot", 1, None), ("k2", 2, 3), ("k5", None, None), ("other", 5, 5)], "key string, a int, b int")
+    found = sorted(url_filter.left_join(rows, members, "key").collect(), key=lambda r: r.n)
+    want = sorted(rows.join(members, "key", "left").select("n", "key", "a", "b").collect(), key=lambda r: r.n)
+    assert found == want and len(found) == 300
+
+
 def test_bad_hosts_are_blocked(spark):
     pages = spark.range(400).select(F.col("id").alias("page_id"), F.concat(
         F.lit("http://"), F.when(F.col("id") % 4 == 0, "bad").otherwise(F.concat(F.lit("h"), F.col("id") % 7)),
@@ -125,6 +147,39 @@ def test_narrow_beams_grow(spark):
     assert hits / 400 >= 0.9
 
 
+def test_scan_where_the_graph_does_not_lead(spark, monkeypatch):
+    """Islands far apart, each smaller than an answer: the graph cannot leave them, the scan answers exactly."""
+    for name, value in {"SCAN_NODES": 64, "SCAN_QUERIES": 7, "SCAN_ROWS": 3, "PROBES": 16, "NEIGHBOURS": 4,
+                        "ORDERS": 1, "STRETCH": 8}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    monkeypatch.setattr(neighbours.build_graph, "__defaults__", (4, 3))
+    rng = np.random.default_rng(8)
+    vectors = np.repeat(rng.integers(-9, 9, size=(60, 6)) * 1000, 5, axis=0) + rng.integers(-2, 3, size=(300, 6))
+    vectors[100:104] = vectors[100]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<int>")
+    found = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 10 == 0, beam=11).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    for q in range(0, 300, 10):
+        d = np.sqrt(((vectors - vectors[q]).astype(float) ** 2).sum(axis=1))
+        assert found[q] == sorted((d[i], i) for i in range(300) if i != q)[:10]
+
+
+def test_scan_of_blocks(spark, monkeypatch):
+    for name, value in {"SCAN_NODES": 50, "SCAN_QUERIES": 6, "SCAN_ROWS": 4}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    vectors = np.random.default_rng(9).integers(0, 3, size=(300, 4)).astype(float)  # many ties
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "node long, embedding array<double>")
+    asked = nodes.filter("node % 15 = 0").withColumnRenamed("node", "query_id")
+    found = {}
+    for r in neighbours.scan(asked, nodes, 4, 9).collect():
+        found.setdefault(r.query_id, []).append((r.d, r.node))
+    for q in range(0, 300, 15):
+        d = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        assert sorted(found[q]) == sorted((d[i], i) for i in range(300))[:9]
+    assert neighbours.scan(asked.limit(0), nodes, 4, 9).count() == neighbours.scan(asked, nodes.limit(0), 4, 9).count() == 0
+
+
 def test_quality(spark):
     rnd = random.Random(2)
     words = [f"word{i}x" for i in range(400)]
