@@ -2,8 +2,8 @@
 
 A line is the set of its words. Words are ordered by how rare they are in the corpus; two lines that are similar
 enough share a word among the first few of that order, so only those words are joined; words that occur once in the
-corpus join nothing and are left out. Meetings are cut by length, by the places of the shared word, and by 64-bit
-sketches of the sets that bound the overlap from above. What is left is verified on the whole sets, with every word as
+corpus join nothing and are left out. Meetings are cut by length, by the places of the shared word, and by 128-bit
+sketches of the sets (``sketch`` and ``wide``) that bound the overlap from above. What is left is verified on the whole sets, with every word as
 a 64-bit hash. Of two similar lines the later one is removed.
 
 The lines that share a word are a run. Long runs are taken apart by classes of set size, of which only neighbours can
@@ -46,7 +46,10 @@ class Lines:
         self.first_line = np.concatenate(([0], np.cumsum([t.count(b"\n") + 1 for t in texts])))
 
     def sets(self, ranks: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-        """Distinct words by line: hashes sorted by (line, rank, hash), line bounds, and per line number, id and sketch."""
+        """Distinct words by line: hashes sorted by (line, rank, hash), line bounds, and per line number, id and sketches.
+
+        A sketch holds, for each of its cells, whether an odd number of the set's words fall there.
+        """
         key = self.line if ranks is None else (self.line << 16) | ranks[_cell(self.hashes)]
         order = np.lexsort((self.hashes, key))
         h, line = self.hashes[order], self.line[order]
@@ -57,8 +60,9 @@ class Lines:
         bounds = np.append(at, len(h))
         with np.errstate(over="ignore"):
             name = mixed(np.add.reduceat(mixed(h ^ np.uint64(0x5BD1E995)), at)) if len(at) else h[:0]
-        sketch = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), at) if len(at) else h[:0]
-        return h, line, bounds, line[at], name, sketch
+        bit, low = np.uint64(1) << ((h >> np.uint64(57)) & np.uint64(63)), h >> np.uint64(63) == 0
+        sketch, wide = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), at) if len(at) else h[:0] for half in (low, ~low))
+        return h, line, bounds, line[at], name, sketch, wide
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -94,9 +98,10 @@ def _prefix(n: np.ndarray, t: float) -> np.ndarray:
 
 
 _LINE = pa.schema([("doc_id", pa.int64()), ("file", pa.int64()), ("row", pa.int64()), ("line", pa.int32()), ("name", pa.int64()),
-                   ("sketch", pa.int64()), ("n", pa.int32()), ("skip", pa.int32()), ("often", pa.int32()),
-                   ("words", pa.list_(pa.int32()))])
-LINE = "doc_id long, file long, row long, line int, name long, sketch long, n int, skip int, often int, words array<int>"
+                   ("sketch", pa.int64()), ("wide", pa.int64()), ("n", pa.int32()), ("skip", pa.int32()),
+                   ("often", pa.int32()), ("words", pa.list_(pa.int32()))])
+LINE = ("doc_id long, file long, row long, line int, name long, sketch long, wide long, n int, skip int, often int, "
+        "words array<int>")
 
 
 def _line_sets(ranks: np.ndarray, t: float):
@@ -110,7 +115,7 @@ def _line_sets(ranks: np.ndarray, t: float):
         for batch in batches:
             for first, texts in text_chunks(batch.column(1).to_pylist()):
                 lines = Lines(hasher, texts)
-                h, line, bounds, own, name, sketch = lines.sets(ranks)
+                h, line, bounds, own, name, sketch, wide = lines.sets(ranks)
                 n = np.diff(bounds)
                 rank = ranks[_cell(h)]
                 alone = rank == 0
@@ -127,8 +132,8 @@ def _line_sets(ranks: np.ndarray, t: float):
                 doc = np.searchsorted(lines.first_line, own, side="right") - 1
                 at = pa.array(first + doc)
                 yield batch_of(_LINE, [*(batch.column(c).take(at) for c in (0, 2, 3)),
-                                       (own - lines.first_line[doc]).astype(np.int32), name.view(np.int64), sketch.view(np.int64),
-                                       n.astype(np.int32), skip.astype(np.int32), often.astype(np.int32), words])
+                                       (own - lines.first_line[doc]).astype(np.int32),
+                                       *(c.view(np.int64) for c in (name, sketch, wide)), n.astype(np.int32), skip.astype(np.int32), often.astype(np.int32), words])
     return work
 
 
@@ -151,16 +156,17 @@ def _propose(t: float):
 
     def close(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Whether the sketches leave room for enough common words, and the pair belongs to this run."""
-        n, _, side, _, sketch = rows
+        n, _, side, _, sketch, wide = rows
         a, b = side[z], side[x]
-        return (((n[z] + n[x] - np.bitwise_count(sketch[z] ^ sketch[x])) // 2 >= _need(n[z], n[x], t))
+        apart = np.bitwise_count(sketch[z] ^ sketch[x]) + np.bitwise_count(wide[z] ^ wide[x])
+        return (((n[z] + n[x] - apart) // 2 >= _need(n[z], n[x], t))
                 & ((a & b & LOWER) == 0) & (((a & WITHIN) > 0) | ((a ^ b) & SECOND > 0)))
 
     def match(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
         return fits(rows[0][z], rows[1][z], rows[0][x], rows[1][x]) & close(rows, z, x)
 
     def named(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray, more: np.ndarray) -> list[np.ndarray]:
-        name, sketch = (r.view(np.int64) for r in rows[3:])
+        name, sketch = (r.view(np.int64) for r in rows[3:5])
         return [name[z], sketch[z], name[x], sketch[x], more]
 
     def short_runs(rows: list[np.ndarray], begin: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
@@ -225,7 +231,7 @@ def _propose(t: float):
             if not batch.num_rows:
                 continue
             rows = [batch.column(i).to_numpy().astype(np.int64) for i in range(5)]
-            rows += [batch.column(i).to_numpy().view(np.uint64) for i in (5, 6)]
+            rows += [batch.column(i).to_numpy().view(np.uint64) for i in (5, 6, 7)]
             if held is not None:
                 rows = [np.concatenate((a, b)) for a, b in zip(held, rows)]
             last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
@@ -246,7 +252,7 @@ def _fetch(wanted: BitFilter):
         hasher = WordHasher()
         for batch in batches:
             for _, texts in text_chunks(batch.column(0).to_pylist()):
-                h, _, bounds, _, name, sketch = Lines(hasher, texts).sets()
+                h, _, bounds, _, name, sketch, _ = Lines(hasher, texts).sets()
                 ask = np.flatnonzero(wanted.passes(name))
                 key = np.lexsort((sketch[ask], name[ask]))
                 ask = ask[key]
@@ -280,7 +286,7 @@ def _settle(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
 
 # What an entry of a run is: of the second block of two, of a block compared with itself, of the smaller class of sizes.
 SECOND, WITHIN, LOWER = 1, 2, 4
-_ENTRY = ["word", "cell", "n", "place", "side", "name", "sketch"]
+_ENTRY = ["word", "cell", "n", "place", "side", "name", "sketch", "wide"]
 
 
 def _split_runs(entries: DataFrame, long_words: DataFrame, t: float) -> DataFrame:
@@ -317,12 +323,12 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
                        "file", "row")
     lines = arrow_pass(rows, _line_sets(ranks, t), LINE)
     sets = stored(lines.groupBy("name", "sketch").agg(
-        F.min(F.struct("doc_id", "line", "file", "row")).alias("first"), F.first("n").alias("n"),
-        F.first("skip").alias("skip"), F.first("often").alias("often"),
+        F.min(F.struct("doc_id", "line", "file", "row")).alias("first"), F.first("wide").alias("wide"),
+        F.first("n").alias("n"), F.first("skip").alias("skip"), F.first("often").alias("often"),
         F.first("words").alias("words")), "line-sets")
     entries = (sets.select(F.posexplode("words").alias("at", "word"), "*")
                .select("word", F.lit(0).cast("long").alias("cell"), "n", (F.col("at") + F.col("skip")).alias("place"),
-                       F.lit(WITHIN).alias("side"), "name", "sketch", F.col("first.doc_id").alias("doc_id"),
+                       F.lit(WITHIN).alias("side"), "name", "sketch", "wide", F.col("first.doc_id").alias("doc_id"),
                        F.col("first.line").alias("line")))
     order = ["doc_id", "line", "name", "sketch"]
     frequent = sets.filter("often > 0").select(F.explode(F.slice("words", -F.col("often"), F.col("often"))).alias("word"))
@@ -362,9 +368,10 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
 def _may_match(t: float) -> Column:
     n, m = F.col("n"), F.col("x_n")
     need = F.ceil(F.lit(t / (1 + t)) * (n + m) - F.lit(_EPS))
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in ("sketch", "wide"))
     return ((F.least(n, m) >= F.lit(t) * F.greatest(n, m) - F.lit(_EPS))
             & (F.least(n - F.col("place"), m - F.col("x_place")) >= need)
-            & (F.floor((n + m - F.bit_count(F.col("sketch").bitwiseXOR(F.col("x_sketch")))) / 2) >= need))
+            & (F.floor((n + m - apart) / 2) >= need))
 
 
 def dedup_lines(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
