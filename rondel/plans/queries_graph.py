@@ -149,6 +149,10 @@ def pagerank_top_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv_typed(spark, path, "id bigint, name string, rank_shares double")
 
 
+# The trace follows the ranks down to this relative change; a rank is below 1, so no round is missing that an absolute stop would have.
+_TRACE_TOL = 1e-9
+
+
 def _trace_sql() -> str:
     deltas = " UNION ALL ".join(
         f"SELECT {i} AS iteration, (SELECT max(abs(a.rank - b.rank) / b.rank) FROM r{i} AS a "
@@ -156,12 +160,12 @@ def _trace_sql() -> str:
     return f"""
     {_pagerank_ctes(CONTACTS_SQL, _ROUNDS, both=False)},
     t AS MATERIALIZED ({deltas})
-    SELECT CAST(iteration AS INT) AS iteration, round(delta, 9) AS max_delta, delta < {_TOL} AS converged FROM t
-    WHERE iteration <= coalesce((SELECT min(iteration) FROM t WHERE delta < {_TOL}), {_ROUNDS})"""
+    SELECT CAST(iteration AS INT) AS iteration, round(delta, 9) AS max_delta, delta < {_TRACE_TOL} AS converged FROM t
+    WHERE iteration <= coalesce((SELECT min(iteration) FROM t WHERE delta < {_TRACE_TOL}), {_ROUNDS})"""
 
 
 @query("iteration_trace", _trace_sql())
 def iteration_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reproducible columns; the full trace also has the time of each round and its running total."""
-    run = graph.pagerank(*_contact_graph(spark, sf_dir), damping=_DAMPING, max_rounds=_ROUNDS, tol=_TOL, relative=True)
+    run = graph.pagerank(*_contact_graph(spark, sf_dir), damping=_DAMPING, max_rounds=_ROUNDS, tol=_TRACE_TOL, relative=True)
     return run.trace(spark).select("iteration", F.round("max_delta", 9).alias("max_delta"), "converged")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rondel.operators import graph
+from rondel.plans.catalog import QUERIES
 
 ROWS = [("a", "b"), ("b", "a"), ("b", "c"), ("d", "d"), ("c", "c"), ("a", None)]
 
@@ -128,3 +129,10 @@ def test_relative_stop_does_not_depend_on_the_size_of_the_graph(spark):
     rank = {r["id"]: r["rank"] * n for r in run.ranks.filter("id IN (0, 1, 29999)").collect()}
     assert rank[0] == pytest.approx(0.15) and rank[1] == pytest.approx(0.15 * 1.85)
     assert rank[29999] == pytest.approx(1.0, rel=0.1)
+
+
+def test_registered_trace_goes_on_to_the_last_round_or_a_change_below_1e_9(spark, sf_dir):
+    rows = QUERIES["iteration_trace"](spark, sf_dir).orderBy("iteration").collect()
+    assert [r["iteration"] for r in rows] == list(range(1, len(rows) + 1))
+    assert [r["converged"] for r in rows[:-1]] == [False] * (len(rows) - 1)
+    assert len(rows) == 20 or rows[-1]["converged"] and rows[-1]["max_delta"] <= 1e-9
