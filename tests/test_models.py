@@ -130,3 +130,13 @@ def test_rows_off_their_center(spark, tmp_path):
     assert tuple(clustering.off_center(labelled, model).first()) == (60, 0)
     moved = labelled.withColumn("prediction", F.when(F.col("id") < 6, (F.col("prediction") + 1) % 3).otherwise(F.col("prediction")))
     assert tuple(clustering.off_center(moved, model).first()) == (60, 6)
+
+
+def test_fits_run_on_few_partitions_and_all_rows(spark):
+    rows = spark.range(3000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b")).repartition(60)
+    cores = spark.sparkContext.defaultParallelism
+    vectors = clustering.scaled_vectors(rows, ["a", "b"])
+    assert vectors.rdd.getNumPartitions() == cores
+    assert vectors.count() == 3000 and vectors.select("id").distinct().count() == 3000
+    # more rows than the cores' partitions may hold get more of them
+    assert clustering.gathered(rows, per_partition=100).rdd.getNumPartitions() == 30
