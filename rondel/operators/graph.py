@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from rondel.session import cut_lineage, shuffle_width
 
-# Fewer edges than this are not worth a partition of their own.
-EDGES_PER_PARTITION = 100_000
+# Fewer edges than this are not worth a partition of their own: contributions are summed per partition before they are shuffled,
+# and every partition of edges sends a block to every partition of ranks, in each round.
+EDGES_PER_PARTITION = 1_000_000
 
 # Most hubs whose bucket counts are broadcast; 16 bytes each.
 MAX_BROADCAST_HUBS = 500_000

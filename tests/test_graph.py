@@ -136,3 +136,9 @@ def test_registered_trace_goes_on_to_the_last_round_or_a_change_below_1e_9(spark
     assert [r["iteration"] for r in rows] == list(range(1, len(rows) + 1))
     assert [r["converged"] for r in rows[:-1]] == [False] * (len(rows) - 1)
     assert len(rows) == 20 or rows[-1]["converged"] and rows[-1]["max_delta"] <= 1e-9
+
+
+def test_edge_layout_has_a_partition_per_million_edges(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert graph._width(spark, 0) <= cores and graph._width(spark, 1_000_000) <= cores
+    assert graph._width(spark, 432_000_000) == 432
