@@ -10,14 +10,18 @@ from rondel.operators.quality import keep_first
 from rondel.session import spread
 
 
-def render_narrative(df: DataFrame, parts: Sequence[str | Column], *, keep: Sequence[str | Column] = (),
-                     name: str = "text") -> DataFrame:
-    """One sentence per row from fixed words and column values, joined by blanks; null values are skipped.
+def sentence(parts: Sequence[str | Column]) -> Column:
+    """Fixed words and column values, joined by blanks; null values are skipped.
 
     A plain string is a fixed word, a column is a value.
     """
-    pieces = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
-    return df.select(*keep, F.concat_ws(" ", *pieces).alias(name))
+    return F.concat_ws(" ", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def render_narrative(df: DataFrame, parts: Sequence[str | Column], *, keep: Sequence[str | Column] = (),
+                     name: str = "text") -> DataFrame:
+    """One ``sentence`` per row."""
+    return df.select(*keep, sentence(parts).alias(name))
 
 
 def with_provenance(df: DataFrame, *, source: str, version: str, text: str = "text") -> DataFrame:
@@ -28,13 +32,13 @@ def with_provenance(df: DataFrame, *, source: str, version: str, text: str = "te
     )
 
 
-def content_key(text: str = "text") -> Column:
+def content_key(text: str | Column = "text") -> Column:
     """Identity of a text for de-duplication.
 
     256 bits: over a hundred billion texts a 64-bit hash is expected to merge hundreds of
     different ones.
     """
-    return F.sha2(F.col(text), 256)
+    return F.sha2(F.col(text) if isinstance(text, str) else text, 256)
 
 
 def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
@@ -49,6 +53,18 @@ def curate_text(df: DataFrame, *, text: str = "text", min_length: int = 100,
     return keep_first(keyed, ["_key"], order_by).drop("_key")
 
 
+def curate_rendered(df: DataFrame, text: Column, *, min_length: int = 100,
+                    order_by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The rows whose rendered ``text`` ``curate_text`` would keep, not yet rendered.
+
+    ``text`` is an expression over ``df``. Only its hash travels, with the short columns it is made of, and only once: the first row
+    of a hash is picked in an aggregate that is combined per map task. What ties under ``order_by`` is ordered by the other columns.
+    """
+    rest = [c for c in df.columns if c not in order_by]
+    keyed = df.filter(F.length(text) >= min_length).select(F.unhex(content_key(text)).alias("_key"), *order_by, *rest)
+    return keep_first(keyed, ["_key"]).drop("_key")
+
+
 def curation_quality(df: DataFrame, *, text: str = "text", min_length: int = 100) -> DataFrame:
     """Rows before, rejected by each rule, and after, with the pass ratio. One pass over the text.
 

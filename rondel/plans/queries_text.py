@@ -193,9 +193,7 @@ def render_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def curate_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time and the 64-bit hash have no SQL counterpart and are left out."""
-    path = scratch_path(spark, "narratives")
-    matches.narratives(plays(spark, sf_dir)).write.parquet(path)  # rendered once, read twice
-    return matches.curated(spark.read.parquet(path)).drop("curated_at", "content_hash")
+    return matches.curated_narratives(plays(spark, sf_dir)).drop("curated_at", "content_hash")
 
 
 @query("curate_text", """

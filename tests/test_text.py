@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from rondel.operators import curation, text_index
 from rondel.plans import match_results as matches
+from rondel.plans.catalog import QUERIES
 
 DOCS = [(1, "Natus Vincere a-b_c  Dust2"), (2, " É lead"), (3, ""), (4, None), (5, "the of")]
 
@@ -141,3 +142,22 @@ def test_narrative_skips_missing_values(spark):
 def test_schema_rows(texts):
     assert [tuple(r) for r in curation.schema_rows(texts).collect()] == [
         (0, "doc_id", "int", True), (1, "text", "string", True)]
+
+
+def test_rendered_sentences_are_curated_without_being_stored_or_shuffled(spark, sf_dir):
+    plan = QUERIES["curate_narrative"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    shuffled = [line for line in plan.splitlines() if "partial_min" in line]
+    assert len(shuffled) == 1 and "text" not in shuffled[0]
+
+
+def test_rendered_and_stored_sentences_keep_the_same_rows(spark):
+    clean = spark.createDataFrame(
+        # equal sentences under different ids, one id twice, a null date and team that shorten the sentence
+        [("2020-03-01", f"team{'x' * 40}{i % 3}", None if i % 5 == 0 else "b", "dust2", 16, 9, 1, 7, i % 11, None if i % 2 else 3, 5)
+         for i in range(60)] + [(None, "a", "b", "m", 1, 2, 2, 7, 99, None, None)],
+        "date string, team_1 string, team_2 string, _map string, result_1 int, result_2 int, map_winner int, "
+        "event_id int, match_id int, rank_1 int, rank_2 int")
+    stored, rendered = (sorted(tuple(r) for r in df.drop("curated_at").collect()) for df in (
+        matches.curated(matches.narratives(clean)), matches.curated_narratives(clean)))
+    assert rendered == stored and 1 < len(rendered) < 60
