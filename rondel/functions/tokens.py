@@ -33,7 +33,7 @@ def token_array(text: Column, rule: str) -> Column:
     if rule == "nonword":
         return F.split(lowered, r"[\s\W]+")
     if rule == "alnum":
-        return F.split(F.regexp_replace(lowered, r"[^a-z0-9\s]", " "), r"\s+")
+        return F.split(lowered, "[^a-z0-9]+")  # white space is among them
     raise ValueError(f"unknown tokenising rule {rule!r}")
 
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rondel.functions.tokens import token_array
 from rondel.operators import curation, text_index
 from rondel.plans import match_results as matches
 from rondel.plans.catalog import QUERIES
@@ -161,3 +162,12 @@ def test_rendered_and_stored_sentences_keep_the_same_rows(spark):
     stored, rendered = (sorted(tuple(r) for r in df.drop("curated_at").collect()) for df in (
         matches.curated(matches.narratives(clean)), matches.curated_narratives(clean)))
     assert rendered == stored and 1 < len(rendered) < 60
+
+
+def test_alnum_pieces_come_from_one_pass_and_are_the_same(spark):
+    texts = ["", " ", "a", " a", "a ", "A_b-c  d", "\té\n", "x y z", "\U0001f600a\U0001f600", "É1", "\x0b2\x1c3", "İi", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    two_passes = F.split(F.regexp_replace(F.lower("text"), r"[^a-z0-9\s]", " "), r"\s+")
+    both = docs.select(token_array(F.col("text"), "alnum").alias("one"), two_passes.alias("two"))
+    assert [r["one"] for r in both.collect()] == [r["two"] for r in both.collect()]
+    assert "regexp_replace" not in docs.select(token_array(F.col("text"), "alnum"))._jdf.queryExecution().toString()
