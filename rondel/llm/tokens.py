@@ -1,23 +1,33 @@
 """Whole texts to token ids with the vocabularies of the ``tokenizers`` library.
 
 The library spends its time in splitting and merging, not in looking things up, and words repeat. Both kinds
-of vocabulary supported here never merge across a space between two other signs, so a text is cut there, each
-word is encoded by the library when it is first met, and its ids are kept in a cache of bounded size.
+of vocabulary supported here never merge across a space between two other signs, so texts are cut there, all texts of a
+span at once as Arrow columns. Each different word is looked at once per span; the library encodes its parts when they
+are first met, and their ids are kept in a cache of bounded size. Ids of texts are then gathered as arrays.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-# Entries kept by a worker process: of stems (letters only) about 200 bytes each, of whole words a reference.
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Entries kept by a worker process, of stems (letters only) and of other words and signs; about 200 bytes each.
 CACHE_STEMS = 1_000_000
 CACHE_WORDS = 300_000
+LONGEST = 32            # characters of an entry on average, beyond which fewer are kept
+ENCODED_AT_ONCE = 1 << 23  # characters; a longer text is encoded alone
 # Letters on whose class every vocabulary agrees, then signs; such a word falls into these two parts.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%&$#*]*)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGNS = ".,;:!?|%&$#*"
+# White space other than single spaces and line breaks between words.
+_RARE = "".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n")
+_SPACING = f"[{_RARE}]|[ \n][ \n]|^[ \n]|[ \n]$"
 
 
 def vocabulary(name: str) -> str:
@@ -35,6 +45,89 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def spans(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of together about ``most`` characters."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs with these starts and lengths, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def masked(mask: pa.Array) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False)
+
+
+class Slots:
+    """Ids of strings, one run after another in one array. Slot 0 is empty; strings of several kinds are told apart."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, dict[str, int]] = {}
+        self.ids = np.empty(0, "<u4")
+        self.starts = np.zeros(2, np.int64)
+        self.letters = 0
+
+    def full(self) -> bool:
+        return len(self.starts) > self.most or self.letters > LONGEST * self.most
+
+    def find(self, kind: str, strings: list[str],
+             learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The slots of different ``strings``; ``learn`` gives ids and numbers of ids of those not met before."""
+        at = self.at.setdefault(kind, {})
+        fresh = [s for s in strings if s not in at]
+        if fresh:
+            ids, lengths = learn(fresh)
+            first = len(self.starts) - 1
+            at.update(zip(fresh, range(first, first + len(fresh))))
+            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
+            self.ids = np.concatenate((self.ids, ids))
+            self.letters += sum(map(len, fresh))
+        return np.fromiter(map(at.__getitem__, strings), np.int64, len(strings))
+
+    def runs(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each row of ``slots``, one after another, and their numbers."""
+        flat = slots.reshape(-1)
+        starts, lengths = self.starts[flat], self.starts[flat + 1] - self.starts[flat]
+        return self.ids[ragged(starts, lengths)], lengths.reshape(len(slots), -1).sum(axis=1)
+
+
+def singly(library, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of every text by itself, and their numbers."""
+    found: list[list[int]] = []
+    for i in range(0, len(texts), 1000):
+        found += [x.ids for x in library.encode_batch_fast(texts[i:i + 1000], add_special_tokens=False)]
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter((x for ids in found for x in ids), "<u4", lengths.sum()), lengths
+
+
+def gathered(cut: pa.Array, learned: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts that are cut at every space, and where each text begins and ends among them.
+
+    ``learned`` gives the ids of different words, one after another, and their numbers.
+    """
+    words = pc.split_pattern(cut, " ")
+    names = words.flatten().dictionary_encode()
+    ids, lengths = learned(names.dictionary)
+    at = names.indices.to_numpy()
+    sizes = lengths[at]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    bounds = np.concatenate(([0], np.cumsum(words.value_lengths().to_numpy())))
+    return ids[ragged((np.cumsum(lengths) - lengths)[at], sizes)], ends[bounds]
+
+
 class WordCache:
     """``encode(texts)`` gives the same ids as the library's own encoding of each whole text."""
 
@@ -46,56 +139,76 @@ class WordCache:
         self.library = Tokenizer.from_file(path)
         if plain:
             self.library.encode_special_tokens = True
+        # A byte-level vocabulary keeps spaces: ids of a word depend on the space before it, and case matters.
+        self.keeps_space = self.library.pre_tokenizer.__class__.__name__ == "ByteLevel"
         # Strings with an id of their own may reach over spaces or take them in.
         added = self.library.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
-        self.added_lower = [t.content.lower() for t in added if t.normalized]
-        self.most_stems, self.most_words = stems, words
-        # A byte-level vocabulary keeps spaces: ids of a word depend on the space before it, and case matters.
-        self.keeps_space = self.library.pre_tokenizer.__class__.__name__ == "ByteLevel"
-        self.word: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-        self.stem: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
-        self.signs: dict[str, bytes] = {"": b""}
-        self.line = self._ids("\n") if self.keeps_space else b""
+        self.added_lower = [t.content.lower() for t in added if t.normalized or not self.keeps_space]
+        self.stems, self.others = Slots(stems), Slots(words)
+        self.line = np.frombuffer(self._ids("\n"), "<u4") if self.keeps_space else np.empty(0, "<u4")
+        # Which ids begin a word behind a space, or end one.
+        entries = self.library.get_vocab()
+        self.edge = np.zeros(max(entries.values(), default=0) + 1, bool)
+        self.edge[[i for x, i in entries.items() if (x.startswith("Ġ") if self.keeps_space else x.endswith("</w>"))]] = True
 
     def _ids(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _encode_all(self, words: list[str], before: str) -> Iterator[tuple[str, bytes]]:
-        for i in range(0, len(words), 1000):
-            part = words[i:i + 1000]
-            found = self.library.encode_batch_fast([before + w for w in part], add_special_tokens=False)
-            for word, got in zip(part, found):
-                yield word, packed(got.ids)
-
-    def _learn(self, words: set[str], before: str) -> dict[str, bytes]:
-        """All of ``words``, known after this."""
-        known, stems, signs = self.word[before], self.stem[before], self.signs
-        if len(known) > self.most_words:
-            known.clear()
-        if len(stems) > self.most_stems:
-            stems.clear()
-        split, whole, fresh = [], [], set()
-        for word in words:
-            if word in known:
-                continue
-            parts = _SIMPLE.fullmatch(word)
-            if parts is None:
-                whole.append(word)
-                continue
-            stem, sign = parts.groups()
+    def _stem_ids(self, stems: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """Many stems as one text. Where each begins or ends shows in its ids, else the stems are encoded singly."""
+        ids, lengths = [], []
+        for i in range(0, len(stems), 1000):
+            part = stems[i:i + 1000]
+            text = " " + " ".join(part) if before or not self.keeps_space else "\n".join(part) + "\n"
+            got = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            if not self.keeps_space:
+                ends = np.flatnonzero(self.edge[got]) + 1
+            elif before:
+                ends = np.append(np.flatnonzero(self.edge[got])[1:], len(got))
+            else:
+                stay = got != self.line[0]
+                ends, got = np.cumsum(stay)[~stay], got[stay]
+            if len(ends) == len(part) and ends[-1] == len(got) and not self._holds_added(text):
+                ids.append(got)
+                lengths.append(np.diff(ends, prepend=0))
+            else:
+                one, n = singly(self.library, [before + s for s in part])
+                ids.append(one)
+                lengths.append(n)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _learned(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words. One that begins a line has the line break in front."""
+        first = masked(pc.starts_with(names, "\n"))
+        words = pc.utf8_ltrim(names, "\n")
+        stems = pc.utf8_rtrim(words, _SIGNS)
+        simple = masked(pc.match_substring_regex(stems, f"^[{_LETTERS}]+$"))
+        filled = masked(pc.not_equal(words, ""))
+        core, other = np.zeros(len(names), np.int64), np.zeros((len(names), 2), np.int64)
+        for before, here in ((" ", ~first), ("", first)) if self.keeps_space else (("", ~first),):
+            split = stems.filter(pa.array(here & simple))
             if not self.keeps_space:
-                stem = stem.lower()
-            if stem not in stems:
-                fresh.add(stem)
-            if sign not in signs:
-                signs[sign] = self._ids(sign)
-            split.append((word, stem, sign))
-        stems.update(self._encode_all(list(fresh), before))
-        for word, stem, sign in split:
-            known[word] = stems[stem] + signs[sign] if sign else stems[stem]
-        known.update(self._encode_all(whole, before))
-        return known
+                split = pc.utf8_lower(split)
+            split = split.dictionary_encode()
+            slots = self.stems.find(before, split.dictionary.to_pylist(), lambda s: self._stem_ids(s, before))
+            core[here & simple] = slots[split.indices.to_numpy()]
+            here = here & ~simple & filled
+            other[here, 0] = self.others.find(before, words.filter(pa.array(here)).to_pylist(),
+                                              lambda s: singly(self.library, [before + w for w in s]))
+        signs = pc.replace_substring_regex(words.filter(pa.array(simple)), f"^[{_LETTERS}]+", "").dictionary_encode()
+        slots = self.others.find("signs", signs.dictionary.to_pylist(), lambda s: singly(self.library, s))
+        other[simple, 1] = slots[signs.indices.to_numpy()]
+
+        # The line break, the letters, then signs or the whole word.
+        ids, lengths = zip(*(s.runs(x) for s, x in ((self.stems, core), (self.others, other))))
+        sizes = np.stack((np.where(first, len(self.line), 0), *lengths), axis=1)
+        ends = np.cumsum(sizes.reshape(-1)).reshape(sizes.shape)
+        out = np.empty(ends[-1, -1] if len(ends) else 0, "<u4")
+        parts = (np.tile(self.line, first.sum()), *ids)
+        for k, part in enumerate(parts):
+            out[ragged(ends[:, k] - sizes[:, k], sizes[:, k])] = part
+        return out, sizes.sum(axis=1)
 
     def _holds_added(self, text: str) -> bool:
         if any(s in text for s in self.added):
@@ -108,54 +221,29 @@ class WordCache:
 
         ``lead`` may be a space that is read before each text that is not empty.
         """
-        cut, firsts, inners = [], set(), set()
-        for text in texts:
-            if not text:
-                cut.append([])
-                continue
-            if self._holds_added(text):
-                cut.append(None)
-                continue
-            if self.keeps_space and " ".join(text.split()) != text.replace("\n", " "):
-                cut.append(None)  # runs of white space or rare kinds of it: the library reads the whole text
-                continue
-            if lead and text[0].isspace():
-                cut.append(None)
-                continue
-            if not self.keeps_space:  # an end of line gives no id and only parts words
-                line = text.replace("\n", " ").split(" ")
-                cut.append([line])
-                inners.update(line)
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            cut.append(lines)
-            if lead:
-                inners.add(lines[0][0])
-            for line in lines:
-                firsts.add(line[0])
-                inners.update(line[1:])
+        return [x for s, e in spans(texts, ENCODED_AT_ONCE) for x in self._encode_span([t or "" for t in texts[s:e]], lead)]
+
+    def _encode_span(self, texts: list[str], lead: str) -> list[bytes]:
+        if self.stems.full() or self.others.full():
+            self.stems.clear()
+            self.others.clear()
+        column = pa.array(texts, pa.string())
+        # The library reads a whole text where strings have ids of their own, and where spaces can be part of longer tokens.
+        whole = np.fromiter(map(self._holds_added, texts), bool, len(texts))
         if self.keeps_space:
-            first, inner = self._learn(firsts, ""), self._learn(inners, " ")
+            whole |= masked(pc.match_substring_regex(column, _SPACING))
+        cut = column.filter(pa.array(~whole & masked(pc.not_equal(column, ""))))
+        if not self.keeps_space:  # an end of line gives no id and only parts words
+            cut = pc.replace_substring(cut, "\n", " ")
         else:
-            inners.discard("")
-            first = inner = self._learn(inners, "")
-            inner[""] = b""
-        out = []
-        for text, lines in zip(texts, cut):
-            if lines is None:
-                out.append(self._ids(lead + text))
-                continue
-            if not self.keeps_space:
-                out.append(b"".join(map(inner.__getitem__, lines[0])) if lines else b"")
-                continue
-            parts: list[bytes] = []
-            for line in lines:
-                if parts:
-                    parts.append(self.line)
-                parts.append(first[line[0]] if parts or not lead else inner[line[0]])
-                parts.extend(map(inner.__getitem__, line[1:]))
-            out.append(b"".join(parts))
-        return out
+            cut = pc.replace_substring(cut, "\n", " \n")
+            if not lead:  # as if each text began behind a line break, which is left out again
+                cut = pc.binary_join_element_wise(pa.scalar("\n"), cut, "")
+        ids, bounds = gathered(cut, self._learned)
+        data = ids.tobytes()
+        skip = 0 if lead else len(self.line)
+        found = iter([data[4 * (s + skip):4 * e] for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())])
+        return [self._ids(lead + text) if alone else next(found) if text else b"" for text, alone in zip(texts, whole.tolist())]
 
 
 _OPEN: dict[str, WordCache] = {}

@@ -224,6 +224,39 @@ def test_word_cache(name):
     assert cache.encode(texts[::-1]) == plain[::-1]
 
 
+class Counted:
+    """The library, with the number of texts it was asked for."""
+
+    def __init__(self, library):
+        self.library, self.asked = library, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.asked += len(texts)
+        return self.library.encode_batch_fast(texts, **more)
+
+    def encode(self, text, **more):
+        self.asked += 1
+        return self.library.encode(text, **more)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("lead", ["", " "])
+def test_words_reach_the_library_together(name, lead):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices("abcdeéÖstTR", k=rnd.randrange(1, 9))) + rnd.choice(["", ",", ".", "?!"]) for _ in range(5000)]
+    texts = ["\n".join(" ".join(rnd.choices(words, k=rnd.randrange(1, 30))) for _ in range(rnd.randrange(1, 6))) for _ in range(900)]
+    cache = WordCache(vocabulary(name))
+    plain = [np.array(cache.library.encode(lead + t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    small = WordCache(vocabulary(name), stems=50, words=20)
+    assert [x for i in range(0, 900, 100) for x in small.encode(texts[i:i + 100], lead)] == plain
+    cache.library = Counted(cache.library)
+    assert cache.encode(texts, lead) == plain
+    assert cache.library.asked < 50
+    asked = cache.library.asked
+    assert cache.encode(texts[::-1], lead) == plain[::-1]
+    assert cache.library.asked == asked
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_added_tokens_as_the_library_has_them(name):
     from tokenizers import Tokenizer
