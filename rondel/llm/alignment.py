@@ -16,25 +16,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rondel.llm.shared import arrow_pass, batch_of, stored
-from rondel.llm.tokens import WordCache, packed
+from rondel.llm.tokens import SIGN_BEHIND_LETTER, PartCache, Runs, WordCache, flat, masked, ragged, spans
 
 BLOCK_TOKENS = 1 << 17  # A tokens of one block of texts; a longer text is a block of its own
-ENCODED_AT_ONCE = 1 << 19  # characters; a longer text is encoded alone
-LONGEST = 64            # characters of a word that is kept in the cache of pieces
-CACHE_WORDS = 100_000   # per vocabulary; two vocabularies share a worker's memory
-CACHE_STEMS = 200_000
+ENCODED_AT_ONCE = 1 << 20  # characters; a longer text is encoded alone
+CACHE_WORDS = 50_000    # with the ids of both vocabularies
+CACHE_STEMS = 250_000
 
 
-class PieceCache:
-    """Ids of the piece vocabulary, equal to the library's own encoding of whole texts.
+class Pieces:
+    """Ids of words by the piece vocabulary.
 
-    No piece holds a space behind another sign and none a line break, so words are encoded one by one and remembered.
+    No piece holds a space behind another sign and none a line break, so texts may be cut into words (``by_word``). If none
+    holds a sign behind a letter either, these may be told apart (``by_part``).
     """
 
+    # Runs of spaces are pieces of their own; so is a space that the library puts before a line break.
+    SPACING = "  | \n|▁|^[ \n]| $"
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -44,53 +48,20 @@ class PieceCache:
         self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in enumerate(names)]
         self.by_word = not any("▁" in p.lstrip("▁") or "\n" in p for p in names)
-        self.line = packed(self.library.encode("\n")[1:])
-        self.inner: dict[str, bytes] = {}
-        self.leading: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str], known: dict[str, bytes], before: str, drop: int) -> None:
-        """All of ``words`` in ``known``; ``drop`` ids stand for what is put ``before`` them."""
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        fresh = [w for w in words if w not in known]
-        if fresh:
-            found = self.library.encode([before + w for w in fresh], num_threads=1)
-            known.update((w, packed(ids[drop:])) for w, ids in zip(fresh, found))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[list[str]] | None] = []
-        inner, leading = set(), set()
-        for text in texts:
-            lines = [line.split(" ") for line in text.split("\n")]
-            # Runs of spaces are pieces of their own; so is a space that the library puts before a line break.
-            if (not self.by_word or "  " in text or " \n" in text or "▁" in text
-                    or not lines[0][0] or not lines[-1][-1] and len(lines[-1]) > 1):
-                cut.append(None)
-                continue
-            cut.append(lines)
-            inner.update(lines[0])
-            for line in lines[1:]:
-                leading.add(line[0])
-                inner.update(line[1:])
-        self._learn(inner, self.inner, "", 0)
-        self._learn(leading, self.leading, "\n", 2)
-        known, first, out = self.inner, self.leading, []
-        for text, lines in zip(texts, cut):
-            if lines is None:
-                out.append(packed(self.library.encode(text)))
-                continue
-            parts = [known[w] for w in lines[0]]
-            for line in lines[1:]:
-                parts.append(self.line)
-                parts.append(first[line[0]])
-                parts.extend([known[w] for w in line[1:]])
-            out.append(b"".join(parts))
-        for words, kept in ((inner, known), (leading, first)):
-            for word in words:
-                if len(word) > LONGEST:
-                    del kept[word]
-        return out
+        self.by_part = not any(SIGN_BEHIND_LETTER.search(p) for p in names)
+        self.line = np.array(self.library.encode("\n")[1:], "<u4")
+
+    def word_ids(self, words: list[str], before: str) -> Runs:
+        if before:  # the library puts the space there itself
+            return flat(self.library.encode(words, num_threads=1))
+        drop = 1 + len(self.line)
+        return flat([ids[drop:] for ids in self.library.encode(["\n" + w for w in words], num_threads=1)])
+
+    stem_ids = word_ids
+
+    def whole(self, column: pa.Array) -> np.ndarray:
+        """The texts that the library reads whole."""
+        return masked(pc.match_substring_regex(column, self.SPACING)) | (not self.by_word)
 
 
 def byte_letters() -> dict[str, int]:
@@ -153,11 +124,14 @@ class Aligner:
     """Aligns blocks of texts; one per worker process and pair of vocabularies."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a = WordCache(path_a, stems=CACHE_STEMS, words=CACHE_WORDS, plain=True)
-        self.b = PieceCache(path_b)
-        self.bytes_a, self.bytes_b = (np.array(x, object) for x in (entry_bytes(self.a), self.b.bytes))
+        self.a, self.b = WordCache(path_a, plain=True), Pieces(path_b)
+        # A keeps spaces, as B does, so both are given the same parts of words; each part is looked up once.
+        self.parts = PartCache([self.a, self.b], CACHE_STEMS, CACHE_WORDS, by_part=self.b.by_part)
+        self.bytes_a, self.bytes_b = entry_bytes(self.a), self.b.bytes
         self.sizes_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.spelled = [(np.frombuffer(b"".join(x), np.uint8), np.cumsum(n) - n, n)
+                        for x, n in ((self.bytes_a, self.sizes_a), (self.bytes_b, self.sizes_b))]
         self.kind = "<u4" if len(self.bytes_a) * len(self.bytes_b) < 1 << 32 else "<u8"
         # What a group is written with: an id and the sign behind it.
         self.signs = np.array([f"{i}{s}".encode() for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
@@ -166,13 +140,23 @@ class Aligner:
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both vocabularies per text; none where either does not give back the text's bytes."""
         given = [t or "" for t in texts]
+        column = pa.array(given, pa.string())
+        alone = self.a.whole(given, column) | self.b.whole(column)
+        cut = column.filter(pa.array(~alone & masked(pc.not_equal(column, ""))))
+        runs = self.parts.gathered(pc.replace_substring(cut, "\n", " \n"))
+        found = zip(*([ids[s:e] for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())] for ids, bounds in runs))
         none = np.empty(0, np.int64)
         out = []
-        for text, x, y in zip(given, self.a.encode(given, " "), self.b.encode(given)):
-            x, y = np.frombuffer(x, "<u4").astype(np.int64), np.frombuffer(y, "<u4").astype(np.int64)
+        for text, apart in zip(given, alone.tolist()):
+            if not text:
+                out.append((none, none))
+                continue
+            both = (np.array(self.a.library.encode(" " + text, add_special_tokens=False).ids, "<u4"),
+                    np.array(self.b.library.encode(text), "<u4")) if apart else next(found)
+            x, y = (ids.astype(np.int64) for ids in both)
             whole = (" " + text).encode("utf-8", "surrogatepass")
-            same = text and all(b"".join(table[ids].tolist()) == whole
-                                for table, ids in ((self.bytes_a, x), (self.bytes_b, y)))
+            same = all(signs[ragged(starts[ids], sizes[ids])].tobytes() == whole
+                       for (signs, starts, sizes), ids in zip(self.spelled, (x, y)))
             out.append((x, y) if same else (none, none))
         return out
 
@@ -217,18 +201,6 @@ BLOCK = ("task int, block int, doc_id array<long>, n_a array<long>, n_b array<lo
          "groups array<string>, links binary, pairs array<long>, times array<long>")
 
 
-def _spans(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of together about ``ENCODED_AT_ONCE`` characters."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= ENCODED_AT_ONCE:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _blocks(path_a: str, path_b: str, digest: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, task = aligner(path_a, path_b), TaskContext.get().partitionId()
@@ -243,7 +215,7 @@ def _blocks(path_a: str, path_b: str, digest: bool):
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for s, e in _spans(texts):
+            for s, e in spans(texts, ENCODED_AT_ONCE):
                 for key, got in zip(names[s:e], both.encode(texts[s:e])):
                     keys.append(key)
                     ids.append(got)

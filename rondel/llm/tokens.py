@@ -9,9 +9,11 @@ are first met, and their ids are kept in a cache of bounded size. Ids of texts a
 from __future__ import annotations
 
 import os
+import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,9 @@ ENCODED_AT_ONCE = 1 << 23  # characters; a longer text is encoded alone
 # Letters on whose class every vocabulary agrees, then signs; such a word falls into these two parts.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = ".,;:!?|%&$#*"
+# Ids one run after another, and the length or the bounds of each run.
+Runs = tuple[np.ndarray, np.ndarray]
+SIGN_BEHIND_LETTER = re.compile(f"[{_LETTERS}][{re.escape(_SIGNS)}]")
 # White space other than single spaces and line breaks between words.
 _RARE = "".join(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n")
 _SPACING = f"[{_RARE}]|[ \n][ \n]|^[ \n]|[ \n]$"
@@ -68,64 +73,113 @@ def masked(mask: pa.Array) -> np.ndarray:
 
 
 class Slots:
-    """Ids of strings, one run after another in one array. Slot 0 is empty; strings of several kinds are told apart."""
+    """Ids of strings by one or several vocabularies; per vocabulary they are runs of one array. Slot 0 is empty."""
 
-    def __init__(self, most: int):
-        self.most = most
+    def __init__(self, most: int, vocabularies: int = 1):
+        self.most, self.vocabularies = most, vocabularies
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, dict[str, int]] = {}
-        self.ids = np.empty(0, "<u4")
-        self.starts = np.zeros(2, np.int64)
+        self.at: dict[str, dict[str, int]] = {}  # strings of several kinds are told apart
+        self.ids = [np.empty(0, "<u4")] * self.vocabularies
+        self.starts = [np.zeros(2, np.int64)] * self.vocabularies
         self.letters = 0
 
     def full(self) -> bool:
-        return len(self.starts) > self.most or self.letters > LONGEST * self.most
+        return len(self.starts[0]) > self.most or self.letters > LONGEST * self.most
 
-    def find(self, kind: str, strings: list[str],
-             learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """The slots of different ``strings``; ``learn`` gives ids and numbers of ids of those not met before."""
+    def find(self, kind: str, strings: list[str], learn: Callable[[list[str]], list[Runs]]) -> np.ndarray:
+        """The slots of different ``strings``; ``learn`` gives the ids of those not met before, by each vocabulary."""
         at = self.at.setdefault(kind, {})
         fresh = [s for s in strings if s not in at]
         if fresh:
-            ids, lengths = learn(fresh)
-            first = len(self.starts) - 1
+            first = len(self.starts[0]) - 1
+            for k, (ids, lengths) in enumerate(learn(fresh)):
+                self.starts[k] = np.concatenate((self.starts[k], self.starts[k][-1] + np.cumsum(lengths)))
+                self.ids[k] = np.concatenate((self.ids[k], ids))
             at.update(zip(fresh, range(first, first + len(fresh))))
-            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
-            self.ids = np.concatenate((self.ids, ids))
             self.letters += sum(map(len, fresh))
         return np.fromiter(map(at.__getitem__, strings), np.int64, len(strings))
 
-    def runs(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of each row of ``slots``, one after another, and their numbers."""
-        flat = slots.reshape(-1)
-        starts, lengths = self.starts[flat], self.starts[flat + 1] - self.starts[flat]
-        return self.ids[ragged(starts, lengths)], lengths.reshape(len(slots), -1).sum(axis=1)
+    def runs(self, slots: np.ndarray, k: int) -> Runs:
+        """The ids of each row of ``slots`` by vocabulary ``k``, one after another, and their numbers."""
+        one = slots.reshape(-1)
+        starts, lengths = self.starts[k][one], self.starts[k][one + 1] - self.starts[k][one]
+        return self.ids[k][ragged(starts, lengths)], lengths.reshape(slots.shape).sum(axis=1)
 
 
-def singly(library, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of every text by itself, and their numbers."""
-    found: list[list[int]] = []
-    for i in range(0, len(texts), 1000):
-        found += [x.ids for x in library.encode_batch_fast(texts[i:i + 1000], add_special_tokens=False)]
+def flat(found: list[list[int]]) -> Runs:
+    """Lists of ids as one array, and their numbers."""
     lengths = np.fromiter(map(len, found), np.int64, len(found))
-    return np.fromiter((x for ids in found for x in ids), "<u4", lengths.sum()), lengths
+    return np.fromiter(chain.from_iterable(found), "<u4", lengths.sum()), lengths
 
 
-def gathered(cut: pa.Array, learned: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of texts that are cut at every space, and where each text begins and ends among them.
+class PartCache:
+    """Ids of texts that are cut at every space, from the ids of the parts of words, which are kept.
 
-    ``learned`` gives the ids of different words, one after another, and their numbers.
+    A word of letters and signs behind them falls into these two parts, others are one. A word's ids depend on whether a
+    space or a line break is in front: ``before`` is one of ``sides``, a space or nothing. Each vocabulary has
+    ``stem_ids`` and ``word_ids`` of ``(strings, before)`` and the ids of a line break, ``line``.
     """
-    words = pc.split_pattern(cut, " ")
-    names = words.flatten().dictionary_encode()
-    ids, lengths = learned(names.dictionary)
-    at = names.indices.to_numpy()
-    sizes = lengths[at]
-    ends = np.concatenate(([0], np.cumsum(sizes)))
-    bounds = np.concatenate(([0], np.cumsum(words.value_lengths().to_numpy())))
-    return ids[ragged((np.cumsum(lengths) - lengths)[at], sizes)], ends[bounds]
+
+    def __init__(self, vocabularies: list, stems: int, words: int, sides: tuple[str, ...] = (" ", ""), lower: bool = False,
+                 by_part: bool = True):
+        """``lower``: case makes no difference. ``by_part``: words may be taken apart."""
+        self.vocabularies, self.sides, self.lower, self.by_part = vocabularies, sides, lower, by_part
+        self.stems, self.others = Slots(stems, len(vocabularies)), Slots(words, len(vocabularies))
+
+    def _words(self, before: str) -> Callable[[list[str]], list[Runs]]:
+        return lambda strings: [v.word_ids(strings, before) for v in self.vocabularies]
+
+    def _stems(self, before: str) -> Callable[[list[str]], list[Runs]]:
+        return lambda strings: [v.stem_ids(strings, before) for v in self.vocabularies]
+
+    def _learned(self, names: pa.Array) -> Iterator[Runs]:
+        """By each vocabulary the ids of different words. One that begins a line has the line break in front."""
+        first = masked(pc.starts_with(names, "\n"))
+        words = pc.utf8_ltrim(names, "\n")
+        stems = pc.utf8_rtrim(words, _SIGNS)
+        simple = masked(pc.match_substring_regex(stems, f"^[{_LETTERS}]+$")) & self.by_part
+        filled = masked(pc.not_equal(words, ""))
+        core, other = np.zeros((len(names), 1), np.int64), np.zeros((len(names), 2), np.int64)
+        for before, here in zip(self.sides, (~first, first)):
+            split = stems.filter(pa.array(here & simple))
+            if self.lower:
+                split = pc.utf8_lower(split)
+            split = split.dictionary_encode()
+            slots = self.stems.find(before, split.dictionary.to_pylist(), self._stems(before))
+            core[here & simple, 0] = slots[split.indices.to_numpy()]
+            here = here & ~simple & filled
+            other[here, 0] = self.others.find(before, words.filter(pa.array(here)).to_pylist(), self._words(before))
+        signs = pc.replace_substring_regex(words.filter(pa.array(simple)), f"^[{_LETTERS}]+", "").dictionary_encode()
+        slots = self.others.find("signs", signs.dictionary.to_pylist(), self._words(""))
+        other[simple, 1] = slots[signs.indices.to_numpy()]
+
+        for k, vocabulary_ in enumerate(self.vocabularies):
+            # The line break, the letters, then signs or the whole word.
+            line = vocabulary_.line
+            ids, lengths = zip(self.stems.runs(core, k), self.others.runs(other, k))
+            sizes = np.stack((np.where(first, len(line), 0), *lengths), axis=1)
+            ends = np.cumsum(sizes.reshape(-1)).reshape(sizes.shape)
+            out = np.empty(ends[-1, -1] if len(ends) else 0, "<u4")
+            for i, part in enumerate((np.tile(line, first.sum()), *ids)):
+                out[ragged(ends[:, i] - sizes[:, i], sizes[:, i])] = part
+            yield out, sizes.sum(axis=1)
+
+    def gathered(self, cut: pa.Array) -> list[Runs]:
+        """By each vocabulary the ids of the texts, one after another, and where each text begins and ends among them."""
+        if self.stems.full() or self.others.full():
+            self.stems.clear()
+            self.others.clear()
+        words = pc.split_pattern(cut, " ")
+        bounds = np.concatenate(([0], np.cumsum(words.value_lengths().to_numpy())))
+        names = words.flatten().dictionary_encode()
+        at, out = names.indices.to_numpy(), []
+        for ids, lengths in self._learned(names.dictionary):
+            sizes = lengths[at]
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            out.append((ids[ragged((np.cumsum(lengths) - lengths)[at], sizes)], ends[bounds]))
+        return out
 
 
 class WordCache:
@@ -145,8 +199,8 @@ class WordCache:
         added = self.library.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
         self.added_lower = [t.content.lower() for t in added if t.normalized or not self.keeps_space]
-        self.stems, self.others = Slots(stems), Slots(words)
         self.line = np.frombuffer(self._ids("\n"), "<u4") if self.keeps_space else np.empty(0, "<u4")
+        self.parts = PartCache([self], stems, words, (" ", "") if self.keeps_space else ("",), lower=not self.keeps_space)
         # Which ids begin a word behind a space, or end one.
         entries = self.library.get_vocab()
         self.edge = np.zeros(max(entries.values(), default=0) + 1, bool)
@@ -155,7 +209,13 @@ class WordCache:
     def _ids(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _stem_ids(self, stems: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+    def word_ids(self, words: list[str], before: str) -> Runs:
+        found: list[list[int]] = []
+        for i in range(0, len(words), 1000):
+            found += [x.ids for x in self.library.encode_batch_fast([before + w for w in words[i:i + 1000]], add_special_tokens=False)]
+        return flat(found)
+
+    def stem_ids(self, stems: list[str], before: str) -> Runs:
         """Many stems as one text. Where each begins or ends shows in its ids, else the stems are encoded singly."""
         ids, lengths = [], []
         for i in range(0, len(stems), 1000):
@@ -173,43 +233,11 @@ class WordCache:
                 ids.append(got)
                 lengths.append(np.diff(ends, prepend=0))
             else:
-                one, n = singly(self.library, [before + s for s in part])
+                one, n = self.word_ids(part, before)
                 ids.append(one)
                 lengths.append(n)
         return np.concatenate(ids), np.concatenate(lengths)
 
-    def _learned(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of different words. One that begins a line has the line break in front."""
-        first = masked(pc.starts_with(names, "\n"))
-        words = pc.utf8_ltrim(names, "\n")
-        stems = pc.utf8_rtrim(words, _SIGNS)
-        simple = masked(pc.match_substring_regex(stems, f"^[{_LETTERS}]+$"))
-        filled = masked(pc.not_equal(words, ""))
-        core, other = np.zeros(len(names), np.int64), np.zeros((len(names), 2), np.int64)
-        for before, here in ((" ", ~first), ("", first)) if self.keeps_space else (("", ~first),):
-            split = stems.filter(pa.array(here & simple))
-            if not self.keeps_space:
-                split = pc.utf8_lower(split)
-            split = split.dictionary_encode()
-            slots = self.stems.find(before, split.dictionary.to_pylist(), lambda s: self._stem_ids(s, before))
-            core[here & simple] = slots[split.indices.to_numpy()]
-            here = here & ~simple & filled
-            other[here, 0] = self.others.find(before, words.filter(pa.array(here)).to_pylist(),
-                                              lambda s: singly(self.library, [before + w for w in s]))
-        signs = pc.replace_substring_regex(words.filter(pa.array(simple)), f"^[{_LETTERS}]+", "").dictionary_encode()
-        slots = self.others.find("signs", signs.dictionary.to_pylist(), lambda s: singly(self.library, s))
-        other[simple, 1] = slots[signs.indices.to_numpy()]
-
-        # The line break, the letters, then signs or the whole word.
-        ids, lengths = zip(*(s.runs(x) for s, x in ((self.stems, core), (self.others, other))))
-        sizes = np.stack((np.where(first, len(self.line), 0), *lengths), axis=1)
-        ends = np.cumsum(sizes.reshape(-1)).reshape(sizes.shape)
-        out = np.empty(ends[-1, -1] if len(ends) else 0, "<u4")
-        parts = (np.tile(self.line, first.sum()), *ids)
-        for k, part in enumerate(parts):
-            out[ragged(ends[:, k] - sizes[:, k], sizes[:, k])] = part
-        return out, sizes.sum(axis=1)
-
     def _holds_added(self, text: str) -> bool:
         if any(s in text for s in self.added):
             return True
@@ -223,15 +251,14 @@ class WordCache:
         """
         return [x for s, e in spans(texts, ENCODED_AT_ONCE) for x in self._encode_span([t or "" for t in texts[s:e]], lead)]
 
+    def whole(self, texts: list[str], column: pa.Array) -> np.ndarray:
+        """The texts that the library reads whole: strings in them have ids of their own, or spaces can be part of longer tokens."""
+        out = np.fromiter(map(self._holds_added, texts), bool, len(texts))
+        return out | masked(pc.match_substring_regex(column, _SPACING)) if self.keeps_space else out
+
     def _encode_span(self, texts: list[str], lead: str) -> list[bytes]:
-        if self.stems.full() or self.others.full():
-            self.stems.clear()
-            self.others.clear()
         column = pa.array(texts, pa.string())
-        # The library reads a whole text where strings have ids of their own, and where spaces can be part of longer tokens.
-        whole = np.fromiter(map(self._holds_added, texts), bool, len(texts))
-        if self.keeps_space:
-            whole |= masked(pc.match_substring_regex(column, _SPACING))
+        whole = self.whole(texts, column)
         cut = column.filter(pa.array(~whole & masked(pc.not_equal(column, ""))))
         if not self.keeps_space:  # an end of line gives no id and only parts words
             cut = pc.replace_substring(cut, "\n", " ")
@@ -239,7 +266,7 @@ class WordCache:
             cut = pc.replace_substring(cut, "\n", " \n")
             if not lead:  # as if each text began behind a line break, which is left out again
                 cut = pc.binary_join_element_wise(pa.scalar("\n"), cut, "")
-        ids, bounds = gathered(cut, self._learned)
+        (ids, bounds), = self.parts.gathered(cut)
         data = ids.tobytes()
         skip = 0 if lead else len(self.line)
         found = iter([data[4 * (s + skip):4 * e] for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())])

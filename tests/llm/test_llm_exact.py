@@ -255,6 +255,7 @@ def test_words_reach_the_library_together(name, lead):
     asked = cache.library.asked
     assert cache.encode(texts[::-1], lead) == plain[::-1]
     assert cache.library.asked == asked
+    assert cache.encode([None, ""], lead) == [b"", b""] and cache.encode([], lead) == []
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])

@@ -181,6 +181,27 @@ def test_blocks_of_any_size_agree(spark, monkeypatch):
     assert whole[2] == [g for _, _, groups in one_by_one for g in groups]
 
 
+def test_both_vocabularies_meet_a_word_once():
+    """The parts of words are looked up together, and each is given to a library once; ids stay those of whole texts."""
+    both = alignment.Aligner(A, B)
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdeéÖstT", k=rnd.randrange(1, 9))) + rnd.choice(["", ",", ".", "(x)"]) for _ in range(2000)]
+    texts = ["\n".join(" ".join(rnd.choices(words, k=rnd.randrange(1, 30))) for _ in range(rnd.randrange(1, 6))) for _ in range(500)]
+    library, asked = both.b.library, []
+
+    class Counted:
+        def encode(self, given, **more):
+            asked.extend(given if isinstance(given, list) else [given])
+            return library.encode(given, **more)
+
+    both.b.library = Counted()
+    ids = both.encode(texts) + both.encode(texts) + both.encode(["", None])
+    assert len(asked) == len(set(asked)) <= 4 * len(set(words))
+    for text, (x, y) in zip(texts + texts + ["", ""], ids):
+        assert y.tolist() == library.encode(text)
+        assert x.tolist() == (both.a.library.encode(" " + text, add_special_tokens=False).ids if text else [])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)), st.integers(61, 64)), min_size=1, max_size=6))
 def test_shared_ends(texts):
