@@ -29,6 +29,8 @@ CELLS = 1 << 21
 PROPOSALS = 8
 # Runs of one word up to this many lines are compared together, longer ones by sizes and places.
 SHORT_RUN = 256
+# Entries that are looked at together, besides those of a run that is not at its end.
+ENTRIES = 1 << 13
 # Lines of one word that one task compares; words with more are split by set size and into blocks.
 LONG_RUN = 1 << 17
 _EPS = 1e-9
@@ -51,7 +53,7 @@ class Lines:
         A sketch holds, for each of its cells, whether an odd number of the set's words fall there.
         """
         key = self.line if ranks is None else (self.line << 16) | ranks[_cell(self.hashes)]
-        order = np.lexsort((self.hashes, key))
+        order = _by_key(key, self.hashes)
         h, line = self.hashes[order], self.line[order]
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
@@ -65,6 +67,17 @@ class Lines:
         return h, line, bounds, line[at], name, sketch, wide
 
 
+def _by_key(key: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The order by (key, hash): one sort of the key and as many bits of the hash as there is room for, if these tell all apart."""
+    room = np.uint64(int(key.max(initial=1)).bit_length())
+    both = (key.astype(np.uint64) << (np.uint64(64) - room)) | (hashes >> room)
+    order = np.argsort(both)
+    both, h = both[order], hashes[order]
+    if ((both[1:] == both[:-1]) & (h[1:] != h[:-1])).any():
+        return np.lexsort((hashes, key))
+    return order
+
+
 def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
 
@@ -146,7 +159,7 @@ _PAIR = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("other", pa.in
 
 
 def _propose(t: float):
-    """Inside runs of equal keys, sorted from the earliest line: for each line its first few possible partners."""
+    """Inside runs of equal keys, from the earliest line on: for each line its first few possible partners."""
     block, width = 512, 2048
 
     def fits(nz: np.ndarray, pz: np.ndarray, nx: np.ndarray, px: np.ndarray) -> np.ndarray:
@@ -213,12 +226,16 @@ def _propose(t: float):
         return named(rows, *(np.concatenate(c) for c in zip(*out)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held: list[list[np.ndarray]] = []  # entries of the batches that are not yet looked at
+        waiting = 0
 
         def proposals(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             new = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
             edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(rows[0])]))
             begin, size = edges[:-1], np.diff(edges)
+            # Inside a run as by _ORDER, null ids first.
+            order = np.lexsort((*(r.view(np.int64) for r in (rows[6], rows[5])), *rows[:7:-1], np.repeat(begin, size)))
+            rows = [r[order] for r in rows[:8]]
             short = (size > 1) & (size <= SHORT_RUN)
             found = [short_runs(rows[2:], begin[short], size[short])]
             for i in np.flatnonzero(size > SHORT_RUN):
@@ -232,15 +249,21 @@ def _propose(t: float):
                 continue
             rows = [batch.column(i).to_numpy().astype(np.int64) for i in range(5)]
             rows += [batch.column(i).to_numpy().view(np.uint64) for i in (5, 6, 7)]
-            if held is not None:
-                rows = [np.concatenate((a, b)) for a, b in zip(held, rows)]
+            doc = batch.column(8)
+            rows += [doc.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), doc.fill_null(0).to_numpy(),
+                     batch.column(9).to_numpy().astype(np.int64)]
+            held.append(rows)
+            waiting += batch.num_rows
+            if waiting < ENTRIES:
+                continue
+            rows = [np.concatenate(c) for c in zip(*held)]
             last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
             cut = int(np.argmax(last))
-            held = [r[cut:] for r in rows]
+            held, waiting = [[r[cut:] for r in rows]], 0
             if cut:
                 yield from proposals([r[:cut] for r in rows])
-        if held is not None:
-            yield from proposals(held)
+        if held:
+            yield from proposals([np.concatenate(c) for c in zip(*held)])
     return work
 
 
@@ -286,7 +309,8 @@ def _settle(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
 
 # What an entry of a run is: of the second block of two, of a block compared with itself, of the smaller class of sizes.
 SECOND, WITHIN, LOWER = 1, 2, 4
-_ENTRY = ["word", "cell", "n", "place", "side", "name", "sketch", "wide"]
+_ORDER = ["doc_id", "line", "name", "sketch"]
+_ENTRY = ["word", "cell", "n", "place", "side", "name", "sketch", "wide", "doc_id", "line"]
 
 
 def _split_runs(entries: DataFrame, long_words: DataFrame, t: float) -> DataFrame:
@@ -330,7 +354,6 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
                .select("word", F.lit(0).cast("long").alias("cell"), "n", (F.col("at") + F.col("skip")).alias("place"),
                        F.lit(WITHIN).alias("side"), "name", "sketch", "wide", F.col("first.doc_id").alias("doc_id"),
                        F.col("first.line").alias("line")))
-    order = ["doc_id", "line", "name", "sketch"]
     frequent = sets.filter("often > 0").select(F.explode(F.slice("words", -F.col("often"), F.col("often"))).alias("word"))
     long_words = stored(frequent.groupBy("word").count().filter(F.col("count") > LONG_RUN).select("word"), "line-long-runs")
     found = []
@@ -339,7 +362,8 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
         runs = [(entries.join(long_words, "word", "left_anti"), ["word"]),
                 (_split_runs(entries, long_words, t), ["word", "cell"])]
     for run, key in runs:
-        dealt = run.repartition(*key).sortWithinPartitions(*key, *order)
+        # By the key alone, a sort of one number; a task orders the entries of a run itself.
+        dealt = run.repartition(*key).sortWithinPartitions(*key)
         found.append(stored(dealt.select(*_ENTRY).mapInArrow(
             _propose(t), "name long, sketch long, other long, other_sketch long, more boolean"), "line-proposals"))
     proposed = found[0] if len(found) == 1 else found[0].unionByName(found[1])
@@ -351,7 +375,7 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
         # Stored, so that the optimizer knows its size: the entries of few lines are broadcast, those of many are not.
         z = stored(entries.join(open_sets, ["name", "sketch"], "left_semi"), "line-open-entries")
         x = entries.toDF(*[f"x_{c}" for c in entries.columns])
-        earlier = F.struct(*[F.col(f"x_{c}") for c in order]) < F.struct(*[F.col(c) for c in order])
+        earlier = F.struct(*[F.col(f"x_{c}") for c in _ORDER]) < F.struct(*[F.col(c) for c in _ORDER])
         pairs = stored(z.join(x, F.col("word") == F.col("x_word")).filter(earlier & _may_match(t))
                        .select("name", "sketch", F.col("x_name").alias("other"), F.col("x_sketch").alias("other_sketch"),
                                F.lit(True).alias("more"))

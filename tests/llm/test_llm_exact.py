@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,35 @@ def test_word_cache(name):
     assert cache.encode(texts[::-1]) == plain[::-1]
 
 
+def test_runs_are_ordered_where_they_are_compared():
+    """Entries of a run may come in any order: a line meets the lines before it, null ids first."""
+    rnd = np.random.default_rng(4)
+    n = 600
+    word = np.sort(rnd.integers(0, 4, n)).astype(np.int32)
+    doc = [None if x == 0 else int(x) for x in rnd.permutation(n)]
+    columns = [word, np.zeros(n, np.int64), np.full(n, 5, np.int32), np.zeros(n, np.int64), np.full(n, line_dedup.WITHIN, np.int32),
+               np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64), doc, np.zeros(n, np.int32)]
+    rows = pa.table([pa.array(c) for c in columns], names=line_dedup._ENTRY)
+
+    def pairs(table, size=150):
+        found = list(line_dedup._propose(0.8)(iter(table.to_batches(max_chunksize=size))))
+        return sorted((x["name"], x["other"]) for b in found for x in b.to_pylist())
+
+    expected = []
+    for w in range(4):
+        run = sorted(np.flatnonzero(word == w).tolist(), key=lambda i: doc[i] or 0)
+        expected += [(run[i], run[j]) for i in range(len(run)) for j in range(min(i, line_dedup.PROPOSALS + 1))]
+    assert pairs(rows) == pairs(rows, n) == sorted(expected)
+
+
+def test_order_of_equal_high_bits():
+    key = np.array([5, 5, 5, 5, 2, 5])
+    hashes = np.array([7, 3, 7, 1 << 40, 9, 3], np.uint64)
+    order = line_dedup._by_key(key, hashes)
+    assert [(key[i], hashes[i]) for i in order] == sorted(zip(key, hashes))
+    assert len(line_dedup._by_key(key[:0], hashes[:0])) == 0
+
+
 class Counted:
     """The library, with the number of texts it was asked for."""
 
