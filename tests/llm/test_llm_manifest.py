@@ -185,7 +185,8 @@ def test_both_vocabularies_meet_a_word_once():
     """The parts of words are looked up together, and each is given to a library once; ids stay those of whole texts."""
     both = alignment.Aligner(A, B)
     rnd = random.Random(8)
-    words = ["".join(rnd.choices("abcdeéÖstT", k=rnd.randrange(1, 9))) + rnd.choice(["", ",", ".", "(x)"]) for _ in range(2000)]
+    letters = ["".join(rnd.choices("abcdeéÖstT", k=8)) for _ in range(300)]
+    words = [x + sign for x in letters for sign in ("", ",", ".", ";", "?!")]
     texts = ["\n".join(" ".join(rnd.choices(words, k=rnd.randrange(1, 30))) for _ in range(rnd.randrange(1, 6))) for _ in range(500)]
     library, asked = both.b.library, []
 
@@ -196,7 +197,7 @@ def test_both_vocabularies_meet_a_word_once():
 
     both.b.library = Counted()
     ids = both.encode(texts) + both.encode(texts) + both.encode(["", None])
-    assert len(asked) == len(set(asked)) <= 4 * len(set(words))
+    assert len(asked) == len(set(asked)) <= 2 * len(letters) + 5
     for text, (x, y) in zip(texts + texts + ["", ""], ids):
         assert y.tolist() == library.encode(text)
         assert x.tolist() == (both.a.library.encode(" " + text, add_special_tokens=False).ids if text else [])
