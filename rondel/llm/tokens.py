@@ -3,7 +3,8 @@
 The library spends its time in splitting and merging, not in looking things up, and words repeat. Both kinds
 of vocabulary supported here never merge across a space between two other signs, so texts are cut there, all texts of a
 span at once as Arrow columns. Each different word is looked at once per span; the library encodes its parts when they
-are first met, and their ids are kept in a cache of bounded size. Ids of texts are then gathered as arrays.
+are first met, and their ids are kept in a cache of bounded size, from which those go first that were met once. Ids of
+texts are then gathered as arrays.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Entries kept by a worker process, of stems (letters only) and of other words and signs; about 200 bytes each.
-CACHE_STEMS = 1_000_000
-CACHE_WORDS = 300_000
+# Entries kept by a worker process, of stems (letters only) and of other words and signs; about 50 bytes each, and as much
+# while they are looked up.
+CACHE_STEMS = 300_000
+CACHE_WORDS = 100_000
 LONGEST = 32            # characters of an entry on average, beyond which fewer are kept
-ENCODED_AT_ONCE = 1 << 23  # characters; a longer text is encoded alone
+ENCODED_AT_ONCE = 1 << 22  # characters; a longer text is encoded alone
 # Letters on whose class every vocabulary agrees, then signs; such a word falls into these two parts.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGNS = ".,;:!?|%&$#*"
@@ -72,34 +74,64 @@ def masked(mask: pa.Array) -> np.ndarray:
     return mask.to_numpy(zero_copy_only=False)
 
 
+def _letters(strings: pa.Array) -> int:
+    return pc.sum(pc.utf8_length(strings)).as_py() or 0
+
+
 class Slots:
-    """Ids of strings by one or several vocabularies; per vocabulary they are runs of one array. Slot 0 is empty."""
+    """Ids of strings by one or several vocabularies; per vocabulary they are runs of one array. Slot 0 is empty.
+
+    The strings are Arrow columns too: as Python objects they would take several times the room.
+    """
 
     def __init__(self, most: int, vocabularies: int = 1):
         self.most, self.vocabularies = most, vocabularies
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, dict[str, int]] = {}  # strings of several kinds are told apart
+        self.at: dict[str, tuple[pa.Array, np.ndarray]] = {}  # strings of each kind and their slots
         self.ids = [np.empty(0, "<u4")] * self.vocabularies
         self.starts = [np.zeros(2, np.int64)] * self.vocabularies
+        self.again = np.zeros(1, bool)  # which slots were asked for again since they were learned or last kept
         self.letters = 0
 
     def full(self) -> bool:
-        return len(self.starts[0]) > self.most or self.letters > LONGEST * self.most
-
-    def find(self, kind: str, strings: list[str], learn: Callable[[list[str]], list[Runs]]) -> np.ndarray:
+        return len(self.again) > self.most or self.letters > LONGEST * self.most
+
+    def thin(self) -> None:
+        """Keeps the strings that were asked for again; if they are more than half of what there may be, none."""
+        keep = self.again.copy()
+        keep[0] = True
+        at = {kind: (strings.filter(pa.array(keep[slots])), slots[keep[slots]]) for kind, (strings, slots) in self.at.items()}
+        letters = sum(_letters(strings) for strings, _ in at.values())
+        if 2 * keep.sum() > self.most or 2 * letters > LONGEST * self.most:
+            self.clear()
+            return
+        new, stay = np.cumsum(keep) - 1, np.flatnonzero(keep)
+        self.at = {kind: (strings, new[slots]) for kind, (strings, slots) in at.items()}
+        for k in range(self.vocabularies):
+            self.ids[k], lengths = self.runs(stay[:, None], k)
+            self.starts[k] = np.concatenate(([0], np.cumsum(lengths)))
+        self.again, self.letters = np.zeros(len(stay), bool), letters
+
+    def find(self, kind: str, strings: pa.Array, learn: Callable[[list[str]], list[Runs]]) -> np.ndarray:
         """The slots of different ``strings``; ``learn`` gives the ids of those not met before, by each vocabulary."""
-        at = self.at.setdefault(kind, {})
-        fresh = [s for s in strings if s not in at]
-        if fresh:
-            first = len(self.starts[0]) - 1
-            for k, (ids, lengths) in enumerate(learn(fresh)):
+        known, slots = self.at.get(kind, (pa.array([], pa.string()), np.empty(0, np.int64)))
+        place = pc.index_in(strings, value_set=known)
+        new = masked(place.is_null())
+        found = np.empty(len(strings), np.int64)
+        found[~new] = slots[place.drop_null().to_numpy()]
+        self.again[found[~new]] = True
+        if new.any():
+            fresh = strings.filter(pa.array(new))
+            found[new] = np.arange(len(self.again), len(self.again) + len(fresh))
+            for k, (ids, lengths) in enumerate(learn(fresh.to_pylist())):
                 self.starts[k] = np.concatenate((self.starts[k], self.starts[k][-1] + np.cumsum(lengths)))
                 self.ids[k] = np.concatenate((self.ids[k], ids))
-            at.update(zip(fresh, range(first, first + len(fresh))))
-            self.letters += sum(map(len, fresh))
-        return np.fromiter(map(at.__getitem__, strings), np.int64, len(strings))
+            self.at[kind] = pa.concat_arrays([known, fresh]), np.concatenate((slots, found[new]))
+            self.again = np.concatenate((self.again, np.zeros(len(fresh), bool)))
+            self.letters += _letters(fresh)
+        return found
 
     def runs(self, slots: np.ndarray, k: int) -> Runs:
         """The ids of each row of ``slots`` by vocabulary ``k``, one after another, and their numbers."""
@@ -147,12 +179,12 @@ class PartCache:
             if self.lower:
                 split = pc.utf8_lower(split)
             split = split.dictionary_encode()
-            slots = self.stems.find(before, split.dictionary.to_pylist(), self._stems(before))
+            slots = self.stems.find(before, split.dictionary, self._stems(before))
             core[here & simple, 0] = slots[split.indices.to_numpy()]
             here = here & ~simple & filled
-            other[here, 0] = self.others.find(before, words.filter(pa.array(here)).to_pylist(), self._words(before))
+            other[here, 0] = self.others.find(before, words.filter(pa.array(here)), self._words(before))
         signs = pc.replace_substring_regex(words.filter(pa.array(simple)), f"^[{_LETTERS}]+", "").dictionary_encode()
-        slots = self.others.find("signs", signs.dictionary.to_pylist(), self._words(""))
+        slots = self.others.find("signs", signs.dictionary, self._words(""))
         other[simple, 1] = slots[signs.indices.to_numpy()]
 
         for k, vocabulary_ in enumerate(self.vocabularies):
@@ -168,9 +200,9 @@ class PartCache:
 
     def gathered(self, cut: pa.Array) -> list[Runs]:
         """By each vocabulary the ids of the texts, one after another, and where each text begins and ends among them."""
-        if self.stems.full() or self.others.full():
-            self.stems.clear()
-            self.others.clear()
+        for slots in (self.stems, self.others):
+            if slots.full():
+                slots.thin()
         words = pc.split_pattern(cut, " ")
         bounds = np.concatenate(([0], np.cumsum(words.value_lengths().to_numpy())))
         names = words.flatten().dictionary_encode()

@@ -1,8 +1,10 @@
 """Operators on small tables with nulls, ties, repeats and odd texts, against brute force."""
 
 import collections
+import gc
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rondel.llm import components, decontaminate, line_dedup, packing, simhash, substring_dedup, token_files
+from rondel.llm import components, decontaminate, line_dedup, packing, simhash, substring_dedup, token_files, tokens
 from rondel.llm.fm_index import FmIndex
 from rondel.llm.shared import plain_words, with_place
 from rondel.llm.tokens import WordCache, vocabulary
@@ -288,6 +290,36 @@ def test_words_reach_the_library_together(name, lead):
     assert cache.encode([None, ""], lead) == [b"", b""] and cache.encode([], lead) == []
 
 
+def test_cache_holds_many_strings_in_little_room():
+    n = 200_000
+    words = pa.array([f"word{i:08d}" for i in range(n)])
+    one = np.ones(n, np.int64)
+    gc.collect()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        cache = tokens.Slots(n)
+        found = cache.find("", words, lambda strings: [(np.arange(len(strings), dtype="<u4"), one[:len(strings)])])
+        gc.collect()
+        room = tracemalloc.get_traced_memory()[0] - found.nbytes + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert cache.runs(found[:, None], 0)[0].tolist() == list(range(n))
+    assert room < 70 * n
+
+
+def test_full_cache_keeps_what_is_met_again():
+    rnd = random.Random(8)
+    cache = WordCache(vocabulary("word_bpe_49k.json"), stems=400, words=20)
+    often = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(50)]
+    learned, learn = collections.Counter(), cache.stem_ids
+    cache.stem_ids = lambda stems, before: learned.update(stems) or learn(stems, before)
+    for _ in range(12):
+        text = " ".join(often + ["".join(rnd.choices("abcdefgh", k=9)) for _ in range(150)])
+        assert cache.encode([text]) == [np.array(cache.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert all(learned[x] == 1 for x in often) and len(learned) > 1800
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_added_tokens_as_the_library_has_them(name):
     from tokenizers import Tokenizer
