@@ -13,6 +13,7 @@ match, and further into blocks of which each pair is compared by itself, so that
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rondel.llm.shared import (
-    BitFilter, WordHasher, arrow_pass, batch_of, dense, mixed, small_batches, stored, text_chunks, with_place, with_text)
+    BitFilter, WordHasher, arrow_pass, batch_of, mixed, small_batches, stored, text_chunks, with_place, with_text)
 
 SIMILARITY = 0.8
 # Word counts are kept in a table of fixed size; words that share a cell count together, which only coarsens the order.
@@ -31,6 +32,8 @@ PROPOSALS = 8
 SHORT_RUN = 256
 # Entries that are looked at together, besides those of a run that is not at its end.
 ENTRIES = 1 << 13
+# Bytes of text that are hashed at once: what is made of them stays in a processor's own cache.
+CHUNK = 1 << 19
 # Lines of one word that one task compares; words with more are split by set size and into blocks.
 LONG_RUN = 1 << 17
 _EPS = 1e-9
@@ -40,11 +43,11 @@ class Lines:
     """The word sets of all lines of a chunk of texts."""
 
     def __init__(self, hasher: WordHasher, texts: list[bytes]):
-        self.raw = b"\n".join(texts)
-        data = np.frombuffer(self.raw, np.uint8)
-        self.starts, self.ends, self.hashes = hasher.words(data)
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        starts, _, self.hashes = hasher.words(data)
         breaks = np.flatnonzero(data == 10)
-        self.line = np.searchsorted(breaks, self.starts)
+        words = np.diff(np.searchsorted(starts, breaks), prepend=0, append=len(starts))
+        self.line = np.repeat(np.arange(len(words)), words)
         self.first_line = np.concatenate(([0], np.cumsum([t.count(b"\n") + 1 for t in texts])))
 
     def sets(self, ranks: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
@@ -82,28 +85,71 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
 
 
-def _count_words():
-    schema = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
+# Cells whose counts are one row.
+_PAGE = 1 << 12
+_PAGES = pa.schema([("page", pa.int32()), ("data", pa.binary())])
+
 
+def _count_words():
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = WordHasher(), np.zeros(CELLS, np.int64)
+        hasher, seen = WordHasher(CHUNK), np.zeros(CELLS, np.int64)
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def pages() -> Iterator[pa.RecordBatch]:
+            counts = seen.astype("<u4").reshape(-1, _PAGE)
+            filled = np.flatnonzero(counts.any(axis=1))
+            for i in range(0, len(filled), 64):
+                part = filled[i:i + 64]
+                yield batch_of(_PAGES, [part.astype(np.int32), [counts[p].tobytes() for p in part]])
+
         for batch in batches:
-            for _, texts in text_chunks(batch.column(0).to_pylist()):
-                h = hasher.words(np.frombuffer(b"\n".join(texts), np.uint8))[2]
-                seen += np.bincount(_cell(h), minlength=CELLS)
-        cells = np.flatnonzero(seen)
-        for i in range(0, len(cells), 100_000):
-            part = cells[i:i + 100_000]
-            yield batch_of(schema, [part.astype(np.int32), seen[part]])
+            for _, texts in text_chunks(batch.column(0).to_pylist(), CHUNK):
+                held.append(_cell(hasher.words(np.frombuffer(b"\n".join(texts), np.uint8))[2]))
+                waiting += len(held[-1])
+                if waiting >= 2 * CELLS:
+                    seen += np.bincount(np.concatenate(held), minlength=CELLS)
+                    held, waiting = [], 0
+                    if seen.max() >= 1 << 31:
+                        yield from pages()
+                        seen[:] = 0
+        if held:
+            seen += np.bincount(np.concatenate(held), minlength=CELLS)
+        yield from pages()
     return work
 
 
+def _rank_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pages of counts, those of one number one after another, the ranks of their sums."""
+    now, total = None, np.zeros(_PAGE, np.int64)
+
+    def ranked() -> pa.RecordBatch:
+        rank = np.minimum(np.floor(np.log2(np.maximum(total, 1)) * 1000), 65535)
+        return batch_of(_PAGES, [[now], [rank.astype("<u2").tobytes()]])
+
+    for batch in batches:
+        for page, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if page != now:
+                if now is not None:
+                    yield ranked()
+                now, total = page, np.zeros(_PAGE, np.int64)
+            total += np.frombuffer(data, "<u4")
+    if now is not None:
+        yield ranked()
+
+
 def rarity(docs: DataFrame) -> np.ndarray:
-    """A rank per cell, low for rare words, from the counts of all words of all texts; 0 if it holds one word once."""
-    counts = (arrow_pass(docs.select(F.col("text").cast("string")), _count_words(), "cell int, n long")
-              .groupBy("cell").agg(F.sum("n").alias("n")))
-    rank = F.least(F.floor(F.log2(F.col("n").cast("double")) * 1000), F.lit(65535))
-    return dense(counts.select(F.col("cell").alias("at"), rank.alias("value")), CELLS, "<u2")
+    """A rank per cell, low for rare words, from the counts of all words of all texts; 0 if it holds one word once.
+
+    A task sends its counts as pages of many cells; the driver gets the ranks, whose number is fixed beforehand.
+    """
+    kind = "page int, data binary"
+    counts = arrow_pass(docs.select(F.col("text").cast("string")), _count_words(), kind)
+    ranks = arrow_pass(counts.repartition("page").sortWithinPartitions("page"), _rank_pages, kind)
+    out = np.zeros(CELLS, "<u2")
+    for page, data in ranks.toLocalIterator():
+        out[page * _PAGE:(page + 1) * _PAGE] = np.frombuffer(data, "<u2")
+    return out
 
 
 def _prefix(n: np.ndarray, t: float) -> np.ndarray:
@@ -124,9 +170,9 @@ def _line_sets(ranks: np.ndarray, t: float):
     fewest = int(np.floor(t / (1 - t) + _EPS)) if t < 1 else None  # shorter sets match equal sets only
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher = WordHasher(CHUNK)
         for batch in batches:
-            for first, texts in text_chunks(batch.column(1).to_pylist()):
+            for first, texts in text_chunks(batch.column(1).to_pylist(), CHUNK):
                 lines = Lines(hasher, texts)
                 h, line, bounds, own, name, sketch, wide = lines.sets(ranks)
                 n = np.diff(bounds)
@@ -158,6 +204,15 @@ _PAIR = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("other", pa.in
                    ("more", pa.bool_())])
 
 
+def _tied(order: np.ndarray, *keys: np.ndarray) -> bool:
+    """Whether neighbours in ``order`` agree in all keys."""
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for key in keys:
+        key = key[order]
+        same &= key[1:] == key[:-1]
+    return bool(same.any())
+
+
 def _propose(t: float):
     """Inside runs of equal keys, from the earliest line on: for each line its first few possible partners."""
     block, width = 512, 2048
@@ -234,7 +289,10 @@ def _propose(t: float):
             edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(rows[0])]))
             begin, size = edges[:-1], np.diff(edges)
             # Inside a run as by _ORDER, null ids first.
-            order = np.lexsort((*(r.view(np.int64) for r in (rows[6], rows[5])), *rows[:7:-1], np.repeat(begin, size)))
+            at = 2 * np.repeat(begin, size) + rows[8]
+            order = np.lexsort((rows[10], rows[9], at))
+            if _tied(order, rows[10], rows[9], at):
+                order = np.lexsort((*(r.view(np.int64) for r in (rows[6], rows[5])), rows[10], rows[9], at))
             rows = [r[order] for r in rows[:8]]
             short = (size > 1) & (size <= SHORT_RUN)
             found = [short_runs(rows[2:], begin[short], size[short])]
@@ -267,21 +325,45 @@ def _propose(t: float):
     return work
 
 
+def _place_key(row: Column, line: Column) -> Column:
+    """A number for a line of a document, from one for the document; ``_line_keys`` gives the same."""
+    line = line.cast("long")
+    return row.bitwiseXOR(line).bitwiseXOR(F.shiftleft(line, 32))
+
+
+def _line_keys(row: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return row ^ line ^ (line << 32)
+
+
+def _plain(work):
+    """``work`` on entries without ``cell`` and ``side``, of runs that are whole."""
+    def padded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        word, n, place, *rest = batch.columns
+        rows = batch.num_rows
+        return pa.RecordBatch.from_arrays([word, pa.array(np.zeros(rows, np.int64)), n, place,
+                                           pa.array(np.full(rows, WITHIN, np.int32)), *rest], names=_ENTRY)
+
+    return lambda batches: work(map(padded, batches))
+
+
 def _fetch(wanted: BitFilter):
-    """The words, as 64-bit hashes, of the lines whose set is asked for, once per chunk of texts."""
+    """The words, as 64-bit hashes, of the sets of the lines at the places asked for, once per chunk of lines."""
     schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher = WordHasher(CHUNK)
         for batch in batches:
-            for _, texts in text_chunks(batch.column(0).to_pylist()):
-                h, _, bounds, _, name, sketch, _ = Lines(hasher, texts).sets()
-                ask = np.flatnonzero(wanted.passes(name))
-                key = np.lexsort((sketch[ask], name[ask]))
-                ask = ask[key]
-                new = np.ones(len(ask), bool)
-                new[1:] = (name[ask][1:] != name[ask][:-1]) | (sketch[ask][1:] != sketch[ask][:-1])
-                ask = ask[new]
+            texts = [(text or "").split("\n") for text in batch.column(0).to_pylist()]
+            count = np.fromiter(map(len, texts), np.int64, len(texts))
+            line = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            keys = _line_keys(np.repeat(batch.column(1).to_numpy(), count), line)
+            asked = compress(chain.from_iterable(texts), wanted.passes(keys).tolist())
+            for _, lines in text_chunks(list(asked), CHUNK):
+                h, _, bounds, _, name, sketch, _ = Lines(hasher, lines).sets()
+                key = np.lexsort((sketch, name))
+                new = np.ones(len(key), bool)
+                new[1:] = (name[key][1:] != name[key][:-1]) | (sketch[key][1:] != sketch[key][:-1])
+                ask = key[new]
                 if not len(ask):
                     continue
                 size = bounds[ask + 1] - bounds[ask]
@@ -292,11 +374,14 @@ def _fetch(wanted: BitFilter):
     return work
 
 
-def _settle(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
-    """Of proposed pairs (later, earlier) the later sets whose words are similar enough."""
+def _settle(pairs: DataFrame, sets: DataFrame, docs: DataFrame, t: float) -> DataFrame:
+    """Of proposed pairs (later, earlier) the later sets whose words are similar enough; ``docs`` hold their first lines."""
     pairs = stored(pairs.select("name", "sketch", "other", "other_sketch").distinct(), "line-pairs")
     asked = pairs.select("name").union(pairs.select(F.col("other"))).distinct()
-    words = arrow_pass(docs.select(F.col("text").cast("string")), _fetch(BitFilter(asked)),
+    row = F.xxhash64("file", "row")
+    places = (sets.select("name", "first.file", "first.row", "first.line").join(asked, "name", "left_semi")
+              .select(_place_key(row, F.col("line")).alias("key")))
+    words = arrow_pass(docs.select(F.col("text").cast("string"), row), _fetch(BitFilter(places)),
                        "name long, sketch long, set array<long>")
     words = stored(words.join(asked, "name", "left_semi").dropDuplicates(["name", "sketch"]), "line-words")
     left = pairs.join(words, ["name", "sketch"])
@@ -363,11 +448,13 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
                 (_split_runs(entries, long_words, t), ["word", "cell"])]
     for run, key in runs:
         # By the key alone, a sort of one number; a task orders the entries of a run itself.
-        dealt = run.repartition(*key).sortWithinPartitions(*key)
-        found.append(stored(dealt.select(*_ENTRY).mapInArrow(
-            _propose(t), "name long, sketch long, other long, other_sketch long, more boolean"), "line-proposals"))
+        plain = "cell" not in key  # then cell and side are the same in all entries, and are neither shuffled nor sent
+        dealt = run.select(*[c for c in _ENTRY if not plain or c not in ("cell", "side")])
+        found.append(stored(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+            _plain(_propose(t)) if plain else _propose(t),
+            "name long, sketch long, other long, other_sketch long, more boolean"), "line-proposals"))
     proposed = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    gone = stored(_settle(proposed, docs, t), "lines-gone")
+    gone = stored(_settle(proposed, sets, docs, t), "lines-gone")
     # Lines that have more possible partners than were proposed and are not settled meet all of them.
     open_sets = stored(proposed.filter("more").select("name", "sketch").distinct()
                        .join(gone, ["name", "sketch"], "left_anti"), "lines-open")
@@ -384,7 +471,7 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
         asked = pairs.select("name", "sketch").union(pairs.select("other", "other_sketch")).distinct()
         places = stored(sets.join(asked, ["name", "sketch"], "left_semi").select("first.file", "first.row").distinct(),
                         "line-open-places")
-        rest = _settle(pairs, docs.join(places, ["file", "row"], "left_semi"), t)
+        rest = _settle(pairs, sets, docs.join(places, ["file", "row"], "left_semi"), t)
         gone = stored(gone.unionByName(rest).distinct(), "lines-gone")
     return sets, gone
 

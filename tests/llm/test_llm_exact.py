@@ -256,6 +256,45 @@ def test_order_of_equal_high_bits():
     assert len(line_dedup._by_key(key[:0], hashes[:0])) == 0
 
 
+def test_counts_leave_a_task_as_pages():
+    texts = ["a b c a", None, "", "d\na " + " ".join(f"w{i}" for i in range(20_000))]
+    batches = list(line_dedup._count_words()(iter([pa.record_batch([pa.array(texts)], names=["text"])] * 2)))
+    assert sum(b.num_rows for b in batches) <= line_dedup.CELLS // 4096
+    rows = sorted((x["page"], x["data"]) for b in batches for x in b.to_pylist())
+    pages = pa.record_batch(list(zip(*rows)), names=["page", "data"])
+    ranks = np.zeros(line_dedup.CELLS, "<u2")
+    for x in (x for b in line_dedup._rank_pages(iter(pages.slice(i, 100) for i in range(0, len(rows), 100))) for x in b.to_pylist()):
+        ranks[x["page"] * 4096:(x["page"] + 1) * 4096] = np.frombuffer(x["data"], "<u2")
+    counts = np.zeros(line_dedup.CELLS, np.int64)
+    for text in 2 * texts:
+        np.add.at(counts, line_dedup._cell(line_dedup.WordHasher().words(np.frombuffer((text or "").encode(), np.uint8))[2]), 1)
+    assert (ranks == np.floor(np.log2(np.maximum(counts, 1)) * 1000)).all() and counts.max() >= 6
+
+
+def test_only_lines_asked_for_are_hashed(monkeypatch):
+    texts = ["one two\nthree two three\n\nfour", None, "", "five\nsix"]
+    rows = np.array([11, -5, 7, 1 << 40])
+    asked = line_dedup._line_keys(rows[[0, 3, 0]], np.array([1, 0, 2]))
+
+    class Wanted:
+        def passes(self, keys):
+            return np.isin(keys, asked)
+
+    hashed = []
+    words = line_dedup.WordHasher.words
+    monkeypatch.setattr(line_dedup.WordHasher, "words", lambda self, data: hashed.append(bytes(data)) or words(self, data))
+    found = [x for b in line_dedup._fetch(Wanted())(iter([pa.record_batch([pa.array(texts), pa.array(rows)], names=["text", "row"])]))
+             for x in b.to_pylist()]
+    assert hashed == [b"three two three\n\nfive"]
+    assert sorted(len(x["set"]) for x in found) == [1, 2]
+
+
+def test_place_keys_agree(spark):
+    rows = [(5, 0), (-7, 3), (1 << 62, 100_000), (-1, 2 ** 31 - 1)]
+    keys = spark.createDataFrame(rows, "row long, line int").select(line_dedup._place_key(F.col("row"), F.col("line")))
+    assert [r[0] for r in keys.collect()] == line_dedup._line_keys(*(np.array(c, np.int64) for c in zip(*rows))).tolist()
+
+
 class Counted:
     """The library, with the number of texts it was asked for."""
 
