@@ -347,6 +347,15 @@ def test_cache_holds_many_strings_in_little_room():
     assert room < 70 * n
 
 
+def test_best_fit_worker_keeps_a_bounded_part_of_the_words():
+    """With the sizes that ``pieces`` uses: a worker that meets ever new words keeps no more than these and a span's."""
+    rnd = random.Random(12)
+    cache = WordCache(vocabulary("word_bpe_49k.json"))
+    for _ in range(8):
+        cache.encode([" ".join("".join(rnd.choices("abcdefghij", k=9)) for _ in range(60_000))])
+        assert len(cache.parts.stems.starts[0]) <= 300_000 + 60_000 + 2
+
+
 def test_full_cache_keeps_what_is_met_again():
     rnd = random.Random(8)
     cache = WordCache(vocabulary("word_bpe_49k.json"), stems=400, words=20)
