@@ -16,12 +16,12 @@ from collections.abc import Iterator
 from itertools import chain, compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rondel.llm.shared import (
-    BitFilter, WordHasher, arrow_pass, batch_of, mixed, small_batches, stored, text_chunks, with_place, with_text)
+    BitFilter, WordHasher, arrow_pass, batch_of, mixed, stored, text_chunks, with_place, with_text)
+from rondel.session import shuffle_width
 
 SIMILARITY = 0.8
 # Word counts are kept in a table of fixed size; words that share a cell count together, which only coarsens the order.
@@ -36,7 +36,14 @@ ENTRIES = 1 << 13
 CHUNK = 1 << 19
 # Lines of one word that one task compares; words with more are split by set size and into blocks.
 LONG_RUN = 1 << 17
+# Lines, and entries, of one page at most: a batch of pages must fit beside the executor's heap.
+LINES_A_PAGE, ENTRIES_A_PAGE = 64, 256
+# Bytes of lines, and entries, that a task deals to pages at once, and words of lines, and entries, of one bucket, about.
+DEALT_BYTES, DEALT_ENTRIES = 1 << 24, 1 << 18
+BUCKET_WORDS, BUCKET_ENTRIES = 1 << 19, 1 << 16
 _EPS = 1e-9
+# ASCII white space, at which words are cut.
+_BLANKS = " \t\n\x0b\x0c\r"
 
 
 class Lines:
@@ -88,6 +95,7 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 # Cells whose counts are one row.
 _PAGE = 1 << 12
 _PAGES = pa.schema([("page", pa.int32()), ("data", pa.binary())])
+_RANKS = pa.schema([*_PAGES, ("words", pa.int64())])
 
 
 def _count_words():
@@ -120,12 +128,12 @@ def _count_words():
 
 
 def _rank_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pages of counts, those of one number one after another, the ranks of their sums."""
+    """Of pages of counts, those of one number one after another, the ranks of their sums, and the words of each page."""
     now, total = None, np.zeros(_PAGE, np.int64)
 
     def ranked() -> pa.RecordBatch:
         rank = np.minimum(np.floor(np.log2(np.maximum(total, 1)) * 1000), 65535)
-        return batch_of(_PAGES, [[now], [rank.astype("<u2").tobytes()]])
+        return batch_of(_RANKS, [[now], [rank.astype("<u2").tobytes()], [int(total.sum())]])
 
     for batch in batches:
         for page, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -138,18 +146,20 @@ def _rank_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield ranked()
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
+def rarity(docs: DataFrame) -> tuple[np.ndarray, int]:
     """A rank per cell, low for rare words, from the counts of all words of all texts; 0 if it holds one word once.
+    With it, how many words there are.
 
     A task sends its counts as pages of many cells; the driver gets the ranks, whose number is fixed beforehand.
     """
     kind = "page int, data binary"
     counts = arrow_pass(docs.select(F.col("text").cast("string")), _count_words(), kind)
-    ranks = arrow_pass(counts.repartition("page").sortWithinPartitions("page"), _rank_pages, kind)
-    out = np.zeros(CELLS, "<u2")
-    for page, data in ranks.toLocalIterator():
+    ranks = arrow_pass(counts.repartition("page").sortWithinPartitions("page"), _rank_pages, f"{kind}, words long")
+    out, words = np.zeros(CELLS, "<u2"), 0
+    for page, data, count in ranks.toLocalIterator():
+        words += count
         out[page * _PAGE:(page + 1) * _PAGE] = np.frombuffer(data, "<u2")
-    return out
+    return out, words
 
 
 def _prefix(n: np.ndarray, t: float) -> np.ndarray:
@@ -196,6 +206,181 @@ def _line_sets(ranks: np.ndarray, t: float):
     return work
 
 
+def _buckets(spark: SparkSession, rows: int, most: int) -> int:
+    """So many buckets that one holds about ``most`` of the rows, and that every task gets several."""
+    return max(-(-rows // most), 16 * shuffle_width(spark))
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key of 32 random bits; equal keys share one."""
+    return ((keys.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes of the numbers between each two edges."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [
+        None, pa.py_buffer((edges * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _numbers(column: pa.Array, kind: str) -> np.ndarray:
+    """The numbers of all pages of a column, one after another."""
+    column = column.cast(pa.binary())
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[edges[0]:edges[-1]].view(kind) if data is not None else np.empty(0, kind)
+
+
+def _page_edges(bucket: np.ndarray, most: int) -> np.ndarray:
+    """Where pages of sorted bucket numbers begin, and the end: at each new bucket, and after so many rows of one."""
+    begin = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    place = np.arange(len(bucket)) - np.repeat(begin, np.diff(np.append(begin, len(bucket))))
+    return np.append(np.flatnonzero(place % most == 0), len(bucket))
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Pages in the order of their buckets, in parts of whole buckets; the last column has the rows of each page.
+
+    A part ends with the first bucket that brings it to ``least`` rows.
+    """
+    held: list[pa.RecordBatch] = []
+    rows, now = 0, -1
+    for batch in batches:
+        bucket, size = batch.column(0).to_numpy(), batch.column(batch.num_columns - 1).to_numpy()
+        at = 0
+        for i in np.flatnonzero(np.concatenate(([now], bucket[:-1])) != bucket).tolist() if len(bucket) else []:
+            rows += int(size[at:i].sum())
+            held.append(batch.slice(at, i - at))
+            at = i
+            if rows >= least:
+                yield held
+                held, rows = [], 0
+        if len(bucket):
+            held.append(batch.slice(at))
+            rows, now = rows + int(size[at:].sum()), bucket[-1]
+    if rows:
+        yield held
+
+
+def _columns(part: list[pa.RecordBatch], kinds: list[str]) -> list[np.ndarray]:
+    return [np.concatenate([_numbers(b.column(i + 1), kind) for b in part]) for i, kind in enumerate(kinds)]
+
+
+# The columns of a page of lines, and the words of all its lines.
+_LINE_PAGE = {"doc_id": "<i8", "known": "<i1", "file": "<i8", "row": "<i8", "line": "<i4", "name": "<i8", "sketch": "<i8", "wide": "<i8",
+              "n": "<i4", "skip": "<i4", "often": "<i4", "size": "<i4", "words": "<i4"}
+_ENTRY_PAGE = {"word": "<i4", "n": "<i4", "place": "<i4", "name": "<i8", "sketch": "<i8", "wide": "<i8", "doc_id": "<i8", "known": "<i1",
+               "line": "<i4"}
+
+
+def _page_kind(page: dict[str, str]) -> str:
+    return ", ".join(["bucket int", *(f"{c} binary" for c in page), "rows int"])
+
+
+def _page_batch(bucket: np.ndarray, edges: np.ndarray, columns: list[pa.Array], page: dict[str, str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *columns, pa.array(np.diff(edges).astype(np.int32))],
+                                      names=["bucket", *page, "rows"])
+
+
+def _filled(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, 0 for null, and whether each is known."""
+    return column.fill_null(0).to_numpy().astype(kind), column.is_valid().to_numpy(zero_copy_only=False).astype("<i1")
+
+
+def _deal_lines(work, buckets: int):
+    """The lines that ``work`` yields as pages, dealt by the names of their sets."""
+    def pages(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        lines = pa.Table.from_batches(held)
+        name = lines.column("name").to_numpy().view(np.uint64)
+        order = np.argsort(name)
+        bucket, lines = _bucket(name[order] >> np.uint64(32), buckets), lines.take(pa.array(order)).combine_chunks().to_batches()[0]
+        words = lines.column("words")
+        bounds = np.asarray(words.offsets) - words.offsets[0].as_py()
+        doc, known = _filled(lines.column("doc_id"), "<i8")
+        rest = {c: lines.column(c).to_numpy() for c in ("file", "row", "line", "name", "sketch", "wide", "n", "skip", "often")}
+        rest |= {"doc_id": doc, "known": known, "size": np.diff(bounds).astype("<i4")}
+        edges = _page_edges(bucket, LINES_A_PAGE)
+        return _page_batch(bucket, edges, [*(_binary(rest[c], edges) for c in _LINE_PAGE if c != "words"),
+                                           _binary(words.flatten().to_numpy(), bounds[edges])], _LINE_PAGE)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        waiting = 0
+        for lines in work(batches):
+            if not lines.num_rows:
+                continue
+            held.append(lines)
+            waiting += lines.nbytes
+            if waiting >= DEALT_BYTES:
+                yield pages(held)
+                held, waiting = [], 0
+        if held:
+            yield pages(held)
+    return dealt
+
+
+_SETS = pa.schema([("name", pa.int64()), ("sketch", pa.int64()),
+                   ("first", pa.struct([("doc_id", pa.int64()), ("line", pa.int32()), ("file", pa.int64()), ("row", pa.int64())])),
+                   ("wide", pa.int64()), ("n", pa.int32()), ("skip", pa.int32()), ("often", pa.int32()), ("words", pa.list_(pa.int32()))])
+SETS = ("name long, sketch long, first struct<doc_id: long, line: int, file: long, row: long>, wide long, n int, skip int, often int, "
+        "words array<int>")
+
+
+def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pages of lines, those of one bucket one after another, one row per set, with its first line."""
+    for part in _whole_buckets(batches, ENTRIES):
+        *columns, words = _columns(part, list(_LINE_PAGE.values()))
+        c = dict(zip(_LINE_PAGE, columns))
+        order = np.argsort(c["name"])
+        same = c["name"][order][1:] == c["name"][order][:-1]
+        again = np.concatenate((same, [False])) | np.concatenate(([False], same))  # the name has several lines
+        more = order[again]
+        more = more[np.lexsort([c[k][more] for k in ("row", "file", "line", "doc_id", "known", "sketch", "name")])]
+        new = np.ones(len(more), bool)
+        new[1:] = (c["name"][more][1:] != c["name"][more][:-1]) | (c["sketch"][more][1:] != c["sketch"][more][:-1])
+        at = np.concatenate((order[~again], more[new]))
+        bounds = np.concatenate(([0], np.cumsum(c["size"], dtype=np.int64))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(words)).take(pa.array(at))
+        first = pa.StructArray.from_arrays(
+            [pa.array(c["doc_id"][at], mask=c["known"][at] == 0), *(pa.array(c[k][at]) for k in ("line", "file", "row"))],
+            fields=list(_SETS.field("first").type))
+        yield batch_of(_SETS, [c["name"][at], c["sketch"][at], first, *(c[k][at] for k in ("wide", "n", "skip", "often")), lists])
+
+
+def _deal_entries(buckets: int):
+    """An entry for each word of each set, as pages dealt by the words."""
+    def pages(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sets = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        bounds = np.asarray(sets.column(0).offsets)
+        word = sets.column(0).flatten().to_numpy()
+        order = np.argsort(word.view(np.uint32))
+        n, skip, name, sketch, wide = (c.to_numpy() for c in sets.columns[1:6])
+        doc, known = _filled(sets.column(6), "<i8")
+        own = np.repeat(np.arange(len(n)), np.diff(bounds))[order]
+        place = (order + (skip - (bounds[:-1] - bounds[0]))[own]).astype("<i4")
+        word = word[order]
+        bucket = _bucket(word.view(np.uint32), buckets)
+        edges = _page_edges(bucket, ENTRIES_A_PAGE)
+        columns = [word, n[own], place, *(c[own] for c in (name, sketch, wide, doc, known, sets.column(7).to_numpy()))]
+        return _page_batch(bucket, edges, [_binary(c, edges) for c in columns], _ENTRY_PAGE)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        waiting = 0
+        for batch in batches:
+            words = len(batch.column(0).flatten())
+            if not words:
+                continue
+            held.append(batch)
+            waiting += words
+            if waiting >= DEALT_ENTRIES:
+                yield pages(held)
+                held, waiting = [], 0
+        if held:
+            yield pages(held)
+    return dealt
+
+
 def _need(a, b, t: float):
     return np.ceil(t / (1 + t) * (a + b) - _EPS)
 
@@ -204,16 +389,26 @@ _PAIR = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("other", pa.in
                    ("more", pa.bool_())])
 
 
-def _tied(order: np.ndarray, *keys: np.ndarray) -> bool:
-    """Whether neighbours in ``order`` agree in all keys."""
-    same = np.ones(max(len(order) - 1, 0), bool)
+def _order(*keys: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The order by the keys, the first one first, and whether neighbours agree in all: one sort, if they fit into one number."""
+    both, room = np.zeros(len(keys[0]), np.uint64), 64
     for key in keys:
-        key = key[order]
-        same &= key[1:] == key[:-1]
-    return bool(same.any())
+        low = int(key.min(initial=0))
+        bits = (int(key.max(initial=0)) - low).bit_length()
+        room -= bits
+        if room < 0 or bits > 62:
+            order = np.lexsort(keys[::-1])
+            same = np.ones(max(len(order) - 1, 0), bool)
+            for k in keys:
+                same &= k[order][1:] == k[order][:-1]
+            return order, bool(same.any())
+        both = (both << np.uint64(bits)) | (key.astype(np.int64) - low).view(np.uint64)
+    order = np.argsort(both)
+    both = both[order]
+    return order, bool((both[1:] == both[:-1]).any())
 
 
-def _propose(t: float):
+def _compare(t: float):
     """Inside runs of equal keys, from the earliest line on: for each line its first few possible partners."""
     block, width = 512, 2048
 
@@ -230,20 +425,30 @@ def _propose(t: float):
         return (((n[z] + n[x] - apart) // 2 >= _need(n[z], n[x], t))
                 & ((a & b & LOWER) == 0) & (((a & WITHIN) > 0) | ((a ^ b) & SECOND > 0)))
 
-    def match(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return fits(rows[0][z], rows[1][z], rows[0][x], rows[1][x]) & close(rows, z, x)
-
     def named(rows: list[np.ndarray], z: np.ndarray, x: np.ndarray, more: np.ndarray) -> list[np.ndarray]:
         name, sketch = (r.view(np.int64) for r in rows[3:5])
         return [name[z], sketch[z], name[x], sketch[x], more]
 
     def short_runs(rows: list[np.ndarray], begin: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
         """All earlier partners of every line of many short runs at once."""
-        line = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)  # place in the run: so many are earlier
-        z = np.repeat(np.repeat(begin, size) + line, line)
-        x = np.arange(len(z)) - np.repeat(np.cumsum(line) - line, line) + np.repeat(np.repeat(begin, size), line)
-        ok = match(rows, z, x)
+        # By size inside each run, so that a line meets only the shorter ones whose size fits.
+        at = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        number = np.repeat(np.arange(len(size)) << 32, size)
+        key = number | rows[0][at]
+        order = np.argsort(key)
+        key, at, n = key[order], at[order], rows[0][at[order]]
+        low = np.searchsorted(key, number | np.maximum(np.ceil(t * n - _EPS), 0).astype(np.int64))
+        count = np.arange(len(key)) - low
+        a = np.repeat(np.arange(len(key)), count)
+        b = np.arange(len(a)) + np.repeat(low - np.cumsum(count) + count, count)
+        left = n - rows[1][at]
+        ok = np.flatnonzero(np.minimum(left[a], left[b]) >= t / (1 + t) * (n[a] + n[b]) - _EPS)
+        a, b = at[a[ok]], at[b[ok]]
+        z, x = np.maximum(a, b), np.minimum(a, b)
+        ok = close(rows, z, x)
         z, x = z[ok], x[ok]
+        order = np.lexsort((x, z))
+        z, x = z[order], x[order]
         nth = np.arange(len(z)) - np.searchsorted(z, z)
         take = nth <= PROPOSALS
         return named(rows, z[take], x[take], nth[take] == PROPOSALS)
@@ -280,37 +485,63 @@ def _propose(t: float):
             return None
         return named(rows, *(np.concatenate(c) for c in zip(*out)))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []  # entries of the batches that are not yet looked at
-        waiting = 0
-
-        def proposals(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            new = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
-            edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(rows[0])]))
-            begin, size = edges[:-1], np.diff(edges)
-            # Inside a run as by _ORDER, null ids first.
-            at = 2 * np.repeat(begin, size) + rows[8]
-            order = np.lexsort((rows[10], rows[9], at))
-            if _tied(order, rows[10], rows[9], at):
-                order = np.lexsort((*(r.view(np.int64) for r in (rows[6], rows[5])), rows[10], rows[9], at))
-            rows = [r[order] for r in rows[:8]]
-            short = (size > 1) & (size <= SHORT_RUN)
-            found = [short_runs(rows[2:], begin[short], size[short])]
-            for i in np.flatnonzero(size > SHORT_RUN):
-                got = run([r[edges[i]:edges[i + 1]] for r in rows[2:]])
+    def proposals(key: np.ndarray, rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """``rows``: n, place, side, name, sketch, wide, known, doc_id and line of entries; a run has one ``key``."""
+        *own, known, doc, line = rows
+        order, tied = _order(key, known, doc, line)  # inside a run as by the names in _ORDER, null ids first
+        if tied:
+            order, _ = _order(key, known, doc, line, *(r.view(np.int64) for r in own[3:5]))
+        key = key[order]
+        edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
+        size = np.diff(edges)
+        order, size = order[np.repeat(size > 1, size)], size[size > 1]  # a line alone meets none
+        ends = np.cumsum(size)
+        first = 0
+        while first < len(size):
+            begin = int(ends[first] - size[first])
+            last = max(first + 1, int(np.searchsorted(ends, begin + ENTRIES, side="right")))
+            part, counts = [r[order[begin:ends[last - 1]]] for r in own], size[first:last]
+            starts, short = ends[first:last] - counts - begin, counts <= SHORT_RUN
+            found = [short_runs(part, starts[short], counts[short])]
+            for i in np.flatnonzero(~short):
+                got = run([r[starts[i]:starts[i] + counts[i]] for r in part])
                 if got is not None:
                     found.append(got)
             yield batch_of(_PAIR, [np.concatenate(c) for c in zip(*found)])
+            first = last
+    return proposals
+
+
+def _propose_pages(t: float):
+    """``_compare`` on pages of entries, those of one bucket one after another."""
+    proposals = _compare(t)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_buckets(batches, ENTRIES):
+            word, n, place, name, sketch, wide, doc, known, line = _columns(part, list(_ENTRY_PAGE.values()))
+            hashes = [c.view(np.uint64) for c in (name, sketch, wide)]
+            yield from proposals(word, [n.astype(np.int64), place.astype(np.int64), np.full(len(n), WITHIN), *hashes, known, doc, line])
+    return work
+
 
+def _propose(t: float):
+    """``_compare`` on rows sorted by word and cell."""
+    proposals = _compare(t)
+
+    def looked_at(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        word, cell, *rest = rows
+        return proposals(np.cumsum(np.concatenate(([False], (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])))), rest)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []  # entries of the batches that are not yet looked at
+        waiting = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = [batch.column(i).to_numpy().astype(np.int64) for i in range(5)]
             rows += [batch.column(i).to_numpy().view(np.uint64) for i in (5, 6, 7)]
-            doc = batch.column(8)
-            rows += [doc.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), doc.fill_null(0).to_numpy(),
-                     batch.column(9).to_numpy().astype(np.int64)]
-            held.append(rows)
+            doc, known = _filled(batch.column(8), "<i8")
+            held.append([*rows, known, doc, batch.column(9).to_numpy().astype(np.int64)])
             waiting += batch.num_rows
             if waiting < ENTRIES:
                 continue
@@ -319,9 +550,9 @@ def _propose(t: float):
             cut = int(np.argmax(last))
             held, waiting = [[r[cut:] for r in rows]], 0
             if cut:
-                yield from proposals([r[:cut] for r in rows])
+                yield from looked_at([r[:cut] for r in rows])
         if held:
-            yield from proposals([np.concatenate(c) for c in zip(*held)])
+            yield from looked_at([np.concatenate(c) for c in zip(*held)])
     return work
 
 
@@ -335,17 +566,6 @@ def _line_keys(row: np.ndarray, line: np.ndarray) -> np.ndarray:
     return row ^ line ^ (line << 32)
 
 
-def _plain(work):
-    """``work`` on entries without ``cell`` and ``side``, of runs that are whole."""
-    def padded(batch: pa.RecordBatch) -> pa.RecordBatch:
-        word, n, place, *rest = batch.columns
-        rows = batch.num_rows
-        return pa.RecordBatch.from_arrays([word, pa.array(np.zeros(rows, np.int64)), n, place,
-                                           pa.array(np.full(rows, WITHIN, np.int32)), *rest], names=_ENTRY)
-
-    return lambda batches: work(map(padded, batches))
-
-
 def _fetch(wanted: BitFilter):
     """The words, as 64-bit hashes, of the sets of the lines at the places asked for, once per chunk of lines."""
     schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("set", pa.list_(pa.int64()))])
@@ -422,37 +642,44 @@ def _split_runs(entries: DataFrame, long_words: DataFrame, t: float) -> DataFram
     return cells.withColumn("cell", cell).withColumn("side", side + F.col("lower")).select(*entries.columns)
 
 
+def _entries(sets: DataFrame) -> DataFrame:
+    """An entry for each word of each set."""
+    return (sets.select(F.posexplode("words").alias("at", "word"), "*")
+            .select("word", F.lit(0).cast("long").alias("cell"), "n", (F.col("at") + F.col("skip")).alias("place"),
+                    F.lit(WITHIN).alias("side"), "name", "sketch", "wide", F.col("first.doc_id").alias("doc_id"),
+                    F.col("first.line").alias("line")))
+
+
 def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Distinct word sets with their first line, and those of them that an earlier similar set removes.
 
     ``docs`` has ``doc_id``, ``text`` and the place of each row, ``file`` and ``row``.
     """
-    ranks = rarity(docs)
+    spark = docs.sparkSession
+    ranks, words = rarity(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        "file", "row")
-    lines = arrow_pass(rows, _line_sets(ranks, t), LINE)
-    sets = stored(lines.groupBy("name", "sketch").agg(
-        F.min(F.struct("doc_id", "line", "file", "row")).alias("first"), F.first("wide").alias("wide"),
-        F.first("n").alias("n"), F.first("skip").alias("skip"), F.first("often").alias("often"),
-        F.first("words").alias("words")), "line-sets")
-    entries = (sets.select(F.posexplode("words").alias("at", "word"), "*")
-               .select("word", F.lit(0).cast("long").alias("cell"), "n", (F.col("at") + F.col("skip")).alias("place"),
-                       F.lit(WITHIN).alias("side"), "name", "sketch", "wide", F.col("first.doc_id").alias("doc_id"),
-                       F.col("first.line").alias("line")))
+    pages = arrow_pass(rows, _deal_lines(_line_sets(ranks, t), _buckets(spark, words, BUCKET_WORDS)), _page_kind(_LINE_PAGE))
+    sets = stored(arrow_pass(pages.repartition("bucket").sortWithinPartitions("bucket"), _distinct_sets, SETS), "line-sets")
+    entries = _entries(sets)
     frequent = sets.filter("often > 0").select(F.explode(F.slice("words", -F.col("often"), F.col("often"))).alias("word"))
     long_words = stored(frequent.groupBy("word").count().filter(F.col("count") > LONG_RUN).select("word"), "line-long-runs")
-    found = []
-    runs = [(entries, ["word"])]
+    proposal = "name long, sketch long, other long, other_sketch long, more boolean"
+    dealt, found = sets, []
     if not long_words.isEmpty():
-        runs = [(entries.join(long_words, "word", "left_anti"), ["word"]),
-                (_split_runs(entries, long_words, t), ["word", "cell"])]
-    for run, key in runs:
-        # By the key alone, a sort of one number; a task orders the entries of a run itself.
-        plain = "cell" not in key  # then cell and side are the same in all entries, and are neither shuffled nor sent
-        dealt = run.select(*[c for c in _ENTRY if not plain or c not in ("cell", "side")])
-        found.append(stored(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
-            _plain(_propose(t)) if plain else _propose(t),
-            "name long, sketch long, other long, other_sketch long, more boolean"), "line-proposals"))
+        # Of words that may be long runs each entry goes by itself, with the others as a set of one word.
+        rare = F.slice("words", F.lit(1), F.size("words") - F.col("often"))
+        some = (sets.filter("often > 0").select("*", F.posexplode("words").alias("at", "word"))
+                .filter(F.col("at") >= F.size("words") - F.col("often")).join(long_words, "word", "left_anti")
+                .withColumn("skip", F.col("skip") + F.col("at")).withColumn("words", F.array("word")))
+        dealt = sets.withColumn("words", rare).unionByName(some.select(*sets.columns))
+        # By the key alone, a sort of two numbers; a task orders the entries of a run itself.
+        found.append(stored(_split_runs(entries, long_words, t).select(*_ENTRY).repartition("word", "cell").sortWithinPartitions("word", "cell")
+                            .mapInArrow(_propose(t), proposal), "line-proposals"))
+    count = sets.agg(F.sum(F.size("words"))).first()[0] or 0
+    pages = arrow_pass(dealt.select("words", "n", "skip", "name", "sketch", "wide", "first.doc_id", "first.line"),
+                       _deal_entries(_buckets(spark, count, BUCKET_ENTRIES)), _page_kind(_ENTRY_PAGE))
+    found.append(stored(arrow_pass(pages.repartition("bucket").sortWithinPartitions("bucket"), _propose_pages(t), proposal), "line-proposals"))
     proposed = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     gone = stored(_settle(proposed, sets, docs, t), "lines-gone")
     # Lines that have more possible partners than were proposed and are not settled meet all of them.
@@ -460,7 +687,7 @@ def removed_sets(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Dat
                        .join(gone, ["name", "sketch"], "left_anti"), "lines-open")
     if not open_sets.isEmpty():
         # Stored, so that the optimizer knows its size: the entries of few lines are broadcast, those of many are not.
-        z = stored(entries.join(open_sets, ["name", "sketch"], "left_semi"), "line-open-entries")
+        z = stored(_entries(sets.join(open_sets, ["name", "sketch"], "left_semi")), "line-open-entries")
         x = entries.toDF(*[f"x_{c}" for c in entries.columns])
         earlier = F.struct(*[F.col(f"x_{c}") for c in _ORDER]) < F.struct(*[F.col(c) for c in _ORDER])
         pairs = stored(z.join(x, F.col("word") == F.col("x_word")).filter(earlier & _may_match(t))
@@ -509,22 +736,12 @@ def with_removals(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     kept = (sets.join(gone, ["name", "sketch"], "left_anti")
             .groupBy(F.col("first.file").alias("file"), F.col("first.row").alias("row"))
             .agg(F.collect_list("first.line").alias("kept")))
-
-    small_batches(docs.sparkSession)
-
-    @F.pandas_udf("text string, n_removed long")
-    def cut(texts: pd.Series, keeps: pd.Series) -> pd.DataFrame:
-        out = []
-        for text, keep in zip(texts, keeps):
-            if text is None:
-                out.append((None, 0))
-                continue
-            numbers = set() if keep is None else set(keep)
-            lines = text.split("\n")
-            stay = [x for i, x in enumerate(lines) if i in numbers or not x.encode("utf-8", "surrogatepass").split()]
-            out.append(("\n".join(stay), len(lines) - len(stay)))
-        return pd.DataFrame(out, columns=["text", "n_removed"])
-
-    joined = placed.join(kept, ["file", "row"], "left")
-    done = cut(F.col("doc.text").cast("string"), F.col("kept"))
-    return joined.select("doc", done.alias("done")).select("doc", "done.text", "done.n_removed")
+    # Cut once, in a column that the next step reads more than once and so does not compute again.
+    joined = placed.join(kept, ["file", "row"], "left").select(
+        "doc", F.split(F.col("doc.text").cast("string"), "\n").alias("lines"),
+        F.coalesce("kept", F.array().cast("array<int>")).alias("kept"))
+    blank = F.transform("lines", lambda line, i: F.when(F.ltrim(line, F.lit(_BLANKS)) == "", i))
+    stay = F.array_sort(F.concat("kept", F.filter(blank, F.isnotnull)))
+    return joined.select("doc", "lines", stay.alias("stay")).select(
+        "doc", F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n").alias("text"),
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines") - F.size("stay")).cast("long").alias("n_removed"))

@@ -295,6 +295,97 @@ def test_place_keys_agree(spark):
     assert [r[0] for r in keys.collect()] == line_dedup._line_keys(*(np.array(c, np.int64) for c in zip(*rows))).tolist()
 
 
+def paged(batches, size=3):
+    """Pages in the order of their buckets, in small batches."""
+    pages = pa.Table.from_batches(batches).sort_by("bucket").combine_chunks()
+    return iter(pages.to_batches(max_chunksize=size))
+
+
+def test_entries_travel_as_pages():
+    """Rows that are shuffled are pages; the entries in them propose what the rows of sorted entries do."""
+    rnd = np.random.default_rng(5)
+    sets = [dict(words=rnd.choice(40, rnd.integers(0, 9), replace=False) * 100_000_007 % (1 << 32) - (1 << 31), n=int(rnd.integers(8, 14)),
+                 skip=int(rnd.integers(0, 2)), name=i, sketch=int(rnd.integers(0, 8)), wide=0,
+                 doc_id=None if i % 50 == 0 else int(rnd.integers(0, 400)), line=int(rnd.integers(0, 3))) for i in range(900)]
+    kinds = {"words": pa.list_(pa.int32()), "n": pa.int32(), "skip": pa.int32(), "line": pa.int32()}
+    table = pa.table({k: pa.array([x[k] for x in sets], kinds.get(k, pa.int64())) for k in sets[0]})
+    batches = table.to_batches(max_chunksize=200)
+    entries = [(int(w), 0, x["n"], x["skip"] + k, line_dedup.WITHIN, x["name"], x["sketch"], x["wide"], x["doc_id"], x["line"])
+               for x in sets for k, w in enumerate(x["words"])]
+    pages = list(line_dedup._deal_entries(7)(iter(batches[:2]))) + list(line_dedup._deal_entries(7)(iter(batches[2:])))
+    counts = [x["rows"] for b in pages for x in b.to_pylist()]
+    assert sum(counts) == len(entries) and len(counts) < len(entries) / 50 and max(counts) <= 256
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    rows = pa.table([pa.array(c, k) for c, k in zip(zip(*sorted(entries, key=lambda e: e[0])), kinds)], names=line_dedup._ENTRY)
+
+    def pairs(found):
+        return sorted(tuple(x.values()) for b in found for x in b.to_pylist())
+
+    plain = pairs(line_dedup._propose(0.8)(iter(rows.to_batches(max_chunksize=100))))
+    assert pairs(line_dedup._propose_pages(0.8)(paged(pages))) == pairs(line_dedup._propose_pages(0.8)(paged(pages, 1000))) == plain
+    assert any(x[-1] for x in plain)
+    assert not list(line_dedup._deal_entries(7)(iter([batches[0].slice(0, 0)])))
+
+
+def test_lines_travel_as_pages():
+    """Of all lines that are one set, the first one stays, wherever its pages come from."""
+    rnd = random.Random(6)
+    lines = []
+    for _ in range(2000):
+        name = rnd.randrange(300) * 0x3D70A3D70A3D70 - (1 << 62)
+        lines.append(dict(doc_id=rnd.choice([None, *range(-3, 60)]), file=rnd.randrange(2), row=rnd.randrange(-2, 40), line=rnd.randrange(3), name=name,
+                          sketch=rnd.randrange(2), wide=name % 7, n=5 + name % 11, skip=name % 3, often=0, words=[name % 1000] * (name % 4)))
+    batches = pa.Table.from_pylist(lines, schema=line_dedup._LINE).to_batches(max_chunksize=300)
+    pages = [b for part in (batches[:4], batches[4:]) for b in line_dedup._deal_lines(lambda x: x, 9)(iter(part))]
+    counts = [x["rows"] for b in pages for x in b.to_pylist()]
+    assert sum(counts) == len(lines) and len(counts) < len(lines) / 20 and max(counts) <= 64
+    want = {}
+    for x in lines:
+        place = (x["doc_id"] is not None, x["doc_id"] or 0, x["line"], x["file"], x["row"])
+        want[x["name"], x["sketch"]] = min(place, want.get((x["name"], x["sketch"]), place))
+    for size in (1, 3, 1000):
+        found = [x for b in line_dedup._distinct_sets(paged(pages, size)) for x in b.to_pylist()]
+        assert len(found) == len(want)
+        for x in found:
+            first = x["first"]
+            assert want[x["name"], x["sketch"]] == (first["doc_id"] is not None, first["doc_id"] or 0, first["line"], first["file"], first["row"])
+            name = x["name"]
+            assert (x["wide"], x["n"], x["skip"], x["words"]) == (name % 7, 5 + name % 11, name % 3, [name % 1000] * (name % 4))
+
+
+def test_short_runs_meet_sizes_that_fit():
+    """The pairs of short runs are those that a look at every pair gives, with the same first partners."""
+    rnd = np.random.default_rng(8)
+    n = 500
+    size, run = rnd.integers(4, 30, n), np.sort(rnd.integers(0, 20, n))
+    place = rnd.integers(0, 3, n)
+    sketch, wide = (rnd.integers(0, 4, n).astype(np.uint64) for _ in range(2))
+    rows = [size, place, np.full(n, line_dedup.WITHIN), np.arange(n).astype(np.uint64), sketch, wide, np.ones(n, np.int8), np.arange(n), np.zeros(n, int)]
+    found = [(x["name"], x["other"]) for b in line_dedup._compare(0.8)(run, rows) for x in b.to_pylist()]
+    want = []
+    for z in range(n):
+        met = []
+        for x in range(z):
+            a, b = int(size[z]), int(size[x])
+            need = -(-4 * (a + b) // 9)
+            apart = (int(sketch[z]) ^ int(sketch[x])).bit_count() + (int(wide[z]) ^ int(wide[x])).bit_count()
+            if run[z] == run[x] and 5 * min(a, b) >= 4 * max(a, b) and min(a - place[z], b - place[x]) >= need and (a + b - apart) // 2 >= need:
+                met.append((z, x))
+        want += met[:line_dedup.PROPOSALS + 1]
+    assert sorted(found) == sorted(want) and len(want) > 300
+
+
+def test_lines_are_cut_without_python(spark):
+    docs = [(1, "a b\n \t\x0b\x0c\r\na b\n\nc\n"), (2, "a b"), (3, None), (4, ""), (5, "\n"), (6, " \n\x1c\nc\r\né x \nd"), (None, "c")]
+    done = line_dedup.with_removals(table(spark, docs))
+    plan = done._jdf.queryExecution().toString()
+    assert "EvalPython" not in plan
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1  # not once for each use of the lines
+    found = {r.doc.doc_id: (r.text, r.n_removed) for r in done.collect()}
+    assert found == {1: ("a b\n \t\x0b\x0c\r\n\n", 2), 2: ("", 1), 3: (None, 0), 4: ("", 0), 5: ("\n", 0),
+                     6: (" \n\x1c\né x \nd", 1), None: ("c", 0)}
+
+
 class Counted:
     """The library, with the number of texts it was asked for."""
 
