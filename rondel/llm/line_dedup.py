@@ -567,8 +567,8 @@ def _line_keys(row: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def _fetch(wanted: BitFilter):
-    """The words, as 64-bit hashes, of the sets of the lines at the places asked for, once per chunk of lines."""
-    schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("set", pa.list_(pa.int64()))])
+    """The words, as 64-bit hashes, of the sets of the lines at the places asked for, with the keys of the places."""
+    schema = pa.schema([("name", pa.int64()), ("sketch", pa.int64()), ("key", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(CHUNK)
@@ -577,33 +577,26 @@ def _fetch(wanted: BitFilter):
             count = np.fromiter(map(len, texts), np.int64, len(texts))
             line = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             keys = _line_keys(np.repeat(batch.column(1).to_numpy(), count), line)
-            asked = compress(chain.from_iterable(texts), wanted.passes(keys).tolist())
-            for _, lines in text_chunks(list(asked), CHUNK):
-                h, _, bounds, _, name, sketch, _ = Lines(hasher, lines).sets()
-                key = np.lexsort((sketch, name))
-                new = np.ones(len(key), bool)
-                new[1:] = (name[key][1:] != name[key][:-1]) | (sketch[key][1:] != sketch[key][:-1])
-                ask = key[new]
-                if not len(ask):
-                    continue
-                size = bounds[ask + 1] - bounds[ask]
-                offsets = np.concatenate(([0], np.cumsum(size)))
-                at = np.arange(offsets[-1]) + np.repeat(bounds[ask] - offsets[:-1], size)
-                sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h[at].view(np.int64)))
-                yield batch_of(schema, [name[ask].view(np.int64), sketch[ask].view(np.int64), sets])
+            passes = wanted.passes(keys)
+            keys, asked = keys[passes], compress(chain.from_iterable(texts), passes.tolist())
+            for first, lines in text_chunks(list(asked), CHUNK):
+                h, _, bounds, own, name, sketch, _ = Lines(hasher, lines).sets()
+                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield batch_of(schema, [name.view(np.int64), sketch.view(np.int64), keys[first + own], sets])
     return work
 
 
 def _settle(pairs: DataFrame, sets: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     """Of proposed pairs (later, earlier) the later sets whose words are similar enough; ``docs`` hold their first lines."""
     pairs = stored(pairs.select("name", "sketch", "other", "other_sketch").distinct(), "line-pairs")
-    asked = pairs.select("name").union(pairs.select(F.col("other"))).distinct()
+    asked = pairs.select("name", "sketch").union(pairs.select("other", "other_sketch")).distinct()
     row = F.xxhash64("file", "row")
-    places = (sets.select("name", "first.file", "first.row", "first.line").join(asked, "name", "left_semi")
-              .select(_place_key(row, F.col("line")).alias("key")))
-    words = arrow_pass(docs.select(F.col("text").cast("string"), row), _fetch(BitFilter(places)),
-                       "name long, sketch long, set array<long>")
-    words = stored(words.join(asked, "name", "left_semi").dropDuplicates(["name", "sketch"]), "line-words")
+    places = stored(sets.select("name", "sketch", "first.file", "first.row", "first.line").join(asked, ["name", "sketch"], "left_semi")
+                    .select("name", "sketch", _place_key(row, F.col("line")).alias("key")), "line-asked")
+    words = arrow_pass(docs.select(F.col("text").cast("string"), row), _fetch(BitFilter(places.select("key"))),
+                       "name long, sketch long, key long, set array<long>")
+    # A set comes from its first line alone, so that there is no second copy to drop; a copy would only repeat pairs.
+    words = stored(words.join(places, ["name", "sketch", "key"], "left_semi").drop("key"), "line-words")
     left = pairs.join(words, ["name", "sketch"])
     right = words.toDF("other", "other_sketch", "other_set")
     both = left.join(right, ["other", "other_sketch"])

@@ -289,6 +289,22 @@ def test_only_lines_asked_for_are_hashed(monkeypatch):
     assert sorted(len(x["set"]) for x in found) == [1, 2]
 
 
+def test_lines_read_again_keep_their_places(monkeypatch):
+    """The same set at two places asked for comes twice, each time with its place; chunks of a few bytes."""
+    monkeypatch.setattr(line_dedup, "CHUNK", 8)
+    texts, rows = ["a b\n\nc", None, "x\nb a\n \nd"], np.array([11, 5, -7])
+    keys = line_dedup._line_keys(rows[[0, 0, 2, 2]], np.array([0, 1, 1, 3]))
+
+    class Wanted:
+        def passes(self, all_keys):
+            return np.isin(all_keys, keys)
+
+    batch = pa.record_batch([pa.array(texts), pa.array(rows)], names=["text", "row"])
+    found = [x for b in line_dedup._fetch(Wanted())(iter([batch])) for x in b.to_pylist()]
+    assert [(x["key"], len(x["set"])) for x in found] == [(keys[0], 2), (keys[2], 2), (keys[3], 1)]
+    assert found[0]["name"] == found[1]["name"] != found[2]["name"]
+
+
 def test_place_keys_agree(spark):
     rows = [(5, 0), (-7, 3), (1 << 62, 100_000), (-1, 2 ** 31 - 1)]
     keys = spark.createDataFrame(rows, "row long, line int").select(line_dedup._place_key(F.col("row"), F.col("line")))
