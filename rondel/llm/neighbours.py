@@ -6,20 +6,23 @@ node lists, and some that list it, meet at that node through joins, and every on
 repeated until few lists change. A query starts at its own node and walks the graph with a beam, whose width follows from
 the recall of some queries that are compared with all nodes. If no beam brings them far enough, because the graph does not
 lead there, all queries are compared with all nodes, block by block.
+
+In the walk the vectors stay where they are: nodes are dealt to blocks, queries to groups, and what moves are pages of ids
+and distances. A block measures what reaches it and passes on only what is near enough for the beam.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
-from rondel.llm.shared import batch_of, stored
-from rondel.session import scratch_path
+from rondel.llm.shared import batch_of, dropped, mixed, stored
 
 NEIGHBOURS = 16   # length of each node's list
 LISTED_BY = 12    # of the nodes that list a node, so many nearest join its local comparison
@@ -36,6 +39,17 @@ NEAREST = 10
 SCAN_NODES = 1 << 14
 SCAN_QUERIES = 1 << 12
 SCAN_ROWS = 256
+# The walk: bytes of vectors in a block of nodes, blocks at least, queries of a group and of a part (of groups that meet a
+# block together), nodes that a query opens in one round, and pairs that a task spreads or measures at once.
+BLOCK_BYTES = 1 << 24
+BLOCKS = 64
+GROUP_QUERIES = 64
+PART_QUERIES = 1 << 13
+OPENED = 512
+PAIRS = 1 << 15
+# Rows without a vector that a task sorts at once, and bytes of vectors that it holds at meeting places.
+PASS_ROWS = 1 << 16
+PASS_BYTES = 1 << 24
 
 _LOG = logging.getLogger(__name__)
 
@@ -44,6 +58,63 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def _numbers(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    """The packed numbers of all rows of a binary column, one after the other."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column) or column.buffers()[2] is None:
+        return np.empty(0, kind)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind)
+
+
+def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A binary column: the numbers between each two ``edges`` as one row."""
+    data = np.ascontiguousarray(values)
+    ends = (edges * (data.nbytes // len(data) if len(data) else 1)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _edges(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts, and the end."""
+    return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)])) if len(keys) else np.zeros(1, int)
+
+
+def _dealt(ids: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64)) % np.uint64(n)).astype(np.int32)
+
+
+def _sorted_by(keys: np.ndarray) -> np.ndarray:
+    """The order by small numbers; numpy has a fast sort for those of 16 bits."""
+    return np.argsort(keys.astype(np.uint16) if len(keys) and keys.max() < 1 << 16 else keys, kind="stable")
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], columns: Callable[[pa.RecordBatch], list[np.ndarray]], size: int,
+                shorter: Callable[[list[np.ndarray]], list[np.ndarray]] | None = None) -> Iterator[list[np.ndarray]]:
+    """Columns of about ``size`` rows that hold whole runs of the first column, by which the rows are sorted.
+
+    ``shorter`` takes away what a part of a long run can't need.
+    """
+    held: list[list[np.ndarray]] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(columns(batch))
+        n += batch.num_rows
+        if n < size:
+            continue
+        rows = [np.concatenate(c) for c in zip(*held)]
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        if cut:
+            yield [r[:cut] for r in rows]
+        rest = [r[cut:].copy() for r in rows]
+        held = [shorter(rest) if shorter else rest]
+        n = len(held[0][0])
+    if n:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of rows, in double precision; the same for (a, b) and (b, a)."""
     gap = a.astype(np.float64) - b.astype(np.float64)
@@ -82,18 +153,33 @@ def nodes_of(rows: DataFrame, members: int) -> DataFrame:
                   .select(F.col("ids")[0].alias("node"), "ids", "embedding"), "nodes")
 
 
-def _vector_field(df: DataFrame) -> pa.Field:
-    double = isinstance(df.schema["embedding"].dataType.elementType, DoubleType)
-    return pa.field("embedding", pa.list_(pa.float64() if double else pa.float32()))
+def vectors_of(nodes: DataFrame) -> DataFrame:
+    """``node, vector``: packed numbers, which Spark moves as one value; stored."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.int64()), ("vector", pa.binary())])
+        for batch in batches:
+            yield batch_of(schema, [batch.column(0), _vector_column(batch.column(1))])
+
+    return stored(nodes.select("node", "embedding").mapInArrow(work, "node long, vector binary"), "packed")
+
+
+def _vector_column(column: pa.Array) -> pa.Array:
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return _packed(values, np.arange(len(column) + 1) * (len(values) // len(column) if len(column) else 0))
 
 
-def _codes(dim: int, orders: int, field: pa.Field):
-    schema = pa.schema([("turn", pa.int32()), ("code", pa.float64()), ("node", pa.int64()), field])
+def _number(rows: DataFrame) -> str:
+    """The kind of numbers in ``embedding``."""
+    return "<f8" if isinstance(rows.schema["embedding"].dataType.elementType, DoubleType) else "<f4"
+
+
+def _codes(dim: int, orders: int, kind: str):
+    schema = pa.schema([("turn", pa.int32()), ("code", pa.float64()), ("node", pa.int64()), ("vector", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(7).normal(size=(orders, dim, CODE_BITS + 1))
         for batch in batches:
-            vectors = _matrix(batch.column(1), dim).astype(np.float64)
+            vectors = _numbers(batch.column(1), kind).reshape(-1, dim).astype(np.float64)
             for turn in range(orders):
                 sides = vectors @ planes[turn]
                 code = (sides[:, :-1] > 0) @ (2.0 ** np.arange(CODE_BITS - 1, -1, -1))
@@ -102,8 +188,28 @@ def _codes(dim: int, orders: int, field: pa.Field):
     return work
 
 
-_EDGE = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("d", pa.float64())])
-EDGE = "node long, other long, d double"
+_EDGE = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("d", pa.float64()), ("fresh", pa.bool_())])
+EDGE = "node long, other long, d double, fresh boolean"
+
+
+def _edge(node: np.ndarray, other: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+    return batch_of(_EDGE, [node, other, d, np.ones(len(node), bool)])
+
+
+def _first(node: np.ndarray, other: np.ndarray, d: np.ndarray, fresh: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the ``keep`` nearest others of each node, in order; of two equal entries the one that isn't fresh counts."""
+    order = np.lexsort((d, node))
+    one, far = node[order], d[order]
+    tied = np.zeros(len(order) + 1, bool)
+    tied[1:-1] = (one[1:] == one[:-1]) & (far[1:] == far[:-1])
+    tied = np.flatnonzero(tied[1:] | tied[:-1])
+    some = order[tied]  # equal distances stand together, so only they are put in order
+    order[tied] = some[np.lexsort((fresh[some], other[some], far[tied], one[tied]))]
+    two = other[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    order, one = order[new], one[new]
+    return order[np.arange(len(one)) - np.searchsorted(one, one) < keep]
 
 
 def _compare(ids: np.ndarray, vectors: np.ndarray, keep: int) -> pa.RecordBatch:
@@ -113,14 +219,15 @@ def _compare(ids: np.ndarray, vectors: np.ndarray, keep: int) -> pa.RecordBatch:
     k = min(keep, len(ids) - 1)
     near = np.argpartition(d, k - 1, axis=1)[:, :k]
     a, b = np.repeat(np.arange(len(ids)), k), near.ravel()
-    return batch_of(_EDGE, [ids[a], ids[b], _exact(vectors[a], vectors[b])])
+    return _edge(ids[a], ids[b], _exact(vectors[a], vectors[b]))
 
 
-def _stretches(dim: int, size: int, keep: int):
+def _stretches(dim: int, size: int, keep: int, kind: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            rows = [batch.column(0).to_numpy(), batch.column(2).to_numpy(), _matrix(batch.column(3), dim)]
+            rows = [batch.column(0).to_numpy(), batch.column(2).to_numpy(),
+                    _numbers(batch.column(3), kind).reshape(-1, dim)]
             held = rows if held is None else [np.concatenate(c) for c in zip(held, rows)]
             while len(held[0]) >= 2 * size:  # what stays is never shorter than a stretch
                 yield from part([h[:size] for h in held])
@@ -136,40 +243,104 @@ def _stretches(dim: int, size: int, keep: int):
     return work
 
 
+def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+
+
 def _lists(edges: DataFrame, keep: int) -> DataFrame:
-    """``node`` and its ``keep`` nearest as ``near``, an array of ``(d, other)``; lists arrive with few entries each."""
-    found = F.array_sort(F.array_distinct(F.collect_list(F.struct("d", "other"))))
-    return edges.groupBy("node").agg(F.slice(found, 1, keep).alias("near"))
+    """Of the rows ``node, other, d, fresh`` the ``keep`` nearest of each node."""
+    size = PASS_ROWS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def shorter(rows: list[np.ndarray]) -> list[np.ndarray]:
+            at = _first(*rows, keep)
+            return [r[at] for r in rows]
+
+        for rows in _whole_runs(batches, _columns, size, shorter):
+            yield batch_of(_EDGE, shorter(rows))
+
+    return edges.repartition("node").sortWithinPartitions("node").mapInArrow(work, EDGE)
 
 
-def _entries(lists: DataFrame) -> DataFrame:
-    return lists.select("node", F.explode("near").alias("e")).select("node", F.col("e.other").alias("other"), F.col("e.d").alias("d"))
+def _meeting(lists: DataFrame, most: int) -> DataFrame:
+    """``node, other, listed``: what each node lists, and of those that list it about the ``most`` nearest or a few more.
 
+    A node that very many list gets at most ``most`` of them from each stretch of a task's rows.
+    """
+    size = PASS_ROWS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def nearest_of(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            at = _first(*rows, most)
+            return batch_of(_EDGE, [r[at] for r in rows])
+
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append(_columns(batch))
+            if sum(len(h[0]) for h in held) >= size:
+                yield nearest_of(held)
+                held = []
+        if held:
+            yield nearest_of(held)
+
+    back = lists.select(F.col("other").alias("node"), F.col("node").alias("other"), "d", "fresh").mapInArrow(work, EDGE)
+    return (lists.withColumn("listed", F.lit(True)).unionByName(back.withColumn("listed", F.lit(False)))
+            .select("node", "other", "d", "listed").repartition("node").sortWithinPartitions("node"))
+
+
+def _met(most: int):
+    """From runs of ``_meeting`` pairs of a node and what it lists or is listed by, each once and in order."""
+    size = PASS_ROWS
+
+    def shorter(rows: list[np.ndarray]) -> list[np.ndarray]:
+        node, other, d, listed = rows
+        by = np.flatnonzero(~listed)
+        by = by[_first(node[by], other[by], d[by], listed[by], most)]
+        at = np.concatenate([np.flatnonzero(listed), by])
+        return [r[at] for r in rows]
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for rows in _whole_runs(batches, _columns, size, shorter):
+            node, other, _, _ = shorter(rows)
+            order = np.lexsort((other, node))
+            node, other = node[order], other[order]
+            new = np.ones(len(node), bool)
+            new[1:] = (node[1:] != node[:-1]) | (other[1:] != other[:-1])
+            yield node[new], other[new]
+    return pairs
+
+
+def _places(most: int):
+    """Who meets at each node: itself and what ``_met`` gives."""
+    schema, pairs = pa.schema([("node", pa.int64()), ("other", pa.int64())]), _met(most)
 
-def _listing(lists: DataFrame, most: int) -> DataFrame:
-    """Of the nodes that list a node the ``most`` nearest, as entries of that node."""
-    back = _entries(lists).select(F.col("other").alias("node"), F.col("node").alias("other"), "d")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("d", "other"))
-    return back.withColumn("place", place).filter(F.col("place") <= most).drop("place")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, other in pairs(batches):
+            own = node[_edges(node)[:-1]]
+            yield batch_of(schema, [np.concatenate([node, own]), np.concatenate([other, own])])
+    return work
 
 
-def _local(dim: int, keep: int):
+def _local(dim: int, keep: int, kind: str):
     """At each meeting place, sorted by it: pairs nearer than the farthest entry of the first one's list.
 
     A node that very many list meets others in as many places, so a batch passes on its ``keep`` nearest only.
     """
+    size, many = max(1, PASS_BYTES // (8 * dim)), PAIRS
+
     def pairs(ids: np.ndarray, limit: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, ...]:
         d = _closest(vectors)
         np.fill_diagonal(d, np.inf)
         a, b = np.nonzero(d < (limit * limit)[:, None] * (1 + 1e-9))
         return a, b
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [*(batch.column(i).to_numpy() for i in range(3)), _numbers(batch.column(3), kind).reshape(-1, dim)]
 
-        def runs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            at, ids, limit, vectors = rows
-            edges = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, ids, limit, vectors in _whole_runs(batches, columns, size):
+            edges = _edges(at)
             one, two = [], []
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 if j - i > 1:
@@ -178,58 +349,37 @@ def _local(dim: int, keep: int):
                     two.append(b + i)
             if one:
                 a, b = np.concatenate(one), np.concatenate(two)
-                far = _exact(vectors[a], vectors[b])
+                far = np.concatenate([_exact(vectors[a[i:i + many]], vectors[b[i:i + many]])
+                                      for i in range(0, len(a), many)] or [np.empty(0)])
                 ok = far < limit[a]
                 one, two, far = ids[a[ok]], ids[b[ok]], far[ok]
-                key = np.lexsort((two, far, one))
-                one, two, far = one[key], two[key], far[key]
                 # The same two nodes meet in many places; once per batch is enough.
-                new = np.ones(len(one), bool)
-                new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-                one, two, far = one[new], two[new], far[new]
-                near = np.arange(len(one)) - np.searchsorted(one, one) < keep
-                yield batch_of(_EDGE, [one[near], two[near], far[near]])
-
-        for batch in batches:
-            rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(),
-                    _matrix(batch.column(3), dim)]
-            if held is not None:
-                rows = [np.concatenate(c) for c in zip(held, rows)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            held = [r[cut:] for r in rows]
-            if cut:
-                yield from runs([r[:cut] for r in rows])
-        if held is not None:
-            yield from runs(held)
+                near = _first(one, two, far, np.ones(len(one), bool), keep)
+                yield _edge(one[near], two[near], far[near])
     return work
 
 
-def build_graph(nodes: DataFrame, dim: int, keep: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
-    """``node`` and ``near`` (its nearest known nodes, nearest first); stored."""
-    field = _vector_field(nodes)
-    kind = nodes.schema["embedding"].dataType.simpleString()
-    coded = nodes.select("node", "embedding").mapInArrow(
-        _codes(dim, ORDERS, field), f"turn int, code double, node long, embedding {kind}")
+def build_graph(vectors: DataFrame, dim: int, kind: str, keep: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+    """``node, other, d``: the nearest known nodes of each node; stored.
+
+    ``vectors`` as from ``vectors_of``. An entry is ``fresh`` in the round that found it.
+    """
+    coded = vectors.mapInArrow(_codes(dim, ORDERS, kind), "turn int, code double, node long, vector binary")
     order = ["turn", "code", "node"]
     first = (coded.repartitionByRange(*order).sortWithinPartitions(*order)
-             .mapInArrow(_stretches(dim, STRETCH, keep), EDGE))
+             .mapInArrow(_stretches(dim, STRETCH, keep, kind), EDGE))
     lists = stored(_lists(first, keep), "neighbour-lists")
-    for _ in range(rounds):
-        meets = (lists.select("node", F.col("node").alias("other"))
-                 .unionByName(_entries(lists).select("node", "other"))
-                 .unionByName(_listing(lists, LISTED_BY).select("node", "other"))).distinct()
-        full = F.size("near") >= keep
-        limit = F.when(full, F.element_at("near", -1)["d"]).otherwise(float("inf"))
-        known = nodes.select("node", "embedding").join(lists.select("node", limit.alias("far")), "node", "left").select(
-            F.col("node").alias("other"), F.coalesce("far", F.lit(float("inf"))).alias("far"), "embedding")
-        placed = (meets.join(known, "other").select("node", "other", "far", "embedding")
+    for number in range(rounds):
+        meets = _meeting(lists, LISTED_BY).mapInArrow(_places(LISTED_BY), "node long, other long")
+        last = lists.groupBy("node").agg(F.when(F.count("*") >= keep, F.max("d")).alias("far"))
+        known = vectors.join(last, "node", "left").select(
+            F.col("node").alias("other"), F.coalesce("far", F.lit(float("inf"))).alias("far"), "vector")
+        placed = (meets.join(known, "other").select("node", "other", "far", "vector")
                   .repartition("node").sortWithinPartitions("node"))
-        better = placed.mapInArrow(_local(dim, keep), EDGE)
-        new = stored(_lists(better.unionByName(_entries(lists).select("node", "other", "d")), keep), "neighbour-lists")
-        before = lists.select("node", F.transform("near", lambda e: e["other"]).alias("old"))
-        changed = (new.join(before, "node", "left").select(
-            F.size(F.array_except(F.transform("near", lambda e: e["other"]), F.coalesce("old", F.array().cast("array<long>"))))
-            .alias("n"), F.size("near").alias("m")).agg(F.sum("n"), F.sum("m")).first())
+        better = placed.mapInArrow(_local(dim, keep, kind), EDGE)
+        new = stored(_lists(better.unionByName(lists.withColumn("fresh", F.lit(False))), keep), "neighbour-lists")
+        changed = new.agg(F.count_if("fresh"), F.count("*")).first()
+        _LOG.info("round %d: %d of %d entries changed", number + 1, changed[0], changed[1])
         lists = new
         if not changed[1] or changed[0] < CHANGED * changed[1]:
             break
@@ -238,60 +388,233 @@ def build_graph(nodes: DataFrame, dim: int, keep: int = NEIGHBOURS, rounds: int
     return lists
 
 
-def _measure(dim: int):
-    schema = pa.schema([("query_id", pa.int64()), ("node", pa.int64()), ("d", pa.float64())])
+@dataclass
+class Blocks:
+    """A graph to walk: ``vectors`` (``node, block, vector``) and ``ways`` (``node, block, ways``), packed numbers; stored."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    vectors: DataFrame
+    ways: DataFrame
+    count: int
+    dim: int
+    kind: str
+
+
+def blocks_of(vectors: DataFrame, lists: DataFrame, dim: int, kind: str) -> Blocks:
+    """The graph dealt to blocks; a node leads to what it lists and to the nearest of those that list it."""
+    count = max(BLOCKS, -(-vectors.count() * dim * np.dtype(kind).itemsize // BLOCK_BYTES))
+    schema = pa.schema([("node", pa.int64()), ("block", pa.int32()), ("data", pa.binary())])
+    pairs = _met(LISTED_BY)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            far = _exact(_matrix(batch.column(2), dim), _matrix(batch.column(3), dim))
-            yield batch_of(schema, [batch.column(0), batch.column(1), far])
+            yield batch_of(schema, [batch.column(0), _dealt(batch.column(0).to_numpy(), count), batch.column(1)])
+
+    def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node, other in pairs(batches):
+            edges = _edges(node)
+            own = node[edges[:-1]]
+            yield batch_of(schema, [own, _dealt(own, count), _packed(other, edges)])
+
+    def kept(rows: DataFrame, work: Callable, name: str) -> DataFrame:
+        return stored(rows.mapInArrow(work, f"node long, block int, {name} binary"), name)
+
+    return Blocks(kept(vectors, dealt, "vector"), kept(_meeting(lists, LISTED_BY), ways, "ways"), count, dim, kind)
+
+
+# What is stored after a round of the walk, as pages: the beams of a group (queries, nodes, distances, 1 where opened); the
+# nodes to open in a block, with the queries of one part that do; the farthest distance in the beam of each query of a part.
+_BEAM, _OPEN, _LIMIT = 0, 1, 2
+_WALK = pa.schema([("page", pa.int32()), ("place", pa.int32()), ("part", pa.int32()), ("query", pa.binary()),
+                   ("node", pa.binary()), ("d", pa.binary()), ("opened", pa.binary())])
+WALK = "page int, place int, part int, query binary, node binary, d binary, opened binary"
+
+
+def _settled(query: np.ndarray, node: np.ndarray, d: np.ndarray, opened: np.ndarray, beam: int, most: int, group: int,
+             part: int, blocks: int) -> pa.Table:
+    """Pages of a group: its beams, with the ``most`` nearest that weren't opened marked as such, and what that asks for."""
+    at = _first(query, node, d, ~opened, beam)
+    query, node, d, opened = query[at], node[at], d[at], opened[at]
+    new = np.flatnonzero(~opened)
+    new = new[np.arange(len(new)) - np.searchsorted(query[new], query[new]) < most]
+    opened[new] = True
+    edges = _edges(query)
+    full = np.diff(edges) >= beam
+    limit = np.where(full, d[edges[1:] - 1], np.inf)
+    block = _dealt(node[new], blocks)
+    order = _sorted_by(block)
+    block, new = block[order], new[order]
+    cuts = _edges(block)
+    n = len(cuts) - 1
+
+    def page(kind: int, rows: int, place: np.ndarray, columns: list) -> pa.RecordBatch:
+        none = pa.nulls(rows, pa.binary())
+        return batch_of(_WALK, [np.full(rows, kind, np.int32), place, np.full(rows, part, np.int32),
+                                *[none if c is None else c for c in columns]])
+
+    whole, one = np.array([0, len(query)]), np.array([0, len(limit)])
+    return pa.Table.from_batches([
+        page(_BEAM, 1, np.array([group], np.int32),
+             [_packed(query, whole), _packed(node, whole), _packed(d, whole), _packed(opened.astype(np.uint8), whole)]),
+        page(_OPEN, n, block[cuts[:-1]], [_packed(query[new], cuts), _packed(node[new], cuts), None, None]),
+        page(_LIMIT, 1, np.array([part], np.int32), [_packed(query[edges[:-1]], one), None, _packed(limit, one), None]),
+    ], _WALK)
+
+
+def _spread(blocks: int, size: int):
+    """At a block, for each query that opens a node of it, where that node leads; pages by the blocks that hold those."""
+    schema = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("query", pa.binary()), ("node", pa.binary())])
+
+    def work(key: tuple, opened: pa.Table, ways: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        query, node = _numbers(opened.column("query"), "<i8"), _numbers(opened.column("node"), "<i8")
+        ids = ways.column("node").to_numpy()
+        if len(ids) and len(node):
+            order = np.argsort(ids)
+            ids = ids[order]
+            there = ids[np.minimum(np.searchsorted(ids, node), len(ids) - 1)] == node
+            query, node = query[there], node[there]
+            to = _numbers(ways.column("ways"), "<i8")
+            sizes = ways.column("ways").combine_chunks()
+            sizes = np.diff(np.frombuffer(sizes.buffers()[1], np.int32)[sizes.offset:sizes.offset + len(sizes) + 1]) // 8
+            start = np.cumsum(sizes) - sizes
+            for i in range(0, len(node), size):
+                at = order[np.searchsorted(ids, node[i:i + size])]
+                n = sizes[at]
+                inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                other, asking = to[np.repeat(start[at], n) + inside], np.repeat(query[i:i + size], n)
+                block = _dealt(other, blocks)
+                by = _sorted_by(block)
+                cuts = _edges(block[by])
+                rows = len(cuts) - 1
+                out.append(batch_of(schema, [block[by][cuts[:-1]], np.full(rows, key[1].as_py(), np.int32),
+                                             _packed(asking[by], cuts), _packed(other[by], cuts)]))
+        return pa.Table.from_batches(out, schema)
     return work
 
 
-def ways_of(lists: DataFrame) -> DataFrame:
-    """``node`` and ``ways``: what it lists and the nearest of those that list it; stored."""
-    return stored(_entries(lists).select("node", "other").unionByName(
-        _listing(lists, LISTED_BY).select("node", "other")).distinct()
-        .groupBy("node").agg(F.collect_list("other").alias("ways")), "ways")
+_VECTOR, _ASKED, _FAR = 0, 1, 2
 
 
-def search(queries: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, beam: int = BEAM) -> DataFrame:
-    """``query_id, node, d``: the ``beam`` nearest nodes that a greedy walk finds for each query.
+def _not_beyond(a: np.ndarray, b: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Rows whose distance may be within ``limit``: all that are, and few others, in the precision of the rows."""
+    if a.dtype != np.float32:
+        return np.arange(len(a))
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = a - b
+        square = np.einsum("ij,ij->i", gap, gap)
+        return np.flatnonzero(~(square > limit * limit * (1 + 2e-7 * (a.shape[1] + 8)) + 1e-30) | ~np.isfinite(square))
 
-    ``queries``: ``query_id``, ``start`` (a node) and ``embedding``. In each round every query opens the nodes of its beam
-    that it has not opened yet; it ends when there are none.
-    """
-    asked = queries.select("query_id", F.col("embedding").alias("asked"))
-    vectors = nodes.select("node", "embedding")
 
-    def measured(pairs: DataFrame) -> DataFrame:
-        rows = pairs.join(vectors, "node").join(asked, "query_id").select("query_id", "node", "asked", "embedding")
-        return rows.mapInArrow(_measure(dim), "query_id long, node long, d double")
+def _measured(dim: int, kind: str, parts: int, group_size: int, size: int):
+    """At a block, the distances of the nodes that queries reach, where they are small enough for the beam; pages by group."""
+    schema = pa.schema([("place", pa.int32()), ("query", pa.binary()), ("node", pa.binary()), ("d", pa.binary())])
 
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "node"))
+    def work(key: tuple, reached: pa.Table, held: pa.Table) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        query, node = _numbers(reached.column("query"), "<i8"), _numbers(reached.column("node"), "<i8")
+        role, part = held.column("role").to_numpy(), key[1].as_py()
+
+        def sorted_by_id(which: int) -> tuple[np.ndarray, np.ndarray]:
+            rows = held.filter(pa.array(role == which))
+            ids = rows.column("id").to_numpy()
+            order = np.argsort(ids)
+            return ids[order], _numbers(rows.column("data"), kind).reshape(-1, dim)[order]
+
+        if len(query):
+            nodes, vectors = sorted_by_id(_VECTOR)
+            asked = sorted_by_id(_ASKED)[1]  # numbered from 0 in their part
+            rows = held.filter(pa.array(role == _FAR))
+            limit = np.full(len(asked), np.inf)
+            limit[_numbers(rows.column("data"), "<i8")] = _numbers(rows.column("far"), "<f8")
+            # A query reaches a node from many; once is enough.
+            pair = np.unique(np.searchsorted(nodes, node) * len(asked) + query)
+            for i in range(0, len(pair), size):
+                to, of = np.divmod(pair[i:i + size], len(asked))
+                near = _not_beyond(asked[of], vectors[to], limit[of])
+                of, to = of[near], to[near]
+                d = _exact(asked[of], vectors[to])
+                near = d <= limit[of]
+                q, n, d = of[near], nodes[to[near]], d[near]
+                group = q // group_size
+                by = _sorted_by(group)
+                cuts = _edges(group[by])
+                out.append(batch_of(schema, [(group[by][cuts[:-1]] * parts + part).astype(np.int32),
+                                             *[_packed(c[by], cuts) for c in (q, n, d)]]))
+        return pa.Table.from_batches(out, schema)
+    return work
 
-    def best(found: DataFrame) -> DataFrame:
-        return stored(found.withColumn("place", place).filter(F.col("place") <= beam).drop("place"), "beam")
 
-    spark, paths = nodes.sparkSession, []
+def search(queries: DataFrame, graph: Blocks, beam: int = BEAM, keep: int | None = None) -> DataFrame:
+    """``query_id, node, d``: the ``keep`` (all) nearest of the ``beam`` nodes that a greedy walk finds for each query.
 
-    def read(paths: list[str]) -> DataFrame:
-        return spark.read.schema("query_id long, node long, d double").parquet(*paths)
+    ``queries``: ``query_id``, ``start`` (the node of its own vector) and ``embedding``. In each round every query opens the
+    nearest nodes of its beam that it has not opened yet, at most ``OPENED``; it ends when there are none. Inside the walk a
+    query is a number in its part. Only the last round's pages are kept.
+    """
+    total, blocks = queries.count(), graph.count
+    parts = max(1, -(-total // PART_QUERIES))
+    most = OPENED  # workers have a module of their own, so what they use is handed to them
 
-    def reach(found: DataFrame) -> DataFrame:
-        """What a round reaches, stored; the rounds' tables are read as one, so that plans do not grow."""
-        paths.append(scratch_path(spark, "reached"))
-        measured(found).write.parquet(paths[-1])
-        return read(paths[-1:]).withColumn("opened", F.lit(False))
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("query_id", pa.int64()), ("start", pa.int64()), ("vector", pa.binary()), ("part", pa.int32())])
+        for batch in batches:
+            yield batch_of(schema, [batch.column(0), batch.column(1), _vector_column(batch.column(2)),
+                                    _dealt(batch.column(0).to_numpy(), parts)])
+
+    def start(key: tuple, rows: pa.Table) -> pa.Table:
+        query, node, group = rows.column("query").to_numpy(), rows.column("start").to_numpy(), key[0].as_py()
+        return _settled(query, node, np.zeros(len(query)), np.zeros(len(query), bool), beam, most, group, group % parts, blocks)
+
+    def merged(key: tuple, reached: pa.Table, beams: pa.Table) -> pa.Table:
+        query, node, d = (np.concatenate([_numbers(t.column(c), k) for t in (beams, reached)])
+                          for c, k in (("query", "<i8"), ("node", "<i8"), ("d", "<f8")))
+        opened = np.zeros(len(query), bool)
+        before = _numbers(beams.column("opened"), "u1")
+        opened[:len(before)] = before == 1
+        group = key[0].as_py()
+        return _settled(query, node, d, opened, beam, most, group, group % parts, blocks)
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    none, numbered = F.lit(None), F.row_number().over(Window.partitionBy("part").orderBy("query_id")) - 1
+    asked = stored(queries.select("query_id", "start", "embedding").mapInArrow(
+        packed, "query_id long, start long, vector binary, part int").withColumn("query", numbered.cast("long")), "asked")
+    ways = graph.ways.withColumn("part", every(parts))
+    held = graph.vectors.select("block", every(parts).alias("part"), F.lit(_VECTOR).alias("role"), F.col("node").alias("id"),
+                                F.col("vector").alias("data"), none.cast("binary").alias("far")).unionByName(
+        asked.select(every(blocks).alias("block"), "part", F.lit(_ASKED).alias("role"), F.col("query").alias("id"),
+                     F.col("vector").alias("data"), none.cast("binary").alias("far")))
+    place = (F.expr(f"query div {GROUP_QUERIES}") * parts + F.col("part")).cast("int").alias("place")
+    now = stored(asked.select(place, "query", "start").groupBy("place").applyInArrow(start, WALK), "walk")
+    number = 0
+    while not (opened := now.filter(F.col("page") == _OPEN)).isEmpty():
+        number += 1
+        reached = (opened.withColumnRenamed("place", "block").groupBy("block", "part").cogroup(ways.groupBy("block", "part"))
+                   .applyInArrow(_spread(blocks, PAIRS), "block int, part int, query binary, node binary"))
+        limits = now.filter(F.col("page") == _LIMIT).select(
+            every(blocks).alias("block"), "part", F.lit(_FAR).alias("role"), none.cast("long").alias("id"),
+            F.col("query").alias("data"), F.col("d").alias("far"))
+        near = (reached.groupBy("block", "part").cogroup(held.unionByName(limits).groupBy("block", "part"))
+                .applyInArrow(_measured(graph.dim, graph.kind, parts, GROUP_QUERIES, PAIRS),
+                              "place int, query binary, node binary, d binary"))
+        last, now = now, stored(near.groupBy("place").cogroup(now.filter(F.col("page") == _BEAM).groupBy("place"))
+                                .applyInArrow(merged, WALK), "walk")
+        dropped(last)
+    _LOG.info("beam %d: %d queries walked for %d rounds", beam, total, number)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("part", pa.int32()), ("query", pa.int64()), ("node", pa.int64()), ("d", pa.float64())])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                query, node, d = (_numbers(batch.column(c + 1).slice(i, 1), k) for c, k in enumerate(("<i8", "<i8", "<f8")))
+                near = np.arange(len(query)) - np.searchsorted(query, query) < (keep or beam)
+                part = np.full(near.sum(), batch.column(0)[i].as_py(), np.int32)
+                yield batch_of(schema, [part, query[near], node[near], d[near]])
 
-    now = best(reach(queries.select("query_id", F.col("start").alias("node"))))
-    while True:
-        fresh = now.filter("NOT opened").select("query_id", "node")
-        if fresh.isEmpty():
-            return now.select("query_id", "node", "d")
-        reached = reach(fresh.join(ways, "node").select("query_id", F.explode("ways").alias("node")).distinct()
-                        .join(read(paths).select("query_id", "node"), ["query_id", "node"], "left_anti"))
-        now = best(now.withColumn("opened", F.lit(True)).unionByName(reached))
+    return (now.filter(F.col("page") == _BEAM).select("part", "query", "node", "d")
+            .mapInArrow(rows, "part int, query long, node long, d double")
+            .join(asked.select("part", "query", "query_id"), ["part", "query"]).select("query_id", "node", "d"))
 
 
 def _scan_block(dim: int, keep: int):
@@ -363,14 +686,14 @@ def _nearest_far(dim: int, probes: list, k: int):
     return work
 
 
-def measured_beam(asked: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int, k: int, beam: int) -> tuple[int, float]:
+def measured_beam(asked: DataFrame, nodes: DataFrame, graph: Blocks, k: int, beam: int) -> tuple[int, float]:
     """A beam by which ``PROBES`` of the queries reach ``MIN_RECALL``, and their recall; exact answers come from all nodes.
 
     The recall is lower only if a wider beam no longer raises it, or holds all nodes.
     """
     some = stored(asked.orderBy(F.xxhash64("query_id"), "query_id").limit(PROBES), "probes")
     probes = [(r[0], r[1], np.array(r[2])) for r in some.select("query_id", "start", "embedding").collect()]
-    far = nodes.select("node", "embedding").mapInArrow(_nearest_far(dim, probes, k), "query_id long, d double")
+    far = nodes.select("node", "embedding").mapInArrow(_nearest_far(graph.dim, probes, k), "query_id long, d double")
     least = F.slice(F.array_sort(F.collect_list("d")), 1, k)
     exact = stored(far.groupBy("query_id").agg(least.alias("far")), "exact").withColumn("most", F.element_at("far", -1))
     wanted = exact.agg(F.sum(F.size("far"))).first()[0]
@@ -378,7 +701,7 @@ def measured_beam(asked: DataFrame, nodes: DataFrame, ways: DataFrame, dim: int,
         return beam, 1.0
     total, before = nodes.count(), -1.0
     while True:
-        found = search(some, nodes, ways, dim, beam).join(some.select("query_id", "start"), "query_id").filter("node <> start")
+        found = search(some, graph, beam, k + 1).join(some.select("query_id", "start"), "query_id").filter("node <> start")
         hits = (found.join(exact, "query_id").filter(F.col("d") <= F.col("most") * (1 + 1e-9)).groupBy("query_id")
                 .agg(F.least(F.count("*"), F.first(F.size("far"))).alias("n")).agg(F.sum("n")).first()[0] or 0)
         recall = hits / wanted
@@ -405,12 +728,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, beam: int =
     """
     rows, dim = usable(vectors)
     nodes = nodes_of(rows, k + 1)
-    lists = build_graph(nodes, dim)
+    vectors, kind = vectors_of(nodes), _number(nodes)
+    lists = build_graph(vectors, dim, kind)
     asked = stored(rows.filter(is_query).join(nodes.select(F.col("node").alias("start"), "embedding"), "embedding")
                    .select(F.col("vec_id").alias("query_id"), "start", "embedding"), "queries")
-    ways = ways_of(lists)
-    width, recall = measured_beam(asked, nodes, ways, dim, k, max(beam, k + 1))
-    found = search(asked, nodes, ways, dim, width) if recall >= MIN_RECALL else scan(asked, nodes, dim, k + 1)
+    graph = blocks_of(vectors, lists, dim, kind)
+    width, recall = measured_beam(asked, nodes, graph, k, max(beam, k + 1))
+    # The nearest nodes hold the nearest vectors; one of them is the query's own.
+    found = search(asked, graph, width, k + 1) if recall >= MIN_RECALL else scan(asked, nodes, dim, k + 1)
     named = (found.join(nodes.select("node", F.explode("ids").alias("vec_id")), "node")
              .filter("vec_id <> query_id"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))

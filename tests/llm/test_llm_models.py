@@ -1,5 +1,6 @@
 """Conversations, URLs, neighbours and the classifier on small tables, against brute force or held-out labels."""
 
+import glob
 import random
 
 import numpy as np
@@ -180,6 +181,46 @@ def test_scan_of_blocks(spark, monkeypatch):
     assert neighbours.scan(asked.limit(0), nodes, 4, 9).count() == neighbours.scan(asked, nodes.limit(0), 4, 9).count() == 0
 
 
+def test_walk_in_blocks(spark, monkeypatch):
+    """The walk over pages finds what a plain walk over the same graph finds, and keeps the last round's files only."""
+    for name, value in {"BLOCKS": 5, "GROUP_QUERIES": 3, "PART_QUERIES": 7, "OPENED": 4, "PAIRS": 10, "PASS_ROWS": 50,
+                        "PASS_BYTES": 3000}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    vectors = np.random.default_rng(12).integers(-30, 30, size=(400, 5)).astype(np.float32)  # some ties, no copies
+    vectors = np.unique(vectors, axis=0)
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "node long, embedding array<float>")
+    packed = neighbours.vectors_of(nodes)
+    lists = neighbours.build_graph(packed, 5, "<f4", 6)
+    graph = neighbours.blocks_of(packed, lists, 5, "<f4")
+    asked = nodes.filter("node % 17 = 0").select(F.col("node").alias("query_id"), F.col("node").alias("start"), "embedding")
+
+    def walks() -> int:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        return len(glob.glob(base.removeprefix("file:") + "/rondel/walk-*")) + len(
+            glob.glob(base.removeprefix("file:") + "/rondel/reached-*"))
+
+    before, found = walks(), {}
+    for r in neighbours.search(asked, graph, 20).collect():
+        found.setdefault(r.query_id, []).append((r.d, r.node))
+    assert walks() == before + 1
+    ways = {r.node: np.frombuffer(r.ways, "<i8").tolist() for r in graph.ways.collect()}
+    listed = {}
+    for r in lists.collect():
+        listed.setdefault(r.node, []).append((r.d, r.other))
+    assert all(len(v) == 6 for v in listed.values()) and set(ways) == set(range(len(vectors)))
+    for node, leads in ways.items():
+        assert sorted(leads) == leads and len(set(leads)) == len(leads)
+        by = sorted((d, n) for n, entries in listed.items() for d, other in entries if other == node)[:neighbours.LISTED_BY]
+        assert set(leads) == {n for _, n in listed[node]} | {n for _, n in by}
+    for q in range(0, len(vectors), 17):
+        d = np.sqrt(((vectors - vectors[q]).astype(np.float64) ** 2).sum(axis=1))
+        beam, opened = [(0.0, q)], set()
+        while new := [n for _, n in beam if n not in opened][:4]:
+            opened |= set(new)
+            beam = sorted(set(beam) | {(d[n], n) for m in new for n in ways[m]})[:20]
+        assert sorted(found[q]) == beam
+
+
 def test_quality(spark):
     rnd = random.Random(2)
     words = [f"word{i}x" for i in range(400)]
