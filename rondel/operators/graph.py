@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
-from rondel.session import cut_lineage, shuffle_width
+from rondel.session import cut_lineage, drop_cut, is_cut, shuffle_width
 
 # Fewer edges than this are not worth a partition of their own: contributions are summed per partition before they are shuffled,
 # and every partition of edges sends a block to every partition of ranks, in each round.
@@ -123,11 +123,11 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
     source with more than ``hub_degree`` edges has them cut into several buckets, each joined
     with its own copy of the source's rank. Per round, ranks are shuffled to the edges and the
     map-side summed contributions are shuffled back together with the old ranks, which makes the
-    outer join with the vertices a part of the same aggregate.
+    outer join with the vertices a part of the same aggregate. Of the rounds' ranks and shuffles only the last stay on disk.
     """
     spark = vertices.sparkSession
     # read for the out-degrees and again for the layout; also what lost cache blocks are rebuilt from
-    stored = cut_lineage(edges.select("src", "dst", "weight"))
+    stored = edges if is_cut(edges) else cut_lineage(edges.select("src", "dst", "weight"))
     directed = _oriented(stored, orientation)
 
     out = directed.groupBy(F.col("src").alias("id")).agg(
@@ -171,6 +171,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, *, damping: float = 0.85, ma
         moved = F.abs(F.col("rank") - F.col("before"))
         measured = moved / F.col("before") if relative else moved
         state = cut_lineage(step.observe(change, F.max(measured).alias("delta")).drop("before"))
+        drop_cut(old)
         delta = change.get["delta"] or 0.0
         result.rounds.append((number, time.monotonic() - started, delta, delta < tol))
         if delta < tol:

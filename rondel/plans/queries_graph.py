@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rondel.operators import graph
 from rondel.plans.registry import SQL, query
 from rondel.plans.standins import CONTACTS_SQL, DELIVERIES_SQL, contacts, deliveries
-from rondel.session import cut_lineage, scratch_path
+from rondel.session import cut_lineage, drop_cut, scratch_path
 from rondel.sources import files
 
 _DAMPING = 0.85
@@ -44,10 +44,12 @@ def _pagerank_ctes(pairs: str, rounds: int, both: bool) -> str:
 
 
 def _graph(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices and edges; the counted pairs are stored once and read for both."""
+    """Vertices and edges; the counted pairs are stored once, read for both and deleted once the edges are stored."""
     pairs = cut_lineage(graph.graph_pairs(rows, "one", "two"))
     vertices = graph.graph_vertices(pairs)
-    return vertices, graph.graph_edges(pairs, vertices)
+    edges = cut_lineage(graph.graph_edges(pairs, vertices))
+    drop_cut(pairs)
+    return vertices, edges
 
 
 def _contact_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings the operators are tuned for; a cluster may override every one of them.
 RECOMMENDED_CONF = {
@@ -78,12 +79,39 @@ def settings(spark: SparkSession, wanted: dict[str, str]):
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` on the shared folder and drop its history."""
+    """Materialise ``df`` on the shared folder and drop its history.
+
+    Its shuffle files are deleted with it: otherwise they stay until the driver's garbage collector finds them, and a loop
+    fills the disk with those of all its rounds.
+    """
     spark = df.sparkSession
     base = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    with settings(spark, {SHUFFLE_CLEANUP_KEY: "true"}):
+        done = df.select("*")  # the setting counts when a plan is made
+    return done.checkpoint(eager=True)
+
+
+def _checkpoint_file(df: DataFrame) -> str | None:
+    """Where ``df`` lies, if it is what ``cut_lineage`` returned and nothing was done to it since."""
+    plan = df._jdf.queryExecution().logical()
+    if plan.getClass().getSimpleName() != "LogicalRDD":
+        return None
+    file = plan.rdd().getCheckpointFile()
+    return file.get() if file.isDefined() else None
+
+
+def is_cut(df: DataFrame) -> bool:
+    return _checkpoint_file(df) is not None
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete the files of a ``cut_lineage`` that nothing reads any more; anything else is left alone."""
+    file = _checkpoint_file(df)
+    if file:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

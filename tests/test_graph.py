@@ -1,3 +1,6 @@
+import glob
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +112,38 @@ def test_edges_are_neither_shuffled_nor_sorted_again(spark, monkeypatch, hub_deg
     assert round_plan.count(" Sort [") == 1  # the ranks
 
 
+def test_rounds_leave_nothing_behind_but_the_last(spark):
+    """Shuffle files and ranks of past rounds are deleted at once; only what is still read stays on disk."""
+    def checkpoints() -> set[str]:
+        return set(glob.glob(spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/rdd-*"))
+
+    def shuffles() -> set[str]:
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        roots = [str(d) for d in manager.localDirs()]
+        return {f for root in roots for f in glob.glob(f"{root}/**/shuffle_*.data", recursive=True)}
+
+    vertices = spark.range(60).select("id", F.col("id").cast("string").alias("name"))
+    edges = spark.range(3000).select(
+        (F.col("id") % 50).alias("src"), (F.col("id") * 7 % 60).alias("dst"), F.lit(1).alias("weight"))
+    kept = []
+
+    def run(rounds: int) -> tuple[int, int]:
+        cut, files = checkpoints(), shuffles()
+        kept.append(graph.pagerank(vertices, edges, max_rounds=rounds, tol=0.0))
+        time.sleep(1)  # files are deleted in the background
+        return len(checkpoints() - cut), len(shuffles() - files)
+
+    graph.cut_lineage(spark.range(1))  # makes the folder
+    assert run(6) == run(2)
+
+
+def test_cut_edges_are_not_stored_again(spark):
+    edges = graph.cut_lineage(spark.createDataFrame(EDGES, "src bigint, dst bigint, weight bigint"))
+    assert graph.is_cut(edges) and not graph.is_cut(edges.select("src", "dst"))
+    graph.drop_cut(edges.select("src", "dst"))  # not what was cut, so it is left alone
+    assert edges.count() == len(EDGES)
+
+
 def test_top_breaks_ties_by_id_and_has_names(spark, tmp_path):
     vertices = spark.createDataFrame([(i, f"v{i}") for i in range(4)], "id bigint, name string")
     ranks = spark.createDataFrame([(0, 0.1), (1, 0.4), (2, 0.4), (3, 0.1)], "id bigint, rank double")
