@@ -134,7 +134,9 @@ def test_rounds_leave_nothing_behind_but_the_last(spark):
         return len(checkpoints() - cut), len(shuffles() - files)
 
     graph.cut_lineage(spark.range(1))  # makes the folder
-    assert run(6) == run(2)
+    few, many = run(2), run(12)
+    # A garbage collection may take away some of either run. Each further round used to leave a checkpoint and two shuffles.
+    assert many[0] <= 4 and many[1] < few[1] + 10
 
 
 def test_cut_edges_are_not_stored_again(spark):
